@@ -204,3 +204,166 @@ def q_region_geo_dashboard(spark, sf_dir):
 )
 def q_region_counts(spark, sf_dir):
     return report.region_counts(processed(spark, sf_dir), with_topic=False)
+
+
+# ------------------------------------------------------------------ dashboard (AGG-01/03/04/06, WIN-01, SCL-15/17, FLT-03/05..07, PRJ-01)
+# Dashboard tables are checked on a stand-in prediction table: topic = ord % 6,
+# score = headline word count, keywords NULL when the description is empty.
+# (The real NMF scoring feeds the same operators in ``score_requests`` / ``entry``.)
+
+STANDIN_SQL = (
+    "pred AS (SELECT *, CAST(ord % 6 AS INTEGER) AS topic_id, CAST(headline_word_count AS DOUBLE) AS topic_score, "
+    "CASE WHEN description_word_count = 0 THEN NULL ELSE 'topic ' || CAST(ord % 6 AS VARCHAR) || ' keywords' END AS topic_keywords "
+    "FROM processed)"
+)
+
+
+def standin_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = processed(spark, sf_dir)
+    return (
+        p.withColumn("topic_id", (F.col("ord") % 6).cast("int"))
+        .withColumn("topic_score", F.col("headline_word_count").cast("double"))
+        .withColumn(
+            "topic_keywords",
+            F.when(F.col("description_word_count") == 0, F.lit(None).cast("string")).otherwise(
+                F.concat(F.lit("topic "), (F.col("ord") % 6).cast("string"), F.lit(" keywords"))
+            ),
+        )
+    )
+
+
+def _pred_sql(body: str) -> str:
+    return _with(O.processed_ctes() + ",\n" + STANDIN_SQL, body)
+
+
+@register(
+    "topic_summary",
+    _pred_sql(
+        "SELECT topic_id, count(*) AS count, arg_min(topic_keywords, ord) FILTER (WHERE topic_keywords IS NOT NULL) AS topic_keywords, "
+        "CASE WHEN sum(count(*)) OVER () > 0 THEN count(*) / sum(count(*)) OVER () ELSE 0.0 END AS importance "
+        "FROM pred WHERE topic_id IS NOT NULL GROUP BY topic_id"
+    ),
+)
+def q_topic_summary(spark, sf_dir):
+    return report.topic_summary(standin_predictions(spark, sf_dir))
+
+
+@register("topic_distribution", _pred_sql("SELECT topic_id, count(*) AS count FROM pred WHERE topic_id IS NOT NULL GROUP BY topic_id"))
+def q_topic_distribution(spark, sf_dir):
+    return report.topic_distribution(standin_predictions(spark, sf_dir))
+
+
+@register(
+    "kpis",
+    _pred_sql(
+        "SELECT count(*) AS articles, count(DISTINCT source_name) AS sources, count(DISTINCT topic_id) AS topics, "
+        "count(DISTINCT region) AS regions FROM pred"
+    ),
+)
+def q_kpis(spark, sf_dir):
+    return report.kpis(standin_predictions(spark, sf_dir))
+
+
+@register("mean_topic_score", _pred_sql("SELECT avg(topic_score) AS mean_topic_score FROM pred"))
+def q_mean_topic_score(spark, sf_dir):
+    return report.mean_score(standin_predictions(spark, sf_dir))
+
+
+@register(
+    "top_headlines",
+    _pred_sql(
+        "SELECT topic_id, rank, ord, headline, topic_score, "
+        "first(CASE WHEN rank = 1 THEN topic_keywords END IGNORE NULLS) OVER (PARTITION BY topic_id) AS title FROM ("
+        "SELECT *, CAST(row_number() OVER (PARTITION BY topic_id ORDER BY topic_score DESC, ord) AS INTEGER) AS rank "
+        "FROM pred WHERE topic_id IS NOT NULL) WHERE rank <= 8"
+    ),
+)
+def q_top_headlines(spark, sf_dir):
+    return report.top_headlines(standin_predictions(spark, sf_dir)).select(
+        "topic_id", "rank", "ord", "headline", "topic_score", "title"
+    )
+
+
+@register(
+    "topic_colors",
+    _pred_sql(
+        f"SELECT DISTINCT p.topic_id, tc.hex, "
+        "CAST(('0x' || substr(tc.hex, 2, 2))::INTEGER AS INTEGER) AS r, CAST(('0x' || substr(tc.hex, 4, 2))::INTEGER AS INTEGER) AS g, "
+        "CAST(('0x' || substr(tc.hex, 6, 2))::INTEGER AS INTEGER) AS b "
+        f"FROM pred p JOIN {O.colors_values()} ON tc.color_idx = p.topic_id % 7"
+    ),
+)
+def q_topic_colors(spark, sf_dir):
+    p = standin_predictions(spark, sf_dir).select("topic_id").distinct()
+    rgb = report.topic_rgb(F.col("topic_id"))
+    return p.select("topic_id", report.topic_color(F.col("topic_id")).alias("hex"), rgb[0].alias("r"), rgb[1].alias("g"), rgb[2].alias("b"))
+
+
+@register(
+    "filter_facets",
+    _pred_sql(
+        "SELECT ord, source_name, region, topic_id FROM pred WHERE source_name IN ('src1', 'src2', 'src4') "
+        "AND region IS NOT NULL AND topic_id IN (1, 2, 3)"
+    ),
+)
+def q_filter_facets(spark, sf_dir):
+    f = report.filter_facets(standin_predictions(spark, sf_dir), sources=["src1", "src2", "src4"], topics=[1, 2, 3])
+    return f.select("ord", "source_name", "region", "topic_id")
+
+
+@register(
+    "headline_search",
+    _pred_sql(
+        "SELECT ord, headline FROM pred WHERE source_name IS NOT NULL AND region IS NOT NULL AND topic_id IS NOT NULL "
+        "AND contains(lower(coalesce(headline, '')), 'in')"
+    ),
+)
+def q_headline_search(spark, sf_dir):
+    return report.filter_facets(standin_predictions(spark, sf_dir), search="IN").select("ord", "headline")
+
+
+@register(
+    "facet_options",
+    _pred_sql(
+        "SELECT DISTINCT facet, value FROM ("
+        "SELECT 'source_name' AS facet, source_name AS value FROM pred UNION ALL "
+        "SELECT 'region', region FROM pred UNION ALL SELECT 'topic_id', CAST(topic_id AS VARCHAR) FROM pred) WHERE value IS NOT NULL"
+    ),
+)
+def q_facet_options(spark, sf_dir):
+    return report.facet_options(standin_predictions(spark, sf_dir))
+
+
+@register(
+    "article_links",
+    _pred_sql(
+        "SELECT CASE WHEN url IS NULL THEN headline ELSE '<a href=\"' || url || '\" target=\"_blank\">' || coalesce(headline, '') || '</a>' END AS article, "
+        "topic_keywords, published_at FROM pred"
+    ),
+)
+def q_article_links(spark, sf_dir):
+    return report.article_links(standin_predictions(spark, sf_dir))
+
+
+@register(
+    "region_summary",
+    _pred_sql(
+        "SELECT region, lat, lon, count(headline) AS article_count, "
+        "arg_min(topic_id, ord) FILTER (WHERE topic_id IS NOT NULL) AS topic_id, "
+        "CAST(floor(200 + 55 * count(headline) / CASE WHEN max(count(headline)) OVER () = 0 THEN 1 ELSE max(count(headline)) OVER () END) AS INTEGER) AS intensity "
+        "FROM pred GROUP BY region, lat, lon"
+    ),
+)
+def q_region_summary(spark, sf_dir):
+    out = report.region_counts(standin_predictions(spark, sf_dir), with_topic=True)
+    return out.select("region", "lat", "lon", "article_count", "topic_id", "intensity")
+
+
+@register(
+    "usable_text",
+    _with(O.processed_ctes(), f"SELECT ord, topic_text FROM processed WHERE length({O.strip_ws('coalesce(topic_text, chr(32))')}) > 0"),
+)
+def q_usable_text(spark, sf_dir):
+    from topicloom.operators import filters
+
+    return filters.usable_text(processed(spark, sf_dir), "topic_text").select("ord", "topic_text")

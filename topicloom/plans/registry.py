@@ -367,3 +367,100 @@ def q_usable_text(spark, sf_dir):
     from topicloom.operators import filters
 
     return filters.usable_text(processed(spark, sf_dir), "topic_text").select("ord", "topic_text")
+
+
+# ------------------------------------------------------------------ ML-01/02, AGG-07 (TF-IDF)
+
+from topicloom.operators import tfidf as TF  # noqa: E402
+from topicloom.plans import train as TR  # noqa: E402
+
+
+def training_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TR.training_frame(processed(spark, sf_dir))
+
+
+def _tfidf_sql_ctes(where: str = "TRUE", cfg: TF.TfidfConfig | None = None) -> str:
+    cfg = cfg or TF.TfidfConfig()
+    stop = O.str_list(TF.english_stop_words())
+    hi = f"{cfg.max_df} * (SELECT n FROM ndocs)" if isinstance(cfg.max_df, float) else str(cfg.max_df)
+    return (
+        O.processed_ctes()
+        + f""",
+train AS (
+  SELECT ord AS doc_id, topic_text FROM processed
+  WHERE length({O.strip_ws("coalesce(topic_text, chr(32))")}) > 0 AND ({where})
+  QUALIFY row_number() OVER (PARTITION BY headline, url ORDER BY ord) = 1),
+ndocs AS (SELECT count(*) AS n FROM train),
+toks AS (
+  SELECT doc_id, list_filter(regexp_extract_all(topic_text, '\\w\\w+'), lambda t: NOT list_contains({stop}, t)) AS s FROM train),
+terms AS (
+  SELECT doc_id, list_concat(s, list_transform(range(1, len(s)), lambda i: s[i] || ' ' || s[i + 1])) AS t FROM toks),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM terms) GROUP BY doc_id, term),
+stats AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM tf GROUP BY term),
+vocab0 AS (
+  SELECT term, df, ctf FROM stats WHERE df >= {cfg.min_df} AND df <= {hi}
+  ORDER BY ctf DESC, term LIMIT {cfg.max_features}),
+vocab AS (
+  SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_idx, df, ctf,
+         ln((1.0 + (SELECT n FROM ndocs)) / (1.0 + df)) + 1.0 AS idf FROM vocab0),
+weights AS (
+  SELECT tf.doc_id, tf.term, v.term_idx, tf.tf * v.idf / sqrt(sum((tf.tf * v.idf) * (tf.tf * v.idf)) OVER (PARTITION BY tf.doc_id)) AS weight
+  FROM tf JOIN vocab v ON v.term = tf.term)"""
+    )
+
+
+@register("term_stats", _with(_tfidf_sql_ctes(), "SELECT term, df, ctf FROM stats"))
+def q_term_stats(spark, sf_dir):
+    cfg = TF.TfidfConfig()
+    tf = TF.term_counts(training_docs(spark, sf_dir), "topic_text", "doc_id", cfg)
+    return TF.term_stats(tf)
+
+
+@register("vocabulary", _with(_tfidf_sql_ctes(), "SELECT term, term_idx, df, round(idf, 9) AS idf FROM vocab"))
+def q_vocabulary(spark, sf_dir):
+    model, _ = TF.fit(training_docs(spark, sf_dir), "topic_text")
+    return model.vocabulary.select("term", "term_idx", "df", F.round("idf", 9).alias("idf"))
+
+
+@register("tfidf", _with(_tfidf_sql_ctes(), "SELECT doc_id, term, term_idx, round(weight, 9) AS weight FROM weights"))
+def q_tfidf(spark, sf_dir):
+    model, tf = TF.fit(training_docs(spark, sf_dir), "topic_text")
+    return TF.weights_long(tf, model).select("doc_id", "term", "term_idx", F.round("weight", 9).alias("weight"))
+
+
+# ML-02: fit on the first two weeks, score the later articles with that vocabulary.
+SPLIT_DS = "2024-01-14"
+
+
+@register(
+    "tfidf_score_new",
+    _with(
+        _tfidf_sql_ctes(where=f"ds <= '{SPLIT_DS}'")
+        + f""",
+newdocs AS (
+  SELECT ord AS doc_id, topic_text FROM processed
+  WHERE length({O.strip_ws("coalesce(topic_text, chr(32))")}) > 0 AND ds > '{SPLIT_DS}'),
+ntoks AS (SELECT doc_id, list_filter(regexp_extract_all(topic_text, '\\w\\w+'), lambda t: NOT list_contains({O.str_list(TF.english_stop_words())}, t)) AS s FROM newdocs),
+nterms AS (SELECT doc_id, list_concat(s, list_transform(range(1, len(s)), lambda i: s[i] || ' ' || s[i + 1])) AS t FROM ntoks),
+ntf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM nterms) GROUP BY doc_id, term),
+nw AS (
+  SELECT ntf.doc_id, v.term_idx, ntf.tf * v.idf / sqrt(sum((ntf.tf * v.idf) * (ntf.tf * v.idf)) OVER (PARTITION BY ntf.doc_id)) AS weight
+  FROM ntf JOIN vocab v ON v.term = ntf.term)""",
+        "SELECT doc_id, term_idx, round(weight, 9) AS weight FROM nw",
+    ),
+)
+def q_tfidf_score_new(spark, sf_dir):
+    docs = training_docs(spark, sf_dir)
+    model, _ = TF.fit(docs.where(F.col("ds") <= SPLIT_DS), "topic_text")
+    new = processed(spark, sf_dir).where(F.col("ds") > SPLIT_DS)
+    new = filters_usable(new).withColumn("doc_id", F.col("ord"))
+    v = model.transform(new, "topic_text")
+    return v.select("doc_id", F.posexplode("indices").alias("p", "term_idx"), "values").select(
+        "doc_id", "term_idx", F.round(F.element_at("values", F.col("p") + 1), 9).alias("weight")
+    )
+
+
+def filters_usable(df: DataFrame) -> DataFrame:
+    from topicloom.operators import filters
+
+    return filters.usable_text(df, "topic_text")

@@ -464,3 +464,69 @@ def filters_usable(df: DataFrame) -> DataFrame:
     from topicloom.operators import filters
 
     return filters.usable_text(df, "topic_text")
+
+
+# ------------------------------------------------------------------ ML-03..06, WIN-02/03 (NMF)
+
+from topicloom.operators import nmf as NMF  # noqa: E402
+
+
+def _fit_topics(spark: SparkSession, sf_dir: str):
+    return TR.fit_topics(training_docs(spark, sf_dir))
+
+
+@register("nmf_topics")
+def q_nmf_topics(spark, sf_dir):
+    model, _ = _fit_topics(spark, sf_dir)
+    return model.terms
+
+
+@register("topic_keywords")
+def q_topic_keywords(spark, sf_dir):
+    model, _ = _fit_topics(spark, sf_dir)
+    return model.keywords.select("topic_id", "topic_keywords")
+
+
+@register("nmf_assignments")
+def q_nmf_assignments(spark, sf_dir):
+    model, X = _fit_topics(spark, sf_dir)
+    return TR.assign(model, X).select("doc_id", "topic_id", "topic_score", "topic_keywords")
+
+
+@register("nmf_quality")
+def q_nmf_quality(spark, sf_dir):
+    model, X = _fit_topics(spark, sf_dir)
+    return TR.quality(spark, model, TR.assign(model, X))
+
+
+# Fixed start for the one-step algebra check (both sides use the same rule).
+ONE_STEP_K = 6
+
+
+@register(
+    "nmf_one_step",
+    _with(
+        _tfidf_sql_ctes()
+        + f""",
+topics AS (SELECT CAST(range AS INTEGER) AS j FROM range({ONE_STEP_K})),
+w0 AS (SELECT t.doc_id, topics.j, 1.0 + ((t.doc_id + topics.j) % 5) * 0.25 AS w FROM train t CROSS JOIN topics),
+wtx AS (SELECT w0.j, wt.term_idx, sum(w0.w * wt.weight) AS s FROM w0 JOIN weights wt ON wt.doc_id = w0.doc_id GROUP BY w0.j, wt.term_idx),
+wtw AS (SELECT a.j AS i, b.j AS l, sum(a.w * b.w) AS s FROM w0 a JOIN w0 b ON a.doc_id = b.doc_id GROUP BY a.j, b.j),
+h0 AS (SELECT topics.j, v.term_idx, 1.0 + ((topics.j + v.term_idx) % 3) * 0.5 AS h FROM topics CROSS JOIN vocab v),
+den AS (SELECT wtw.i AS j, h0.term_idx, sum(wtw.s * h0.h) AS s FROM wtw JOIN h0 ON h0.j = wtw.l GROUP BY wtw.i, h0.term_idx)""",
+        "SELECT h0.j AS topic_id, h0.term_idx, round(h0.h * coalesce(wtx.s, 0.0) / den.s, 6) AS h "
+        "FROM h0 JOIN den ON den.j = h0.j AND den.term_idx = h0.term_idx "
+        "LEFT JOIN wtx ON wtx.j = h0.j AND wtx.term_idx = h0.term_idx",
+    ),
+)
+def q_nmf_one_step(spark, sf_dir):
+    import numpy as np
+    import pandas as pd
+
+    tm, tf = TF.fit(training_docs(spark, sf_dir), "topic_text")
+    X = TF.vectors(tf, tm).persist()
+    WtW, WtX = NMF.fixed_w_pass(X, ONE_STEP_K, tm.vocab_size, NMF.cyclic_start_w)
+    H1 = NMF.multiplicative_h_step(WtW, WtX, NMF.cyclic_start_h(ONE_STEP_K, tm.vocab_size))
+    ti, vi = np.indices(H1.shape)
+    pdf = pd.DataFrame({"topic_id": ti.ravel().astype("int32"), "term_idx": vi.ravel().astype("int32"), "h": H1.ravel()})
+    return spark.createDataFrame(pdf).select("topic_id", "term_idx", F.round("h", 6).alias("h"))

@@ -15,3 +15,62 @@ def training_frame(processed: DataFrame, text_column: str = "topic_text", order:
     df = dedup.drop_training_duplicates(processed, order)
     df = filters.usable_text(df, text_column)
     return df.withColumn("doc_id", F.col(order))
+
+
+from dataclasses import dataclass  # noqa: E402
+
+import numpy as np  # noqa: E402
+from pyspark import StorageLevel  # noqa: E402
+
+from topicloom.config import TopicModelConfig  # noqa: E402
+from topicloom.operators import nmf, tfidf  # noqa: E402
+
+
+@dataclass
+class TopicModel:
+    """Fitted topic model: vocabulary (Spark table) + H (k x V ndarray) + metrics."""
+
+    tfidf: tfidf.TfidfModel
+    H: np.ndarray
+    keywords: DataFrame  # topic_id, keywords, topic_keywords
+    terms: DataFrame  # topic_id, rank, term, weight
+    reconstruction_error: float
+    n_iter: int
+    n_docs: int
+
+    def vectors(self, docs: DataFrame, text_column: str = "topic_text", id_col: str = "doc_id") -> DataFrame:
+        return self.tfidf.transform(docs, text_column, id_col)
+
+
+def fit_topics(docs: DataFrame, config: TopicModelConfig | None = None) -> tuple[TopicModel, DataFrame]:
+    """E2 core: TF-IDF fit -> NMF fit -> keywords.  Returns the model and the
+    persisted training matrix X ``(doc_id, indices, values)``."""
+    config = config or TopicModelConfig()
+    tmodel, tf = tfidf.fit(docs, config.text_column, "doc_id", config.tfidf)
+    X = tfidf.vectors(tf, tmodel).persist(StorageLevel.MEMORY_AND_DISK)
+    n_docs = X.count()
+    tf.unpersist()
+    res = nmf.fit(X, config.n_topics, tmodel.vocab_size, config.max_iter, config.tol, config.random_state)
+    spark = docs.sparkSession
+    terms = nmf.topic_terms(spark, res.H, tmodel.vocabulary, config.top_n_keywords)
+    keywords = nmf.keyword_table(terms)
+    model = TopicModel(tmodel, res.H, keywords, terms, res.reconstruction_error, res.n_iter, n_docs)
+    return model, X
+
+
+def assign(model: TopicModel, X: DataFrame) -> DataFrame:
+    """WIN-03 + JON-04 + SCL-09: topic id/score per row, keywords of the topic (broadcast, k rows)."""
+    a = nmf.transform(X, model.H)
+    return a.join(F.broadcast(model.keywords.select("topic_id", "topic_keywords")), "topic_id", "left")
+
+
+def quality(spark, model: TopicModel, assignments: DataFrame) -> DataFrame:
+    """ML-05 + AGG-06 + ML-16: one metrics row."""
+    return assignments.agg(
+        F.lit(float(model.reconstruction_error)).alias("reconstruction_error"),
+        F.lit(int(model.tfidf.vocab_size)).alias("vocabulary_size"),
+        F.count(F.lit(1)).alias("training_rows"),
+        F.lit(int(model.H.shape[0])).alias("n_topics"),
+        F.avg("topic_score").alias("mean_topic_score"),
+        F.lit(int(model.n_iter)).alias("iterations"),
+    )

@@ -187,3 +187,30 @@ def vectors(tf: DataFrame, model: TfidfModel, id_col: str = "doc_id") -> DataFra
         F.transform("_e", lambda e: e["i"]).alias("indices"),
         F.transform("_e", lambda e: e["w"] / norm).alias("values"),
     )
+
+
+def add_terms(docs: DataFrame, text_col: str, config: TfidfConfig, out_col: str = "terms") -> DataFrame:
+    """Term array column (tokens, stop words out, n-grams) for MLlib stages."""
+    return _add_terms(docs, text_col, config).withColumnRenamed("_terms", out_col).drop(
+        "_tok", *[f"_ng{n}" for n in range(2, config.ngram_max + 1)]
+    )
+
+
+def feature_model(model: TfidfModel, terms_col: str = "terms", out_col: str = "features"):
+    """The fitted TF-IDF as JVM-native MLlib stages producing sparse ``VectorUDT``:
+    counts over the alphabetical vocabulary -> idf scaling -> L2 normalisation.
+    The vocabulary is at most ``max_features`` terms (collected once)."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
+
+    rows = model.vocabulary.select("term", "term_idx", "idf").orderBy("term_idx").collect()
+    cv = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], inputCol=terms_col, outputCol="_tf")
+    scale = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_tf", outputCol="_tfidf")
+    norm = Normalizer(p=2.0, inputCol="_tfidf", outputCol=out_col)
+    return PipelineModel(stages=[cv, scale, norm])
+
+
+def features(docs: DataFrame, text_col: str, model: TfidfModel, out_col: str = "features") -> DataFrame:
+    with_terms = add_terms(docs, text_col, model.config)
+    return feature_model(model, "terms", out_col).transform(with_terms).drop("_tf", "_tfidf", "terms")

@@ -530,3 +530,172 @@ def q_nmf_one_step(spark, sf_dir):
     ti, vi = np.indices(H1.shape)
     pdf = pd.DataFrame({"topic_id": ti.ravel().astype("int32"), "term_idx": vi.ravel().astype("int32"), "h": H1.ravel()})
     return spark.createDataFrame(pdf).select("topic_id", "term_idx", F.round("h", 6).alias("h"))
+
+
+# ------------------------------------------------------------------ ML-07..09, SCL-18 (k-means)
+
+from topicloom.operators import kmeans as KM  # noqa: E402
+
+
+@register(
+    "kmeans_assign_fixed",
+    """WITH e AS (SELECT vec_id, label, embedding FROM embeddings),
+cent AS (
+  SELECT label, list(m ORDER BY i) AS c FROM (
+    SELECT label, i, avg(CAST(x AS DOUBLE)) AS m FROM (
+      SELECT label, unnest(embedding) AS x, unnest(generate_series(0, len(embedding) - 1)) AS i FROM e)
+    GROUP BY label, i) GROUP BY label),
+cidx AS (SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS cluster_id, c FROM cent),
+d AS (
+  SELECT e.vec_id, cidx.cluster_id,
+         sqrt(list_sum(list_transform(list_zip(e.embedding, cidx.c), lambda p: (CAST(p[1] AS DOUBLE) - p[2]) * (CAST(p[1] AS DOUBLE) - p[2])))) AS distance
+  FROM e CROSS JOIN cidx),
+best AS (SELECT vec_id, cluster_id, distance FROM d QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster_id) = 1)
+SELECT vec_id, cluster_id, round(distance, 6) AS distance,
+       round(CASE WHEN max(distance) OVER () = 0 THEN 1.0 ELSE 1.0 - distance / max(distance) OVER () END, 6) AS cluster_score
+FROM best""",
+)
+def q_kmeans_assign_fixed(spark, sf_dir):
+    emb = TD.table(spark, sf_dir, "embeddings")
+    _, C = KM.centroids(emb, "embedding", "label")
+    out = KM.assign(emb.select("vec_id", "embedding"), "embedding", C)
+    return out.select("vec_id", "cluster_id", F.round("distance", 6).alias("distance"), F.round("cluster_score", 6).alias("cluster_score"))
+
+
+@register("kmeans_clusters")
+def q_kmeans_clusters(spark, sf_dir):
+    """ML-07 on the embeddings: cluster sizes and inertia (k = number of labels)."""
+    emb = TD.table(spark, sf_dir, "embeddings").withColumn("features", KM.as_vector("embedding"))
+    k = emb.select("label").distinct().count()
+    model = KM.fit(emb, "features", k)
+    sizes = model.transform(emb).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
+    return sizes.withColumn("inertia", F.lit(float(model.summary.trainingCost)))
+
+
+def _kmeans_topics(spark, sf_dir):
+    docs = training_docs(spark, sf_dir)
+    tm, _ = TF.fit(docs, "topic_text")
+    feats = TF.features(docs.select("doc_id", "topic_text"), "topic_text", tm).persist()
+    model = KM.fit(feats, "features", 6)
+    return tm, feats, model
+
+
+@register("kmeans_topics")
+def q_kmeans_topics(spark, sf_dir):
+    """The reference's TF-IDF + k-means baseline: assignments with batch confidence."""
+    tm, feats, model = _kmeans_topics(spark, sf_dir)
+    assigned = KM.with_distance(model.transform(feats), model)
+    return KM.batch_confidence(assigned).select("doc_id", "cluster_id", "distance", "cluster_score")
+
+
+@register("kmeans_keywords")
+def q_kmeans_keywords(spark, sf_dir):
+    tm, feats, model = _kmeans_topics(spark, sf_dir)
+    return KM.center_keywords(model, tm.vocabulary, 8)
+
+
+# ------------------------------------------------------------------ ML-10..12, AGG-05 (classifier)
+
+from topicloom.config import ClassifierConfig  # noqa: E402
+from topicloom.operators import classify as CL  # noqa: E402
+
+
+def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``labels`` joined to ``documents``: cleaned whole text + quality label."""
+    docs = TD.table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    lab = TD.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return lab.join(docs, "doc_id").withColumn("text_clean", text.clean_text("text"))
+
+
+LABELLED_SQL = "lab AS (SELECT l.doc_id, l.quality, d.n_chars FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"
+
+
+@register(
+    "category_distribution",
+    _with(LABELLED_SQL, "SELECT quality, count(*) AS count, count(*) OVER () AS num_classes FROM lab GROUP BY quality"),
+)
+def q_category_distribution(spark, sf_dir):
+    return report.category_distribution(labelled_docs(spark, sf_dir), "quality")
+
+
+SPLIT_SQL = (
+    LABELLED_SQL
+    + ", h AS (SELECT *, (doc_id * 2654435761 + 42) % 4294967296 AS hh, count(*) OVER (PARTITION BY quality) AS n_c FROM lab), "
+    "s AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY hh) <= floor(0.2 * n_c + 0.5) "
+    "THEN 'test' ELSE 'train' END AS split FROM h)"
+)
+
+
+@register("stratified_split", _with(SPLIT_SQL, "SELECT doc_id, quality, split FROM s"))
+def q_stratified_split(spark, sf_dir):
+    return CL.stratified_split(labelled_docs(spark, sf_dir), "quality", "doc_id").select("doc_id", "quality", "split")
+
+
+@register(
+    "class_weights",
+    _with(
+        SPLIT_SQL,
+        "SELECT quality, count(*) AS n_c, sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS weight "
+        "FROM s WHERE split = 'train' GROUP BY quality",
+    ),
+)
+def q_class_weights(spark, sf_dir):
+    s = CL.stratified_split(labelled_docs(spark, sf_dir), "quality", "doc_id")
+    return CL.class_weights(s.where(F.col("split") == "train"), "quality").select("quality", "n_c", "weight")
+
+
+# rule-based predictions (long documents -> quality 1) so the report itself is SQL-checkable
+REPORT_SQL = (
+    LABELLED_SQL
+    + """, p AS (SELECT CAST(quality AS VARCHAR) AS y, CAST(CASE WHEN n_chars >= 1000 THEN 1 ELSE 0 END AS VARCHAR) AS p FROM lab),
+cls AS (SELECT y AS cls FROM p UNION SELECT p FROM p),
+per AS (
+  SELECT cls,
+    (SELECT count(*) FROM p WHERE y = cls AND p = cls) AS tp,
+    (SELECT count(*) FROM p WHERE y = cls) AS support,
+    (SELECT count(*) FROM p WHERE p = cls) AS predicted FROM cls),
+per2 AS (
+  SELECT *, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+            CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM per),
+per3 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM per2)"""
+)
+
+
+@register(
+    "classification_report",
+    _with(
+        REPORT_SQL,
+        "SELECT cls AS label, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, CAST(support AS BIGINT) AS support FROM per3 "
+        "UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 9), CAST(sum(support) AS BIGINT) FROM per3 "
+        "UNION ALL SELECT 'macro avg', round(avg(precision), 9), round(avg(recall), 9), round(avg(f1), 9), CAST(sum(support) AS BIGINT) FROM per3 "
+        "UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 9), round(sum(recall * support) / sum(support), 9), "
+        "round(sum(f1 * support) / sum(support), 9), CAST(sum(support) AS BIGINT) FROM per3",
+    ),
+)
+def q_classification_report(spark, sf_dir):
+    d = labelled_docs(spark, sf_dir).withColumn("prediction", (F.col("n_chars") >= 1000).cast("int"))
+    r = CL.report(d, "quality", "prediction")
+    return r.select("label", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+def _classifier(spark, sf_dir, cfg: ClassifierConfig | None = None):
+    cfg = cfg or ClassifierConfig()
+    d = CL.stratified_split(labelled_docs(spark, sf_dir), "quality", "doc_id")
+    train = d.where(F.col("split") == "train")
+    tm, _ = TF.fit(train, "text_clean", "doc_id", cfg.tfidf)
+    feats = TF.features(d.select("doc_id", "quality", "split", "text_clean"), "text_clean", tm).persist()
+    model = CL.fit_logistic(feats.where(F.col("split") == "train"), "features", "quality", cfg.max_iter)
+    pred = model.transform(feats.where(F.col("split") == "test"))
+    return pred
+
+
+@register("text_classifier")
+def q_text_classifier(spark, sf_dir):
+    pred = _classifier(spark, sf_dir)
+    return pred.select("doc_id", "quality", F.col("prediction").cast("int").alias("prediction"))
+
+
+@register("classifier_metrics")
+def q_classifier_metrics(spark, sf_dir):
+    pred = _classifier(spark, sf_dir)
+    return CL.report(pred.withColumn("prediction", F.col("prediction").cast("int")), "quality", "prediction")

@@ -351,6 +351,28 @@ def transform(X: DataFrame, H: np.ndarray, id_col: str = "doc_id") -> DataFrame:
     return X.select(F.col(id_col), "indices", "values").mapInPandas(part, ASSIGN_SCHEMA).withColumnRenamed("doc_id", id_col)
 
 
+def transform_dense(df: DataFrame, vec_col: str, H: np.ndarray, keep: list[str]) -> DataFrame:
+    """ML-04 on dense ``array<double>`` rows (stateless; usable on streams)."""
+    spark = df.sparkSession
+    bH = spark.sparkContext.broadcast(H)
+    fields = [df.schema[c] for c in keep]
+    schema = T.StructType(fields + [ASSIGN_SCHEMA["topic_id"], ASSIGN_SCHEMA["topic_score"]])
+
+    def part(batches):
+        Hl = bH.value
+        G = Hl @ Hl.T
+        for pdf in batches:
+            n = len(pdf)
+            X = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]]) if n else np.zeros((0, Hl.shape[1]))
+            W = solve_rows(X @ Hl.T, G)
+            out = pdf[keep].copy()
+            out["topic_id"] = (W.argmax(axis=1) if n else np.zeros(0, np.int64)).astype(np.int32)
+            out["topic_score"] = W.max(axis=1) if n else np.zeros(0)
+            yield out
+
+    return df.select(*keep, vec_col).mapInPandas(part, schema)
+
+
 def topic_terms(spark: SparkSession, H: np.ndarray, vocabulary: DataFrame, top_n: int = 10) -> DataFrame:
     """WIN-02 / ML-06: the ``top_n`` heaviest terms per topic (ties: term index).
 

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topicloom.functions import dates, text
 from topicloom.operators import dedup, regions, report
@@ -699,3 +700,99 @@ def q_text_classifier(spark, sf_dir):
 def q_classifier_metrics(spark, sf_dir):
     pred = _classifier(spark, sf_dir)
     return CL.report(pred.withColumn("prediction", F.col("prediction").cast("int")), "quality", "prediction")
+
+
+# ------------------------------------------------------------------ SCL-04 / UDF-01 (HTML strip)
+
+from topicloom.functions import html as HT  # noqa: E402
+
+
+@register("page_text")
+def q_page_text(spark, sf_dir):
+    pages = TD.table(spark, sf_dir, "pages")
+    return pages.select("page_id", "url", HT.clean_html("html").alias("text"))
+
+
+# ------------------------------------------------------------------ STR-01..04, ML-13/14 (streaming, scoring)
+
+from topicloom.sources import sinks as SK  # noqa: E402
+from topicloom.streaming import stream as ST  # noqa: E402
+
+
+def _events_stream(spark, sf_dir):
+    schema = TD.table(spark, sf_dir, "events").schema
+    s = ST.read_stream(spark, sf_dir, schema, file_glob="events.parquet")
+    return s.withColumn("ts", ST.event_time("ts"))
+
+
+@register(
+    "stream_window_counts",
+    "SELECT CAST(epoch(ws) AS BIGINT) AS window_start, CAST(epoch(ws + INTERVAL 3 DAY) AS BIGINT) AS window_end, event_type, "
+    "count(*) AS count FROM (SELECT event_type, date_trunc('day', ts) - to_days(CAST(o AS INTEGER)) AS ws "
+    "FROM events CROSS JOIN unnest([0, 1, 2]) AS t(o)) GROUP BY ws, event_type",
+)
+def q_stream_window_counts(spark, sf_dir):
+    counts = ST.window_counts(_events_stream(spark, sf_dir), "ts", "event_type")
+    out, ck = ST.scratch(spark, "window-counts"), ST.scratch(spark, "window-counts-ckpt")
+    ST.run_upsert(counts, out, ck)
+    schema = T.StructType(
+        [T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()),
+         T.StructField("event_type", T.StringType()), T.StructField("count", T.LongType())]
+    )
+    res = ST.latest(spark, out, ["window_start", "window_end", "event_type"], schema)
+    return res.select(
+        F.unix_timestamp("window_start").alias("window_start"), F.unix_timestamp("window_end").alias("window_end"), "event_type", "count"
+    )
+
+
+@register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def q_stream_dedup(spark, sf_dir):
+    d = ST.dedup_within(_events_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "3 days")
+    out, ck = ST.scratch(spark, "dedup"), ST.scratch(spark, "dedup-ckpt")
+    ST.run_append(d.select("user_id", "event_type", "ts"), out, ck)
+    return spark.read.parquet(out).select("user_id", "event_type")
+
+
+def _landed_articles(spark, sf_dir) -> str:
+    """SNK-01: land the raw articles as ds-partitioned parquet (what a collector writes)."""
+    path = ST.scratch(spark, "raw-articles")
+    SK.write_partitioned(articles(spark, sf_dir), path, ["ds"])
+    return path
+
+
+@register("stream_preprocess")
+def q_stream_preprocess(spark, sf_dir):
+    """STR-01: landed raw files -> row-level preprocessing as a stream (dedup is STR-02's job)."""
+    path = _landed_articles(spark, sf_dir)
+    schema = spark.read.parquet(path).schema
+    s = ST.read_stream(spark, path, schema, max_files=4).dropna(subset=["headline"]).fillna({"description": ""})
+    s = P.add_features(P.add_clean_columns(s))
+    out, ck = ST.scratch(spark, "processed"), ST.scratch(spark, "processed-ckpt")
+    ST.run_append(P.processed_columns(s), out, ck)
+    return spark.read.parquet(out)
+
+
+@register("batch_scoring")
+def q_batch_scoring(spark, sf_dir):
+    """ML-13: score processed articles with the fitted model (vocabulary -> W -> argmax -> keywords)."""
+    model, _ = _fit_topics(spark, sf_dir)
+    docs = processed(spark, sf_dir).withColumn("doc_id", F.col("ord"))
+    X = model.vectors(docs.select("doc_id", F.coalesce("topic_text", F.lit("")).alias("topic_text")))
+    return TR.assign(model, X).select("doc_id", "topic_id", "topic_score", "topic_keywords")
+
+
+@register("score_requests")
+def q_score_requests(spark, sf_dir):
+    """ML-14 + STR-04: raw request texts (landed article headlines, no cleaning) scored as a stream."""
+    from pyspark.ml.functions import vector_to_array
+
+    model, _ = _fit_topics(spark, sf_dir)
+    path = _landed_articles(spark, sf_dir)
+    schema = spark.read.parquet(path).schema
+    req = ST.read_stream(spark, path, schema, max_files=4).select(F.col("ord").alias("request_id"), F.coalesce("headline", F.lit("")).alias("text"))
+    feats = TF.features(req, "text", model.tfidf).withColumn("x", vector_to_array("features"))
+    scored = NMF.transform_dense(feats, "x", model.H, ["request_id"])
+    scored = scored.join(F.broadcast(model.keywords.select("topic_id", "keywords")), "topic_id", "left")
+    out, ck = ST.scratch(spark, "scored"), ST.scratch(spark, "scored-ckpt")
+    ST.run_append(scored, out, ck)
+    return spark.read.parquet(out)

@@ -202,3 +202,46 @@ processed0 AS (
 processed AS (
   SELECT p.*, coalesce(c.lat, 0.0) AS lat, coalesce(c.lon, 0.0) AS lon
   FROM processed0 p LEFT JOIN {coords_values()} ON c.region = p.region)"""
+
+
+def feeds_sql() -> str:
+    n = "CAST(substr(source, 4, 10) AS INTEGER)"
+    return f"""SELECT source AS feed_key,
+  CASE WHEN {n} % 4 = 0 THEN NULL ELSE 'Feed ' || CAST({n} AS VARCHAR) END AS source_name,
+  CASE WHEN {n} % 8 = 0 THEN NULL ELSE 'name' || CAST({n} AS VARCHAR) END AS name,
+  CASE WHEN {n} % 3 = 0 THEN NULL ELSE 'section' || CAST({n} % 3 AS VARCHAR) END AS source_section,
+  CASE WHEN {n} % 6 = 0 THEN NULL ELSE 'category' || CAST({n} % 2 AS VARCHAR) END AS category,
+  CASE WHEN {n} % 5 = 0 THEN NULL ELSE 'country' || CAST({n} % 5 AS VARCHAR) END AS country,
+  CASE WHEN {n} % 7 = 0 THEN NULL ELSE 'lang' || CAST({n} % 7 AS VARCHAR) END AS language,
+  CASE WHEN {n} % 3 = 1 THEN 'api' || CAST({n} AS VARCHAR) END AS api_section
+FROM (SELECT DISTINCT source FROM documents)"""
+
+
+def feed_labels_sql() -> str:
+    return """SELECT feed_key, coalesce(source_name, name, 'unknown') AS source_name,
+  coalesce(source_section, category, 'unknown') AS source_section,
+  coalesce(country, 'unknown') AS country, coalesce(language, 'unknown') AS language,
+  coalesce(source_name, name, 'unknown') || '/' || coalesce(source_section, category, 'unknown') AS label
+FROM feeds"""
+
+
+def rss_items_sql() -> str:
+    rest = "CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) END"
+    return f"""SELECT doc_id AS ord, source AS feed_key, split_part(text, chr(10), 1) AS title,
+  'https://' || source || '.example/' || CAST(doc_id AS VARCHAR) AS link,
+  CASE WHEN doc_id % 4 = 0 THEN NULL ELSE {rest} END AS description,
+  CASE WHEN doc_id % 4 = 0 THEN 'summary ' || CAST(doc_id AS VARCHAR) END AS summary,
+  CASE WHEN doc_id % 9 = 0 THEN NULL ELSE '2024-01-' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0') || 'T06:00:00Z' END AS published,
+  '2024-02-01T00:00:00Z' AS updated
+FROM documents"""
+
+
+def api_results_sql() -> str:
+    rest = "CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) END"
+    return f"""SELECT doc_id AS ord, source AS feed_key, 'Title ' || CAST(doc_id AS VARCHAR) AS webTitle,
+  'https://api.example/' || source || '/' || CAST(doc_id AS VARCHAR) AS webUrl,
+  '2024-01-' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0') || 'T' || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':15:00Z' AS webPublicationDate,
+  CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 11 = 0 THEN NULL ELSE split_part(text, chr(10), 1) END AS f_headline,
+  CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 5 = 0 THEN NULL ELSE split_part(text, chr(10), 2) END AS f_trail,
+  CASE WHEN doc_id % 2 = 0 THEN NULL ELSE {rest} END AS f_body
+FROM documents"""

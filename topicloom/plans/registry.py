@@ -796,3 +796,129 @@ def q_score_requests(spark, sf_dir):
     out, ck = ST.scratch(spark, "scored"), ST.scratch(spark, "scored-ckpt")
     ST.run_append(scored, out, ck)
     return spark.read.parquet(out)
+
+
+# ------------------------------------------------------------------ SRC-01..13, JON-05/06, SET-01 (sources)
+
+from topicloom.sources import feeds as FD  # noqa: E402
+
+
+def _feeds_cte() -> str:
+    return f"feeds AS ({O.feeds_sql()}), labels AS ({O.feed_labels_sql()})"
+
+
+@register("source_labels", _with(_feeds_cte(), "SELECT feed_key, source_name, source_section, country, language, label FROM labels"))
+def q_source_labels(spark, sf_dir):
+    return FD.feed_labels(TD.feeds(spark, sf_dir)).drop("api_section")
+
+
+@register(
+    "feed_join",
+    _with(
+        _feeds_cte() + f", items AS ({O.rss_items_sql()})",
+        "SELECT i.ord, i.title AS headline, coalesce(i.description, i.summary) AS description, i.link AS url, "
+        "coalesce(i.published, i.updated) AS published_at, l.source_name, l.source_section, l.country, l.language "
+        "FROM items i LEFT JOIN labels l ON l.feed_key = i.feed_key",
+    ),
+)
+def q_feed_join(spark, sf_dir):
+    out = FD.normalize_rss(TD.rss_items(spark, sf_dir), TD.feeds(spark, sf_dir), strip_html=False)
+    return out.drop("ingestion_timestamp")
+
+
+@register(
+    "api_normalize",
+    _with(
+        _feeds_cte() + f", res AS ({O.api_results_sql()})",
+        "SELECT r.ord, CASE WHEN length(coalesce(r.f_headline, '')) > 0 THEN r.f_headline ELSE r.webTitle END AS headline, "
+        "coalesce(CASE WHEN length(coalesce(r.f_trail, '')) > 0 THEN r.f_trail WHEN length(coalesce(r.f_body, '')) > 0 THEN r.f_body END, '') AS description, "
+        "r.webUrl AS url, r.webPublicationDate AS published_at, f.source_name, f.source_section, f.country, f.language "
+        "FROM res r JOIN feeds f ON f.feed_key = r.feed_key WHERE f.api_section IS NOT NULL",
+    ),
+)
+def q_api_normalize(spark, sf_dir):
+    feeds = TD.feeds(spark, sf_dir)
+    with_api = feeds.where(F.col("api_section").isNotNull())
+    res = TD.api_results(spark, sf_dir).join(F.broadcast(with_api.select("feed_key")), "feed_key", "left_semi")
+    return FD.normalize_api(res, with_api, strip_html=False).drop("ingestion_timestamp")
+
+
+@register(
+    "page_slice",
+    _with(
+        f"articles AS ({O.articles_sql()}), p AS (SELECT ord, source_section, {O.parse_published('published_at')} AS ts FROM articles)",
+        "SELECT source_section, ord, CAST(rank AS INTEGER) AS rank, CAST(ceil(rank / 50) AS INTEGER) AS page FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY source_section ORDER BY ts DESC, ord) AS rank FROM p "
+        "WHERE ts IS NOT NULL AND CAST(to_timestamp(ts) AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20') WHERE ceil(rank / 50) <= 3",
+    ),
+)
+def q_page_slice(spark, sf_dir):
+    a = articles(spark, sf_dir).withColumn("ts", dates.parse_published("published_at"))
+    out = FD.page_slice(a, "source_section", F.col("ts"), "2024-01-05", "2024-01-20", page_size=50, max_pages=3)
+    return out.select("source_section", "ord", "rank", "page")
+
+
+RUN_DATE = "2024-01-10"
+
+
+def _landed_processed(spark, sf_dir) -> str:
+    path = ST.scratch(spark, "processed-live")
+    SK.write_partitioned(P.processed_columns(processed(spark, sf_dir)), path, ["ds"])
+    return path
+
+
+@register(
+    "training_window",
+    _with(
+        O.processed_ctes(),
+        "SELECT ord, ds, headline FROM processed WHERE ds BETWEEN '2024-01-08' AND '2024-01-10' "
+        "QUALIFY row_number() OVER (PARTITION BY headline, url ORDER BY ds, ord) = 1",
+    ),
+)
+def q_training_window(spark, sf_dir):
+    """SRC-09 + SCL-14 + DDP-02: the 3-day window ending at the run date, deduplicated across files."""
+    start = spark.range(1).select(dates.window_start(F.lit(RUN_DATE), 3).cast("string")).first()[0]
+    w = FD.read_window(spark, _landed_processed(spark, sf_dir), start, RUN_DATE)
+    ordered = w.withColumn("_o", F.struct(F.col("ds").cast("string"), F.col("ord")))
+    return dedup.keep_first(ordered, ["headline", "url"], "_o").select("ord", F.col("ds").cast("string").alias("ds"), "headline")
+
+
+@register(
+    "missing_days",
+    _with(
+        f"articles AS ({O.articles_sql()})",
+        "SELECT strftime(CAST(d AS DATE), '%Y-%m-%d') AS day FROM generate_series(DATE '2024-01-25', DATE '2024-02-03', INTERVAL 1 DAY) t(d) "
+        "WHERE CAST(d AS DATE) NOT IN (SELECT CAST(ds AS DATE) FROM articles)",
+    ),
+)
+def q_missing_days(spark, sf_dir):
+    path = ST.scratch(spark, "raw-live")
+    SK.write_partitioned(articles(spark, sf_dir), path, ["ds"])
+    present = FD.read_window(spark, path, "2024-01-25", "2024-02-03")
+    return FD.missing_days(spark, present, "2024-01-25", "2024-02-03").select(F.date_format("day", "yyyy-MM-dd").alias("day"))
+
+
+CHANNELS = (("live", "language = 'en'", []), ("backfill", "language IN ('fr', 'de')", ["country"]), ("api", "language = 'es'", ["country", "language"]))
+
+
+@register(
+    "channel_union",
+    _with(
+        f"articles AS ({O.articles_sql()}), u AS ("
+        "SELECT ord, 'live' AS channel, 0 AS c, headline, url, country, language FROM articles WHERE language = 'en' UNION ALL "
+        "SELECT ord, 'backfill', 1, headline, url, NULL, language FROM articles WHERE language IN ('fr', 'de') UNION ALL "
+        "SELECT ord, 'api', 2, headline, url, NULL, NULL FROM articles WHERE language = 'es')",
+        "SELECT ord, channel, headline, url, country, language FROM u "
+        "QUALIFY row_number() OVER (PARTITION BY headline, url ORDER BY c, ord) = 1",
+    ),
+)
+def q_channel_union(spark, sf_dir):
+    """SRC-10 + SET-01 + DDP-02: three landed channels with drifting schemas, unioned and deduplicated."""
+    a = articles(spark, sf_dir)
+    frames = []
+    for i, (name, cond, dropped) in enumerate(CHANNELS):
+        path = ST.scratch(spark, f"channel-{name}")
+        a.where(cond).drop(*dropped).write.mode("overwrite").parquet(path)
+        frames.append(spark.read.parquet(path).withColumn("channel", F.lit(name)).withColumn("_c", F.lit(i)))
+    u = FD.union_channels(frames).withColumn("_o", F.struct("_c", "ord"))
+    return dedup.keep_first(u, ["headline", "url"], "_o").select("ord", "channel", "headline", "url", "country", "language")

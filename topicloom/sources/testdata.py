@@ -77,3 +77,69 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang").alias("language"),
         F.concat(F.lit("2024-01-"), day).alias("ds"),
     )
+
+
+# ---------------------------------------------------------------- derived landed sources
+# Feeds, RSS items and API results derived from ``documents`` (the same rules
+# are written in SQL in ``topicloom.plans.oracle``).  Some attributes are left
+# out on purpose so the fallbacks are exercised.
+
+
+def _n(source: Column) -> Column:
+    return F.substring(source, 4, 10).cast("int")
+
+
+def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents").select("source").distinct()
+    n = _n(F.col("source"))
+    return d.select(
+        F.col("source").alias("feed_key"),
+        F.when(n % 4 == 0, F.lit(None)).otherwise(F.concat(F.lit("Feed "), n.cast("string"))).alias("source_name"),
+        F.when(n % 8 == 0, F.lit(None)).otherwise(F.concat(F.lit("name"), n.cast("string"))).alias("name"),
+        F.when(n % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("section"), (n % 3).cast("string"))).alias("source_section"),
+        F.when(n % 6 == 0, F.lit(None)).otherwise(F.concat(F.lit("category"), (n % 2).cast("string"))).alias("category"),
+        F.when(n % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("country"), (n % 5).cast("string"))).alias("country"),
+        F.when(n % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("lang"), (n % 7).cast("string"))).alias("language"),
+        F.concat(F.lit("https://"), F.col("source"), F.lit(".example/rss")).alias("url"),
+        F.when(n % 3 == 1, F.concat(F.lit("api"), n.cast("string"))).alias("api_section"),
+    )
+
+
+def rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    doc_id, text = F.col("doc_id"), F.col("text")
+    rest = F.when(F.instr(text, "\n") > 0, F.expr("substr(text, instr(text, char(10)) + 1)"))
+    return d.select(
+        doc_id.alias("ord"),
+        F.col("source").alias("feed_key"),
+        F.split_part(text, F.lit("\n"), F.lit(1)).alias("title"),
+        F.concat(F.lit("https://"), F.col("source"), F.lit(".example/"), doc_id.cast("string")).alias("link"),
+        F.when(doc_id % 4 == 0, F.lit(None).cast("string")).otherwise(rest).alias("description"),
+        F.when(doc_id % 4 == 0, F.concat(F.lit("summary "), doc_id.cast("string"))).alias("summary"),
+        F.when(doc_id % 9 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("2024-01-"), _pad2(doc_id % 28 + 1), F.lit("T06:00:00Z")))
+        .alias("published"),
+        F.lit("2024-02-01T00:00:00Z").alias("updated"),
+    )
+
+
+def api_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    doc_id, text = F.col("doc_id"), F.col("text")
+    first = F.split_part(text, F.lit("\n"), F.lit(1))
+    second = F.split_part(text, F.lit("\n"), F.lit(2))
+    rest = F.when(F.instr(text, "\n") > 0, F.expr("substr(text, instr(text, char(10)) + 1)"))
+    fields = F.struct(
+        F.when(doc_id % 7 == 0, F.lit("")).when(doc_id % 11 == 0, F.lit(None).cast("string")).otherwise(first).alias("headline"),
+        F.when(doc_id % 3 == 0, F.lit("")).when(doc_id % 5 == 0, F.lit(None).cast("string")).otherwise(second).alias("trailText"),
+        F.concat(F.lit("https://s.example/"), doc_id.cast("string")).alias("shortUrl"),
+        F.when(doc_id % 2 == 0, F.lit(None).cast("string")).otherwise(rest).alias("bodyText"),
+    )
+    return d.select(
+        doc_id.alias("ord"),
+        F.col("source").alias("feed_key"),
+        F.concat(F.lit("Title "), doc_id.cast("string")).alias("webTitle"),
+        F.concat(F.lit("https://api.example/"), F.col("source"), F.lit("/"), doc_id.cast("string")).alias("webUrl"),
+        F.concat(F.lit("2024-01-"), _pad2(doc_id % 28 + 1), F.lit("T"), _pad2(doc_id % 24), F.lit(":15:00Z")).alias("webPublicationDate"),
+        fields.alias("fields"),
+    )

@@ -24,10 +24,19 @@ WS = (
 )
 URL_RE = rf"(?:http|www)[^{WS}]+"
 WS_RUN_RE = rf"[{WS}]+"
+# Same effect as replacing WS_RUN_RE with one space, but a lone space (already
+# collapsed) is not matched, so ordinary text produces almost no replacements.
+WS_NOSPACE = WS.replace(" ", "")
+WS_COLLAPSE_RE = rf"[{WS_NOSPACE}][{WS}]*| [{WS}]+"
 EDGE_WS_RE = rf"^[{WS}]+|[{WS}]+$"
 CLEAN_DROP_RE = rf"[^a-zA-Z0-9{CLEAN_EXTRA_LETTERS}{WS}]"
 TOPIC_NONALPHA_RE = rf"[^a-zA-Z{WS}]"
 DEDUP_NONALNUM_RE = rf"[^a-zA-Z0-9{WS}]"
+# One pass for all boilerplate phrases.  Same result as replacing them one by
+# one in list order: the only phrases that can overlap ("skip advertisement" /
+# "advertisement", "follow live" / "live updates") leave nothing but topic stop
+# words behind either way.
+BOILERPLATE_RE = r"(?U)\b(?:" + "|".join(BOILERPLATE_PHRASES) + r")\b"
 
 
 def _c(col: Column | str) -> Column:
@@ -45,7 +54,7 @@ def clean_text(col: Column | str) -> Column:
     spaces and glued words of the original rule (``"a – b"`` -> ``"a  b"``)."""
     t = F.lower(F.coalesce(_c(col), F.lit("")))
     t = F.regexp_replace(t, URL_RE, " ")
-    t = F.regexp_replace(t, WS_RUN_RE, " ")
+    t = F.regexp_replace(t, WS_COLLAPSE_RE, " ")
     t = F.regexp_replace(t, CLEAN_DROP_RE, "")
     return F.trim(t)
 
@@ -55,7 +64,7 @@ def dedup_key(col: Column | str) -> Column:
     t = F.lower(F.coalesce(_c(col), F.lit("")))
     t = F.regexp_replace(t, URL_RE, " ")
     t = F.regexp_replace(t, DEDUP_NONALNUM_RE, " ")
-    t = F.regexp_replace(t, WS_RUN_RE, " ")
+    t = F.regexp_replace(t, WS_COLLAPSE_RE, " ")
     return F.trim(t)
 
 
@@ -66,7 +75,7 @@ def distinct_tokens(tokens: Column) -> Column:
 
 def dedup_tokens(col: Column | str) -> Column:
     """DDP-06: order-preserving distinct of whitespace tokens."""
-    toks = F.filter(F.split(F.trim(F.regexp_replace(_c(col), WS_RUN_RE, " ")), " "), lambda t: t != "")
+    toks = F.filter(F.split(F.trim(F.regexp_replace(_c(col), WS_COLLAPSE_RE, " ")), " "), lambda t: t != "")
     return F.array_join(distinct_tokens(toks), " ")
 
 
@@ -74,14 +83,14 @@ def topic_tokens(col: Column | str) -> Column:
     """SCL-02 as an array: boilerplate out, URLs out, non-letters to spaces,
     topic stop words and tokens of length <= 2 dropped, first occurrence kept."""
     t = F.lower(F.coalesce(_c(col), F.lit("")))
-    for phrase in BOILERPLATE_PHRASES:
-        t = F.regexp_replace(t, r"(?U)\b" + phrase + r"\b", " ")
+    t = F.regexp_replace(t, BOILERPLATE_RE, " ")
     t = F.regexp_replace(t, URL_RE, " ")
     t = F.regexp_replace(t, TOPIC_NONALPHA_RE, " ")
-    t = F.trim(F.regexp_replace(t, WS_RUN_RE, " "))
+    t = F.trim(F.regexp_replace(t, WS_COLLAPSE_RE, " "))
     stop = F.array(*[F.lit(w) for w in TOPIC_STOP_WORDS])
-    toks = F.filter(F.split(t, " "), lambda x: (F.length(x) > 2) & ~F.array_contains(stop, x))
-    return distinct_tokens(toks)
+    # array_except = order-preserving distinct minus the stop words (hash based);
+    # filtering by length after deduplicating gives the same tokens in the same order
+    return F.filter(F.array_except(F.split(t, " "), stop), lambda x: F.length(x) > 2)
 
 
 def clean_topic_text(col: Column | str) -> Column:
@@ -99,7 +108,7 @@ def topic_text(headline_clean: Column | str, description_clean: Column | str) ->
 
 def word_count(col: Column | str) -> Column:
     """SCL-05: number of whitespace-separated words; "" -> 0 (``split`` alone gives 1)."""
-    toks = F.split(F.regexp_replace(_c(col), WS_RUN_RE, " "), " ")
+    toks = F.split(F.regexp_replace(_c(col), WS_COLLAPSE_RE, " "), " ")
     return F.size(F.filter(toks, lambda t: t != ""))
 
 

@@ -75,14 +75,29 @@ def batch_confidence(assigned: DataFrame, dist_col: str = "distance") -> DataFra
     return assigned.withColumn("cluster_score", conf)
 
 
-def with_distance(assigned: DataFrame, model, features: str = "features") -> DataFrame:
-    """Distance of each row to its assigned centre.  The k centres enter as a
-    k-row table broadcast on ``cluster_id`` (an equi-join, bounded by k)."""
-    spark = assigned.sparkSession
-    rows = [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
-    centers = spark.createDataFrame(rows, "cluster_id int, _center array<double>")
-    x = vector_to_array(F.col(features))
-    joined = assigned.join(F.broadcast(centers), "cluster_id", "left")
-    sq = F.aggregate(F.zip_with(x, F.col("_center"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, v: acc + v)
-    return joined.withColumn("distance", F.sqrt(sq)).drop("_center")
-
+def assign_sparse(X: DataFrame, centers: np.ndarray, id_col: str = "doc_id") -> DataFrame:
+    """ML-08 on sparse rows ``(id, indices, values)``: nearest centre (lowest index
+    on ties, as MLlib) and its Euclidean distance, ``||x||^2 - 2 x.c + ||c||^2``
+    per Arrow batch; the k x V centres are broadcast (bounded by the model)."""
+    import pandas as pd
+
+    from topicloom.operators.nmf import _flatten, _x_times
+
+    spark = X.sparkSession
+    bC = spark.sparkContext.broadcast(np.asarray(centers, dtype=np.float64))
+    schema = f"{id_col} long, cluster_id int, distance double"
+
+    def part(batches):
+        C = bC.value
+        cc = (C * C).sum(axis=1)
+        for pdf in batches:
+            rows, cols, vals, n = _flatten(pdf)
+            xc = _x_times(rows, cols, vals, n, C.T)
+            xx = np.bincount(rows, weights=vals * vals, minlength=n) if len(vals) else np.zeros(n)
+            d2 = np.maximum(xx[:, None] - 2 * xc + cc[None, :], 0.0)
+            best = d2.argmin(axis=1) if n else np.zeros(0, np.int64)
+            yield pd.DataFrame(
+                {id_col: pdf[id_col].astype("int64").to_numpy(), "cluster_id": best.astype(np.int32), "distance": np.sqrt(d2[np.arange(n), best]) if n else np.zeros(0)}
+            )
+
+    return X.select(id_col, "indices", "values").mapInPandas(part, schema)

@@ -127,20 +127,25 @@ def _long(m: int, mat: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"m": m, "i": ii.ravel().astype(np.int32), "j": jj.ravel().astype(np.int32), "v": mat.ravel()})
 
 
-def _collect_partials(df: DataFrame) -> dict[int, dict[tuple[int, int], float]]:
-    out: dict[int, dict[tuple[int, int], float]] = {}
-    for r in df.groupBy("m", "i", "j").agg(F.sum("v").alias("v")).collect():
-        out.setdefault(r["m"], {})[(r["i"], r["j"])] = r["v"]
-    return out
+def _collect_partials(df: DataFrame) -> dict[int, pd.DataFrame]:
+    """Sum the partial rows in Spark; only the reduced matrices (bounded by the
+    model size) reach the driver, via Arrow."""
+    pdf = df.groupBy("m", "i", "j").agg(F.sum("v").alias("v")).toPandas()
+    return {int(m): g for m, g in pdf.groupby("m")}
 
 
-def _dense(entries: dict[tuple[int, int], float], shape: tuple[int, int]) -> np.ndarray:
+def _dense(entries, shape: tuple[int, int]) -> np.ndarray:
     a = np.zeros(shape)
-    for (i, j), v in entries.items():
-        a[i, j] = v
+    if isinstance(entries, pd.DataFrame) and len(entries):
+        a[entries["i"].to_numpy(), entries["j"].to_numpy()] = entries["v"].to_numpy()
     return a
 
 
+def _scalars(parts: dict[int, pd.DataFrame]) -> dict[int, float]:
+    g = parts.get(M_SCALAR)
+    return {} if g is None else {int(j): float(v) for j, v in zip(g["j"], g["v"])}
+
+
 def als_pass(X: DataFrame, H: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
     """One W-solve over all rows for the given H; returns (W^T W, W^T X, scalars)."""
     spark = X.sparkSession
@@ -167,8 +172,7 @@ def als_pass(X: DataFrame, H: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[
 
     parts = _collect_partials(X.select("indices", "values").mapInPandas(part, PARTIAL_SCHEMA))
     bH.unpersist()
-    scal = {j: v for (_, j), v in parts.get(M_SCALAR, {}).items()}
-    return _dense(parts.get(M_WTW, {}), (k, k)), _dense(parts.get(M_WTX, {}), (k, V)), scal
+    return _dense(parts.get(M_WTW), (k, k)), _dense(parts.get(M_WTX), (k, V)), _scalars(parts)
 
 
 def fixed_w_pass(X: DataFrame, k: int, n_terms: int, w_of) -> tuple[np.ndarray, np.ndarray]:
@@ -185,7 +189,7 @@ def fixed_w_pass(X: DataFrame, k: int, n_terms: int, w_of) -> tuple[np.ndarray,
         yield pd.concat([_long(M_WTW, WtW), _long(M_WTX, WtX)], ignore_index=True)
 
     parts = _collect_partials(X.select("doc_id", "indices", "values").mapInPandas(part, PARTIAL_SCHEMA))
-    return _dense(parts.get(M_WTW, {}), (k, k)), _dense(parts.get(M_WTX, {}), (k, n_terms))
+    return _dense(parts.get(M_WTW), (k, k)), _dense(parts.get(M_WTX), (k, n_terms))
 
 
 def cyclic_start_w(doc_ids, k: int) -> np.ndarray:
@@ -224,7 +228,7 @@ def _gram_pass(X: DataFrame, Q: np.ndarray) -> tuple[np.ndarray, dict[int, float
 
     parts = _collect_partials(X.select("indices", "values").mapInPandas(part, PARTIAL_SCHEMA))
     bQ.unpersist()
-    return _dense(parts.get(M_GRAM, {}), (V, p)), {j: v for (_, j), v in parts.get(M_SCALAR, {}).items()}
+    return _dense(parts.get(M_GRAM), (V, p)), _scalars(parts)
 
 
 def _unorm_pass(X: DataFrame, Vk: np.ndarray, sigma: np.ndarray) -> np.ndarray:
@@ -245,10 +249,10 @@ def _unorm_pass(X: DataFrame, Vk: np.ndarray, sigma: np.ndarray) -> np.ndarray:
 
     parts = _collect_partials(X.select("indices", "values").mapInPandas(part, PARTIAL_SCHEMA))
     bV.unpersist()
-    return np.sqrt(_dense(parts.get(M_UNORM, {}), (k, 2)))
+    return np.sqrt(_dense(parts.get(M_UNORM), (k, 2)))
 
 
-def nndsvda_init(X: DataFrame, k: int, n_terms: int, seed: int = 42, power_iters: int = 4, oversample: int = 6) -> np.ndarray:
+def nndsvda_init(X: DataFrame, k: int, n_terms: int, seed: int = 42, power_iters: int = 3, oversample: int = 8) -> np.ndarray:
     """H0 by NNDSVD with zeros filled by mean(X) ("nndsvda")."""
     rng = np.random.default_rng(seed)
     p = min(n_terms, k + oversample)

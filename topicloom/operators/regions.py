@@ -6,12 +6,14 @@ punctuation blocks a match); the first region in dictionary order with any
 matching keyword wins, else ``World``.
 
 Plan: one regex pass per row, no explode, no shuffle, no join back.  The
-pattern `` (?=(kw_1|kw_2|...|kw_m) )`` lists keywords in priority order
-inside a zero-width lookahead, so the scan stops at every space and reports
-the highest-priority keyword that starts there (overlapping keywords such as
-"south africa" / "africa" are all seen, since only the leading space is
-consumed).  The smallest priority among the reported keywords is the answer.
-Cost is linear in text length; whole texts are scanned.
+pattern `` (?=(...) )`` holds all keywords as a trie inside a zero-width
+lookahead, so the scan stops at every space and reports a keyword starting
+there (overlapping keywords such as "south africa" / "africa" are all seen,
+since only the leading space is consumed).  Where two keywords start at the
+same space one is a whole-word prefix of the other; the shorter one is
+reported, which is the higher- or equal-priority one (checked when the
+pattern is built).  The smallest priority among the reported keywords is the
+answer.  Cost is linear in text length; whole texts are scanned.
 """
 
 from __future__ import annotations
@@ -40,10 +42,40 @@ def _region_names(rows) -> Column:
     return F.array(*[F.lit(n) for n in names])
 
 
+def _esc(ch: str) -> str:
+    return ch if ch.isalnum() else "\\" + ch
+
+
+def _trie_regex(words: list[str]) -> str:
+    """Alternation shaped as a trie: at each node "the keyword ends here" is tried
+    before longer continuations, so the shortest keyword starting at a position
+    is reported and each position costs about one character comparison."""
+    trie: dict = {}
+    for w in words:
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def rx(node: dict) -> str:
+        alts = [""] if "" in node else []
+        alts += [_esc(ch) + rx(child) for ch, child in sorted(node.items()) if ch != ""]
+        return alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
+
+    return rx(trie)
+
+
 def keyword_pattern(rows) -> str:
-    """`` (?=(kw...) )`` with keywords quoted literally, in priority order."""
-    alts = "|".join(r"\Q" + kw + r"\E" for _, _, kw in sorted(rows, key=lambda r: r[0]))
-    return " (?=(" + alts + ") )"
+    """`` (?=(kw...) )``: at every space, the shortest keyword that starts there.
+
+    Shortest-first is the priority rule as long as no keyword is a whole-word
+    prefix of a keyword of a *higher-priority* region; that is checked here."""
+    prio = {kw: p for p, _, kw in rows}
+    for a in prio:
+        for b in prio:
+            if b.startswith(a + " ") and prio[a] > prio[b]:
+                raise ValueError(f"keyword {a!r} shadows higher-priority {b!r}; trie order would be wrong")
+    return " (?=(" + _trie_regex(list(prio)) + ") )"
 
 
 def keyword_hits(text: Column) -> Column:

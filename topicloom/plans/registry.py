@@ -575,23 +575,26 @@ def q_kmeans_clusters(spark, sf_dir):
 
 def _kmeans_topics(spark, sf_dir):
     docs = training_docs(spark, sf_dir)
-    tm, _ = TF.fit(docs, "topic_text")
-    feats = TF.features(docs.select("doc_id", "topic_text"), "topic_text", tm).persist()
+    tm, tf = TF.fit(docs, "topic_text")
+    X = TF.vectors(tf, tm).persist()
+    feats = TF.features(docs.select("doc_id", "topic_text"), "topic_text", tm)
     model = KM.fit(feats, "features", 6)
-    return tm, feats, model
+    return tm, X, model
 
 
 @register("kmeans_topics")
 def q_kmeans_topics(spark, sf_dir):
     """The reference's TF-IDF + k-means baseline: assignments with batch confidence."""
-    tm, feats, model = _kmeans_topics(spark, sf_dir)
-    assigned = KM.with_distance(model.transform(feats), model)
+    import numpy as np
+
+    tm, X, model = _kmeans_topics(spark, sf_dir)
+    assigned = KM.assign_sparse(X, np.vstack(model.clusterCenters()))
     return KM.batch_confidence(assigned).select("doc_id", "cluster_id", "distance", "cluster_score")
 
 
 @register("kmeans_keywords")
 def q_kmeans_keywords(spark, sf_dir):
-    tm, feats, model = _kmeans_topics(spark, sf_dir)
+    tm, _, model = _kmeans_topics(spark, sf_dir)
     return KM.center_keywords(model, tm.vocabulary, 8)
 
 

@@ -43,8 +43,9 @@ def drop_training_duplicates(df: DataFrame, order: str = "ord") -> DataFrame:
     return df
 
 
-def drop_article_duplicates(df: DataFrame, order: str = "ord") -> DataFrame:
-    """DDP-03 then DDP-04.
+def drop_article_duplicates(df: DataFrame, order: str = "ord", scope: list[str] | None = None) -> DataFrame:
+    """DDP-03 then DDP-04 (``scope``: extra key columns, e.g. the source file, so
+    each file is deduplicated on its own as in the whole-history rescan).
 
     1. rows with a (stripped, non-empty) url keep the first row per url; rows
        without a url all stay and rank after every row with a url;
@@ -55,17 +56,18 @@ def drop_article_duplicates(df: DataFrame, order: str = "ord") -> DataFrame:
     keyed = df.withColumn("_url_key", strip_ws(F.coalesce(url, F.lit("")))).withColumn(
         "_has_url", F.length("_url_key") > 0
     )
-    with_url = keep_first(keyed.filter("_has_url"), ["_url_key"], order)
+    scope = list(scope or [])
+    with_url = keep_first(keyed.filter("_has_url"), [*scope, "_url_key"], order)
     without_url = keyed.filter(~F.col("_has_url"))
     stage = with_url.unionByName(without_url).withColumn("_hkey", dedup_key("headline"))
     rank = F.struct(F.when(F.col("_has_url"), 0).otherwise(1), F.col(order))
-    return keep_first(stage, ["_hkey"], rank).drop("_url_key", "_has_url", "_hkey")
+    return keep_first(stage, [*scope, "_hkey"], rank).drop("_url_key", "_has_url", "_hkey")
 
 
-def clean_articles(df: DataFrame, order: str = "ord") -> DataFrame:
+def clean_articles(df: DataFrame, order: str = "ord", scope: list[str] | None = None) -> DataFrame:
     """FLT-01 + FLT-02 + DDP-03/04: drop null headlines, description NULL -> "", dedup."""
     base = df.dropna(subset=["headline"]).fillna({"description": ""})
-    return drop_article_duplicates(base, order)
+    return drop_article_duplicates(base, order, scope)
 
 
 def dedup_stats(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -151,8 +151,9 @@ SELECT
 FROM documents"""
 
 
-def cleaned_ctes() -> str:
-    """CTEs ``articles`` -> ``deduped`` -> ``cleaned`` (FLT-01/02, DDP-03/04, SCL-01)."""
+def cleaned_ctes(scope: str = "") -> str:
+    """CTEs ``articles`` -> ``deduped`` -> ``cleaned`` (FLT-01/02, DDP-03/04, SCL-01);
+    ``scope`` adds partition keys (e.g. ``ds, ``) so each file is deduplicated alone."""
     return f"""
 articles AS ({articles_sql()}),
 keyed AS (
@@ -162,12 +163,12 @@ keyed AS (
   FROM articles WHERE headline IS NOT NULL),
 url_pass AS (
   SELECT * FROM keyed WHERE url_key <> ''
-  QUALIFY row_number() OVER (PARTITION BY url_key ORDER BY ord) = 1
+  QUALIFY row_number() OVER (PARTITION BY {scope}url_key ORDER BY ord) = 1
   UNION ALL
   SELECT * FROM keyed WHERE url_key = ''),
 deduped AS (
   SELECT * EXCLUDE (url_key, hkey) FROM url_pass
-  QUALIFY row_number() OVER (PARTITION BY hkey ORDER BY (url_key <> '') DESC, ord) = 1),
+  QUALIFY row_number() OVER (PARTITION BY {scope}hkey ORDER BY (url_key <> '') DESC, ord) = 1),
 cleaned AS (
   SELECT *, {clean_text("headline")} AS headline_clean, {clean_text("description")} AS description_clean
   FROM deduped)"""

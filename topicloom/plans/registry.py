@@ -925,3 +925,174 @@ def q_channel_union(spark, sf_dir):
         frames.append(spark.read.parquet(path).withColumn("channel", F.lit(name)).withColumn("_c", F.lit(i)))
     u = FD.union_channels(frames).withColumn("_o", F.struct("_c", "ord"))
     return dedup.keep_first(u, ["headline", "url"], "_o").select("ord", "channel", "headline", "url", "country", "language")
+
+
+# ------------------------------------------------------------------ SRC-03/05/08/11..14, SNK-01..05, PRJ-02
+
+
+@register(
+    "rss_scan",
+    _with(
+        _feeds_cte() + f", items AS ({O.rss_items_sql()})",
+        "SELECT CAST(i.ord AS VARCHAR) AS guid, i.link AS url, coalesce(i.published, i.updated) AS published_at, "
+        "l.source_name, l.source_section FROM items i LEFT JOIN labels l ON l.feed_key = i.feed_key",
+    ),
+)
+def q_rss_scan(spark, sf_dir):
+    """SRC-03 + SRC-04: items landed as RSS XML, read back with the XML source, normalised."""
+    items = TD.rss_items(spark, sf_dir)
+    path = ST.scratch(spark, "rss")
+    (
+        items.select(F.col("ord").cast("string").alias("guid"), F.col("feed_key").alias("feed"), "title", "link", "description", "summary", F.col("published").alias("pubDate"), "updated")
+        .write.format("xml").option("rootTag", "channel").option("rowTag", "item").mode("overwrite").save(path)
+    )
+    scanned = FD.read_rss(spark, path).withColumnRenamed("feed", "feed_key")
+    norm = FD.normalize_rss(scanned.withColumn("ord", F.col("guid").cast("long")), TD.feeds(spark, sf_dir), strip_html=True)
+    return norm.select(F.col("ord").cast("string").alias("guid"), "url", "published_at", "source_name", "source_section")
+
+
+@register(
+    "api_pages_scan",
+    _with(
+        _feeds_cte() + f", res AS ({O.api_results_sql()})",
+        "SELECT r.ord, CASE WHEN length(coalesce(r.f_headline, '')) > 0 THEN r.f_headline ELSE r.webTitle END AS headline, "
+        "r.webUrl AS url, r.webPublicationDate AS published_at, f.source_name, f.country "
+        "FROM res r JOIN feeds f ON f.feed_key = r.feed_key WHERE f.api_section IS NOT NULL",
+    ),
+)
+def q_api_pages_scan(spark, sf_dir):
+    """SRC-05 + SRC-06 + SRC-07: API results landed as JSON pages (status, pages,
+    results[]) per section, read back, status-checked, exploded, normalised."""
+    feeds = TD.feeds(spark, sf_dir)
+    with_api = feeds.where(F.col("api_section").isNotNull())
+    res = TD.api_results(spark, sf_dir).join(F.broadcast(with_api.select("feed_key")), "feed_key", "left_semi")
+    page_no = F.floor(F.col("ord") / 50)  # at most 50 results of one section per page
+    pages = res.groupBy("feed_key", page_no.alias("page")).agg(
+        F.collect_list(F.struct("ord", "feed_key", "webTitle", "webUrl", "webPublicationDate", "fields")).alias("results")
+    )
+    doc = pages.select(F.struct(F.lit("ok").alias("status"), F.col("page").alias("currentPage"), F.col("results")).alias("response"))
+    path = ST.scratch(spark, "api-pages")
+    doc.write.mode("overwrite").json(path)
+    scanned = FD.read_api_pages(spark, path, multi_line=False)
+    norm = FD.normalize_api(scanned, with_api, strip_html=True)
+    return norm.select("ord", "headline", "url", "published_at", "source_name", "country")
+
+
+RAW_SCHEMA = T.StructType(
+    [
+        T.StructField("ord", T.LongType()),
+        T.StructField("headline", T.StringType()),
+        T.StructField("description", T.StringType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("published_at", T.StringType()),
+        T.StructField("source_name", T.StringType()),
+        T.StructField("source_section", T.StringType()),
+        T.StructField("country", T.StringType()),
+        T.StructField("language", T.StringType()),
+        T.StructField("ds", T.StringType()),
+    ]
+)
+
+
+@register(
+    "raw_csv_scan",
+    _with(f"articles AS ({O.articles_sql()})", "SELECT ord, headline, description, url, published_at, ds FROM articles"),
+)
+def q_raw_csv_scan(spark, sf_dir):
+    """SNK-01/02 + SRC-08: raw articles exported as CSV and read back with an explicit schema."""
+    path = ST.scratch(spark, "raw-csv")
+    SK.export_csv(articles(spark, sf_dir), path)
+    return FD.read_raw_csv(spark, path, RAW_SCHEMA).select("ord", "headline", "description", "url", "published_at", "ds")
+
+
+@register(
+    "reprocess_history",
+    _with(
+        O.cleaned_ctes(scope="ds, "),
+        "SELECT ord, ds, headline, headline_clean FROM cleaned",
+    ),
+)
+def q_reprocess_history(spark, sf_dir):
+    """SRC-11: every landed raw partition preprocessed in one job, dedup scoped to its own file (ds)."""
+    path = ST.scratch(spark, "raw-history")
+    SK.write_partitioned(articles(spark, sf_dir), path, ["ds"])
+    raw = spark.read.parquet(path).withColumn("ds", F.col("ds").cast("string"))
+    out = P.add_clean_columns(dedup.clean_articles(raw, scope=["ds"]))
+    return out.select("ord", "ds", "headline", "headline_clean")
+
+
+def _landed_predictions(spark, sf_dir) -> str:
+    """Stand-in predictions written ds-partitioned without a region column."""
+    path = ST.scratch(spark, "predictions")
+    preds = standin_predictions(spark, sf_dir).drop("region", "lat", "lon")
+    SK.write_partitioned(preds.select("ord", "ds", "headline", "published_at", "country", "source_name", "topic_id"), path, ["ds"])
+    return path
+
+
+@register("prediction_catalog", _with(O.processed_ctes(), "SELECT DISTINCT ds FROM processed"))
+def q_prediction_catalog(spark, sf_dir):
+    """SRC-12: available prediction dates (newest first)."""
+    preds = spark.read.parquet(_landed_predictions(spark, sf_dir)).withColumn("ds", F.col("ds").cast("string"))
+    return FD.prediction_dates(preds)
+
+
+@register(
+    "latest_predictions",
+    _with(
+        O.processed_ctes(),
+        "SELECT ord, ds, country AS region, CAST(published_epoch AS BIGINT) AS published_epoch FROM processed "
+        "WHERE ds = (SELECT max(ds) FROM processed)",
+    ),
+)
+def q_latest_predictions(spark, sf_dir):
+    """SRC-12 + SRC-13: the newest date's predictions, region falling back to country."""
+    preds = spark.read.parquet(_landed_predictions(spark, sf_dir)).withColumn("ds", F.col("ds").cast("string"))
+    latest = report.latest_partition(preds)
+    loaded = FD.load_predictions(latest)
+    return loaded.select("ord", "ds", "region", F.unix_timestamp("published_at").alias("published_epoch"))
+
+
+@register("model_artifacts")
+def q_model_artifacts(spark, sf_dir):
+    """SNK-04 + SRC-14: save vocabulary / components / keywords / metadata, read the metadata back."""
+    import json as _json
+
+    model, _ = _fit_topics(spark, sf_dir)
+    path = ST.scratch(spark, "topic-model")
+    kw = {str(r["topic_id"]): list(r["keywords"]) for r in model.keywords.collect()}  # k rows
+    meta = {
+        "model_type": "unsupervised_topic_modeling",
+        "algorithm": "nmf",
+        "n_topics": int(model.H.shape[0]),
+        "text_column": "topic_text",
+        "topic_keywords": kw,
+        "reconstruction_error": model.reconstruction_error,
+        "vocabulary_size": model.tfidf.vocab_size,
+    }
+    SK.save_topic_model(spark, model, path, meta)
+    text_df = spark.read.text(f"{path}/metadata")
+    schema = "model_type string, algorithm string, n_topics int, topic_keywords map<string, array<string>>, vocabulary_size int"
+    parsed = text_df.select(F.from_json("value", schema).alias("m")).select("m.*")
+    _ = _json
+    return parsed.select("algorithm", "n_topics", "vocabulary_size", F.explode("topic_keywords").alias("topic_id", "keywords"))
+
+
+@register("run_metrics")
+def q_run_metrics(spark, sf_dir):
+    """SNK-05 + ML-16: quality metrics appended as (run_id, metric, value) rows and read back."""
+    model, X = _fit_topics(spark, sf_dir)
+    path = ST.scratch(spark, "run-metrics")
+    SK.append_metrics(TR.quality(spark, model, TR.assign(model, X)), path, "nmf-run")
+    return spark.read.parquet(path)
+
+
+def _profile_sql() -> str:
+    cols = ["ord", "headline", "description", "url", "published_at", "source_name", "source_section", "country", "language", "ds"]
+    parts = [f"SELECT '{c}' AS \"column\", count({c}) AS non_null, count(DISTINCT {c}) AS \"distinct\" FROM articles" for c in cols]
+    return " UNION ALL ".join(parts)
+
+
+@register("explore_profile", _with(f"articles AS ({O.articles_sql()})", _profile_sql()))
+def q_explore_profile(spark, sf_dir):
+    """PRJ-02: profile of the raw articles (non-null and distinct counts per column)."""
+    return FD.profile(articles(spark, sf_dir))

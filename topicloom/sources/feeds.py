@@ -98,6 +98,8 @@ RSS_ITEM_SCHEMA = T.StructType(
         T.StructField("summary", T.StringType()),
         T.StructField("pubDate", T.StringType()),
         T.StructField("updated", T.StringType()),
+        T.StructField("guid", T.StringType()),
+        T.StructField("feed", T.StringType()),
     ]
 )
 
@@ -115,10 +117,10 @@ def read_rss(spark: SparkSession, path: str, row_tag: str = "item") -> DataFrame
     return df.withColumn("published", F.col("pubDate")).withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def read_api_pages(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """SRC-05: landed API pages (multi-line JSON).  A page whose status is not
-    ``ok`` fails the job, as the reference raises on it."""
-    reader = spark.read.option("multiLine", True)
+def read_api_pages(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+    """SRC-05: landed API pages (one JSON document per file, or one per line).
+    A page whose status is not ``ok`` fails the job, as the reference raises on it."""
+    reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     pages = reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
@@ -128,7 +130,7 @@ def read_api_pages(spark: SparkSession, path: str, schema: T.StructType | None =
             F.raise_error(F.concat(F.lit("API page with unexpected status: "), F.coalesce(F.col("response.status"), F.lit("NULL"))))
         ),
     )
-    return checked.select("source_file", F.explode("response.results").alias("r")).select("source_file", "r.*")
+    return checked.where("_ok").select("source_file", F.explode("response.results").alias("r")).select("source_file", "r.*")
 
 
 def page_slice(df: DataFrame, section: str, ts: Column, from_date: str, to_date: str, page_size: int = 50, max_pages: int | None = None, order: str = "ord") -> DataFrame:
@@ -185,5 +187,24 @@ def prediction_dates(df: DataFrame, ds: str = "ds") -> DataFrame:
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC-08: one dated raw CSV (explicit schema, multi-line quoted text)."""
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    """SRC-08: raw CSV (explicit schema, multi-line quoted text, whitespace kept)."""
+    return (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("multiLine", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
+def profile(df: DataFrame) -> DataFrame:
+    """PRJ-02: per column, non-null and exact distinct counts (one aggregate pass),
+    returned in long form ``(column, non_null, distinct)``."""
+    aggs = []
+    for c in df.columns:
+        aggs += [F.count(F.col(c)).alias(f"nn_{c}"), F.count_distinct(F.col(c)).alias(f"nd_{c}")]
+    wide = df.agg(*aggs)
+    entries = [F.struct(F.lit(c).alias("column"), F.col(f"nn_{c}").alias("non_null"), F.col(f"nd_{c}").alias("distinct")) for c in df.columns]
+    return wide.select(F.explode(F.array(*entries)).alias("p")).select("p.*")

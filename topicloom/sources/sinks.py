@@ -29,7 +29,14 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], skip_
 
 def export_csv(df: DataFrame, path: str) -> None:
     """CSV export of a table (header, quoted multi-line text)."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def save_topic_model(spark: SparkSession, model, path: str, metadata: dict) -> None:

@@ -315,9 +315,10 @@ def fit(X: DataFrame, k: int, n_terms: int, max_iter: int = 500, tol: float = 1e
         H = solve_h(WtW, WtX, H)
         if len(errors) >= 2 and (errors[-2] - errors[-1]) <= tol * errors[-2]:
             break
-    # final error with the last H (one more W solve, as reported by the reference)
-    WtW, _, scal = als_pass(X, H)
-    errors.append(_error(scal, WtW, H))
+    # error of the final pair (W of the last pass, updated H) from the same sums:
+    # ||X||^2 - 2 <W^T X, H> + <W^T W, H H^T>; no extra pass over X
+    sq = scal.get(S_XX, 0.0) - 2.0 * float((WtX * H).sum()) + float((WtW * (H @ H.T)).sum())
+    errors.append(float(np.sqrt(max(sq, 0.0))))
     return NMFResult(H, it, errors)
 
 

@@ -1096,3 +1096,12 @@ def _profile_sql() -> str:
 def q_explore_profile(spark, sf_dir):
     """PRJ-02: profile of the raw articles (non-null and distinct counts per column)."""
     return FD.profile(articles(spark, sf_dir))
+
+
+@register("topic_report")
+def q_topic_report(spark, sf_dir):
+    """Flagship: the dashboard's topic summary on real NMF assignments
+    (preprocess -> TF-IDF -> NMF -> assignment -> AGG-01 + SCL-17)."""
+    model, X = _fit_topics(spark, sf_dir)
+    assigned = TR.assign(model, X).withColumn("ord", F.col("doc_id"))
+    return report.topic_summary(assigned)

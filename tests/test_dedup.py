@@ -47,3 +47,16 @@ def test_stats(spark):
     a = spark.createDataFrame([(0, "a", "u"), (1, "a", "u")], "ord long, headline string, url string")
     r = dedup.dedup_stats(a, dedup.drop_article_duplicates(a)).first()
     assert (r["rows_before"], r["rows_after"], r["removed"]) == (2, 1, 1)
+
+
+def test_distributed_rank_matches_window(spark):
+    from pyspark.sql import Window
+
+    from topicloom.operators.ranking import distributed_rank
+
+    rows = [(i, "hot" if i % 3 else f"g{i % 5}", (i * 7919) % 1000) for i in range(2000)]
+    df = spark.createDataFrame(rows, "ord long, g string, v long").repartition(7)
+    got = {(r["ord"], r["rank"]) for r in distributed_rank(df, "g", [F.col("v").desc(), F.col("ord")]).collect()}
+    w = Window.partitionBy("g").orderBy(F.col("v").desc(), F.col("ord"))
+    want = {(r["ord"], r["rank"]) for r in df.withColumn("rank", F.row_number().over(w)).collect()}
+    assert got == want

@@ -574,7 +574,10 @@ def q_kmeans_clusters(spark, sf_dir):
 
 
 def _kmeans_topics(spark, sf_dir):
-    docs = training_docs(spark, sf_dir)
+    from pyspark import StorageLevel
+
+    # read twice (TF-IDF fit, MLlib features): keep the two needed columns once
+    docs = training_docs(spark, sf_dir).select("doc_id", "topic_text").persist(StorageLevel.MEMORY_AND_DISK)
     tm, tf = TF.fit(docs, "topic_text")
     X = TF.vectors(tf, tm).persist()
     feats = TF.features(docs.select("doc_id", "topic_text"), "topic_text", tm)
@@ -604,11 +607,18 @@ from topicloom.config import ClassifierConfig  # noqa: E402
 from topicloom.operators import classify as CL  # noqa: E402
 
 
-def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``labels`` joined to ``documents``: cleaned whole text + quality label."""
+def labelled_docs(spark: SparkSession, sf_dir: str, supervised: bool = True) -> DataFrame:
+    """``labels`` joined to ``documents``: cleaned whole text + quality label.
+    ``supervised`` applies FLT-04 (the training rows); the category
+    distribution is reported before that filter, as in the reference."""
     docs = TD.table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     lab = TD.table(spark, sf_dir, "labels").select("doc_id", "quality")
-    return lab.join(docs, "doc_id").withColumn("text_clean", text.clean_text("text"))
+    joined = lab.join(docs, "doc_id").withColumn("text_clean", text.clean_text("text"))
+    if not supervised:
+        return joined
+    from topicloom.operators import filters
+
+    return filters.supervised_rows(joined, "text_clean", "quality")
 
 
 LABELLED_SQL = "lab AS (SELECT l.doc_id, l.quality, d.n_chars FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"
@@ -619,11 +629,15 @@ LABELLED_SQL = "lab AS (SELECT l.doc_id, l.quality, d.n_chars FROM labels l JOIN
     _with(LABELLED_SQL, "SELECT quality, count(*) AS count, count(*) OVER () AS num_classes FROM lab GROUP BY quality"),
 )
 def q_category_distribution(spark, sf_dir):
-    return report.category_distribution(labelled_docs(spark, sf_dir), "quality")
+    return report.category_distribution(labelled_docs(spark, sf_dir, supervised=False), "quality")
 
 
+SUPERVISED_SQL = (
+    "lab AS (SELECT l.doc_id, l.quality, d.n_chars FROM labels l JOIN documents d ON d.doc_id = l.doc_id "
+    f"WHERE l.quality IS NOT NULL AND length({O.clean_text('d.text')}) > 0)"
+)
 SPLIT_SQL = (
-    LABELLED_SQL
+    SUPERVISED_SQL
     + ", h AS (SELECT *, (doc_id * 2654435761 + 42) % 4294967296 AS hh, count(*) OVER (PARTITION BY quality) AS n_c FROM lab), "
     "s AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY hh) <= floor(0.2 * n_c + 0.5) "
     "THEN 'test' ELSE 'train' END AS split FROM h)"
@@ -677,7 +691,7 @@ per3 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall
     ),
 )
 def q_classification_report(spark, sf_dir):
-    d = labelled_docs(spark, sf_dir).withColumn("prediction", (F.col("n_chars") >= 1000).cast("int"))
+    d = labelled_docs(spark, sf_dir, supervised=False).withColumn("prediction", (F.col("n_chars") >= 1000).cast("int"))
     r = CL.report(d, "quality", "prediction")
     return r.select("label", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "support")
 
@@ -874,7 +888,7 @@ def _landed_processed(spark, sf_dir) -> str:
     "training_window",
     _with(
         O.processed_ctes(),
-        "SELECT ord, ds, headline FROM processed WHERE ds BETWEEN '2024-01-08' AND '2024-01-10' "
+        "SELECT ord, ds, headline, ds AS file_ds FROM processed WHERE ds BETWEEN '2024-01-08' AND '2024-01-10' "
         "QUALIFY row_number() OVER (PARTITION BY headline, url ORDER BY ds, ord) = 1",
     ),
 )
@@ -883,7 +897,8 @@ def q_training_window(spark, sf_dir):
     start = spark.range(1).select(dates.window_start(F.lit(RUN_DATE), 3).cast("string")).first()[0]
     w = FD.read_window(spark, _landed_processed(spark, sf_dir), start, RUN_DATE)
     ordered = w.withColumn("_o", F.struct(F.col("ds").cast("string"), F.col("ord")))
-    return dedup.keep_first(ordered, ["headline", "url"], "_o").select("ord", F.col("ds").cast("string").alias("ds"), "headline")
+    kept = dedup.keep_first(ordered, ["headline", "url"], "_o")
+    return kept.select("ord", F.col("ds").cast("string").alias("ds"), "headline", text.date_from_path("source_file").alias("file_ds"))
 
 
 @register(

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from topicloom.functions import dates
 from topicloom.functions.html import clean_html
 from topicloom.operators.joins import broadcast_if_small
+from topicloom.operators.ranking import distributed_rank
 
 UNKNOWN = "unknown"
 
@@ -138,9 +139,14 @@ def page_slice(df: DataFrame, section: str, ts: Column, from_date: str, to_date:
     cut into pages of ``page_size``; optionally only the first ``max_pages``."""
     d = F.to_date(ts)
     in_range = df.where(ts.isNotNull() & (d >= F.lit(from_date).cast("date")) & (d <= F.lit(to_date).cast("date")))
-    w = Window.partitionBy(section).orderBy(ts.desc(), F.col(order))
-    out = in_range.withColumn("rank", F.row_number().over(w)).withColumn("page", F.ceil(F.col("rank") / page_size).cast("int"))
-    return out.where(F.col("page") <= max_pages) if max_pages else out
+    if max_pages:
+        # rank <= k lets Spark keep only the top k per section on the map side
+        w = Window.partitionBy(section).orderBy(ts.desc(), F.col(order))
+        out = in_range.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_pages * page_size)
+    else:
+        # every page: rank without sorting a whole (possibly hot) section in one task
+        out = distributed_rank(in_range.withColumn("_ts", ts), section, [F.col("_ts").desc(), F.col(order)]).drop("_ts")
+    return out.withColumn("page", F.ceil(F.col("rank") / page_size).cast("int"))
 
 
 def read_window(spark: SparkSession, path: str, start: str, end: str, ds: str = "ds") -> DataFrame:

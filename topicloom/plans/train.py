@@ -24,6 +24,7 @@ from pyspark import StorageLevel  # noqa: E402
 
 from topicloom.config import TopicModelConfig  # noqa: E402
 from topicloom.operators import nmf, tfidf  # noqa: E402
+from topicloom.session import checkpoint_dir  # noqa: E402
 
 
 @dataclass
@@ -47,7 +48,11 @@ def fit_topics(docs: DataFrame, config: TopicModelConfig | None = None) -> tuple
     persisted training matrix X ``(doc_id, indices, values)``."""
     config = config or TopicModelConfig()
     tmodel, tf = tfidf.fit(docs, config.text_column, "doc_id", config.tfidf)
-    X = tfidf.vectors(tf, tmodel).persist(StorageLevel.MEMORY_AND_DISK)
+    # The iterative fit re-reads X once per pass: cut its lineage with a reliable
+    # checkpoint in the shared checkpoint folder, so a lost executor re-reads
+    # checkpoint files instead of re-running preprocessing.
+    checkpoint_dir(docs.sparkSession)
+    X = tfidf.vectors(tf, tmodel).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = X.count()
     tf.unpersist()
     res = nmf.fit(X, config.n_topics, tmodel.vocab_size, config.max_iter, config.tol, config.random_state)

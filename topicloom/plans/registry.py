@@ -397,7 +397,7 @@ toks AS (
 terms AS (
   SELECT doc_id, list_concat(s, list_transform(range(1, len(s)), lambda i: s[i] || ' ' || s[i + 1])) AS t FROM toks),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM terms) GROUP BY doc_id, term),
-stats AS (SELECT term, count(*) AS df, sum(tf) AS ctf FROM tf GROUP BY term),
+stats AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS ctf FROM tf GROUP BY term),
 vocab0 AS (
   SELECT term, df, ctf FROM stats WHERE df >= {cfg.min_df} AND df <= {hi}
   ORDER BY ctf DESC, term LIMIT {cfg.max_features}),
@@ -698,7 +698,11 @@ def q_classification_report(spark, sf_dir):
 
 def _classifier(spark, sf_dir, cfg: ClassifierConfig | None = None):
     cfg = cfg or ClassifierConfig()
+    from pyspark import StorageLevel
+
+    # used by the TF-IDF fit and by the MLlib feature stages: compute the split once
     d = CL.stratified_split(labelled_docs(spark, sf_dir), "quality", "doc_id")
+    d = d.select("doc_id", "quality", "split", "text_clean").persist(StorageLevel.MEMORY_AND_DISK)
     train = d.where(F.col("split") == "train")
     tm, _ = TF.fit(train, "text_clean", "doc_id", cfg.tfidf)
     feats = TF.features(d.select("doc_id", "quality", "split", "text_clean"), "text_clean", tm).persist()

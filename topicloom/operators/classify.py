@@ -30,10 +30,19 @@ def split_hash(key: Column, seed: int) -> Column:
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds ``split`` ('train' / 'test') keeping class shares in both parts."""
+    """Adds ``split`` ('train' / 'test') keeping class shares in both parts.
+
+    The statistics run on a narrow persisted (label, hash) table; the result is
+    a projection of ``df`` with the per-class cut-off hashes as a literal map
+    (one entry per class), so no join is needed."""
+    from pyspark import StorageLevel
+    from pyspark.sql import Window
+
     spark = df.sparkSession
-    h = df.withColumn("_h", split_hash(F.col(key), seed)).withColumn("_b", F.shiftright("_h", 32 - BUCKET_BITS))
-    counts = h.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("n")).collect()
+    h = split_hash(F.col(key), seed)
+    narrow = df.select(F.col(label), h.alias("_h")).withColumn("_b", F.shiftright("_h", 32 - BUCKET_BITS))
+    narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = narrow.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("n")).collect()
     per_class: dict = {}
     for r in counts:
         per_class.setdefault(r[label], []).append((r["_b"], r["n"]))
@@ -41,26 +50,25 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2
     for c, buckets in per_class.items():
         n_c = sum(n for _, n in buckets)
         n_test = int(math.floor(test_size * n_c + 0.5))
-        if n_test == 0:
-            targets[c] = (-1, 0)
-            continue
         seen = 0
         for b, n in sorted(buckets):
-            if seen + n >= n_test:
+            if n_test > 0 and seen + n >= n_test:
                 targets[c] = (b, n_test - seen)
                 break
             seen += n
-    # exact cut-off inside each boundary bucket: only those rows are ranked
-    boundary = spark.createDataFrame([(c, b, k) for c, (b, k) in targets.items() if b >= 0], f"{_ddl(df, label)}, _b long, _k long")
-    ranked = h.join(F.broadcast(boundary), [label, "_b"]).select(label, "_h", "_k")
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(label).orderBy("_h")
-    cut = ranked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == F.col("_k")).select(label, F.col("_h").alias("_cut"))
-    cuts = {r[label]: r["_cut"] for r in cut.collect()}
-    cut_df = spark.createDataFrame([(c, cuts.get(c, -1)) for c in per_class], f"{_ddl(df, label)}, _cut long")
-    out = h.join(F.broadcast(cut_df), label, "left")
-    return out.withColumn("split", F.when(F.col("_h") <= F.col("_cut"), "test").otherwise("train")).drop("_h", "_b", "_cut")
+    cuts: dict = {}
+    if targets:
+        # exact cut-off inside each class's boundary bucket: only those rows are ranked
+        boundary = spark.createDataFrame([(c, b, k) for c, (b, k) in targets.items()], f"{_ddl(df, label)}, _b long, _k long")
+        ranked = narrow.join(F.broadcast(boundary), [label, "_b"]).select(label, "_h", "_k")
+        w = Window.partitionBy(label).orderBy("_h")
+        cut = ranked.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == F.col("_k"))
+        cuts = {r[label]: r["_h"] for r in cut.select(label, "_h").collect()}
+    narrow.unpersist()
+    cut_of = F.lit(-1).cast("long")
+    for c, v in cuts.items():
+        cut_of = F.when(F.col(label) == F.lit(c), F.lit(int(v))).otherwise(cut_of)
+    return df.withColumn("split", F.when(h <= cut_of, "test").otherwise("train"))
 
 
 def _ddl(df: DataFrame, column: str) -> str:

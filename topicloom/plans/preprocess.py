@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicloom.functions import dates, text
+from topicloom.functions.compute import with_columns_once
 from topicloom.operators import dedup, regions
 
 
 def add_clean_columns(df: DataFrame) -> DataFrame:
-    return df.withColumn("headline_clean", text.clean_text("headline")).withColumn(
-        "description_clean", text.clean_text("description")
+    return with_columns_once(
+        df, {"headline_clean": text.clean_text("headline"), "description_clean": text.clean_text("description")}
     )
 
 
@@ -25,7 +26,8 @@ def add_features(df: DataFrame) -> DataFrame:
     out = text.text_features(df)
     out = dates.time_features(out)
     out = regions.tag_regions(out)
-    return out.withColumn("topic_text", text.topic_text("headline_clean", "description_clean"))
+    # topic_text is filtered on later (FLT-03): keep it from being recomputed by a pushed filter
+    return with_columns_once(out, {"topic_text": text.topic_text("headline_clean", "description_clean")})
 
 
 def preprocess(raw: DataFrame, order: str = "ord") -> DataFrame:

@@ -613,7 +613,9 @@ def labelled_docs(spark: SparkSession, sf_dir: str, supervised: bool = True) ->
     distribution is reported before that filter, as in the reference."""
     docs = TD.table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     lab = TD.table(spark, sf_dir, "labels").select("doc_id", "quality")
-    joined = lab.join(docs, "doc_id").withColumn("text_clean", text.clean_text("text"))
+    from topicloom.functions.compute import with_columns_once
+
+    joined = with_columns_once(lab.join(docs, "doc_id"), {"text_clean": text.clean_text("text")})
     if not supervised:
         return joined
     from topicloom.operators import filters
@@ -701,8 +703,8 @@ def _classifier(spark, sf_dir, cfg: ClassifierConfig | None = None):
     from pyspark import StorageLevel
 
     # used by the TF-IDF fit and by the MLlib feature stages: compute the split once
-    d = CL.stratified_split(labelled_docs(spark, sf_dir), "quality", "doc_id")
-    d = d.select("doc_id", "quality", "split", "text_clean").persist(StorageLevel.MEMORY_AND_DISK)
+    base = labelled_docs(spark, sf_dir).select("doc_id", "quality", "text_clean").persist(StorageLevel.MEMORY_AND_DISK)
+    d = CL.stratified_split(base, "quality", "doc_id")
     train = d.where(F.col("split") == "train")
     tm, _ = TF.fit(train, "text_clean", "doc_id", cfg.tfidf)
     feats = TF.features(d.select("doc_id", "quality", "split", "text_clean"), "text_clean", tm).persist()

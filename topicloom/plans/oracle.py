@@ -71,17 +71,17 @@ def topic_prepared(x: str) -> str:
 
 def topic_tokens_from_prepared(p: str) -> str:
     return (
-        f"list_filter(string_split({p}, ' '), lambda x: length(x) > 2 "
-        f"AND NOT list_contains({str_list(TOPIC_STOP_WORDS)}, x))"
+        f"list_filter(string_split({p}, ' '), lambda tok_: length(tok_) > 2 "
+        f"AND NOT list_contains({str_list(TOPIC_STOP_WORDS)}, tok_))"
     )
 
 
 def ordered_distinct(lst: str) -> str:
-    return f"list_filter({lst}, lambda x, i: list_position({lst}, x) = i)"
+    return f"list_filter({lst}, lambda el_, pos_: list_position({lst}, el_) = pos_)"
 
 
 def word_count(x: str) -> str:
-    return f"CAST(len(list_filter(string_split({rx(x, WS_RUN_RE, ' ')}, ' '), lambda t: t <> '')) AS INTEGER)"
+    return f"CAST(len(list_filter(string_split({rx(x, WS_RUN_RE, ' ')}, ' '), lambda w_: w_ <> '')) AS INTEGER)"
 
 
 def parse_published(x: str) -> str:

@@ -120,14 +120,13 @@ def fit(docs: DataFrame, text_col: str, id_col: str = "doc_id", config: TfidfCon
     kept = term_stats(tf, id_col).where((F.col("df") >= lo) & (F.col("df") <= hi))
     if config.max_features is not None:
         kept = kept.orderBy(F.desc("ctf"), F.asc("term")).limit(config.max_features)
-    vocab = _index_vocabulary(spark, kept, n_docs, config)
-    size = vocab.count()
+    vocab, size = _index_vocabulary(spark, kept, n_docs, config)
     if size == 0:
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
     return TfidfModel(config, vocab, n_docs, size), tf
 
 
-def _index_vocabulary(spark: SparkSession, kept: DataFrame, n_docs: int, config: TfidfConfig) -> DataFrame:
+def _index_vocabulary(spark: SparkSession, kept: DataFrame, n_docs: int, config: TfidfConfig) -> tuple[DataFrame, int]:
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
     if config.max_features is not None and config.max_features <= BROADCAST_VOCAB_LIMIT:
         # bounded by max_features: materialise as a small local table
@@ -141,7 +140,7 @@ def _index_vocabulary(spark: SparkSession, kept: DataFrame, n_docs: int, config:
             ]
         )
         local = spark.createDataFrame([(t, i, d, c) for i, (t, d, c) in enumerate(rows)], schema)
-        return local.withColumn("idf", idf)
+        return local.withColumn("idf", idf), len(rows)
     # unbounded vocabulary: alphabetical index without a single-partition sort --
     # range-partition by term, count rows per partition (one row per partition
     # reaches the driver), then offset + rank within the partition.
@@ -156,7 +155,7 @@ def _index_vocabulary(spark: SparkSession, kept: DataFrame, n_docs: int, config:
     off = spark.createDataFrame(offsets, "_pid int, _off long")
     rank = F.row_number().over(Window.partitionBy("_pid").orderBy("term"))
     out = ranged.join(F.broadcast(off), "_pid").withColumn("term_idx", (F.col("_off") + rank - 1).cast("int"))
-    return out.select("term", "term_idx", "df", "ctf").withColumn("idf", idf)
+    return out.select("term", "term_idx", "df", "ctf").withColumn("idf", idf), acc
 
 
 def _vocab_side(model: TfidfModel) -> DataFrame:

@@ -52,7 +52,8 @@ def train_window(
     # DDP-02 across the window in file (day) order, then FLT-03
     from topicloom.operators import dedup, filters
 
-    kept = dedup.drop_training_duplicates(df.withColumn("_o", F.struct("ds", "ord")), "_o").drop("_o")
+    narrow = df.select("ord", "ds", "headline", "url", config.text_column)
+    kept = dedup.drop_training_duplicates(narrow.withColumn("_o", F.struct("ds", "ord")), "_o").drop("_o")
     docs = filters.usable_text(kept, config.text_column).withColumn("doc_id", F.col("ord"))
     model, X = TR.fit_topics(docs, config)
     assignments = TR.assign(model, X)

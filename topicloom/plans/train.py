@@ -9,10 +9,18 @@ from pyspark.sql import functions as F
 from topicloom.operators import dedup, filters
 
 
+TRAINING_COLUMNS = ("ord", "ds", "headline", "url", "source_file")
+
+
 def training_frame(processed: DataFrame, text_column: str = "topic_text", order: str = "ord") -> DataFrame:
     """DDP-02 + FLT-03: dedup across the window, keep rows with usable text,
-    expose ``doc_id`` (= source order) for the model."""
-    df = dedup.drop_training_duplicates(processed, order)
+    expose ``doc_id`` (= source order) for the model.
+
+    Only the columns the model needs travel through the dedup shuffle
+    (``keep_first`` carries whole rows, and struct fields are not pruned
+    through an aggregate)."""
+    keep = [c for c in (*TRAINING_COLUMNS, text_column, order) if c in processed.columns]
+    df = dedup.drop_training_duplicates(processed.select(*dict.fromkeys(keep)), order)
     df = filters.usable_text(df, text_column)
     return df.withColumn("doc_id", F.col(order))
 
@@ -52,8 +60,10 @@ def fit_topics(docs: DataFrame, config: TopicModelConfig | None = None) -> tuple
     # checkpoint in the shared checkpoint folder, so a lost executor re-reads
     # checkpoint files instead of re-running preprocessing.
     checkpoint_dir(docs.sparkSession)
-    X = tfidf.vectors(tf, tmodel).checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = tfidf.vectors(tf, tmodel).persist(StorageLevel.MEMORY_AND_DISK)  # computed once for the checkpoint write
+    X = staged.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = X.count()
+    staged.unpersist()
     tf.unpersist()
     res = nmf.fit(X, config.n_topics, tmodel.vocab_size, config.max_iter, config.tol, config.random_state)
     spark = docs.sparkSession

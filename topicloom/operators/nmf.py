@@ -388,7 +388,10 @@ def topic_terms(spark: SparkSession, H: np.ndarray, vocabulary: DataFrame, top_n
     h = spark.createDataFrame(pdf)
     w = Window.partitionBy("topic_id").orderBy(F.desc("weight"), F.asc("term_idx"))
     ranked = h.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
-    return ranked.join(F.broadcast(vocabulary.select("term_idx", "term")), "term_idx").select(
+    from topicloom.operators.joins import broadcast_if_small
+
+    # top_n x k rows meet the vocabulary; broadcast it only when its size is checked
+    return ranked.join(broadcast_if_small(vocabulary.select("term_idx", "term")), "term_idx").select(
         "topic_id", "rank", "term", "weight"
     )
 

@@ -172,4 +172,4 @@ def article_links(pred: DataFrame) -> DataFrame:
 def latest_partition(df: DataFrame, column: str = "ds") -> DataFrame:
     """SRC-12: rows of the newest ``ds`` (the dashboard's default date)."""
     newest = df.agg(F.max(column).alias("_newest"))
-    return df.join(F.broadcast(newest), F.col(column) == F.col("_newest"), "left_semi")
+    return df.join(F.broadcast(newest), F.col(column) == F.col("_newest"), "left_semi")  # one row

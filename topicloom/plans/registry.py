@@ -815,7 +815,7 @@ def q_score_requests(spark, sf_dir):
     req = ST.read_stream(spark, path, schema, max_files=4).select(F.col("ord").alias("request_id"), F.coalesce("headline", F.lit("")).alias("text"))
     feats = TF.features(req, "text", model.tfidf).withColumn("x", vector_to_array("features"))
     scored = NMF.transform_dense(feats, "x", model.H, ["request_id"])
-    scored = scored.join(F.broadcast(model.keywords.select("topic_id", "keywords")), "topic_id", "left")
+    scored = scored.join(F.broadcast(model.keywords.select("topic_id", "keywords")), "topic_id", "left")  # k rows
     out, ck = ST.scratch(spark, "scored"), ST.scratch(spark, "scored-ckpt")
     ST.run_append(scored, out, ck)
     return spark.read.parquet(out)
@@ -823,6 +823,7 @@ def q_score_requests(spark, sf_dir):
 
 # ------------------------------------------------------------------ SRC-01..13, JON-05/06, SET-01 (sources)
 
+from topicloom.operators.joins import broadcast_if_small  # noqa: E402
 from topicloom.sources import feeds as FD  # noqa: E402
 
 
@@ -862,7 +863,7 @@ def q_feed_join(spark, sf_dir):
 def q_api_normalize(spark, sf_dir):
     feeds = TD.feeds(spark, sf_dir)
     with_api = feeds.where(F.col("api_section").isNotNull())
-    res = TD.api_results(spark, sf_dir).join(F.broadcast(with_api.select("feed_key")), "feed_key", "left_semi")
+    res = TD.api_results(spark, sf_dir).join(broadcast_if_small(with_api.select("feed_key")), "feed_key", "left_semi")
     return FD.normalize_api(res, with_api, strip_html=False).drop("ingestion_timestamp")
 
 
@@ -986,7 +987,7 @@ def q_api_pages_scan(spark, sf_dir):
     results[]) per section, read back, status-checked, exploded, normalised."""
     feeds = TD.feeds(spark, sf_dir)
     with_api = feeds.where(F.col("api_section").isNotNull())
-    res = TD.api_results(spark, sf_dir).join(F.broadcast(with_api.select("feed_key")), "feed_key", "left_semi")
+    res = TD.api_results(spark, sf_dir).join(broadcast_if_small(with_api.select("feed_key")), "feed_key", "left_semi")
     page_no = F.floor(F.col("ord") / 50)  # at most 50 results of one section per page
     pages = res.groupBy("feed_key", page_no.alias("page")).agg(
         F.collect_list(F.struct("ord", "feed_key", "webTitle", "webUrl", "webPublicationDate", "fields")).alias("results")

@@ -76,7 +76,7 @@ def fit_topics(docs: DataFrame, config: TopicModelConfig | None = None) -> tuple
 def assign(model: TopicModel, X: DataFrame) -> DataFrame:
     """WIN-03 + JON-04 + SCL-09: topic id/score per row, keywords of the topic (broadcast, k rows)."""
     a = nmf.transform(X, model.H)
-    return a.join(F.broadcast(model.keywords.select("topic_id", "topic_keywords")), "topic_id", "left")
+    return a.join(F.broadcast(model.keywords.select("topic_id", "topic_keywords")), "topic_id", "left")  # k rows
 
 
 def quality(spark, model: TopicModel, assignments: DataFrame) -> DataFrame:

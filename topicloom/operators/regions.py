@@ -88,7 +88,8 @@ def keyword_hits(text: Column) -> Column:
 def region_priority(text: Column) -> Column:
     """Smallest region priority whose keyword occurs space-delimited in ``text`` (NULL if none)."""
     prio = _priority_map(dims.region_keyword_rows())
-    return F.array_min(F.transform(keyword_hits(text), lambda k: F.element_at(prio, k)))
+    hits = F.array_distinct(keyword_hits(text))  # long texts repeat keywords; look each up once
+    return F.array_min(F.transform(hits, lambda k: F.element_at(prio, k)))
 
 
 def region_of(headline: Column | str, description: Column | str) -> Column:

@@ -80,3 +80,32 @@ def test_topic_color(spark):
 def test_headline_search(spark, search, expected):
     df = spark.createDataFrame([("Rain in Paris",), ("WIN big",), (None,)], "headline string")
     assert report.filter_facets(df, search=search).count() == expected
+
+
+def test_time_features_ignore_session_zone(spark):
+    rows = [("Mon, 05 Jan 2024 23:30:00 GMT",), ("2024-01-05T10:00:00Z",), ("2024-01-05 22:15:00",)]
+    df = spark.createDataFrame(rows, "s string")
+    cols = [F.unix_timestamp(dates.parse_published("s")), dates.publication_hour(dates.parse_published("s")), dates.publication_day_of_week(dates.parse_published("s"))]
+    utc = [tuple(r) for r in df.select(*cols).collect()]
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        other = [tuple(r) for r in df.select(*cols).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert other == utc
+    assert [u[1] for u in utc] == [23, 10, 22] and utc[0][2] == "Friday"
+
+
+def test_event_time_ignores_session_zone(spark):
+    from topicloom.streaming.stream import event_time
+
+    df = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-05 23:30:00' AS ts")
+    want = 1704497400  # 2024-01-05T23:30:00Z
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert df.select(F.unix_timestamp(event_time("ts"))).first()[0] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)

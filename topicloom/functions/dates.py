@@ -18,6 +18,9 @@ PUBLISHED_FORMATS = [
     "dd MMM yyyy HH:mm:ss Z",      # 01 Jan 2024 05:30:00 +0200
     "yyyy-MM-dd'T'HH:mm:ssXXX",    # 2024-01-01T05:00:00Z / +02:00
     "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
+]
+# Zone-less forms are read as UTC (decision D4), whatever the session time zone.
+ZONELESS_FORMATS = [
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss",
 ]
@@ -34,17 +37,25 @@ def parse_published(col: Column | str) -> Column:
     parser rejects ``EEE`` pattern letters and feeds get it wrong anyway).
     """
     s = F.trim(F.regexp_replace(_c(col), r"^[A-Za-z]{3},\s*", ""))
-    return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in PUBLISHED_FORMATS])
+    zoned = [F.try_to_timestamp(s, F.lit(f)) for f in PUBLISHED_FORMATS]
+    utc = [F.try_to_timestamp(F.concat(s, F.lit(" +0000")), F.lit(f + " Z")) for f in ZONELESS_FORMATS]
+    return F.coalesce(*zoned, *utc)
+
+
+def utc_wall_clock(ts: Column | str) -> Column:
+    """A timestamp whose session-zone rendering is its UTC wall clock, so
+    hour / day-name extraction is UTC independent of ``spark.sql.session.timeZone``."""
+    return F.to_utc_timestamp(_c(ts), F.current_timezone())
 
 
 def publication_hour(ts: Column | str) -> Column:
-    """SCL-12: hour of day 0-23 (session time zone is UTC)."""
-    return F.hour(_c(ts))
+    """SCL-12: hour of day 0-23 in UTC."""
+    return F.hour(utc_wall_clock(ts))
 
 
 def publication_day_of_week(ts: Column | str) -> Column:
-    """SCL-12: English day name, NULL for NULL."""
-    return F.date_format(_c(ts), "EEEE")
+    """SCL-12: English day name (UTC), NULL for NULL."""
+    return F.date_format(utc_wall_clock(ts), "EEEE")
 
 
 def time_features(df, src: str = "published_at"):

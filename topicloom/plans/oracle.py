@@ -151,7 +151,7 @@ SELECT
 FROM documents"""
 
 
-def cleaned_ctes(scope: str = "") -> str:
+def cleaned_ctes(scope: str = "", dedup: bool = True) -> str:
     """CTEs ``articles`` -> ``deduped`` -> ``cleaned`` (FLT-01/02, DDP-03/04, SCL-01);
     ``scope`` adds partition keys (e.g. ``ds, ``) so each file is deduplicated alone."""
     return f"""
@@ -167,18 +167,19 @@ url_pass AS (
   UNION ALL
   SELECT * FROM keyed WHERE url_key = ''),
 deduped AS (
-  SELECT * EXCLUDE (url_key, hkey) FROM url_pass
-  QUALIFY row_number() OVER (PARTITION BY {scope}hkey ORDER BY (url_key <> '') DESC, ord) = 1),
+  SELECT * EXCLUDE (url_key, hkey) FROM {"url_pass" if dedup else "keyed"}
+  {"QUALIFY row_number() OVER (PARTITION BY " + scope + "hkey ORDER BY (url_key <> '') DESC, ord) = 1" if dedup else ""}),
 cleaned AS (
   SELECT *, {clean_text("headline")} AS headline_clean, {clean_text("description")} AS description_clean
   FROM deduped)"""
 
 
-def processed_ctes() -> str:
-    """``processed``: cleaned + text/time features, region, coordinates, topic text."""
+def processed_ctes(dedup: bool = True) -> str:
+    """``processed``: cleaned + text/time features, region, coordinates, topic text
+    (``dedup=False``: every non-null headline, as the streaming preprocess emits)."""
     ts = parse_published("published_at")
     topic_in = "coalesce(headline_clean, '') || ' ' || coalesce(description_clean, '')"
-    return f"""{cleaned_ctes()},
+    return f"""{cleaned_ctes(dedup=dedup)},
 region_hits AS (
   SELECT c.ord, min(kw.priority) AS p
   FROM cleaned c JOIN {keywords_values()}

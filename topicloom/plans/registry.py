@@ -783,7 +783,14 @@ def _landed_articles(spark, sf_dir) -> str:
     return path
 
 
-@register("stream_preprocess")
+@register(
+    "stream_preprocess",
+    _with(
+        O.processed_ctes(dedup=False),
+        "SELECT ord, ds, headline_clean, headline_word_count, region, lat, lon, topic_text, "
+        "CAST(published_epoch AS BIGINT) AS published_epoch FROM processed",
+    ),
+)
 def q_stream_preprocess(spark, sf_dir):
     """STR-01: landed raw files -> row-level preprocessing as a stream (dedup is STR-02's job)."""
     path = _landed_articles(spark, sf_dir)
@@ -792,7 +799,11 @@ def q_stream_preprocess(spark, sf_dir):
     s = P.add_features(P.add_clean_columns(s))
     out, ck = ST.scratch(spark, "processed"), ST.scratch(spark, "processed-ckpt")
     ST.run_append(P.processed_columns(s), out, ck)
-    return spark.read.parquet(out)
+    res = spark.read.parquet(out)
+    return res.select(
+        "ord", F.col("ds").cast("string").alias("ds"), "headline_clean", "headline_word_count", "region", "lat", "lon", "topic_text",
+        F.unix_timestamp("published_at_parsed").alias("published_epoch"),
+    )
 
 
 @register("batch_scoring")

@@ -39,8 +39,10 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, file_glob:
 
 
 def event_time(col: str) -> F.Column:
-    """Watermarks need TIMESTAMP; benchmark tables carry TIMESTAMP_NTZ (UTC wall clock)."""
-    return F.col(col).cast("timestamp")
+    """Watermarks need TIMESTAMP; benchmark tables carry TIMESTAMP_NTZ holding a
+    UTC wall clock.  Shift it to the session zone's wall clock first, so the cast
+    yields the right instant whatever ``spark.sql.session.timeZone`` is."""
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(col)).cast("timestamp")
 
 
 def dedup_within(df: DataFrame, keys: list[str], ts_col: str, horizon: str = "3 days") -> DataFrame:

@@ -59,14 +59,20 @@ def fit_topics(docs: DataFrame, config: TopicModelConfig | None = None) -> tuple
     # The iterative fit re-reads X once per pass: cut its lineage with a reliable
     # checkpoint in the shared checkpoint folder, so a lost executor re-reads
     # checkpoint files instead of re-running preprocessing.
-    checkpoint_dir(docs.sparkSession)
-    staged = tfidf.vectors(tf, tmodel).persist(StorageLevel.MEMORY_AND_DISK)  # computed once for the checkpoint write
+    spark = docs.sparkSession
+    checkpoint_dir(spark)
+    vec = tfidf.vectors(tf, tmodel)
+    # Every NMF pass emits one k x V block of partial sums per partition, so the
+    # loop runs on about two partitions per core (a narrow coalesce, no
+    # shuffle) rather than on the shuffle-partition count of the data.
+    # (coalesce never raises the count, so no need to inspect the plan first)
+    vec = vec.coalesce(max(1, 2 * spark.sparkContext.defaultParallelism))
+    staged = vec.persist(StorageLevel.MEMORY_AND_DISK)  # computed once for the checkpoint write
     X = staged.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
     n_docs = X.count()
     staged.unpersist()
     tf.unpersist()
     res = nmf.fit(X, config.n_topics, tmodel.vocab_size, config.max_iter, config.tol, config.random_state)
-    spark = docs.sparkSession
     terms = nmf.topic_terms(spark, res.H, tmodel.vocabulary, config.top_n_keywords)
     keywords = nmf.keyword_table(terms)
     model = TopicModel(tmodel, res.H, keywords, terms, res.reconstruction_error, res.n_iter, n_docs)

@@ -67,3 +67,21 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_scoring_reproduces_training_assignments(spark, smoke_dir):
+    from topicloom.plans import registry as R
+    from topicloom.plans import train as TR
+
+    model, X = TR.fit_topics(R.training_docs(spark, smoke_dir))
+    assigned = {r["doc_id"]: r["topic_id"] for r in TR.assign(model, X).collect()}
+    docs = R.training_docs(spark, smoke_dir).select("doc_id", "topic_text")
+    rescored = {r["doc_id"]: r["topic_id"] for r in TR.assign(model, model.vectors(docs)).collect()}
+    assert rescored == assigned
+    summary = __import__("topicloom.operators.report", fromlist=["x"]).topic_summary(
+        TR.assign(model, X).withColumn("ord", F.col("doc_id"))
+    ).collect()
+    assert sum(r["count"] for r in summary) == model.n_docs
+    assert abs(sum(r["importance"] for r in summary) - 1.0) < 1e-9
+    kw = model.keywords.collect()
+    assert len(kw) == model.H.shape[0] and all(len(r["keywords"]) == 8 for r in kw)

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from topicloom.plans import preprocess as P
 from topicloom.plans import registry as R
 from topicloom.sources.testdata import articles
@@ -36,4 +34,3 @@ def test_dedup_horizon_across_batches(spark):
     assert ("k1", t0) in got and ("k2", t0) in got and ("k3", t0 + dt.timedelta(days=9)) in got
     assert ("k1", t0 + dt.timedelta(hours=5)) not in got  # repeat within the horizon
     assert ("k1", t0 + dt.timedelta(days=9, hours=1)) in got  # kept: the first k1 expired with the watermark
-    _ = F

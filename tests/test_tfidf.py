@@ -2,8 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
-
 from topicloom.operators import tfidf as TF
 
 
@@ -63,4 +61,3 @@ def test_mllib_feature_stages_match(spark):
         dense = {i: x for i, x in enumerate(r["x"]) if x != 0}
         assert set(dense) == set(ours[r["doc_id"]])
         assert all(math.isclose(dense[i], ours[r["doc_id"]][i]) for i in dense)
-    _ = F

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

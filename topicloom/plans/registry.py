@@ -1088,8 +1088,6 @@ def q_latest_predictions(spark, sf_dir):
 @register("model_artifacts")
 def q_model_artifacts(spark, sf_dir):
     """SNK-04 + SRC-14: save vocabulary / components / keywords / metadata, read the metadata back."""
-    import json as _json
-
     model, _ = _fit_topics(spark, sf_dir)
     path = ST.scratch(spark, "topic-model")
     kw = {str(r["topic_id"]): list(r["keywords"]) for r in model.keywords.collect()}  # k rows
@@ -1106,7 +1104,6 @@ def q_model_artifacts(spark, sf_dir):
     text_df = spark.read.text(f"{path}/metadata")
     schema = "model_type string, algorithm string, n_topics int, topic_keywords map<string, array<string>>, vocabulary_size int"
     parsed = text_df.select(F.from_json("value", schema).alias("m")).select("m.*")
-    _ = _json
     return parsed.select("algorithm", "n_topics", "vocabulary_size", F.explode("topic_keywords").alias("topic_id", "keywords"))
 
 

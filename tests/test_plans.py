@@ -71,3 +71,8 @@ def test_term_counts_reuse_doc_partitioning(spark, smoke_dir, static_plans):
 def test_scan_reads_only_needed_columns(spark, smoke_dir, static_plans):
     p = plan(R.QUERIES["region_tags"](spark, smoke_dir))
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string,source:string>" in p
+
+
+def test_article_dedup_scans_input_once(spark, smoke_dir, static_plans):
+    p = plan(dedup.clean_articles(articles(spark, smoke_dir)))
+    assert p.count("FileScan parquet") == 1

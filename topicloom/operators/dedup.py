@@ -50,16 +50,17 @@ def drop_article_duplicates(df: DataFrame, order: str = "ord", scope: list[str]
     1. rows with a (stripped, non-empty) url keep the first row per url; rows
        without a url all stay and rank after every row with a url;
     2. then one row per normalised headline, first in that new order.
-    Two shuffles in total (url key, headline key)."""
+    Two shuffles in total (url key, headline key) and one scan of the input."""
     cols = df.columns
     url = F.col("url").cast("string") if "url" in cols else F.lit(None).cast("string")
     keyed = df.withColumn("_url_key", strip_ws(F.coalesce(url, F.lit("")))).withColumn(
         "_has_url", F.length("_url_key") > 0
     )
     scope = list(scope or [])
-    with_url = keep_first(keyed.filter("_has_url"), [*scope, "_url_key"], order)
-    without_url = keyed.filter(~F.col("_has_url"))
-    stage = with_url.unionByName(without_url).withColumn("_hkey", dedup_key("headline"))
+    # One aggregation for both kinds of rows (no union, so the input is scanned
+    # once): a row without a url is its own group, keyed by its unique order value.
+    url_group = F.when(F.col("_has_url"), F.col("_url_key")).otherwise(F.col(order).cast("string"))
+    stage = keep_first(keyed, [*scope, F.col("_has_url"), url_group], order).withColumn("_hkey", dedup_key("headline"))
     rank = F.struct(F.when(F.col("_has_url"), 0).otherwise(1), F.col(order))
     return keep_first(stage, [*scope, "_hkey"], rank).drop("_url_key", "_has_url", "_hkey")
 

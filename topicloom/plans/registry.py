@@ -1135,3 +1135,15 @@ def q_topic_report(spark, sf_dir):
     model, X = _fit_topics(spark, sf_dir)
     assigned = TR.assign(model, X).withColumn("ord", F.col("doc_id"))
     return report.topic_summary(assigned)
+
+
+@register("window_topic_model")
+def q_window_topic_model(spark, sf_dir):
+    """ML-15 + SRC-09 + E2: the model of the 3-day window ending at the run date
+    (partition-pruned scan of landed processed data, cross-day dedup, TF-IDF, NMF)."""
+    from topicloom.plans import jobs
+
+    model, _ = jobs.train_window(spark, _landed_processed(spark, sf_dir), None, run_date=RUN_DATE)
+    return model.keywords.withColumn("reconstruction_error", F.lit(float(model.reconstruction_error))).withColumn(
+        "training_rows", F.lit(int(model.n_docs))
+    )

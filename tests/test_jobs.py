@@ -9,10 +9,14 @@ from topicloom.streaming.stream import scratch
 def test_daily_jobs(spark, smoke_dir):
     raw, processed, model_dir, preds = (scratch(spark, n) for n in ("t-raw", "t-processed", "t-model", "t-pred"))
     sinks.write_partitioned(articles(spark, smoke_dir), raw, ["ds"])
-    assert jobs.preprocess_day(spark, raw, processed)
+    stats = jobs.preprocess_day(spark, raw, processed)
     p = spark.read.parquet(processed)
+    assert stats["rows_out"] == p.count() and stats["rows_in"] == articles(spark, smoke_dir).count()
+    assert stats["removed_duplicates"] == stats["rows_with_headline"] - stats["rows_out"] >= 0
     assert p.count() > 0 and {"region", "topic_text", "headline_clean"} <= set(p.columns)
-    model, assigned = jobs.train_window(spark, processed, model_dir)
+    assign_dir = scratch(spark, "t-assign")
+    model, assigned = jobs.train_window(spark, processed, model_dir, assignments_path=assign_dir)
+    assert spark.read.parquet(assign_dir).count() == model.n_docs
     assert model.H.shape[0] == 6 and (model.H >= 0).all()
     assert assigned.count() == model.n_docs
     pred = jobs.score_day(spark, processed, model, preds)

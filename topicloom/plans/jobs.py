@@ -22,16 +22,32 @@ from topicloom.sources import feeds as FD
 from topicloom.sources import sinks as SK
 
 
-def preprocess_day(spark: SparkSession, raw_path: str, out_path: str, run_date: str | None = None) -> bool:
+def preprocess_day(spark: SparkSession, raw_path: str, out_path: str, run_date: str | None = None) -> dict[str, int]:
     """E1: one day (or, without ``run_date``, every landed day, each deduplicated
-    within its own day as the per-file reference does) -> processed partitions."""
+    within its own day as the per-file reference does) -> processed partitions.
+
+    Returns DDP-05 counters collected with ``observe`` during the write itself
+    (no extra pass): rows read, rows with a headline, rows written."""
+    from pyspark.sql import Observation
+
+    from topicloom.operators import dedup
+
     raw = spark.read.parquet(raw_path).withColumn("ds", F.col("ds").cast("string"))
     if run_date:
         raw = raw.where(F.col("ds") == run_date)
-    from topicloom.operators import dedup
-
+    seen, kept = Observation("raw_rows"), Observation("kept_rows")
+    raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("headline").alias("with_headline"))
     cleaned = P.add_clean_columns(dedup.clean_articles(raw, scope=["ds"]))
-    return SK.write_partitioned(P.processed_columns(P.add_features(cleaned)), out_path, ["ds"])
+    out = P.processed_columns(P.add_features(cleaned)).observe(kept, F.count(F.lit(1)).alias("rows"))
+    if not SK.write_partitioned(out, out_path, ["ds"], skip_empty=False):
+        return {"rows_in": 0, "rows_with_headline": 0, "rows_out": 0, "removed_duplicates": 0}
+    s_in, s_out = seen.get, kept.get
+    return {
+        "rows_in": int(s_in.get("rows", 0)),
+        "rows_with_headline": int(s_in.get("with_headline", 0)),
+        "rows_out": int(s_out.get("rows", 0)),
+        "removed_duplicates": int(s_in.get("with_headline", 0)) - int(s_out.get("rows", 0)),
+    }
 
 
 def train_window(
@@ -41,6 +57,7 @@ def train_window(
     run_date: str | None = None,
     config: TopicModelConfig | None = None,
     start: str | None = None,
+    assignments_path: str | None = None,
 ) -> tuple[TR.TopicModel, DataFrame]:
     """E2: rolling window ending at ``run_date`` (``config.window_days`` days; all
     days when ``run_date`` is None) -> fitted model and training assignments."""
@@ -57,6 +74,11 @@ def train_window(
     docs = filters.usable_text(kept, config.text_column).withColumn("doc_id", F.col("ord"))
     model, X = TR.fit_topics(docs, config)
     assignments = TR.assign(model, X)
+    if assignments_path:
+        # SNK-03: training assignments with their processed columns
+        cols = kept.select("ord", "ds", "headline", "url", config.text_column)
+        out = cols.join(assignments.withColumnRenamed("doc_id", "ord").drop("weights"), "ord")
+        SK.write_partitioned(out, assignments_path, ["ds"])
     if model_path:
         meta = {
             "run_date": run_date,

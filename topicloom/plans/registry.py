@@ -12,11 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicloom.config import ClassifierConfig
 from topicloom.functions import dates, text
+from topicloom.functions import html as HT
+from topicloom.operators import classify as CL
 from topicloom.operators import dedup, regions, report
+from topicloom.operators import kmeans as KM
+from topicloom.operators import nmf as NMF
+from topicloom.operators import tfidf as TF
+from topicloom.operators.joins import broadcast_if_small
 from topicloom.plans import oracle as O
 from topicloom.plans import preprocess as P
+from topicloom.plans import train as TR
+from topicloom.sources import feeds as FD
+from topicloom.sources import sinks as SK
 from topicloom.sources import testdata as TD
+from topicloom.streaming import stream as ST
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -372,8 +383,6 @@ def q_usable_text(spark, sf_dir):
 
 # ------------------------------------------------------------------ ML-01/02, AGG-07 (TF-IDF)
 
-from topicloom.operators import tfidf as TF  # noqa: E402
-from topicloom.plans import train as TR  # noqa: E402
 
 
 def training_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -469,7 +478,6 @@ def filters_usable(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ ML-03..06, WIN-02/03 (NMF)
 
-from topicloom.operators import nmf as NMF  # noqa: E402
 
 
 def _fit_topics(spark: SparkSession, sf_dir: str):
@@ -535,7 +543,6 @@ def q_nmf_one_step(spark, sf_dir):
 
 # ------------------------------------------------------------------ ML-07..09, SCL-18 (k-means)
 
-from topicloom.operators import kmeans as KM  # noqa: E402
 
 
 @register(
@@ -603,8 +610,6 @@ def q_kmeans_keywords(spark, sf_dir):
 
 # ------------------------------------------------------------------ ML-10..12, AGG-05 (classifier)
 
-from topicloom.config import ClassifierConfig  # noqa: E402
-from topicloom.operators import classify as CL  # noqa: E402
 
 
 def labelled_docs(spark: SparkSession, sf_dir: str, supervised: bool = True) -> DataFrame:
@@ -727,7 +732,6 @@ def q_classifier_metrics(spark, sf_dir):
 
 # ------------------------------------------------------------------ SCL-04 / UDF-01 (HTML strip)
 
-from topicloom.functions import html as HT  # noqa: E402
 
 
 @register("page_text")
@@ -738,8 +742,6 @@ def q_page_text(spark, sf_dir):
 
 # ------------------------------------------------------------------ STR-01..04, ML-13/14 (streaming, scoring)
 
-from topicloom.sources import sinks as SK  # noqa: E402
-from topicloom.streaming import stream as ST  # noqa: E402
 
 
 def _events_stream(spark, sf_dir):
@@ -834,8 +836,6 @@ def q_score_requests(spark, sf_dir):
 
 # ------------------------------------------------------------------ SRC-01..13, JON-05/06, SET-01 (sources)
 
-from topicloom.operators.joins import broadcast_if_small  # noqa: E402
-from topicloom.sources import feeds as FD  # noqa: E402
 
 
 def _feeds_cte() -> str:

@@ -6,6 +6,7 @@ from them) in full.  Computed columns carry the same aliases on both sides.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,7 @@ from topicloom.operators.joins import broadcast_if_small
 from topicloom.plans import oracle as O
 from topicloom.plans import preprocess as P
 from topicloom.plans import train as TR
+from topicloom.session import ship_package
 from topicloom.sources import feeds as FD
 from topicloom.sources import sinks as SK
 from topicloom.sources import testdata as TD
@@ -35,8 +37,15 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query; the wrapper ships the package to the Python workers first."""
+
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -56,3 +56,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tl-ckpt-"))
     return sc.getCheckpointDir()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``topicloom`` importable by Python workers (pandas UDFs, mapInPandas).
+
+    Equivalent to ``spark-submit --py-files topicloom.zip``: the package is
+    zipped once per application on the driver and registered with
+    ``SparkContext.addPyFile``; Spark ships it to every executor."""
+    import os
+    import shutil
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = tempfile.mkdtemp(prefix="tl-pyfiles-")
+    archive = shutil.make_archive(os.path.join(base, "topicloom"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="topicloom")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)

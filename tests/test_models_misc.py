@@ -85,3 +85,16 @@ def test_scoring_reproduces_training_assignments(spark, smoke_dir):
     assert abs(sum(r["importance"] for r in summary) - 1.0) < 1e-9
     kw = model.keywords.collect()
     assert len(kw) == model.H.shape[0] and all(len(r["keywords"]) == 8 for r in kw)
+
+
+def test_classifier_after_observation(spark, smoke_dir):
+    """A session that used Observation metrics can still score with the classifier."""
+    from pyspark.sql import Observation
+
+    from topicloom.plans import registry as R
+
+    o = Observation("probe")
+    spark.range(5).observe(o, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert o.get["n"] == 5
+    pred = R.QUERIES["text_classifier"](spark, smoke_dir).collect()
+    assert len(pred) > 0 and {r["prediction"] for r in pred} <= {0, 1}

@@ -105,6 +105,18 @@ def fit_logistic(train: DataFrame, features: str, label: str, max_iter: int = 10
     return lr.fit(data)
 
 
+def persist_model(model, path: str):
+    """SNK-04: write the fitted model and use the reloaded copy for scoring.
+
+    The reloaded model has no training summary; a summary keeps a reference to
+    the session, which cannot be serialised into tasks once the session has
+    used ``Observation`` metrics."""
+    from pyspark.ml.classification import LogisticRegressionModel
+
+    model.write().overwrite().save(path)
+    return LogisticRegressionModel.load(path)
+
+
 def report(pred: DataFrame, label: str, prediction: str) -> DataFrame:
     """ML-12: per-class precision/recall/F1/support, then accuracy, macro and weighted averages."""
     conf = pred.groupBy(F.col(label).cast("string").alias("y"), F.col(prediction).cast("string").alias("p")).agg(

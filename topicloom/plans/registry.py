@@ -723,6 +723,7 @@ def _classifier(spark, sf_dir, cfg: ClassifierConfig | None = None):
     tm, _ = TF.fit(train, "text_clean", "doc_id", cfg.tfidf)
     feats = TF.features(d.select("doc_id", "quality", "split", "text_clean"), "text_clean", tm).persist()
     model = CL.fit_logistic(feats.where(F.col("split") == "train"), "features", "quality", cfg.max_iter)
+    model = CL.persist_model(model, ST.scratch(spark, "classifier-model"))
     pred = model.transform(feats.where(F.col("split") == "test"))
     return pred
 

@@ -36,7 +36,7 @@ def main() -> None:
         ("Article dedup (DDP-03/04): two exchanges, partial min_by before each", dedup.clean_articles(a)),
         ("Region tagging (JON-01/02): row-local regex, broadcast coordinates", R.QUERIES["region_geo"](spark, SF)),
         ("Top headlines (WIN-01): partial WindowGroupLimit before the shuffle", report.top_headlines(R.standin_predictions(spark, SF))),
-        ("TF-IDF vectors (ML-01): one repartition by doc, no further exchange per doc", TF.vectors(tf, tm)),
+        ("TF-IDF vectors (ML-01): row-local term counts, one exchange after a partial collect_list", TF.vectors(tf, tm)),
         ("Feed join (JON-05): broadcast after a size probe", FD.join_feed(TD.rss_items(spark, SF), TD.feeds(spark, SF))),
         ("Window scan (SRC-09): partition filter on ds", FD.read_window(spark, path, "2024-01-08", "2024-01-10")),
     ]

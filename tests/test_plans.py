@@ -60,12 +60,16 @@ def test_feed_join_is_broadcast(spark, smoke_dir, static_plans):
     assert "BroadcastHashJoin" in p and "CartesianProduct" not in p
 
 
-def test_term_counts_reuse_doc_partitioning(spark, smoke_dir, static_plans):
+def test_term_counts_without_shuffle(spark, smoke_dir, static_plans):
     from topicloom.operators import tfidf as TF
 
     docs = spark.read.parquet(f"{smoke_dir}/documents.parquet").select(F.col("doc_id"), F.col("text"))
-    p = plan(TF.term_counts(docs, "text", "doc_id"))
-    assert _shuffles(p) == 1  # the repartition by doc_id; the (doc, term) count adds none
+    tf = TF.term_counts(docs, "text", "doc_id")
+    assert _shuffles(plan(tf)) == 0  # counted inside each row
+    model, tf = TF.fit(docs, "text", "doc_id")
+    p = plan(TF.vectors(tf, model))
+    # one exchange, after a map-side partial collect_list (one row per document)
+    assert _shuffles(p) == 1 and p.count("ObjectHashAggregate") == 2
 
 
 def test_scan_reads_only_needed_columns(spark, smoke_dir, static_plans):

@@ -11,8 +11,10 @@ corpus frequency (ties: term ascending); index terms alphabetically;
 MLlib's ``IDF`` has no ``+ 1`` and ``CountVectorizer`` indexes by frequency,
 so the fit is written with DataFrame aggregations instead:
 
-* token arrays are hash-partitioned by ``doc_id`` once; per-document term
-  counts and per-document vector assembly then need no further exchange;
+* per-document term counts are computed inside each row (no shuffle of text
+  or tokens); per-document vectors are assembled by ``collect_list``, whose
+  map-side partial aggregation leaves one row per document (vocabulary terms
+  only) to cross the shuffle;
 * term statistics are a partially aggregated shuffle by term;
 * the vocabulary is at most ``max_features`` rows -- that bound is what makes
   it safe to collect and broadcast.  Without a bound it stays distributed and
@@ -31,6 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from topicloom.functions.compute import with_columns_once
+
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 BROADCAST_VOCAB_LIMIT = 200_000
 
@@ -93,11 +97,32 @@ def _add_terms(docs: DataFrame, text_col: str, config: TfidfConfig) -> DataFrame
 
 def term_counts(docs: DataFrame, text_col: str, id_col: str = "doc_id", config: TfidfConfig | None = None) -> DataFrame:
     """(id, term, tf) for every document; documents without terms keep one row
-    with a NULL term so they still get a (zero) vector."""
+    with a NULL term so they still get a (zero) vector.
+
+    Counting happens inside each row -- sort the term array, find where runs
+    start, take run lengths -- so no text or token array is shuffled.  The
+    sorted array and the run starts are materialised (``with_columns_once``)
+    so the lambdas index them in O(1) instead of re-evaluating them."""
     config = config or TfidfConfig()
-    base = docs.select(F.col(id_col), F.col(text_col)).repartition(F.col(id_col))
-    t = _add_terms(base, text_col, config).select(id_col, F.explode_outer("_terms").alias("term"))
-    return t.groupBy(id_col, "term").agg(F.count("term").cast("int").alias("tf"))
+    base = docs.select(F.col(id_col), F.col(text_col))
+    t = _add_terms(base, text_col, config).select(id_col, "_terms")
+    t = with_columns_once(t, {"_sorted": F.array_sort("_terms")}).drop("_terms")
+    n = F.size("_sorted")
+    starts = F.filter(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+        lambda i: (i <= n) & ((i == 1) | (F.try_element_at("_sorted", i) != F.try_element_at("_sorted", i - 1))),
+    )
+    t = with_columns_once(t, {"_starts": F.when(n > 0, starts).otherwise(F.array().cast("array<int>"))})
+    m = F.size("_starts")
+    runs = F.transform(
+        F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
+        lambda j: F.struct(
+            F.try_element_at("_sorted", F.try_element_at("_starts", j)).alias("term"),
+            (F.when(j == m, n + 1).otherwise(F.try_element_at("_starts", j + 1)) - F.try_element_at("_starts", j)).cast("int").alias("tf"),
+        ),
+    )
+    counted = t.select(id_col, F.explode_outer(F.when(m > 0, runs)).alias("_c"))
+    return counted.select(id_col, F.col("_c.term").alias("term"), F.coalesce(F.col("_c.tf"), F.lit(0)).alias("tf"))
 
 
 def term_stats(tf: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -112,8 +137,7 @@ def fit(docs: DataFrame, text_col: str, id_col: str = "doc_id", config: TfidfCon
     config = config or TfidfConfig()
     spark = docs.sparkSession
     tf = term_counts(docs, text_col, id_col, config).persist()
-    # tf is hash-partitioned by id already, so this distinct needs no exchange
-    n_docs = tf.select(id_col).distinct().count()
+    n_docs = tf.select(id_col).distinct().count()  # a shuffle of ids only
     lo, hi = _threshold(config.min_df, n_docs), _threshold(config.max_df, n_docs)
     if hi < lo:
         raise ValueError("max_df corresponds to < documents than min_df")

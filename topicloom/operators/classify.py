@@ -6,8 +6,9 @@
   so no per-class sort runs in one task: the cut-off hash of each class is
   found by a two-pass selection -- bucket counts (partially aggregated), then
   the exact rank inside the single boundary bucket.
-* ML-10 class weights ``n / (k * n_c)`` ("balanced") and an MLlib multinomial
-  logistic regression whose objective equals the L2 (C = 1) one:
+* ML-10 class weights ``n / (k * n_c)`` ("balanced") and an MLlib logistic
+  regression (binomial for two classes, multinomial beyond) whose objective
+  equals the L2 (C = 1) one:
   ``regParam = 1 / sum(weights)``, no standardisation.
 * ML-12 report from the confusion counts (a k x k table), undefined ratios -> 0.
 """
@@ -87,7 +88,7 @@ def class_weights(train: DataFrame, label: str) -> DataFrame:
 
 
 def fit_logistic(train: DataFrame, features: str, label: str, max_iter: int = 1000, tol: float = 1e-4):
-    """ML-10: weighted multinomial logistic regression (objective of C = 1, L2)."""
+    """ML-10: weighted logistic regression (objective of C = 1, L2)."""
     weights = class_weights(train, label).select(label, "weight")
     data = train.join(F.broadcast(weights), label)  # k rows
     total_w = data.agg(F.sum("weight")).first()[0]
@@ -95,7 +96,7 @@ def fit_logistic(train: DataFrame, features: str, label: str, max_iter: int = 10
         featuresCol=features,
         labelCol=label,
         weightCol="weight",
-        family="multinomial",
+        family="auto",  # binomial for two classes, multinomial beyond: the reference library's rule
         regParam=1.0 / total_w,
         elasticNetParam=0.0,
         standardization=False,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +60,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -72,10 +74,11 @@ def ship_package(spark: SparkSession) -> None:
 
     sc = spark.sparkContext
     key = sc.applicationId
-    if key in _SHIPPED:
-        return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    base = tempfile.mkdtemp(prefix="tl-pyfiles-")
-    archive = shutil.make_archive(os.path.join(base, "topicloom"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="topicloom")
-    sc.addPyFile(archive)
-    _SHIPPED.add(key)
+    with _SHIP_LOCK:
+        if key in _SHIPPED:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        base = tempfile.mkdtemp(prefix="tl-pyfiles-")
+        archive = shutil.make_archive(os.path.join(base, "topicloom"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir="topicloom")
+        sc.addPyFile(archive)
+        _SHIPPED.add(key)

@@ -23,10 +23,9 @@ so the fit is written with DataFrame aggregations instead:
 
 from __future__ import annotations
 
-import zipfile
 from dataclasses import dataclass
 from functools import lru_cache
-from pathlib import Path
+from importlib import resources
 
 from pyspark.ml.feature import NGram, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,14 +40,9 @@ BROADCAST_VOCAB_LIMIT = 200_000
 
 @lru_cache(maxsize=None)
 def english_stop_words() -> tuple[str, ...]:
-    """Spark's bundled English stop-word list (the one ``StopWordsRemover`` loads),
-    read from the MLlib jar so SQL oracles can use it without a JVM."""
-    import pyspark
-
-    jars = Path(pyspark.__file__).parent / "jars"
-    jar = next(jars.glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        return tuple(z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split())
+    """The 318-word English list, read from the package's own data file."""
+    text = resources.files("topicloom").joinpath("data/english_stop_words.txt").read_text(encoding="utf-8")
+    return tuple(w for line in text.splitlines() if not line.startswith("#") for w in line.split())
 
 
 @dataclass(frozen=True)

@@ -48,10 +48,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     one.  Alternating large-star and small-star steps (Kiveris et al. 2014); each
     step only needs the smallest neighbour of a vertex, so aggregation happens
     before the shuffle, and no vertex's neighbours are ever gathered."""
-    spark = edges.sparkSession
     cur = land(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), name)
-    seen = None
-    while True:
+    while not _is_star(cur):
         both = cur.unionByName(cur.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
         large = both.join(low, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
@@ -62,8 +60,13 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             .distinct()
         )
         cur = land(small, name)
-        now = cur.agg(F.count("*"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if tuple(now) == seen:
-            roots = cur.select(F.col("u").alias("v"), F.col("u").alias("comp")).distinct()
-            return cur.select("v", F.col("u").alias("comp")).unionByName(roots)
-        seen = tuple(now)
+    roots = cur.select(F.col("u").alias("v"), F.col("u").alias("comp")).distinct()
+    return cur.select("v", F.col("u").alias("comp")).unionByName(roots)
+
+
+def _is_star(edges: DataFrame) -> bool:
+    """Every vertex v has one edge, to a u that has none of its own."""
+    ends = edges.select(F.col("v").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("u").alias("x"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    return ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or (up > 0 and down > 0)").isEmpty()

@@ -42,9 +42,9 @@ from pyspark.sql.window import Window
 from topicloom.llm.common import components, land
 
 WORDS = 5
-CHUNK_SHINGLES = 2_000_000
+CHUNK_SHINGLES = 1_000_000
 #: Taken shingles a reducer holds at a time, about; a slice of rows a mapper packs.
-RANGE_SHINGLES = 2_000_000
+RANGE_SHINGLES = 1_000_000
 SLICE_BYTES = 4 << 20
 
 _FOLD = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -201,17 +201,39 @@ def candidates(docs: DataFrame, n_shingles: int) -> DataFrame:
     held = F.count("*").over(Window.partitionBy("key"))
     lists = land(shared.withColumn("r", rank).withColumn("held", held).where(F.col("r") <= F.col("held") - spared).select("key", "hash"), "jac-lists")
     hub = lists.groupBy("hash").agg(F.min("key").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return lists.join(hub, "hash").where("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A partition's edges as stars: groups that share many shingles come out as one.
+        up: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for batch in batches:
+            for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                x, y = find(x), find(y)
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+        star = [(x, find(x)) for x in list(up) if find(x) != x]
+        yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in star], pa.int64()), "b": pa.array([y for _, y in star], pa.int64())})
+
+    edges = lists.join(hub, "hash").where("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
+    return edges.mapInArrow(contract, "a long, b long")
 
 
 class PrefixTree:
-    """A path-compressed tree of ordered sets; ``segments`` are a node's own elements."""
+    """A path-compressed tree of distinct ordered sets, as arrays over its nodes.
+
+    ``flat[seg[v] : seg[v] + size[v]]`` are a node's own elements, ``row[v]`` the set that
+    ends at it or -1, ``least`` and ``most`` the sizes of the sets at it and below."""
 
     def __init__(self, sets: list[np.ndarray]):
         self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
-        self.segment, self.kids, self.rows, self.depth = [np.empty(0, np.int64)], [[]], [[]], [0]
-        path = [0]
-        before = np.empty(0, np.int64)
+        segments, self.parent, self.depth, self.row = [np.empty(0, np.int64)], [-1], [0], [-1]
+        self.segments = segments
+        path, before = [0], np.empty(0, np.int64)
         for i in self.order:
             s = sets[i]
             m = min(len(s), len(before))
@@ -221,114 +243,211 @@ class PrefixTree:
             while self.depth[path[-1]] > common:
                 last = path.pop()
             if self.depth[path[-1]] < common:  # the node popped last is cut in two
-                path.append(self._split(path[-1], last, common))
+                own = common - self.depth[path[-1]]
+                path.append(self._add(path[-1], segments[last][:own]))
+                segments[last] = segments[last][own:]
+                self.parent[last] = path[-1]
             if len(s) > common:
                 path.append(self._add(path[-1], s[common:]))
-            self.rows[path[-1]].append(i)
+            self.row[path[-1]] = i
             before = s
-        self.down = self._preorder()
-        n = len(self.segment)
-        self.least, self.most = np.full(n, np.iinfo(np.int64).max), np.zeros(n, np.int64)
-        for v in reversed(self.down):
-            own = [len(sets[i]) for i in self.rows[v]] + [x for k in self.kids[v] for x in (self.least[k], self.most[k])]
-            if own:
-                self.least[v], self.most[v] = min(own), max(own)
+        n = len(segments)
+        self.size = np.array([len(x) for x in segments])
+        self.seg = np.concatenate([[0], np.cumsum(self.size)[:-1]])
+        self.flat = np.concatenate(segments)
+        self.last = np.array([x[-1] if len(x) else -1 for x in segments])
+        self.parent, self.depth, self.row = (np.array(x) for x in (self.parent, self.depth, self.row))
+        del self.segments
+        by = np.argsort(self.parent, kind="stable")[1:]
+        self.kid = by
+        self.kids = np.searchsorted(self.parent[by], np.arange(n + 1))
+        self.least, self.most = np.where(self.row >= 0, self.depth, 1 << 60), np.where(self.row >= 0, self.depth, 0)
+        for v in np.argsort(-self.depth, kind="stable").tolist()[:-1]:
+            up = self.parent[v]
+            self.least[up] = min(self.least[up], self.least[v])
+            self.most[up] = max(self.most[up], self.most[v])
 
     def _add(self, parent: int, segment: np.ndarray) -> int:
-        self.segment.append(segment)
-        self.kids.append([])
-        self.rows.append([])
+        self.segments.append(segment)
+        self.parent.append(parent)
         self.depth.append(self.depth[parent] + len(segment))
-        self.kids[parent].append(len(self.segment) - 1)
-        return len(self.segment) - 1
-
-    def _split(self, parent: int, child: int, at: int) -> int:
-        own = at - self.depth[parent]
-        self.kids[parent].remove(child)
-        mid = self._add(parent, self.segment[child][:own])
-        self.segment[child] = self.segment[child][own:]
-        self.kids[mid].append(child)
-        return mid
-
-    def _preorder(self) -> list[int]:
-        out, stack = [], [0]
-        while stack:
-            v = stack.pop()
-            out.append(v)
-            stack += self.kids[v]
-        return out
-
-
-def link_sets(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """A spanning set of the links among ``sets`` (uint64 arrays): pairs of positions
-    whose connected components are those of all links."""
-    if len(sets) < 2:
-        return []
+        self.row.append(-1)
+        return len(self.depth) - 1
+
+    def below(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The children of ``nodes``, and for each the position of its parent there."""
+        count = self.kids[nodes + 1] - self.kids[nodes]
+        up = np.repeat(np.arange(len(nodes)), count)
+        return self.kid[_ranges(self.kids[nodes], count)], up
+
+    def partners(self, s: np.ndarray, member: np.ndarray, marked: np.ndarray) -> np.ndarray:
+        """Rows of the sets at marked nodes that link with ``s``, whose elements are set in
+        ``member``.  One level at a time; what a path has in common is counted once."""
+        n, found = len(s), []
+        nodes, up = self.below(np.array([0]))
+        overlap = np.zeros(1, np.int64)
+        while len(nodes):
+            go = marked[nodes]
+            nodes, overlap = nodes[go], overlap[up[go]]
+            if not len(nodes):
+                break
+            size = self.size[nodes]
+            hits = member[self.flat[_ranges(self.seg[nodes], size)]]
+            overlap = overlap + np.add.reduceat(hits, np.cumsum(size) - size, dtype=np.int64)
+            left = n - np.searchsorted(s, self.last[nodes], "right")
+            d = self.depth[nodes]
+            # 7 * intersection >= 3 * (both sizes), with the best that may still come.
+            go = (4 * self.most[nodes] >= 3 * n + 7 * (d - overlap)) & (7 * (overlap + left) >= 3 * (n + self.least[nodes]))
+            nodes, overlap, d = nodes[go], overlap[go], d[go]
+            row = self.row[nodes]
+            found.append(row[(row >= 0) & (7 * overlap >= 3 * (n + d))])
+            nodes, up = self.below(nodes)
+        return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... for count[0] numbers, then the same from start[1], ..."""
+    ends = np.cumsum(count)
+    return np.repeat(start - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def link_sets(sets: list[np.ndarray]) -> np.ndarray:
+    """For each of the sets (sorted uint64 arrays, no two alike) the position that labels
+    its component under all links among them.
+
+    A set's partners share at least spare(smaller size) taken shingles with it; those
+    sets are counted over posting lists, then checked in one walk of the tree, along
+    the paths that lead to them.  What is linked to the set already is left out."""
+    n = len(sets)
+    label = np.arange(n)
+    if n < 2:
+        return label
+    sizes = np.array([len(s) for s in sets])
     values, inverse, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rank = np.empty(len(values), np.int64)
     rank[np.lexsort((values, -df))] = np.arange(len(values))
-    ordered, at = [], 0
-    for s in sets:
-        ordered.append(np.sort(rank[inverse[at : at + len(s)]]))
-        at += len(s)
+    ids = np.split(inverse, np.cumsum(sizes)[:-1])
+    ordered = [np.sort(rank[x]) for x in ids]
     tree = PrefixTree(ordered)
-    comp = list(range(len(sets)))
-
-    def find(i: int) -> int:
-        while comp[i] != i:
-            comp[i] = comp[comp[i]]
-            i = comp[i]
-        return i
-
-    whole: list[int] = []
-
-    def refresh() -> None:
-        """whole[v]: the component of all sets below v, or -1 if there are several."""
-        nonlocal whole
-        whole = [-2] * len(tree.segment)
-        for v in reversed(tree.down):
-            own = {find(i) for i in tree.rows[v]} | {whole[k] for k in tree.kids[v]}
-            whole[v] = own.pop() if len(own) == 1 else -1
-
-    edges: list[tuple[int, int]] = []
+    spares = sizes // 8 + 1
+    heads = [x[: taken(len(x))] for x in ids]
+    owner = np.repeat(np.arange(n), [len(x) for x in heads])
+    element = np.concatenate(heads)
+    by = np.argsort(element, kind="stable")
+    posts, element = owner[by], element[by]
+    start = np.searchsorted(element, np.arange(len(values) + 1))
+    live = np.diff(start) > 1
+    full = np.flatnonzero(live)
+    kept_posts = posts[np.repeat(live, np.diff(start))]
+    at_full = np.concatenate([[0], np.cumsum(np.diff(start)[full])])[:-1].astype(np.int64)
+    where = np.zeros(n, np.int64)
+    ends = np.flatnonzero(tree.row >= 0)
+    where[tree.row[ends]] = ends
+    member = np.zeros(len(values), bool)
+    marked = np.zeros(len(tree.row), bool)
+    turn = np.empty(n, np.int64)
+    turn[tree.order] = np.arange(n)
+    stale, due = False, 1
+    for done, q in enumerate(tree.order):
+        if stale and done >= due:  # lists of one component have nothing to tell
+            now = label[kept_posts]
+            live[full] = np.minimum.reduceat(now, at_full) != np.maximum.reduceat(now, at_full)
+            stale, due = False, done + min(64, done)
+        lists = heads[q][live[heads[q]]]
+        if not len(lists):
+            continue
+        count = np.bincount(posts[_ranges(start[lists], start[lists + 1] - start[lists])], minlength=n)
+        nq = int(sizes[q])
+        fits = (turn > done) & (count >= np.minimum(spares, spares[q])) & (label != label[q]) & (4 * sizes >= 3 * nq) & (4 * nq >= 3 * sizes)
+        rows = np.flatnonzero(fits)
+        if not len(rows):
+            continue
+        touched, up = [], where[rows]
+        while len(up):
+            up = np.unique(up[~marked[up]])
+            marked[up] = True
+            touched.append(up)
+            up = tree.parent[up]
+            up = up[up > 0]
+        member[ordered[q]] = True
+        for i in tree.partners(ordered[q], member, marked).tolist():
+            lo, hi = sorted((int(label[i]), int(label[q])))
+            if fits[i] and lo != hi:
+                label[label == hi] = lo
+                stale = True
+        member[ordered[q]] = False
+        marked[np.concatenate(touched)] = False
+    return label
+    sizes = np.array([len(s) for s in sets])
+    values, inverse, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(values), np.int64)
+    rank[np.lexsort((values, -df))] = np.arange(len(values))
+    ids = np.split(inverse, np.cumsum(sizes)[:-1])
+    ordered = [np.sort(rank[x]) for x in ids]
+    tree = PrefixTree(ordered)
+    spares = sizes // 8 + 1
+    heads = [x[: taken(len(x))] for x in ids]
+    owner = np.repeat(np.arange(n), [len(x) for x in heads])
+    element = np.concatenate(heads)
+    by = np.argsort(element, kind="stable")
+    posts, element = owner[by], element[by]
+    start = np.searchsorted(element, np.arange(len(values) + 1))
+    live = np.diff(start) > 1
+    full = np.flatnonzero(live)
+    kept_posts = posts[np.repeat(live, np.diff(start))]
+    at_full = np.concatenate([[0], np.cumsum(np.diff(start)[full])])[:-1].astype(np.int64)
+    where = np.zeros(n, np.int64)
+    ends = np.flatnonzero(tree.row >= 0)
+    where[tree.row[ends]] = ends
     member = np.zeros(len(values), bool)
-    refresh()
-    fresh = pause = 0
+    marked = np.zeros(len(tree.row), bool)
+    stale, due = False, 1
     for done, q in enumerate(tree.order):
-        if fresh and done >= pause:
-            refresh()
-            fresh, pause = 0, done + max(16, len(tree.segment) // 64)
+        if stale and done >= due:  # lists of one component have nothing to tell
+            now = label[kept_posts]
+            live[full] = np.minimum.reduceat(now, at_full) != np.maximum.reduceat(now, at_full)
+            stale, due = False, done + min(64, done)
+        lists = heads[q][live[heads[q]]]
+        if not len(lists):
+            continue
+        count = np.bincount(posts[_ranges(start[lists], start[lists + 1] - start[lists])], minlength=n)
+        nq = int(sizes[q])
+        fits = (turn > done) & (count >= np.minimum(spares, spares[q])) & (label != label[q]) & (4 * sizes >= 3 * nq) & (4 * nq >= 3 * sizes)
+        rows = np.flatnonzero(fits)
+        if not len(rows):
+            continue
+        touched = []
+        for v in where[rows].tolist():
+            while v >= 0 and not marked[v]:
+                marked[v] = True
+                touched.append(v)
+                v = tree.parent[v]
         s = ordered[q]
-        nq = len(s)
         member[s] = True
         stack = [(0, 0)]
         while stack:
             v, overlap = stack.pop()
-            if whole[v] >= 0 and find(whole[v]) == find(q):
-                continue
-            seg = tree.segment[v]
+            seg, left = tree.segment[v], nq
             if len(seg):
                 overlap += int(np.count_nonzero(member[seg]))
                 left = nq - int(np.searchsorted(s, seg[-1], "right"))
-            else:
-                left = nq
             d = tree.depth[v]
-            least, most = int(tree.least[v]), int(tree.most[v])
             # 7 * intersection >= 3 * (both sizes), with the best that may still come.
-            if 4 * most < 3 * nq + 7 * (d - overlap) or 7 * (overlap + left) < 3 * (nq + least):
+            if 4 * int(tree.most[v]) < 3 * nq + 7 * (d - overlap) or 7 * (overlap + left) < 3 * (nq + int(tree.least[v])):
                 continue
             for i in tree.rows[v]:
-                if i != q and 7 * overlap >= 3 * (nq + d) and find(i) != find(q):
-                    comp[max(find(i), find(q))] = min(find(i), find(q))
-                    edges.append((q, i))
-                    fresh += 1
-            stack += [(k, overlap) for k in tree.kids[v]]
+                if fits[i] and 7 * overlap >= 3 * (nq + d) and label[i] != label[q]:
+                    lo, hi = sorted((int(label[i]), int(label[q])))
+                    label[label == hi] = lo
+                    stale = True
+            stack += [(k, overlap) for k in tree.kids[v] if marked[k]]
         member[s] = False
-    return edges
+        marked[touched] = False
+    return label
 
 
 def links(docs: DataFrame, rows: DataFrame, blocks: DataFrame, chunk_shingles: int = CHUNK_SHINGLES) -> DataFrame:
-    """(a, b): links between classes, found in the blocks (key, block)."""
+    """(a, b): a star for every set of linked classes of a task, from the blocks (key, block)."""
     chosen = rows.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")).join(blocks, "key")
     size = chosen.groupBy("block").agg(F.sum("n").alias("shingles"))
     chosen = land(chosen.join(size.withColumn("chunks", F.ceil(F.col("shingles") / chunk_shingles).cast("int")), "block").drop("shingles"), "jac-chosen")
@@ -340,7 +459,7 @@ def links(docs: DataFrame, rows: DataFrame, blocks: DataFrame, chunk_shingles: i
             out = pa.RecordBatch.from_pydict({"key": batch.column("key"), "block": batch.column("block"), "chunks": batch.column("chunks"), "hashes": pa.array([s.tobytes() for s in made], pa.binary())})
             yield out.filter(pa.array(same, pa.bool_()))
 
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(chosen.drop("n"), "doc_id").select("key", "block", "chunks", "text")
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(chosen.drop("n").hint("merge"), "doc_id").select("key", "block", "chunks", "text")
     sets = land(texts.mapInArrow(pack, "key long, block long, chunks int, hashes binary"), "jac-sets")
     own = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
     sets = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
@@ -349,8 +468,12 @@ def links(docs: DataFrame, rows: DataFrame, blocks: DataFrame, chunk_shingles: i
     def one(table: pa.Table) -> pa.Table:
         unique = dict(zip(table.column("key").to_pylist(), table.column("hashes").to_pylist()))
         keys = list(unique)
-        found = link_sets([np.frombuffer(unique[k], np.uint64) for k in keys])
-        return pa.table({"a": pa.array([keys[x] for x, _ in found], pa.int64()), "b": pa.array([keys[y] for _, y in found], pa.int64())})
+        label = link_sets([np.frombuffer(unique[k], np.uint64) for k in keys]).tolist()
+        root: dict[int, int] = {}
+        for k, x in zip(keys, label):
+            root[x] = min(k, root.get(x, k))
+        star = [(k, root[x]) for k, x in zip(keys, label) if k != root[x]]
+        return pa.table({"a": pa.array([a for a, _ in star], pa.int64()), "b": pa.array([b for _, b in star], pa.int64())})
 
     return sets.groupBy("block", "i", "j").applyInArrow(one, "a long, b long")
 

@@ -44,7 +44,8 @@ FOLDS = 5
 MAX_LABELLED = 10_000
 MAX_FIT = 40_000
 MAX_LEXICON, MAX_PATTERNS = 3000, 300
-MIN_SUPPORT, MIN_LIFT = 4, 15.0
+#: A gram needs this many toxic texts, and this share of them, and this lift over the rest.
+MIN_SUPPORT, MIN_SHARE, MIN_LIFT = 4, 0.005, 30.0
 LEXICONS, PATTERN_VOTERS = 5, 3
 DENSE = 0.01
 
@@ -148,7 +149,7 @@ def induce(docs: DataFrame, labels: DataFrame) -> Model:
     if total is None or not total["toxic"]:
         return Model()
     lift = (F.col("toxic") / float(total["toxic"])) / ((F.col("clean") + 0.5) / (float(total["clean"]) + 1.0))
-    strong = stats.where((F.col("gram") != "") & (F.col("toxic") >= MIN_SUPPORT)).withColumn("lift", lift).where(F.col("lift") >= MIN_LIFT)
+    strong = stats.where((F.col("gram") != "") & (F.col("toxic") >= max(MIN_SUPPORT, MIN_SHARE * total["toxic"]))).withColumn("lift", lift).where(F.col("lift") >= MIN_LIFT)
     model = Model()
     for kind, most, first, n in (("w:", MAX_LEXICON, 0, LEXICONS), ("p:", MAX_PATTERNS, LEXICONS, PATTERN_VOTERS)):
         top = strong.where(F.col("gram").startswith(kind)).orderBy(F.desc("toxic"), F.desc("lift"), "gram").limit(most)

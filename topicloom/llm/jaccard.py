@@ -495,5 +495,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: that with the smallest doc_id (of
     rows with that doc_id, all).  Rows with null doc_id stay."""
     found = land(jaccard_components(docs), "jac-found")
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(keep, docs["doc_id"] == F.col("_keep"), "left").where(F.col("_keep").isNotNull() | docs["doc_id"].isNull()).select(*docs.columns)
+    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("__jac_keep")).distinct()
+    return docs.join(keep, docs["doc_id"] == F.col("__jac_keep"), "left").where(F.col("__jac_keep").isNotNull() | docs["doc_id"].isNull()).select(*docs.columns)

@@ -118,15 +118,15 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     n_lines and n_deleted (which replace columns of these names)."""
     cols = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
     lines, later = repeats(docs.select("doc_id", "text"), min_words)
-    kept = kept_runs(lines, later).select(F.col("_d").alias("_kd"), F.col("_h").alias("_kh"), "_kept", F.col("n_lines").alias("_n"), F.col("n_deleted").alias("_g"))
-    rows = docs.select(*cols, F.xxhash64("text").alias("_th"))
-    joined = rows.join(kept, rows["doc_id"].eqNullSafe(F.col("_kd")) & (F.col("_th") == F.col("_kh")), "left")
+    kept = kept_runs(lines, later).select(F.col("_d").alias("__ld_kd"), F.col("_h").alias("__ld_kh"), F.col("_kept").alias("__ld_kept"), F.col("n_lines").alias("__ld_n"), F.col("n_deleted").alias("__ld_g"))
+    rows = docs.select(*cols, F.xxhash64("text").alias("__ld_th"))
+    joined = rows.join(kept, rows["doc_id"].eqNullSafe(F.col("__ld_kd")) & (F.col("__ld_th") == F.col("__ld_kh")), "left")
     all_lines = F.split("text", "\n", -1)
-    text = F.array_join(F.flatten(F.transform("_kept", lambda r: F.slice(all_lines, r["at"] + 1, r["n"]))), "\n")
+    text = F.array_join(F.flatten(F.transform("__ld_kept", lambda r: F.slice(all_lines, r["at"] + 1, r["n"]))), "\n")
     return joined.withColumns(
         {
-            "n_lines": F.coalesce("_n", F.size(all_lines).cast("long"), F.lit(0).cast("long")),
-            "n_deleted": F.coalesce("_g", F.lit(0).cast("long")),
-            "text": F.when(F.col("_kept").isNull(), F.col("text")).otherwise(text),
+            "n_lines": F.coalesce("__ld_n", F.size(all_lines).cast("long"), F.lit(0).cast("long")),
+            "n_deleted": F.coalesce("__ld_g", F.lit(0).cast("long")),
+            "text": F.when(F.col("__ld_kept").isNull(), F.col("text")).otherwise(text),
         }
     ).select(*cols, "n_lines", "n_deleted")

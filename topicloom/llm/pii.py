@@ -124,14 +124,14 @@ def pseudonymise(docs: DataFrame, key: str = DEMO_KEY) -> DataFrame:
     cols = [c for c in docs.columns if c != "n_found"]
     pattern = F.lit(ANY)
     found = F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", pattern, F.lit(0))).otherwise(F.array().cast("array<string>"))
-    rows = docs.select(*cols, F.coalesce(found, F.array().cast("array<string>")).alias("_m"))
-    some = F.size("_m") > 0
-    new = F.expr(f"transform(_m, m -> {pseudonym_sql(key)})")
-    rows = rows.withColumn("_p", F.when(some, new).otherwise(F.array().cast("array<string>")))
-    parts = F.zip_with(F.split("text", ANY, -1), F.concat("_p", F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    rows = docs.select(*cols, F.coalesce(found, F.array().cast("array<string>")).alias("__pii_m"))
+    some = F.size("__pii_m") > 0
+    new = F.expr(f"transform(__pii_m, m -> {pseudonym_sql(key)})")
+    rows = rows.withColumn("__pii_p", F.when(some, new).otherwise(F.array().cast("array<string>")))
+    parts = F.zip_with(F.split("text", ANY, -1), F.concat("__pii_p", F.array(F.lit(""))), lambda a, b: F.concat(a, b))
     return rows.withColumns(
         {
-            "n_found": F.size(F.filter(F.arrays_zip("_m", "_p"), lambda x: x["_m"] != x["_p"])).cast("long"),
+            "n_found": F.size(F.filter(F.arrays_zip("__pii_m", "__pii_p"), lambda x: x["__pii_m"] != x["__pii_p"])).cast("long"),
             "text": F.when(some, F.array_join(parts, "")).otherwise(F.col("text")),
         }
     ).select(*cols, "n_found")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 MAX_VOCAB_BYTES = 64 << 20
 #: Entries of a worker's piece and pair caches; a full cache is emptied.
-CACHE = 400_000
+CACHE = 150_000
 #: Pieces encoded at a time, so a very long text needs no list of all its pieces.
 CHUNK = 200_000
 

@@ -31,6 +31,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def texts(column, rows: int = 256):
+    """The strings of an Arrow column, a few rows in memory at a time."""
+    for i in range(0, len(column), rows):
+        yield from column.slice(i, rows).to_pylist()
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, so
     a lost executor costs a re-read and not a recomputation."""

@@ -39,12 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from topicloom.llm.common import components, land
+from topicloom.llm.common import components, land, texts
 
 WORDS = 5
 CHUNK_SHINGLES = 1_000_000
 #: Taken shingles a reducer holds at a time, about; a slice of rows a mapper packs.
-RANGE_SHINGLES = 1_000_000
+RANGE_SHINGLES = 500_000
 SLICE_BYTES = 4 << 20
 
 _FOLD = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -55,7 +55,7 @@ class _Hashes(dict):
     """Word hashes of a worker; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 150_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -108,7 +108,7 @@ def set_rows(docs: DataFrame) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, key = [], []
-            for text in batch.column("text").to_pylist():
+            for text in texts(batch.column("text")):
                 s = shingles(text)
                 n.append(len(s))
                 key.append(set_key(s))
@@ -125,12 +125,12 @@ def _packed(docs: DataFrame, ranges: int) -> DataFrame:
     """Taken shingles by hash range: one row holds those of a slice of documents.
 
     ``keys`` are the slice's classes and sizes, ``owner`` says whose a hash is."""
-    schema = "part int, slice long, hashes binary, owner binary, keys binary"
+    schema = "part int, hashes binary, owner binary, keys binary"
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, size = {}, 0
-            for text in batch.column("text").to_pylist():
+            for text in texts(batch.column("text")):
                 s = shingles(text)
                 if len(s):
                     held.setdefault(set_key(s), (len(s), s[: taken(len(s))]))
@@ -145,40 +145,37 @@ def _packed(docs: DataFrame, ranges: int) -> DataFrame:
         hashes = np.concatenate([s for _, s in held.values()])
         owner = np.repeat(np.arange(len(held), dtype=np.uint16), [len(s) for _, s in held.values()])
         keys = np.array([[k, n] for k, (n, _) in held.items()], np.int64)
-        name = set_key(keys.ravel())
         order = np.argsort(hashes)
         hashes, owner = hashes[order], owner[order]
         part = _by_range(hashes, ranges)
         cuts = np.flatnonzero(np.diff(part)) + 1
         lo, hi = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(part)]])
-        out = {"part": [], "slice": [], "hashes": [], "owner": [], "keys": []}
+        out = {"part": [], "hashes": [], "owner": [], "keys": []}
         for a, b in zip(lo, hi):
             used, local = np.unique(owner[a:b], return_inverse=True)
             out["part"].append(int(part[a]))
-            out["slice"].append(name)
             out["hashes"].append(hashes[a:b].tobytes())
             out["owner"].append(local.astype(np.uint16).tobytes())
             out["keys"].append(keys[used].tobytes())
-        return pa.RecordBatch.from_pydict({"part": pa.array(out["part"], pa.int32()), "slice": pa.array(out["slice"], pa.int64()), **{k: pa.array(out[k], pa.binary()) for k in ("hashes", "owner", "keys")}})
+        return pa.RecordBatch.from_pydict({"part": pa.array(out["part"], pa.int32()), **{k: pa.array(out[k], pa.binary()) for k in ("hashes", "owner", "keys")}})
 
     return docs.select("text").mapInArrow(step, schema)
 
 
 def _shared(packed: DataFrame) -> DataFrame:
-    """Of every slice, the shingles that two classes or more have: (slice, hashes, count, keys of each)."""
+    """The taken shingles that two classes or more have: (key, n, hash, df), once a class."""
 
     def one(table: pa.Table) -> pa.Table:
-        hashes, keys, sizes, slices = [], [], [], []
-        for row in table.to_pylist():
+        hashes, keys, sizes = [], [], []
+        for row in (x for i in range(table.num_rows) for x in table.slice(i, 1).to_pylist()):
             h = np.frombuffer(row["hashes"], np.uint64)
             k = np.frombuffer(row["keys"], np.int64).reshape(-1, 2)[np.frombuffer(row["owner"], np.uint16)]
             hashes.append(h)
             keys.append(k[:, 0])
             sizes.append(k[:, 1])
-            slices.append(np.full(len(h), row["slice"], np.int64))
-        h, k, n, s = (np.concatenate(x) for x in (hashes, keys, sizes, slices))
+        h, k, n = (np.concatenate(x) for x in (hashes, keys, sizes))
         order = np.lexsort((k, h))
-        h, k, n, s = h[order], k[order], n[order], s[order]
+        h, k, n = h[order], k[order], n[order]
         new_hash = np.concatenate([[True], h[1:] != h[:-1]])
         new_key = new_hash | np.concatenate([[True], k[1:] != k[:-1]])
         group = np.cumsum(new_hash) - 1
@@ -454,13 +451,13 @@ def links(docs: DataFrame, rows: DataFrame, blocks: DataFrame, chunk_shingles: i
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [shingles(t) for t in batch.column("text").to_pylist()]
+            made = [shingles(t) for t in texts(batch.column("text"))]
             same = [set_key(s) == k for s, k in zip(made, batch.column("key").to_pylist())]
             out = pa.RecordBatch.from_pydict({"key": batch.column("key"), "block": batch.column("block"), "chunks": batch.column("chunks"), "hashes": pa.array([s.tobytes() for s in made], pa.binary())})
             yield out.filter(pa.array(same, pa.bool_()))
 
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(chosen.drop("n").hint("merge"), "doc_id").select("key", "block", "chunks", "text")
-    sets = land(texts.mapInArrow(pack, "key long, block long, chunks int, hashes binary"), "jac-sets")
+    members = docs.select(F.col("doc_id").cast("long"), "text").join(chosen.drop("n").hint("merge"), "doc_id").select("key", "block", "chunks", "text")
+    sets = land(members.mapInArrow(pack, "key long, block long, chunks int, hashes binary"), "jac-sets")
     own = F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int")
     sets = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     sets = sets.select("key", "hashes", "block", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))

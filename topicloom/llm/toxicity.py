@@ -37,7 +37,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicloom.llm.common import land
+from topicloom.llm.common import land, texts
 
 FOLDS = 5
 #: Bounds of the two samples: labelled rows of a class, documents the classifier is fitted on.
@@ -132,12 +132,12 @@ def induce(docs: DataFrame, labels: DataFrame) -> Model:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by = (Counter(), Counter())
         for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            for text, toxic in zip(texts(batch.column("text")), batch.column("toxic").to_pylist()):
                 by[toxic].update(grams(set(_WORD.findall((text or "").lower()))))
                 by[toxic][""] += 1
-            if len(by[0]) + len(by[1]) > 200_000:
-                yield out(by)
-                by = (Counter(), Counter())
+                if len(by[0]) + len(by[1]) > 150_000:
+                    yield out(by)
+                    by = (Counter(), Counter())
         yield out(by)
 
     def out(by) -> pa.RecordBatch:
@@ -166,7 +166,7 @@ def features(docs: DataFrame, model: Model) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            both = [m.tokens(t) for t in batch.column("text").to_pylist()]
+            both = [m.tokens(t) for t in texts(batch.column("text"))]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "tokens": pa.array([b[0] for b in both], pa.list_(pa.string())), "mask": pa.array([b[1] for b in both], pa.int32())})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(step, "doc_id long, tokens array<string>, mask int")
@@ -248,7 +248,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            s = [m.score(t) for t in batch.column("text").to_pylist()]
+            s = [m.score(t) for t in texts(batch.column("text"))]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "score": pa.array(s, pa.float64())})
 
     scored = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(step, "doc_id long, score double")
@@ -263,6 +263,6 @@ def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            yield batch.filter(pa.array([m.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_()))
+            yield batch.filter(pa.array([m.score(t) < 0.5 for t in texts(batch.column(at))], pa.bool_()))
 
     return docs.mapInArrow(step, docs.schema)

@@ -34,3 +34,25 @@ def test_dedup_horizon_across_batches(spark):
     assert ("k1", t0) in got and ("k2", t0) in got and ("k3", t0 + dt.timedelta(days=9)) in got
     assert ("k1", t0 + dt.timedelta(hours=5)) not in got  # repeat within the horizon
     assert ("k1", t0 + dt.timedelta(days=9, hours=1)) in got  # kept: the first k1 expired with the watermark
+
+
+def test_event_queries_read_a_directory_of_part_files(spark, tmp_path):
+    """A table stored as part files streams like a single file."""
+    import os
+
+    import __spark_entry__ as E
+
+    sf = "/root/testdata/sf0.001"
+    os.symlink(f"{sf}/documents.parquet", tmp_path / "documents.parquet")
+    spark.read.parquet(f"{sf}/events.parquet").repartition(3).write.parquet(f"file://{tmp_path}/events.parquet")
+    for name in ("stream_window_counts", "stream_dedup"):
+        one, many = (sorted(map(str, E.queries()[name](spark, d).collect())) for d in (sf, str(tmp_path)))
+        assert one and one == many
+
+
+def test_split_takes_large_ids(spark):
+    from topicloom.operators.classify import stratified_split
+
+    d = spark.range(4_000_000_000, 4_000_000_200).selectExpr("id", "cast(id % 2 as string) as y")
+    got = {r["split"]: r["count"] for r in stratified_split(d, "y", "id").groupBy("split").count().collect()}
+    assert got == {"train": 160, "test": 40}

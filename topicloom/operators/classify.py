@@ -27,7 +27,8 @@ BUCKET_BITS = 16
 
 
 def split_hash(key: Column, seed: int) -> Column:
-    return (key.cast("long") * F.lit(HASH_MULT) + F.lit(seed)) % F.lit(HASH_MOD)
+    """Ids are reduced below 2^31 first, so the product of any long id fits."""
+    return (F.pmod(key.cast("long"), F.lit(1 << 31)) * F.lit(HASH_MULT) + F.lit(seed)) % F.lit(HASH_MOD)
 
 
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: int = 42) -> DataFrame:

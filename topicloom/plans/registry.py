@@ -654,7 +654,7 @@ SUPERVISED_SQL = (
 )
 SPLIT_SQL = (
     SUPERVISED_SQL
-    + ", h AS (SELECT *, (doc_id * 2654435761 + 42) % 4294967296 AS hh, count(*) OVER (PARTITION BY quality) AS n_c FROM lab), "
+    + ", h AS (SELECT *, ((doc_id % 2147483648) * 2654435761 + 42) % 4294967296 AS hh, count(*) OVER (PARTITION BY quality) AS n_c FROM lab), "
     "s AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY quality ORDER BY hh) <= floor(0.2 * n_c + 0.5) "
     "THEN 'test' ELSE 'train' END AS split FROM h)"
 )
@@ -756,7 +756,7 @@ def q_page_text(spark, sf_dir):
 
 def _events_stream(spark, sf_dir):
     schema = TD.table(spark, sf_dir, "events").schema
-    s = ST.read_stream(spark, sf_dir, schema, file_glob="events.parquet")
+    s = ST.read_stream(spark, f"{sf_dir}/events.parque[t]", schema)  # a glob takes a file and a folder of part files
     return s.withColumn("ts", ST.event_time("ts"))
 
 
@@ -944,7 +944,7 @@ def q_missing_days(spark, sf_dir):
     return FD.missing_days(spark, present, "2024-01-25", "2024-02-03").select(F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
-CHANNELS = (("live", "language = 'en'", []), ("backfill", "language IN ('fr', 'de')", ["country"]), ("api", "language = 'es'", ["country", "language"]))
+CHANNELS = (("live", "language = 'en'", []), ("backfill", "language IN ('fr', 'de')", ["country"]), ("api", "language IS NULL OR language NOT IN ('en', 'fr', 'de')", ["country", "language"]))
 
 
 @register(
@@ -953,7 +953,7 @@ CHANNELS = (("live", "language = 'en'", []), ("backfill", "language IN ('fr', 'd
         f"articles AS ({O.articles_sql()}), u AS ("
         "SELECT ord, 'live' AS channel, 0 AS c, headline, url, country, language FROM articles WHERE language = 'en' UNION ALL "
         "SELECT ord, 'backfill', 1, headline, url, NULL, language FROM articles WHERE language IN ('fr', 'de') UNION ALL "
-        "SELECT ord, 'api', 2, headline, url, NULL, NULL FROM articles WHERE language = 'es')",
+        "SELECT ord, 'api', 2, headline, url, NULL, NULL FROM articles WHERE language IS NULL OR language NOT IN ('en', 'fr', 'de'))",
         "SELECT ord, channel, headline, url, country, language FROM u "
         "QUALIFY row_number() OVER (PARTITION BY headline, url ORDER BY c, ord) = 1",
     ),

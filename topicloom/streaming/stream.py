@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,8 +92,10 @@ def latest(spark: SparkSession, out_path: str, keys: list[str], schema: T.Struct
     """Current state of an upserted table: per key, the row of the latest batch."""
     try:
         t = spark.read.parquet(out_path)
-    except Exception:  # noqa: BLE001 - no batch produced output
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema)  # no batch produced output
     cols = [c for c in t.columns if c != "_batch" and c not in keys]
     g = t.groupBy(*keys).agg(F.max_by(F.struct(*cols), "_batch").alias("_r"))
     return g.select(*keys, "_r.*")

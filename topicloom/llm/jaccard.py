@@ -375,72 +375,6 @@ def link_sets(sets: list[np.ndarray]) -> np.ndarray:
         member[ordered[q]] = False
         marked[np.concatenate(touched)] = False
     return label
-    sizes = np.array([len(s) for s in sets])
-    values, inverse, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(values), np.int64)
-    rank[np.lexsort((values, -df))] = np.arange(len(values))
-    ids = np.split(inverse, np.cumsum(sizes)[:-1])
-    ordered = [np.sort(rank[x]) for x in ids]
-    tree = PrefixTree(ordered)
-    spares = sizes // 8 + 1
-    heads = [x[: taken(len(x))] for x in ids]
-    owner = np.repeat(np.arange(n), [len(x) for x in heads])
-    element = np.concatenate(heads)
-    by = np.argsort(element, kind="stable")
-    posts, element = owner[by], element[by]
-    start = np.searchsorted(element, np.arange(len(values) + 1))
-    live = np.diff(start) > 1
-    full = np.flatnonzero(live)
-    kept_posts = posts[np.repeat(live, np.diff(start))]
-    at_full = np.concatenate([[0], np.cumsum(np.diff(start)[full])])[:-1].astype(np.int64)
-    where = np.zeros(n, np.int64)
-    ends = np.flatnonzero(tree.row >= 0)
-    where[tree.row[ends]] = ends
-    member = np.zeros(len(values), bool)
-    marked = np.zeros(len(tree.row), bool)
-    stale, due = False, 1
-    for done, q in enumerate(tree.order):
-        if stale and done >= due:  # lists of one component have nothing to tell
-            now = label[kept_posts]
-            live[full] = np.minimum.reduceat(now, at_full) != np.maximum.reduceat(now, at_full)
-            stale, due = False, done + min(64, done)
-        lists = heads[q][live[heads[q]]]
-        if not len(lists):
-            continue
-        count = np.bincount(posts[_ranges(start[lists], start[lists + 1] - start[lists])], minlength=n)
-        nq = int(sizes[q])
-        fits = (turn > done) & (count >= np.minimum(spares, spares[q])) & (label != label[q]) & (4 * sizes >= 3 * nq) & (4 * nq >= 3 * sizes)
-        rows = np.flatnonzero(fits)
-        if not len(rows):
-            continue
-        touched = []
-        for v in where[rows].tolist():
-            while v >= 0 and not marked[v]:
-                marked[v] = True
-                touched.append(v)
-                v = tree.parent[v]
-        s = ordered[q]
-        member[s] = True
-        stack = [(0, 0)]
-        while stack:
-            v, overlap = stack.pop()
-            seg, left = tree.segment[v], nq
-            if len(seg):
-                overlap += int(np.count_nonzero(member[seg]))
-                left = nq - int(np.searchsorted(s, seg[-1], "right"))
-            d = tree.depth[v]
-            # 7 * intersection >= 3 * (both sizes), with the best that may still come.
-            if 4 * int(tree.most[v]) < 3 * nq + 7 * (d - overlap) or 7 * (overlap + left) < 3 * (nq + int(tree.least[v])):
-                continue
-            for i in tree.rows[v]:
-                if fits[i] and 7 * overlap >= 3 * (nq + d) and label[i] != label[q]:
-                    lo, hi = sorted((int(label[i]), int(label[q])))
-                    label[label == hi] = lo
-                    stale = True
-            stack += [(k, overlap) for k in tree.kids[v] if marked[k]]
-        member[s] = False
-        marked[touched] = False
-    return label
 
 
 def links(docs: DataFrame, rows: DataFrame, blocks: DataFrame, chunk_shingles: int = CHUNK_SHINGLES) -> DataFrame:

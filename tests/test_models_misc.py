@@ -13,6 +13,10 @@ def test_html_to_text():
     assert html_to_text(raw) == "Hello & bye x < y"
     assert html_to_text(None) is None
     assert html_to_text("") == ""
+    assert html_to_text("x<5 and y") == "x<5 and y"
+    assert html_to_text("a<!-- note -->b") == "a b"
+    assert html_to_text("<p>a<![CDATA[ b ]]>c</p>") == "a b c"
+    assert html_to_text("<template>a<![CDATA[ b ]]></template>c") == "c"
 
 
 def test_kmeans_assign_and_confidence(spark):

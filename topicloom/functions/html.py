@@ -21,25 +21,49 @@ _SKIP = {"script", "style", "template"}
 
 
 class _TextCollector(HTMLParser):
+    """Text nodes: what lies between two tags, comments or declarations, however many
+    pieces the parser reports it in.  A CDATA section is a node of its own."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.parts: list[str] = []
+        self._node: list[str] = []
         self._skip_depth = 0
 
+    def end_node(self) -> None:
+        text = "".join(self._node).strip()
+        if text:
+            self.parts.append(text)
+        self._node.clear()
+
     def handle_starttag(self, tag, attrs):
+        self.end_node()
         if tag in _SKIP:
             self._skip_depth += 1
 
     def handle_endtag(self, tag):
+        self.end_node()
         if tag in _SKIP and self._skip_depth:
             self._skip_depth -= 1
 
     def handle_data(self, data):
-        if self._skip_depth:
-            return
-        s = data.strip()
-        if s:
-            self.parts.append(s)
+        if not self._skip_depth:
+            self._node.append(data)
+
+    def handle_comment(self, data):
+        self.end_node()
+
+    def handle_decl(self, decl):
+        self.end_node()
+
+    def handle_pi(self, data):
+        self.end_node()
+
+    def unknown_decl(self, data):
+        self.end_node()
+        if data[:6].upper() == "CDATA[":
+            self.handle_data(data[6:])
+            self.end_node()
 
 
 def html_to_text(raw: str | None) -> str | None:
@@ -48,6 +72,7 @@ def html_to_text(raw: str | None) -> str | None:
     p = _TextCollector()
     p.feed(raw)
     p.close()
+    p.end_node()
     return " ".join(p.parts)
 
 

@@ -48,21 +48,28 @@ class PrefixBpe:
         self.token = [b""] * size
         for t, r in ranks.items():
             self.token[r] = t
-        self.suffixes = {t[i:] for t in ranks for i in range(len(t))}
+        #: Every suffix of a token: its rank, or -1 if it is no token itself.
+        self.known = dict.fromkeys((t[i:] for t in ranks for i in range(1, len(t))), -1) | ranks
         self.stable: dict[tuple[int, int], bool] = {}
         self.own: dict[int, bool] = {}
         self.pieces: dict[str, bytes] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """The definition: join the neighbours of lowest rank, leftmost first, until none has a rank."""
+        get, none = self.ranks.get, len(self.token)
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            ranked = [(self.ranks.get(a + b), i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-            best = min((x for x in ranked if x[0] is not None), default=None)
-            if best is None:
+        joined = [get(data[i : i + 2], none) for i in range(len(data) - 1)]
+        while joined:
+            best = min(joined)
+            if best == none:
                 break
-            i = best[1]
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            i = joined.index(best)
+            parts[i : i + 2] = [self.token[best]]
+            del joined[i]
+            if i:
+                joined[i - 1] = get(parts[i - 1] + parts[i], none)
+            if i < len(joined):
+                joined[i] = get(parts[i] + parts[i + 1], none)
         return [self.ranks[p] for p in parts]
 
     def _alone(self, t: int) -> bool:
@@ -81,20 +88,23 @@ class PrefixBpe:
 
     def extend(self, data: bytes, last: list[int], until: int) -> None:
         """Append the entries of ``last`` up to prefix length ``until``; last[0] is -1."""
-        ranks, suffixes = self.ranks, self.suffixes
+        known, stable = self.known.get, self.stable.get
         for i in range(len(last), until + 1):
             ends = []
-            j = i - 1
-            while j >= 0:
-                part = data[j:i]
-                if part not in suffixes:
+            for j in range(i - 1, -1, -1):
+                t = known(data[j:i])
+                if t is None:
                     break
-                t = ranks.get(part)
-                if t is not None:
+                if t >= 0:
                     ends.append((j, t))
-                j -= 1
             for j, t in reversed(ends):
-                if self._alone(t) and (j == 0 or self._beside(last[j], t)):
+                if j:  # a token that is stable beside another is stable alone
+                    ok = stable((last[j], t))
+                    if ok is None:
+                        ok = self._beside(last[j], t)
+                else:
+                    ok = self._alone(t)
+                if ok:
                     last.append(t)
                     break
             else:

@@ -7,6 +7,9 @@ the two tokens again.  The encoding is read off backwards.  As ``last`` of a pre
 never changes, bytes can be appended exactly, and after an edit only entries until
 the table agrees with the old one again are recomputed (``PrefixEncoding``).
 
+The pieces of a slice of texts that are new to a worker are encoded in sorted order, so
+each starts from the table of the bytes it shares with the one before.
+
 The vocabulary file is read by the driver and broadcast; its size is checked
 against ``MAX_VOCAB_BYTES``.  Texts are encoded row by row in Arrow batches, without
 a shuffle, so a hot source, copies or long texts move no data.
@@ -19,7 +22,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterable, Iterator
 from itertools import islice
 
 import numpy as np
@@ -30,8 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_VOCAB_BYTES = 64 << 20
-#: Entries of a worker's piece and pair caches; a full cache is emptied.
-CACHE = 150_000
+#: Entries of a worker's piece and pair caches, and characters of the piece cache; a full cache is emptied.
+CACHE = 400_000
+CACHE_CHARS = 16 << 20
 #: Pieces encoded at a time, so a very long text needs no list of all its pieces.
 CHUNK = 200_000
 
@@ -52,14 +57,17 @@ class PrefixBpe:
         self.known = dict.fromkeys((t[i:] for t in ranks for i in range(1, len(t))), -1) | ranks
         self.stable: dict[tuple[int, int], bool] = {}
         self.own: dict[int, bool] = {}
+        self.spines: dict[tuple[int, bool], tuple[int, ...] | None] = {}
         self.pieces: dict[str, bytes] = {}
+        self.chars = 0
 
-    def merge(self, data: bytes) -> list[int]:
-        """The definition: join the neighbours of lowest rank, leftmost first, until none has a rank."""
+    def merge(self, data: bytes, least: int = 1) -> list[int]:
+        """The definition: join the neighbours of lowest rank, leftmost first, until none has a
+        rank (or ``least`` parts are left)."""
         get, none = self.ranks.get, len(self.token)
         parts = [data[i : i + 1] for i in range(len(data))]
         joined = [get(data[i : i + 2], none) for i in range(len(data) - 1)]
-        while joined:
+        while len(parts) > least:
             best = min(joined)
             if best == none:
                 break
@@ -83,9 +91,44 @@ class PrefixBpe:
         if ok is None:
             if len(self.stable) >= CACHE:
                 self.stable.clear()
-            ok = self.stable[a, b] = self.merge(self.token[a] + self.token[b]) == [a, b]
+            ok = self.stable[a, b] = self._keeps_apart(a, b)
         return ok
 
+    def _spine(self, t: int, right: bool) -> tuple[int, ...] | None:
+        """The parts of t at its left or right end while t is merged, from a byte up to t.
+        None if t isn't made by merges, or not by merges of rising rank."""
+        key = t, right
+        if key not in self.spines:
+            found: tuple[int, ...] | None = (t,)
+            if len(self.token[t]) > 1:
+                ends = self.merge(self.token[t], least=2)
+                below = self._spine(ends[right and -1], right) if len(ends) == 2 else None
+                rising = all(e < t or len(self.token[e]) == 1 for e in ends)
+                found = below + found if below and rising else None
+            self.spines[key] = found
+        return self.spines[key]
+
+    def _keeps_apart(self, a: int, b: int) -> bool:
+        """Whether merging the bytes of a and b gives [a, b]: no pair of parts that meet
+        between them is merged before one of the two parts is."""
+        left, right = self._spine(a, True), self._spine(b, False)
+        if left is None or right is None:
+            return self.merge(self.token[a] + self.token[b]) == [a, b]
+        get, token, never = self.ranks.get, self.token, len(self.token)
+        i = j = 0
+        while True:
+            next_a = left[i + 1] if i + 1 < len(left) else never
+            next_b = right[j + 1] if j + 1 < len(right) else never
+            across = get(token[left[i]] + token[right[j]], never)
+            if across < next_a and across <= next_b:  # of equal ranks the leftmost merges first
+                return False
+            if next_a == next_b == never:
+                return True
+            if next_a <= next_b:
+                i += 1
+            else:
+                j += 1
+
     def extend(self, data: bytes, last: list[int], until: int) -> None:
         """Append the entries of ``last`` up to prefix length ``until``; last[0] is -1."""
         known, stable = self.known.get, self.stable.get
@@ -117,32 +160,46 @@ class PrefixBpe:
             at -= len(self.token[last[at]])
         return out[::-1]
 
-    def encode_piece(self, data: bytes) -> list[int]:
-        whole = self.ranks.get(data)
-        if whole is not None:  # a piece that is a token is that token, whatever its merges say
-            return [whole]
-        last = [-1]
-        self.extend(data, last, len(data))
-        return self.walk_back(last, len(data))
-
-    def _packed(self, piece: str) -> bytes:
-        ids = np.array(self.encode_piece(piece.encode("utf-8")), "<u4").tobytes()
-        if len(self.pieces) >= CACHE:
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Put the ids of all these pieces into the cache, as little-endian unsigned 32-bit integers."""
+        wanted = set(pieces)
+        new = wanted.difference(self.pieces)
+        if len(self.pieces) + len(new) > CACHE or self.chars > CACHE_CHARS:
             self.pieces.clear()
-        if len(piece) <= 64:
-            self.pieces[piece] = ids
-        return ids
+            self.chars, new = 0, wanted
+        before, last = b"", [-1]
+        for piece in sorted(new):
+            data = piece.encode("utf-8")
+            whole = self.ranks.get(data)
+            if whole is not None:  # a piece that is a token is that token, whatever its merges say
+                ids = [whole]
+            else:
+                shared, most = 0, min(len(before), len(data))
+                while shared < most and before[shared] == data[shared]:
+                    shared += 1
+                del last[shared + 1 :]
+                self.extend(data, last, len(data))
+                ids, before = self.walk_back(last, len(data)), data
+            self.pieces[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            self.chars += len(piece)
+
+    def packed(self, pieces: list[str]) -> bytes:
+        try:
+            return b"".join(map(self.pieces.__getitem__, pieces))
+        except KeyError:
+            self.learn(pieces)
+            return b"".join(map(self.pieces.__getitem__, pieces))
+
+    def split(self, text: str) -> Iterable[list[str]]:
+        """The pieces of ``text``; of a very long one, some at a time."""
+        if len(text) <= 4 * CHUNK:
+            return [self.pattern.findall(text)]
+        found = (m[0] for m in self.pattern.finditer(text))
+        return iter(lambda: list(islice(found, CHUNK)), [])
 
     def encode_packed(self, text: str) -> Iterator[bytes]:
         """Ids of ``text`` as little-endian unsigned 32-bit integers, in chunks."""
-        get, packed = self.pieces.get, self._packed
-        if len(text) <= 4 * CHUNK:
-            chunks = [self.pattern.findall(text)]
-        else:
-            found = (m[0] for m in self.pattern.finditer(text))
-            chunks = iter(lambda: list(islice(found, CHUNK)), [])
-        for chunk in chunks:
-            yield b"".join([get(p) or packed(p) for p in chunk])
+        return map(self.packed, self.split(text))
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(b"".join(self.encode_packed(text)), "<u4").tolist()
@@ -220,9 +277,11 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, with_ids: b
 
     def encode_slice(bpe: PrefixBpe, batch: pa.RecordBatch) -> pa.RecordBatch:
         count, ids_hex, text_hex, kept = [], [], [], []
-        for text in batch.column("text").to_pylist():
+        pieces = [bpe.split(text or "") for text in batch.column("text").to_pylist()]
+        bpe.learn(p for chunks in pieces if isinstance(chunks, list) for p in chunks[0])
+        for chunks in pieces:
             ids, plain, n = hashlib.sha256(), hashlib.sha256(), 0
-            for packed in bpe.encode_packed(text or ""):
+            for packed in map(bpe.packed, chunks):
                 ids.update(packed)
                 array = np.frombuffer(packed, "<u4")
                 plain.update(bpe.decode(array.tolist()))

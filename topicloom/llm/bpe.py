@@ -34,9 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_VOCAB_BYTES = 64 << 20
-#: Entries of a worker's piece and pair caches, and characters of the piece cache; a full cache is emptied.
-CACHE = 400_000
+#: Entries and characters of a worker's piece cache, entries of its pair cache; a full cache is emptied.
+CACHE_PIECES = 250_000
 CACHE_CHARS = 16 << 20
+CACHE_PAIRS = 400_000
 #: Pieces encoded at a time, so a very long text needs no list of all its pieces.
 CHUNK = 200_000
 
@@ -89,7 +90,7 @@ class PrefixBpe:
     def _beside(self, a: int, b: int) -> bool:
         ok = self.stable.get((a, b))
         if ok is None:
-            if len(self.stable) >= CACHE:
+            if len(self.stable) >= CACHE_PAIRS:
                 self.stable.clear()
             ok = self.stable[a, b] = self._keeps_apart(a, b)
         return ok
@@ -164,7 +165,7 @@ class PrefixBpe:
         """Put the ids of all these pieces into the cache, as little-endian unsigned 32-bit integers."""
         wanted = set(pieces)
         new = wanted.difference(self.pieces)
-        if len(self.pieces) + len(new) > CACHE or self.chars > CACHE_CHARS:
+        if len(self.pieces) + len(new) > CACHE_PIECES or self.chars > CACHE_CHARS:
             self.pieces.clear()
             self.chars, new = 0, wanted
         before, last = b"", [-1]
@@ -270,7 +271,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, with_ids: b
         for batch in batches:
             # A slice at a time: ids of a batch take more room than its texts.
             sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0)))
-            cuts = np.flatnonzero(np.diff(sizes // (4 << 20), prepend=0)).tolist() if len(sizes) else []
+            cuts = np.flatnonzero(np.diff(sizes // (2 << 20), prepend=0)).tolist() if len(sizes) else []
             for lo, hi in zip([0, *cuts], [*cuts, len(sizes)]):
                 if hi > lo:
                     yield encode_slice(bpe, batch.slice(lo, hi - lo))

@@ -1,5 +1,8 @@
 """E1-E3 jobs end to end on sf0.001, handing off through Parquet."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from topicloom.plans import jobs
 from topicloom.sources import sinks
 from topicloom.sources.testdata import articles
@@ -21,7 +24,13 @@ def test_daily_jobs(spark, smoke_dir):
     assert assigned.count() == model.n_docs
     pred = jobs.score_day(spark, processed, model, preds)
     assert pred.count() == p.count()
+    columns = ["ord", "ds", "topic_id", F.round("topic_score", 9).alias("score"), "topic_keywords"]
+    again = jobs.score_day(spark, processed, model_dir, None)
+    assert sorted(map(tuple, again.select(*columns).collect()), key=str) == sorted(map(tuple, pred.select(*columns).collect()), key=str)
     tables = jobs.report_day(spark, preds)
     topics = tables["topics"].collect()
     assert sum(r["count"] for r in topics) == tables["kpis"].first()["articles"]
     assert spark.read.parquet(f"{model_dir}/vocabulary").count() == model.tfidf.vocab_size
+
+    with pytest.raises(ValueError, match="no processed rows"):
+        jobs.train_window(spark, processed, None, run_date="1990-01-01")

@@ -13,7 +13,7 @@ def usable_text(df: DataFrame, text_column: str) -> DataFrame:
 
     A missing column is an analysis-time error, as in the reference."""
     if text_column not in df.columns:
-        raise ValueError(f"Missing text column: {text_column}")
+        raise ValueError(f"no column {text_column!r} to take texts from")
     return df.where(F.length(strip_ws(F.coalesce(F.col(text_column), F.lit("")))) > 0)
 
 
@@ -21,7 +21,7 @@ def supervised_rows(df: DataFrame, text_column: str, target_column: str) -> Data
     """FLT-04: drop rows with a NULL text or target and keep non-empty text (not stripped)."""
     for c in (text_column, target_column):
         if c not in df.columns:
-            raise ValueError(f"Missing required column: {c}")
+            raise ValueError(f"no column {c!r} to train on")
     return df.dropna(subset=[text_column, target_column]).where(F.length(text_column) > 0)
 
 

@@ -385,7 +385,7 @@ def topic_terms(spark: SparkSession, H: np.ndarray, vocabulary: DataFrame, top_n
     k, V = H.shape
     ti, vi = np.nonzero(H >= 0)
     pdf = pd.DataFrame({"topic_id": ti.astype(np.int32), "term_idx": vi.astype(np.int32), "weight": H[ti, vi]})
-    h = spark.createDataFrame(pdf)
+    h = spark.createDataFrame(pdf, "topic_id int, term_idx int, weight double")
     w = Window.partitionBy("topic_id").orderBy(F.desc("weight"), F.asc("term_idx"))
     ranked = h.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
     from topicloom.operators.joins import broadcast_if_small

@@ -60,18 +60,26 @@ def train_window(
     assignments_path: str | None = None,
 ) -> tuple[TR.TopicModel, DataFrame]:
     """E2: rolling window ending at ``run_date`` (``config.window_days`` days; all
-    days when ``run_date`` is None) -> fitted model and training assignments."""
+    days when ``run_date`` is None) -> fitted model and training assignments.
+
+    An empty window and one without usable text are errors; days of the window
+    without data are listed in the saved metadata."""
+    from topicloom.operators import dedup, filters
+
     config = config or TopicModelConfig()
     df = spark.read.parquet(processed_path).withColumn("ds", F.col("ds").cast("string"))
     if run_date:
         first = start or spark.range(1).select(dates.window_start(F.lit(run_date), config.window_days).cast("string")).first()[0]
         df = FD.read_window(spark, processed_path, first, run_date).withColumn("ds", F.col("ds").cast("string"))
+        filters.require_rows(df, f"no processed rows from {first} to {run_date}")
+        absent = [str(r["day"]) for r in FD.missing_days(spark, df, first, run_date).orderBy("day").collect()]  # days of one window
+    else:
+        absent = []
     # DDP-02 across the window in file (day) order, then FLT-03
-    from topicloom.operators import dedup, filters
-
     narrow = df.select("ord", "ds", "headline", "url", config.text_column)
     kept = dedup.drop_training_duplicates(narrow.withColumn("_o", F.struct("ds", "ord")), "_o").drop("_o")
     docs = filters.usable_text(kept, config.text_column).withColumn("doc_id", F.col("ord"))
+    filters.require_rows(docs, f"no row has text in {config.text_column!r}")
     model, X = TR.fit_topics(docs, config)
     assignments = TR.assign(model, X)
     if assignments_path:
@@ -82,6 +90,7 @@ def train_window(
     if model_path:
         meta = {
             "run_date": run_date,
+            "missing_days": absent,
             "algorithm": config.algorithm,
             "n_topics": config.n_topics,
             "text_column": config.text_column,
@@ -93,11 +102,16 @@ def train_window(
     return model, assignments
 
 
-def score_day(spark: SparkSession, processed_path: str, model: TR.TopicModel, out_path: str | None, run_date: str | None = None) -> DataFrame:
-    """E3 / ML-13: processed rows + topic_id, topic_score, topic_keywords.
+def score_day(
+    spark: SparkSession, processed_path: str, model: TR.TopicModel | str, out_path: str | None, run_date: str | None = None
+) -> DataFrame:
+    """E3 / ML-13: processed rows + topic_id, topic_score, topic_keywords.  ``model`` is a
+    fitted model or the path of a saved one.
 
     Rows are scored where they are (the vectors keep ``doc_id`` = ``ord``), then
     joined back to their processed columns on ``ord``."""
+    if isinstance(model, str):
+        model = TR.load_topic_model(spark, model)
     df = spark.read.parquet(processed_path).withColumn("ds", F.col("ds").cast("string"))
     if run_date:
         df = df.where(F.col("ds") == run_date)

@@ -547,7 +547,8 @@ def q_nmf_one_step(spark, sf_dir):
     H1 = NMF.multiplicative_h_step(WtW, WtX, NMF.cyclic_start_h(ONE_STEP_K, tm.vocab_size))
     ti, vi = np.indices(H1.shape)
     pdf = pd.DataFrame({"topic_id": ti.ravel().astype("int32"), "term_idx": vi.ravel().astype("int32"), "h": H1.ravel()})
-    return spark.createDataFrame(pdf).select("topic_id", "term_idx", F.round("h", 6).alias("h"))
+    h = spark.createDataFrame(pdf, "topic_id int, term_idx int, h double")
+    return h.select("topic_id", "term_idx", F.round("h", 6).alias("h"))
 
 
 # ------------------------------------------------------------------ ML-07..09, SCL-18 (k-means)
@@ -1117,6 +1118,17 @@ def q_model_artifacts(spark, sf_dir):
     return parsed.select("algorithm", "n_topics", "vocabulary_size", F.explode("topic_keywords").alias("topic_id", "keywords"))
 
 
+@register("saved_model_scoring")
+def q_saved_model_scoring(spark, sf_dir):
+    """SNK-04 + ML-13: train and save, then score every processed article as a job of its own that
+    has nothing but the saved model's path."""
+    from topicloom.plans import jobs
+
+    path, landed = ST.scratch(spark, "topic-model"), _landed_processed(spark, sf_dir)
+    jobs.train_window(spark, landed, path)
+    return jobs.score_day(spark, landed, path, None).select("ord", "topic_id", "topic_score", "topic_keywords")
+
+
 @register("run_metrics")
 def q_run_metrics(spark, sf_dir):
     """SNK-05 + ML-16: quality metrics appended as (run_id, metric, value) rows and read back."""

@@ -3,7 +3,9 @@ TF-IDF -> NMF -> keywords / assignments / metrics."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicloom.operators import dedup, filters
@@ -79,6 +81,33 @@ def fit_topics(docs: DataFrame, config: TopicModelConfig | None = None) -> tuple
     return model, X
 
 
+def load_topic_model(spark: SparkSession, path: str) -> TopicModel:
+    """The model that ``sinks.save_topic_model`` wrote: all that scoring needs, from storage alone.
+
+    H comes to the driver whole, as in the fit: topics x vocabulary, both bounded by the
+    saved configuration and checked against it."""
+    fitted = json.loads(spark.read.text(f"{path}/metadata").first()["value"])["fitted"]
+    k, size = fitted["n_topics"], fitted["vocabulary_size"]
+    components = spark.read.parquet(f"{path}/components")
+    if components.count() != k * size:
+        raise ValueError(f"{path}: components don't fit {k} topics and {size} terms")
+    h = components.toPandas()
+    H = np.zeros((k, size))
+    H[h["topic_id"].to_numpy(), h["term_idx"].to_numpy()] = h["weight"].to_numpy()
+    features = tfidf.TfidfModel(
+        tfidf.TfidfConfig(**fitted["tfidf"]), spark.read.parquet(f"{path}/vocabulary"), fitted["tfidf_docs"], size
+    )
+    return TopicModel(
+        features,
+        H,
+        spark.read.parquet(f"{path}/keywords"),
+        spark.read.parquet(f"{path}/terms"),
+        fitted["reconstruction_error"],
+        fitted["n_iter"],
+        fitted["n_docs"],
+    )
+
+
 def assign(model: TopicModel, X: DataFrame) -> DataFrame:
     """WIN-03 + JON-04 + SCL-09: topic id/score per row, keywords of the topic (broadcast, k rows)."""
     a = nmf.transform(X, model.H)

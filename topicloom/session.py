@@ -44,8 +44,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for cutting lineage.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    filesystem).  Only when it is unset -- tests and local runs -- do we pick a
-    scratch folder ourselves.
+    filesystem).  Only a local master may leave it unset -- tests and local runs --
+    and gets a scratch folder; on a cluster that is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -54,8 +54,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tl-ckpt-"))
+    else:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return sc.getCheckpointDir()
 
 

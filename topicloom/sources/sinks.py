@@ -40,14 +40,31 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 
 def save_topic_model(spark: SparkSession, model, path: str, metadata: dict) -> None:
-    """SNK-04: vocabulary, H (long form) and keywords as Parquet + metadata JSON."""
+    """SNK-04: vocabulary, H (long form) and keywords as Parquet + metadata JSON.
+
+    The metadata also hold what ``train.load_topic_model`` needs to rebuild the model."""
+    from dataclasses import asdict
+
     import numpy as np
     import pandas as pd
 
+    fitted = {
+        "tfidf": asdict(model.tfidf.config),
+        "vocabulary_size": model.tfidf.vocab_size,
+        "n_topics": int(model.H.shape[0]),
+        "n_docs": model.n_docs,
+        "tfidf_docs": model.tfidf.n_docs,
+        "n_iter": model.n_iter,
+        "reconstruction_error": model.reconstruction_error,
+    }
+    metadata = metadata | {"fitted": fitted}
+
     model.tfidf.vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary")
     ti, vi = np.indices(model.H.shape)
     h = pd.DataFrame({"topic_id": ti.ravel().astype("int32"), "term_idx": vi.ravel().astype("int32"), "weight": model.H.ravel()})
-    spark.createDataFrame(h).write.mode("overwrite").parquet(f"{path}/components")
+    components = spark.createDataFrame(h, "topic_id int, term_idx int, weight double")
+    components.write.mode("overwrite").parquet(f"{path}/components")
+    model.terms.write.mode("overwrite").parquet(f"{path}/terms")
     model.keywords.write.mode("overwrite").parquet(f"{path}/keywords")
     meta = spark.createDataFrame([(json.dumps(metadata, default=str),)], "metadata string")
     meta.coalesce(1).write.mode("overwrite").text(f"{path}/metadata")

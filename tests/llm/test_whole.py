@@ -15,3 +15,38 @@ def test_pii_is_searched_in_every_text(spark):
     for v, (a, n), (b, m) in zip(values, alone, beside):
         assert (n, m) == (1, 2) and v not in a
         assert b.startswith(a)
+
+
+def luhn(number):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed([c for c in number if c.isdigit()]))]
+    return sum(x - 9 * (x > 9) for x in doubled) % 10 == 0
+
+
+def test_cards_beside_other_numbers(spark):
+    card, spaced = "4111111111111111", "4111 1111 1111 1111"
+    (alone, _), (apart, _) = pseudonyms(spark, [card, spaced])
+    assert alone == apart.replace(" ", "") != card and luhn(alone)
+    around = ["{} 12/25", "{} 123", "2 {}", "12 {} 12", "2024-{}", "{} 12 50", "77 {}-7", "{} x", "{} {}", "{} 1234567890123456789012"]
+    texts = [a.replace("{}", c) for c in (card, spaced) for a in around]
+    want = [(a.replace("{}", c), a.count("{}")) for c in (alone, apart) for a in around]
+    assert pseudonyms(spark, texts) == want
+    assert pseudonyms(spark, ["4111 1111 1111 1112", "3782 822463 10005 1234"])[0] == ("4111 1111 1111 1112", 0)
+
+
+def test_values_after_a_card_are_found(spark):
+    card = "4222222222222"
+    others = ["2024-01-05", "12/31/1999", "078-05-1120", "555-123-4567", "10.1.2.3", "1a@b.example", "0123456789" * 4]
+    alone = [t for t, _ in pseudonyms(spark, [card, *others])]
+    assert pseudonyms(spark, [f"{card} {o}" for o in others]) == [(f"{alone[0]} {a}", 2) for a in alone[1:]]
+    assert all(a != o for a, o in zip(alone, [card, *others]))
+
+
+def test_phones_and_month_first_dates(spark):
+    phones = ["+1-555-123-4567", "1-800-555-1234", "555 123 4567", "+1.555.123.4567", "+1 (414) 555-3519"]
+    for p, (t, n) in zip(phones, pseudonyms(spark, [f"5 call {p}, 7" for p in phones])):
+        assert n == 1 and p not in t and len(t) == len(f"5 call {p}, 7")
+    days = [f"{m:02}/{d}/{y}" for y in (1999, 2001) for m in range(1, 13) for d in range(13, 29)]
+    moved = pseudonyms(spark, days)
+    assert len({t for t, _ in moved}) == len(days) and all(1 <= int(t[:2]) <= 12 < int(t[3:5]) for t, _ in moved)
+    assert sum(n for _, n in moved) >= len(days) - 2
+    assert pseudonyms(spark, ["13/31/1999", "31/02/1999"]) == [("13/31/1999", 0), ("31/02/1999", 0)]

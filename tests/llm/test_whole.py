@@ -1,6 +1,8 @@
 """Values, pages, windows and lines that were passed over before."""
 
-from topicloom.llm import pii
+import pytest
+
+from topicloom.llm import htmlmain, pii
 
 
 def pseudonyms(spark, texts):
@@ -50,3 +52,22 @@ def test_phones_and_month_first_dates(spark):
     assert len({t for t, _ in moved}) == len(days) and all(1 <= int(t[:2]) <= 12 < int(t[3:5]) for t, _ in moved)
     assert sum(n for _, n in moved) >= len(days) - 2
     assert pseudonyms(spark, ["13/31/1999", "31/02/1999"]) == [("13/31/1999", 0), ("31/02/1999", 0)]
+
+
+@pytest.mark.parametrize("name", ["single no-sidebar", "has-sidebar", "comments-open", "nav-fixed", "post tag-social-media", "category-advertising", "sidebar"])
+@pytest.mark.parametrize("page", ["<html><body class='{}'><p>a</p></body>", "<main class='{}'><p>a</p></main>", "<article class='{}'><p>a</p></article>"])
+def test_holders_are_no_noise(page, name):
+    assert htmlmain.main_text(page.format(name), None, None) == "a"
+
+
+def test_noise_names_the_element():
+    for name in ("no-sidebar", "has-sidebar", "comments-open", "nav-fixed", "post tag-social-media", "category-advertising", "page ad-free"):
+        assert htmlmain.main_text(f"<div class='{name}'><p>a</p></div>", None, None) == "a"
+    for name in ("sidebar", "x ad-slot", "site-footer", "main-nav", "cookie-notice", "widget_text", "post-comments", "header__nav", "social-media"):
+        assert htmlmain.main_text(f"<p>a</p><div class='{name}'><p>b</p></div>", None, None) == "a"
+
+
+def test_attributes_are_pairs():
+    page = "<p>one <a href='/hidden-gems'>two</a> <a title='the hidden truth' data-id=nav>three</a> <i data-hidden>four</i> five</p><div title=\"class='ad'\">six</div>"
+    assert htmlmain.main_text(page, None, None) == "one two three four five\nsix"
+    assert htmlmain.main_text("<p>a</p><p hidden>x</p><p id='n'class='ad'>y</p><div HIDDEN=''>z</div>", None, None) == "a"

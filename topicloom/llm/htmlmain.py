@@ -44,7 +44,7 @@ _TOKEN = re.compile(
     r"|<(?P<close>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
-_ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math xmp noembed noframes object".split())
 BLOCK = frozenset(
@@ -64,12 +64,21 @@ CLOSES = {
     "body": ({"head"}, {"html"}),
 }
 NOISE_TAGS = frozenset("head nav footer aside form fieldset button select option dialog menu search legend".split()) | RAW
-_NOISE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adverts?|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscri\w+|"
+#: A class, id or role names such an element if it is one of these words, alone, after words of
+#: place, or before any others but a state: "site-nav", "ad-slot"; not "no-sidebar", "comments-open".
+_WORDS = (
+    r"ad|ads|advert\w*|adverts?|sponsor\w*|promo\w*|banner|cookie\w*|consent|gdpr|notice|notices|alert|popup|modal|overlay|newsletter|subscri\w+|"
     r"sidebar|side-?bar|nav\w*|menu\w*|breadcrumbs?|pagination|pager|footer|site-?header|masthead|topbar|toolbar|comments?|replies|reply|discussion|disqus|"
-    r"share|sharing|social\w*|related\w*|recommend\w*|widget\w*|login|search|skip\w*|complementary|contentinfo|navigation|search-?form)(?:$|[\s_-])",
-    re.I,
+    r"share|sharing|social\w*|related\w*|recommend\w*|widget\w*|login|search|skip\w*|complementary|contentinfo|navigation|search-?form"
 )
+_PLACES = (
+    "site|page|main|primary|secondary|top|bottom|left|right|upper|lower|global|local|header|head|post|posts|article|entry|story|blog|section|block|user|"
+    "mobile|desktop|sticky|floating|inline|js|c|o|m|l|wp|google|dfp|the|div|my|sub"
+)
+_STATES = "open|opened|closed?|fixed|enabled|disabled|active|inactive|visible|shown|collapsed|expanded|on|off|none|free"
+_NOISE = re.compile(rf"(?:(?:{_PLACES})[_-]+)*(?:{_WORDS})(?![^_-])(?!.*[_-](?:{_STATES})$)", re.I)
+#: Elements that hold the content whatever their classes say.
+HOLDERS = frozenset("html body main article".split())
 
 
 class Page:
@@ -138,7 +147,7 @@ class Page:
                     parts.append(" " if name == "br" else "")
                 continue
             if name not in BLOCK:
-                noise = self.noise[open_tags[-1][1]] or (bool(m["attrs"]) and _is_noise(m["attrs"])) or name in NOISE_TAGS
+                noise = self.noise[open_tags[-1][1]] or (bool(m["attrs"]) and _is_noise(name, m["attrs"])) or name in NOISE_TAGS
                 if noise and not self.noise[open_tags[-1][1]]:  # an inline element of its own kind is a node
                     flush()
                     open_tags.append((name, self._node(open_tags[-1][1], name, m["attrs"], True)))
@@ -153,7 +162,7 @@ class Page:
                 for _ in names:
                     close_until(names, bounds)
             up = open_tags[-1][1]
-            noise = self.noise[up] or name in NOISE_TAGS or (bool(m["attrs"]) and _is_noise(m["attrs"]))
+            noise = self.noise[up] or name in NOISE_TAGS or (bool(m["attrs"]) and _is_noise(name, m["attrs"]))
             if name == "header" and not any(t in ("article", "main") for t, _ in open_tags):
                 noise = True
             open_tags.append((name, self._node(up, name, m["attrs"], noise)))
@@ -162,9 +171,7 @@ class Page:
     def _node(self, up: int, name: str, attrs: str, noise: bool) -> int:
         kind = ""
         if attrs:
-            for k, *v in _ATTR.findall(attrs):
-                if k.lower() == "class":
-                    kind = re.sub(r"\d+", "0", " ".join("".join(v).split()[:2]))
+            kind = re.sub(r"\d+", "0", " ".join(_pairs(attrs).get("class", "").split()[:2]))
         self.parent.append(up)
         self.tag.append(name)
         self.label.append(f"{name}.{kind}" if kind else name)
@@ -172,17 +179,21 @@ class Page:
         return len(self.parent) - 1
 
 
-def _is_noise(attrs: str) -> bool:
+def _pairs(attrs: str) -> dict[str, str]:
+    """Attribute values by lower-case name; the first of a name counts."""
+    out: dict[str, str] = {}
     for key, *values in _ATTR.findall(attrs):
-        value, key = "".join(values), key.lower()
-        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
-        if key == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        elif key in ("class", "id", "role") and _NOISE.search(value):
-            return True
-    return False
+        out.setdefault(key.lower(), "".join(values))
+    return out
+
+
+def _is_noise(name: str, attrs: str) -> bool:
+    pairs = _pairs(attrs)
+    if "hidden" in pairs or pairs.get("aria-hidden", "").lower() == "true":
+        return True
+    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", pairs.get("style", ""), re.I):
+        return True
+    return name not in HOLDERS and any(_NOISE.match(t) for k in ("class", "id", "role") for t in pairs.get(k, "").split())
 
 
 def fold(page: Page) -> tuple[str, list[int]]:

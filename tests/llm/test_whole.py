@@ -1,8 +1,10 @@
 """Values, pages, windows and lines that were passed over before."""
 
+import random
+
 import pytest
 
-from topicloom.llm import htmlmain, pii
+from topicloom.llm import decontam, htmlmain, pii
 
 
 def pseudonyms(spark, texts):
@@ -71,3 +73,23 @@ def test_attributes_are_pairs():
     page = "<p>one <a href='/hidden-gems'>two</a> <a title='the hidden truth' data-id=nav>three</a> <i data-hidden>four</i> five</p><div title=\"class='ad'\">six</div>"
     assert htmlmain.main_text(page, None, None) == "one two three four five\nsix"
     assert htmlmain.main_text("<p>a</p><p hidden>x</p><p id='n'class='ad'>y</p><div HIDDEN=''>z</div>", None, None) == "a"
+
+
+def test_blocks_make_no_difference_to_cutting(spark):
+    def words(a, b):
+        return " ".join(f"w{i}" for i in range(a, b))
+
+    rng = random.Random(5)
+    items = [words(1, 11), words(6, 16), words(30, 40), words(50, 55) + " " + words(60, 65), "p q r"]
+    texts = [words(1, 16) + " x" * 20, words(1, 11) + " y " + words(30, 40) + " z" * 4, words(50, 55) + " " + words(1, 16) + " " + words(60, 65) + " x" * 99, words(50, 55) + " p q r " + words(60, 65) + " x" * 99, None, "", "clean text", "p q r"]
+    texts += [" ".join(rng.choice([*items, "x", "y z", words(1, 6), words(60, 65), words(50, 55)]) for _ in range(rng.randint(1, 8))) for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "same") for i, t in enumerate(texts)], "doc_id long, text string, __k string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    one = sorted((decontam.remove_leaks(docs, bench)).collect())
+    for size in (5, 12):
+        assert len(list(decontam.blocks(bench, decontam.WINDOW, size))) > 1
+        left = decontam.remove_leaks(docs, bench, block_words=size)
+        assert left.schema == docs.schema and sorted(left.collect()) == one
+        assert not left.where("text is not null").join(decontam.report(left, bench).where("contaminated"), "doc_id").count()
+    by = {r["doc_id"]: r["text"] for r in one}
+    assert by[0] == " ".join("x" * 20) and 1 not in by and by[3] == " ".join("x" * 99)

@@ -26,6 +26,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, BooleanType, StructField, StructType
 
 from topicloom.llm.common import land
 
@@ -276,34 +277,83 @@ def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ma
     """``docs`` with every occurring window cut out of its text; documents of which the
     windows cover ``max_coverage`` of the words or more are dropped.
 
-    Cutting is repeated until no window of the block is left (a cut may bring words
-    together).  Columns and clean rows stay as they are."""
-    spark = docs.sparkSession
-    out_schema = docs.schema
-    fields = docs.columns
-    at_text = fields.index("text")
-    cur, made = docs, 0
-    for block in blocks(benchmark, window, block_words):
-        automaton = spark.sparkContext.broadcast(Automaton(block, window))
-
-        def step(batches: Iterator[pa.RecordBatch], automaton=automaton) -> Iterator[pa.RecordBatch]:
+    A round finds the windows of all blocks on the text as it is, then cuts them at once
+    or drops the document; rounds are repeated on the rows that were cut until none has a
+    window left (a cut may bring words together).  The number and order of blocks make no
+    difference.  Columns and clean rows stay as they are."""
+    todo = blocks(benchmark, window, block_words)
+    block = next(todo, None)
+    if block is None:
+        return docs
+    if next(todo, None) is None:
+        return _remove_by_one(docs, Automaton(block, window), max_coverage)
+    spark, names = docs.sparkSession, docs.columns
+    at_text, n = names.index("text"), len(names)
+    schema = StructType([*docs.schema.fields, StructField("__leak_spans", BinaryType()), StructField("__leak_cut", BooleanType())])
+
+    def find(automaton):
+        def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a = automaton.value
             for batch in batches:
-                texts, keep = batch.column(at_text).to_pylist(), []
-                changed = False
-                for i, text in enumerate(texts):
-                    words = words_of(text)
-                    spans, _ = a.match(words)
-                    keep.append(not spans or sum(y - x for x, y in spans) < max_coverage * len(words))
-                    while spans and keep[-1]:
-                        texts[i], changed = cut(texts[i], spans), True
-                        spans, _ = a.match(words_of(texts[i]))
-                if changed:
-                    batch = batch.set_column(at_text, batch.schema.field(at_text), pa.array(texts, batch.schema.field(at_text).type))
-                yield batch if all(keep) else batch.filter(pa.array(keep))
+                spans = batch.column(n).to_pylist()
+                for i, text in enumerate(batch.column(at_text).to_pylist()):
+                    got, _ = a.match(words_of(text))
+                    if got:
+                        spans[i] = b"".join(struct.pack("<qq", *x) for x in _merge([*struct.iter_unpack("<qq", spans[i]), *got]))
+                yield batch.set_column(n, batch.schema.field(n), pa.array(spans, batch.schema.field(n).type))
 
-        if made:
-            cur = land(cur, "decontam-cut")
-        cur = cur.mapInArrow(step, out_schema)
-        made += 1
-    return cur
+        return step
+
+    def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, keep, changed = batch.column(at_text).to_pylist(), [], []
+            for i, packed in enumerate(batch.column(n).to_pylist()):
+                spans = list(struct.iter_unpack("<qq", packed))
+                # As with one block, only the first round can drop a document.
+                first = batch.column(n + 1)[i].as_py() is None
+                keep.append(not (spans and first) or sum(y - x for x, y in spans) < max_coverage * len(words_of(texts[i])))
+                changed.append(bool(spans))
+                if spans and keep[-1]:
+                    texts[i] = cut(texts[i], spans)
+            batch = batch.set_column(at_text, batch.schema.field(at_text), pa.array(texts, batch.schema.field(at_text).type))
+            batch = batch.set_column(n, batch.schema.field(n), pa.array([b""] * len(keep), batch.schema.field(n).type))
+            batch = batch.set_column(n + 1, batch.schema.field(n + 1), pa.array(changed, pa.bool_()))
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    done = None
+    cur = docs.select(*names, F.lit(b"").alias("__leak_spans"), F.lit(None).cast("boolean").alias("__leak_cut"))
+    while True:
+        for block in blocks(benchmark, window, block_words):
+            automaton = spark.sparkContext.broadcast(Automaton(block, window))
+            cur = land(cur.mapInArrow(find(automaton), schema), "decontam-block")
+            automaton.unpersist()
+        cur = land(cur.mapInArrow(cut_all, schema), "decontam-cut")
+        settled = cur.where("not __leak_cut").select(*names)
+        done = settled if done is None else done.unionByName(settled)
+        cur = cur.where("__leak_cut")
+        if cur.isEmpty():
+            return done
+
+
+def _remove_by_one(docs: DataFrame, automaton: Automaton, max_coverage: float) -> DataFrame:
+    """The rounds of ``remove_leaks`` where one block holds the benchmark: in one pass."""
+    at_text = docs.columns.index("text")
+    shared = docs.sparkSession.sparkContext.broadcast(automaton)
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = shared.value
+        for batch in batches:
+            texts, keep = batch.column(at_text).to_pylist(), []
+            changed = False
+            for i, text in enumerate(texts):
+                words = words_of(text)
+                spans, _ = a.match(words)
+                keep.append(not spans or sum(y - x for x, y in spans) < max_coverage * len(words))
+                while spans and keep[-1]:
+                    texts[i], changed = cut(texts[i], spans), True
+                    spans, _ = a.match(words_of(texts[i]))
+            if changed:
+                batch = batch.set_column(at_text, batch.schema.field(at_text), pa.array(texts, batch.schema.field(at_text).type))
+            yield batch if all(keep) else batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(step, docs.schema)

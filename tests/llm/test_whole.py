@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from topicloom.llm import decontam, htmlmain, pii
+from topicloom.llm import decontam, htmlmain, linededup, pii
 
 
 def pseudonyms(spark, texts):
@@ -93,3 +93,21 @@ def test_blocks_make_no_difference_to_cutting(spark):
         assert not left.where("text is not null").join(decontam.report(left, bench).where("contaminated"), "doc_id").count()
     by = {r["doc_id"]: r["text"] for r in one}
     assert by[0] == " ".join("x" * 20) and 1 not in by and by[3] == " ".join("x" * 99)
+
+
+def test_line_runs_with_any_white_space(spark):
+    def lost(text, copy):
+        d = spark.createDataFrame([(1, text), (2, "own line\n" + copy)], "doc_id long, text string")
+        return {r["doc_id"]: (r["text"], r["n_deleted"]) for r in linededup.dedup_lines(d).collect()}
+
+    words = [f"w{i}" for i in range(60)]
+    for gap in ("\t", "\u00a0", " ", " \t ", "\u3000"):
+        line = gap.join(words)
+        assert lost(line, line) == {1: (line, 0), 2: ("own line", 1)}
+        short = gap.join(words[:49] if gap != " \t " else words[:20])
+        assert lost(short, short)[2][1] == 0
+    lines = [" ".join(words[i : i + 20]) for i in (0, 20, 40)]
+    for end in ("\r\n", "\t\n", "\u00a0\n", " \r\n"):
+        assert lost("\n".join(lines), end.join(lines) + end)[2] == ("own line\n", 3)
+    han = "\u4e2d\u6587" * 60
+    assert lost(han, han)[2] == ("own line", 1) and lost(han[:60], han[:60])[2][1] == 0

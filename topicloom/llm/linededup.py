@@ -8,7 +8,8 @@ order with a common prefix of L lines -- and the first of them in (doc_id, text
 line) order is the original.
 
 A maximal repeated run counts if it has ``min_words`` words or more, a line counting
-as one word at least.  Such a run is exactly the union of the shortest runs of
+as one word at least.  Words stand between white space; in scripts written without
+spaces, every two characters count as a word.  Such a run is exactly the union of the shortest runs of
 ``min_words`` that start, or end, at its lines; so these two runs of each line, at
 most ``min_words`` lines long, are all that has to be named: the levels needed do not
 grow with the corpus.  The later copies' lines are deleted.
@@ -18,7 +19,7 @@ split by the skew join, as its right side has one row a name.  The window functi
 are over one document's lines.
 
 Defined results: a null text stays null and has no lines; an empty text is one empty
-line; lines compare after trimming spaces; rows equal in doc_id and text are one
+line; lines compare after trimming white space, carriage returns and no-break spaces included; rows equal in doc_id and text are one
 document here and stay as often as they come, treated alike; a document that loses
 all its lines keeps an empty text; other columns pass through.
 """
@@ -33,14 +34,23 @@ from topicloom.llm.common import land
 
 MIN_WORDS = 50
 
+#: White space, as a class: Unicode's, and the zero-width space and byte order mark.
+SPACE = r"[\s\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+#: Scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
+UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{3007}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
+
 DOC = ["_d", "_h"]
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """(_d, _h, pos, line, weight): the lines of every distinct (doc_id, text)."""
     exploded = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_h"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "_l"))
-    line = F.trim("_l")
-    words = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "))) + 1
+    line = F.regexp_replace("_l", f"^{SPACE}+|(?<!{SPACE}){SPACE}+\\z", "")
+    # Spaces count one by one, other white space by the run without them.
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" ")))
+    others = F.regexp_count(line, F.lit(f"(?<!{SPACE})(?:(?! ){SPACE})++(?!{SPACE})"))
+    unspaced = F.regexp_count(line, F.lit(f"{UNSPACED}{{2}}"))
+    words = spaces + others + unspaced + 1
     rows = exploded.select(*DOC, "pos", F.xxhash64(line).alias("line"), words.cast("long").alias("weight"))
     return rows.repartition(*DOC).dropDuplicates([*DOC, "pos"])
 

@@ -111,3 +111,25 @@ def test_line_runs_with_any_white_space(spark):
         assert lost("\n".join(lines), end.join(lines) + end)[2] == ("own line\n", 3)
     han = "\u4e2d\u6587" * 60
     assert lost(han, han)[2] == ("own line", 1) and lost(han[:60], han[:60])[2][1] == 0
+
+
+def main_texts(spark, pages):
+    d = spark.createDataFrame([(i, f"http://{h}/{i}", p) for i, (h, p) in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in htmlmain.extract(d).orderBy("page_id").collect()]
+
+
+def test_wrappers_of_mixed_hosts(spark):
+    kinds = ["<p>Story {0}.</p>", "<h2>Head {0}</h2>", "<ul><li>Point {0}</li></ul>"]
+    body = ["".join(kinds[(i // 3**j) % 3].format(f"{i} {j}") for j in range(4)) + f"<pre>x{i}</pre>" * (i % 2) for i in range(20)]
+    one = "<html><body><div class=top>Our own menu</div><div class=text>{}</div><div class=end>Call us</div></body></html>"
+    two = "<html><body><table><tr><td>Shop list</td></tr></table><section><p>Item {} is good to have.</p></section></body></html>"
+    error = "<html><body><h1>Error</h1></body></html>"
+    pages = [("mixed", one.format(b)) for b in body] + [("mixed", None)] * 30 + [("mixed", error)] * 30 + [("mixed", two.format(i)) for i in range(6)]
+    pages += [("small", one.format(f"<p>{'Long story ' * 5}{i}.</p>")) for i in range(3)] + [("pair", f"<div>Date {i}</div><div>{'The same story. ' * 9}</div>") for i in range(2)]
+    got = main_texts(spark, pages)
+    plain = [htmlmain.main_text(f"<div>{b}</div>", None, None) for b in body]
+    assert got[:20] == plain
+    assert got[20:50] == [""] * 30 and got[50:80] == ["Error"] * 30
+    assert got[80:86] == [f"Item {i} is good to have." for i in range(6)]
+    assert got[86:89] == [f"{'Long story ' * 5}{i}." for i in range(3)]
+    assert all("The same story." in t for t in got[89:])

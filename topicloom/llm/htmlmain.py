@@ -2,17 +2,22 @@
 
 Pages are parsed into element trees; inline elements, scripts and comments are no
 nodes, and a run of like siblings (paragraphs, list items) is folded into one node.
-For every host the most frequent folded tree is the wrapper.  Each page's tree is
-aligned with its host's wrapper by simple tree matching (Yang 1991): equal roots,
-then the best order-keeping matching of children.  A wrapper node whose text is the
-same on nearly all distinct pages of the host is template; the others are slots.
+Pages of equal text count once and pages without text not at all.  A host has up to
+WRAPPERS wrappers: its pages are clustered by the upper levels of their trees, and the
+most frequent folded tree of each of the largest clusters is one.  Each page's tree is
+aligned with them by simple tree matching (Yang 1991): equal roots, then the best
+order-keeping matching of children; the wrapper that fits best is the page's own.  A
+wrapper node is template if its text is the same on nearly all pages whose own wrapper
+it is; or, for pages with that very text, on nearly all pages of the host that have the
+node, which serves layouts of few pages; or, on a host of few pages, on all of two or
+more, if that is less than half of the page's text.  The other nodes are slots.
 Slots are content unless their element says otherwise (navigation, footers, adverts,
 forms, comments, ...); where a page marks an article, content is inside it.
 
-Statistics cover all pages: counts are combined in the tasks, then by (host, node,
-text), so a host with a third of all pages is no single task.  Pages of equal text
-count once, so copies of an article do not make it look like a template.  The wrapper
-table has a row a host and joins by size, as Spark sees fit.
+Statistics cover all pages: counts are combined in the tasks, then by (host, wrapper,
+node, text), so a host with a third of all pages is no single task.  Copies of an article
+do not make it look like a template.  The wrapper table has a row a host and joins by
+size, as Spark sees fit.
 
 Defined results: a null or empty html gives an empty text; a null or odd url belongs
 to the host ''; markup that is cut off or unclosed is closed at the end; white space
@@ -37,6 +42,8 @@ from topicloom.llm.common import land
 
 #: A wrapper node is template if this share of at least so many distinct pages agrees.
 TEMPLATE_SHARE, MIN_PAGES = 0.9, 5
+#: Wrappers a host, and the levels below the root that tell its clusters apart.
+WRAPPERS, LEVELS = 8, 5
 MEMO = 5000
 
 _TOKEN = re.compile(
@@ -303,6 +310,26 @@ def aligned(form: str, wrapper: str) -> list[int]:
     return got
 
 
+def best_of(form: str, wrappers: list[str]) -> int:
+    """The wrapper with the largest share of matched nodes; the first of equals."""
+
+    def share(w: str) -> float:
+        to = aligned(form, w)
+        return 2 * sum(v >= 0 for v in to) / (len(to) + 1 + w.count(",") + w.count("("))
+
+    return max(range(len(wrappers)), key=lambda k: (share(wrappers[k]), -k)) if len(wrappers) > 1 else 0
+
+
+def shape_of(form: str) -> int:
+    """Hash of the upper levels of a folded tree."""
+    out, depth = [], 0
+    for m in re.finditer(r"[^(),]+|[(),]", form):
+        depth += (m[0] == "(") - (m[0] == ")")
+        if depth <= LEVELS:
+            out.append(m[0])
+    return _hash("".join(out))
+
+
 def _hash(text: str) -> int:
     h = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
     return h - (1 << 64) if h >> 63 else h
@@ -317,14 +344,21 @@ def outline(source: str) -> tuple[str, dict[int, int], int]:
     """(folded tree, text hash of each folded node with text, hash of the whole text)."""
     page = Page(source)
     form, at = fold(page)
+    return form, node_texts(page, at), _hash("\n".join(t for _, t in page.blocks))
+
+
+def node_texts(page: Page, at: list[int]) -> dict[int, int]:
+    """Text hash of each folded node with text."""
     texts: dict[int, list[str]] = {}
     for node, text in page.blocks:
         texts.setdefault(at[node], []).append(text)
-    return form, {v: _hash("\n".join(t)) for v, t in texts.items()}, _hash("\n".join(t for _, t in page.blocks))
+    return {v: _hash("\n".join(t)) for v, t in texts.items()}
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, template): a row a host; template lists the wrapper's constant nodes."""
+    """(host, wrappers, template): a row a host; template lists the constant nodes as
+    (wrapper, node, text, kind): kind 0 whatever the page's text there, 1 for that text,
+    2 for that text if it is the lesser part of the page."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -333,42 +367,70 @@ def induce(pages: DataFrame) -> DataFrame:
                 {
                     "host": batch.column("host"),
                     "form": pa.array([x[0] for x in out], pa.string()),
+                    "shape": pa.array([shape_of(x[0]) for x in out], pa.int64()),
                     "page": pa.array([x[2] for x in out], pa.int64()),
                     "nodes": pa.array([list(x[1]) for x in out], pa.list_(pa.int32())),
                     "texts": pa.array([list(x[1].values()) for x in out], pa.list_(pa.int64())),
                 }
             )
 
-    rows = pages.select(host().alias("host"), "html").mapInArrow(read, "host string, form string, page long, nodes array<int>, texts array<long>")
+    rows = pages.select(host().alias("host"), "html").mapInArrow(read, "host string, form string, shape long, page long, nodes array<int>, texts array<long>")
     rows = land(rows, "html-outlines")
-    most = Window.partitionBy("host").orderBy(F.desc("n"), "form")
-    wrappers = rows.groupBy("host", "form").agg(F.count("*").alias("n")).withColumn("r", F.row_number().over(most)).where("r = 1").select("host", F.col("form").alias("wrapper"))
-    distinct = rows.groupBy("host", "page").agg(F.min(F.struct("form", "nodes", "texts")).alias("x")).select("host", "x.*")
+    distinct = rows.where(F.size("nodes") > 0).groupBy("host", "page").agg(F.min(F.struct("form", "shape", "nodes", "texts")).alias("x")).select("host", "x.*")
+    distinct = land(distinct, "html-pages")
+    forms = distinct.groupBy("host", "shape", "form").agg(F.count("*").alias("n"))
+    shapes = forms.groupBy("host", "shape").agg(F.sum("n").alias("size"), F.max(F.struct("n", "form")).alias("best")).select("host", "size", "best.form")
+    most = Window.partitionBy("host").orderBy(F.desc("size"), F.desc(F.length("form")), "form")
+    few = shapes.withColumn("r", F.row_number().over(most)).where(F.col("r") <= WRAPPERS)
+    wrappers = few.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("r", "form"))).alias("w")).select("host", F.col("w.form").alias("wrappers"))
+    sizes = forms.groupBy("host").agg(F.sum("n").alias("pages"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        own: Counter = Counter()
         for batch in batches:
             for r in batch.to_pylist():
-                to = aligned(r["form"], r["wrapper"])
-                seen.update((r["host"], to[v], t) for v, t in zip(r["nodes"], r["texts"]) if to[v] >= 0)
+                best = best_of(r["form"], r["wrappers"])
+                for k, w in enumerate(r["wrappers"]):
+                    to = aligned(r["form"], w)
+                    keys = [(r["host"], k, to[v], t) for v, t in zip(r["nodes"], r["texts"]) if to[v] >= 0]
+                    seen.update(keys)
+                    if k == best:
+                        own.update(keys)
             if len(seen) > 100_000:
-                yield out(seen)
-        yield out(seen)
-
-    def out(seen: Counter) -> pa.RecordBatch:
-        keys = list(seen)
-        got = pa.RecordBatch.from_pydict({"host": pa.array([k[0] for k in keys], pa.string()), "node": pa.array([k[1] for k in keys], pa.int32()), "text": pa.array([k[2] for k in keys], pa.int64()), "n": pa.array(list(seen.values()), pa.int64())})
+                yield out(seen, own)
+        yield out(seen, own)
+
+    def out(seen: Counter, own: Counter) -> pa.RecordBatch:
+        host, k, node, text = ([x[i] for x in seen] for i in range(4))
+        got = pa.RecordBatch.from_pydict(
+            {
+                "host": pa.array(host, pa.string()),
+                "wrapper": pa.array(k, pa.int32()),
+                "node": pa.array(node, pa.int32()),
+                "text": pa.array(text, pa.int64()),
+                "n": pa.array(list(seen.values()), pa.int64()),
+                "own": pa.array([own[x] for x in seen], pa.int64()),
+            }
+        )
         seen.clear()
+        own.clear()
         return got
 
-    counts = distinct.join(wrappers, "host").mapInArrow(count, "host string, node int, text long, n long")
-    counts = counts.groupBy("host", "node", "text").agg(F.sum("n").alias("n")).groupBy("host", "node").agg(F.sum("n").alias("n"), F.max("n").alias("top"))
-    constant = counts.where((F.col("n") >= MIN_PAGES) & (F.col("top") >= TEMPLATE_SHARE * F.col("n")))
-    template = constant.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("template"))
+    counts = distinct.select("host", "form", "nodes", "texts").join(wrappers, "host").mapInArrow(count, "host string, wrapper int, node int, text long, n long, own long")
+    counts = counts.groupBy("host", "wrapper", "node", "text").agg(F.sum("n").alias("n"), F.sum("own").alias("own"))
+    counts = counts.groupBy("host", "wrapper", "node").agg(F.sum("n").alias("n"), F.max(F.struct("n", "text")).alias("top"), F.sum("own").alias("own"), F.max("own").alias("top_own"))
+    kind = (
+        F.when((F.col("own") >= MIN_PAGES) & (F.col("top_own") >= TEMPLATE_SHARE * F.col("own")), 0)
+        .when((F.col("n") >= MIN_PAGES) & (F.col("top.n") >= TEMPLATE_SHARE * F.col("n")), 1)
+        .when((F.col("pages") < MIN_PAGES) & (F.col("n") >= 2) & (F.col("top.n") == F.col("n")), 2)
+    )
+    constant = counts.join(sizes, "host").withColumn("kind", kind).where("kind is not null")
+    template = constant.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("wrapper", "node", F.col("top.text").alias("text"), "kind"))).alias("template"))
     return land(wrappers.join(template, "host", "left"), "html-wrappers")
 
 
-def main_text(source: str, wrapper: str | None, template: list[int] | None) -> str:
+def main_text(source: str, wrappers: list[str] | None, template: list[dict] | None) -> str:
     """Blocks of the page's content slots, one a line."""
     page = Page(source)
     inside = [False] * len(page.parent)
@@ -376,14 +438,19 @@ def main_text(source: str, wrapper: str | None, template: list[int] | None) -> s
     scope = "article" if marked[0] else "main" if marked[1] else ""
     for v in range(1, len(page.parent)):
         inside[v] = inside[page.parent[v]] or (page.tag[v] == scope and not page.noise[v])
-    fixed: set[int] = set(template or ())
-    if fixed and wrapper is not None:
+    slots = [(v, t) for v, t in page.blocks if not page.noise[v] and (inside[v] or not scope)]
+    if slots and wrappers and template:
         form, at = fold(page)
-        to = aligned(form, wrapper)
-        const = [to[at[v]] in fixed for v in range(len(page.parent))]
-    else:
-        const = [False] * len(page.parent)
-    return "\n".join(t for v, t in page.blocks if not page.noise[v] and not const[v] and (inside[v] or not scope))
+        own = best_of(form, wrappers)
+        to = aligned(form, wrappers[own])
+        fixed = {x["node"]: x for x in template if x["wrapper"] == own}
+        texts = node_texts(page, at)
+        for kinds in ((0, 1), (2,)):
+            const = {v for v, t in texts.items() if (x := fixed.get(to[v])) and x["kind"] in kinds and (x["kind"] == 0 or x["text"] == t)}
+            left = [(v, t) for v, t in slots if at[v] not in const]
+            if kinds == (0, 1) or 2 * sum(len(t) for _, t in left) > sum(len(t) for _, t in slots):
+                slots = left
+    return "\n".join(t for _, t in slots)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -395,7 +462,7 @@ def extract(pages: DataFrame) -> DataFrame:
         for batch in batches:
             texts = [
                 main_text(h or "", w, t)
-                for h, w, t in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist(), batch.column("template").to_pylist())
+                for h, w, t in zip(batch.column("html").to_pylist(), batch.column("wrappers").to_pylist(), batch.column("template").to_pylist())
             ]
             yield pa.RecordBatch.from_pydict({"page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import bpe, decontam, htmlmain, jaccard, linededup, pii, sharding, toxicity, vptree, warc
+from topicloom.llm import bpe, decontam, htmlmain, jaccard, linededup, merkle, pii, sharding, toxicity, vptree, warc
 from topicloom.llm.common import table
 from topicloom.session import ship_package
 
@@ -133,6 +133,57 @@ def op10(spark, sf_dir):
     return linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+#: Lower-case A-Z only.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP11_SQL = """
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, list_transform(
+    [[CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text], [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')]],
+    lambda v: sha256(array_to_string(list_transform(v, lambda x: CASE WHEN x IS NULL THEN '-' ELSE strlen(x) || ':' || x END), ''))) AS h
+  FROM documents),
+crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, x: xor(c >> 1, 3988292384 * (c & 1)), CAST(i AS BIGINT))) AS t),
+leaf AS (
+  SELECT doc_id, lang, h[1] AS leaf,
+         CASE WHEN xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(unicode(x) AS BIGINT)),
+              lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 3 = 0 THEN h[2] ELSE h[1] END AS shown,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i
+  FROM f, crc),
+node(lvl, lang, i, h, n) AS (
+  SELECT 0, lang, i, leaf, count(*) OVER (PARTITION BY lang) FROM leaf
+  UNION ALL
+  SELECT lvl + 1, lang, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM node WHERE n > 1 GROUP BY lvl, lang, i // 8, n),
+top AS (SELECT lang, lvl AS height, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS i FROM node WHERE n = 1),
+tnode(lvl, i, h, n) AS (
+  SELECT 0, i, h, count(*) OVER () FROM top
+  UNION ALL
+  SELECT lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM tnode WHERE n > 1 GROUP BY lvl, i // 8, n),
+every AS (
+  SELECT lvl, lang, i, h, n, 'rows' AS part FROM node WHERE n > 1
+  UNION ALL SELECT tnode.lvl + top.height, top.lang, tnode.i, tnode.h, tnode.n, 'groups' FROM tnode, top WHERE tnode.n > 1),
+own(doc_id, lang, lvl, i, j, h, ti) AS (
+  SELECT doc_id, leaf.lang, 0, leaf.i, CASE WHEN height = 0 THEN top.i ELSE leaf.i END, shown, top.i FROM leaf JOIN top ON leaf.lang IS NOT DISTINCT FROM top.lang
+  UNION ALL
+  SELECT o.doc_id, o.lang, o.lvl + 1, any_value(o.i), CASE WHEN o.lvl + 1 = any_value(top.height) THEN any_value(o.ti) ELSE o.j // 8 END,
+         sha256(string_agg(CASE WHEN e.i = o.j THEN o.h ELSE e.h END, '' ORDER BY e.i)), any_value(o.ti)
+  FROM own o JOIN every e ON e.lvl = o.lvl AND e.lang IS NOT DISTINCT FROM o.lang AND e.i // 8 = o.j // 8
+  JOIN top ON top.lang IS NOT DISTINCT FROM o.lang GROUP BY o.doc_id, o.lang, o.lvl, o.j),
+proof AS (
+  SELECT o.doc_id, sha256(coalesce(string_agg(e.h, '' ORDER BY e.lvl, e.i), '')) AS p
+  FROM own o LEFT JOIN every e ON e.lvl = o.lvl AND e.lang IS NOT DISTINCT FROM o.lang AND e.i // 8 = o.j // 8 AND e.i <> o.j GROUP BY o.doc_id),
+last AS (SELECT doc_id, arg_max(h, lvl) AS folded FROM own GROUP BY doc_id)
+SELECT leaf.doc_id, leaf.leaf, top.h AS subroot, r.h AS root, proof.p AS proof_sha256, folded AS folded_root, folded = r.h AS verified
+FROM leaf JOIN top ON leaf.lang IS NOT DISTINCT FROM top.lang JOIN proof USING (doc_id) JOIN last USING (doc_id) CROSS JOIN (SELECT h FROM tnode WHERE n = 1) r
+"""
+
+
+@register("op11_merkle_manifest", OP11_SQL)
+def op11(spark, sf_dir):
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    return merkle.proofs(table(spark, sf_dir, "documents"), tampered)
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import bpe, decontam, htmlmain, jaccard, linededup, merkle, pii, sharding, toxicity, vptree, warc
+from topicloom.llm import bpe, decontam, htmlmain, jaccard, linededup, merkle, periods, pii, sharding, toxicity, vptree, warc
 from topicloom.llm.common import table
 from topicloom.session import ship_package
 
@@ -184,6 +184,39 @@ def op11(spark, sf_dir):
     return merkle.proofs(table(spark, sf_dir, "documents"), tampered)
 
 
+OP12_SQL = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, x: xor(c >> 1, 3988292384 * (c & 1)), CAST(i AS BIGINT))) AS t),
+w0 AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+       xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(unicode(x) AS BIGINT)),
+           lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) AS h FROM documents, crc),
+w1 AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g FROM w0),
+w2 AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n END AS a FROM w1),
+w3 AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM w2),
+pos AS (SELECT doc_id, n, i, CASE WHEN a IS NULL OR i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END AS x
+        FROM (SELECT *, unnest(range(n)) AS i FROM w3)),
+same AS (SELECT a.doc_id, b.i - a.i AS q, a.i FROM pos a JOIN pos b ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i AND 3 * (b.i - a.i) <= a.n),
+isl AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM same),
+stretch AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS len FROM isl GROUP BY doc_id, q, k HAVING count(*) + q >= greatest(24, 3 * q)),
+run AS (SELECT doc_id, s, len, min(q) AS q FROM stretch GROUP BY doc_id, s, len),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM run GROUP BY doc_id),
+top AS (SELECT r.* FROM run r WHERE NOT EXISTS (SELECT 1 FROM run o WHERE o.doc_id = r.doc_id AND
+        (o.len * r.q > r.len * o.q OR (o.len * r.q = r.len * o.q AND (o.s < r.s OR (o.s = r.s AND o.q < r.q)))))),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS body FROM pos ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT w0.doc_id, coalesce(n_runs, 0) AS n_runs, top.s AS start, top.len AS length, top.q AS period, 1000 * top.len // top.q AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(body, '')) AS collapsed_sha256
+FROM w0 LEFT JOIN listed USING (doc_id) LEFT JOIN top USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+@register("op12_periodic_runs", OP12_SQL)
+def op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", periods.planted(F.col("text"), F.col("doc_id")).alias("text"))
+    return periods.report(docs).drop("collapsed")
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicloom.llm import bpe, decontam, htmlmain, jaccard, linededup, merkle, periods, pii, sharding, toxicity, vptree, warc
+from topicloom.llm import bpe, decontam, htmlmain, jaccard, linededup, merkle, minhash, periods, pii, sharding, toxicity, vptree, warc
 from topicloom.llm.common import table
 from topicloom.session import ship_package
 
@@ -217,6 +217,19 @@ def op12(spark, sf_dir):
     return periods.report(docs).drop("collapsed")
 
 
+OP13_SQL = (
+    OP8_SQL.replace("list_slice(w, i, i + 4)", "list_slice(w, i, i + 2)")
+    .replace("greatest(len(w) - 4, 1)", "greatest(len(w) - 2, 1)")
+    .replace("100 * i >= 75 * (", "100 * i >= 85 * (")
+    .replace("AS component_id", "AS component_id, doc_id = least(doc_id, coalesce(m, doc_id)) AS kept")
+)
+
+
+@register("op13_bbit_minhash", OP13_SQL)
+def op13(spark, sf_dir):
+    return minhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline

@@ -3,23 +3,26 @@
 A document's set holds its distinct shingles of three words; two documents link when
 100 * intersection >= 85 * union.  Equal sets are one class first (128-bit keys).
 
-1. Signatures.  128 minima of a class's set under as many hash functions.  Four at a
+1. Signatures.  160 minima of a class's set under as many hash functions.  Five at a
    time are hashed into the 32 keys of its bands; of each, the two low bits are packed
-   into four longs.  A linked pair shares no band with probability below
-   (1 - 0.85 ** 4) ** 32, some 6e-11.
+   into five longs.  A linked pair shares no band with probability below
+   (1 - 0.85 ** 5) ** 32, some 7e-9.
 2. Candidates are classes that share a band.  Their similarity is estimated from the
    number of equal 2-bit values, a quarter of which agree by chance: a bit count of
    two packed signatures.  Pairs below ``MIN_EQUAL`` go; a linked pair falls below
    it with probability under 1e-9 (the binomial tail at 0.85).
 3. Confirmation compares full sets.  First, in ``HUB_ROUNDS`` rounds, every class is
    compared with one hub of its buckets, that with the best estimate, and links make
-   components.  Then all candidates that are still in different components are
-   compared, whatever the size of their bucket: no pair of a component is listed,
-   and none that could join two is left out.
+   components.  Buckets that still hold classes of two components are joined to blocks.
+   In a block, every class outside the largest component is compared with all the
+   others: by bit counts, then by full sets, inside tasks.  No pair is listed; a task
+   holds two chunks of sets at most.
 
-Pairs are confirmed hub by hub: a hub's set is held while its partners' sets stream
-past, hubs with many partners are split over tasks.  Buckets are aggregated before the
-shuffle and joins on them can be split as their other side has a row a bucket.
+Pairs with a hub are confirmed hub by hub: a hub's set is held while its partners' sets
+stream past, hubs with many partners are split over tasks.  Buckets are aggregated
+before the shuffle and joins on them can be split as their other side has a row a
+bucket.  The work in a block grows with the product of its classes and of those that no
+hub has linked to the largest component.
 
 Defined results: a null, empty or blank text has an empty set, links with nothing and
 is its own component; texts of one or two words have one shingle, the whole; rows with
@@ -42,12 +45,13 @@ from topicloom.llm.common import components, land, texts
 
 WORDS = 3
 PERCENT = 85
-HASHES, ROWS = 128, 4
+HASHES, ROWS = 160, 5
 BANDS = HASHES // ROWS
 BITS = 2
 HUB_ROUNDS = 2
-#: Shingles that stream past one copy of a hub, about.
+#: Shingles that stream past one copy of a hub, about; shingles of a chunk of a block.
 PART_SHINGLES = 2_000_000
+CHUNK_SHINGLES = 1_000_000
 #: Rows of (doc_id, hash) that may be sent to all executors: 32 MB at most.
 MAX_SMALL = 500_000
 
@@ -65,6 +69,10 @@ def min_equal(miss: float = 1e-9) -> int:
 
 MIN_EQUAL = min_equal()
 
+#: Packed signatures: longs, and their columns.
+LONGS = HASHES * BITS // 64
+SIG = [f"s{i}" for i in range(LONGS)]
+
 _FOLD = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
 _RNG = np.random.default_rng(13)
 _ODD = (_RNG.integers(0, 1 << 32, HASHES, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)[:, None]
@@ -127,14 +135,14 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def packed(least: np.ndarray) -> np.ndarray:
-    """Two bits of each minimum, hashed once more, in four longs."""
+    """Two bits of each minimum, hashed once more, in longs."""
     bits = (_mixed(least.astype(np.uint64) ^ _SEEDS) & np.uint64(3)).reshape(-1, 32)
     return np.bitwise_or.reduce(bits << (np.uint64(2) * np.arange(32, dtype=np.uint64)), axis=1)
 
 
 def signed_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, n, key, bands, s0..s3) of every row; nothing but n = 0 without shingles."""
-    schema = "doc_id long, th long, n long, key binary, bands array<long>, s0 long, s1 long, s2 long, s3 long"
+    """(doc_id, th, n, key, bands, s0, s1, ...) of every row; nothing but n = 0 without shingles."""
+    schema = "doc_id long, th long, n long, key binary, bands array<long>" + "".join(f", {c} long" for c in SIG)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,18 +153,18 @@ def signed_rows(docs: DataFrame) -> DataFrame:
                 least = minima(s) if len(s) else None
                 key.append(class_key(s) if len(s) else None)
                 bands.append(band_keys(least).view(np.int64) if len(s) else None)
-                sig.append(packed(least).view(np.int64).tolist() if len(s) else [None] * 4)
+                sig.append(packed(least).view(np.int64).tolist() if len(s) else [None] * LONGS)
             cols = {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "n": pa.array(n, pa.int64()), "key": pa.array(key, pa.binary()), "bands": pa.array(bands, pa.list_(pa.int64()))}
-            cols |= {f"s{i}": pa.array(c, pa.int64()) for i, c in enumerate(zip(*sig))} if sig else {f"s{i}": pa.array([], pa.int64()) for i in range(4)}
+            cols |= {c: pa.array([x[i] for x in sig], pa.int64()) for i, c in enumerate(SIG)}
             yield pa.RecordBatch.from_pydict(cols)
 
     return docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text").mapInArrow(step, schema)
 
 
 def equal_values(a: str, b: str) -> Column:
-    """How many of the 2-bit values of the signatures a0..a3 and b0..b3 agree."""
+    """How many of the 2-bit values of the signatures a0, a1, ... and b0, b1, ... agree."""
     out = F.lit(HASHES)
-    for i in range(HASHES * BITS // 64):
+    for i in range(LONGS):
         x = F.col(f"{a}{i}").bitwiseXOR(F.col(f"{b}{i}"))
         out = out - F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(0x5555555555555555))
     return out
@@ -169,7 +177,7 @@ def estimate(equal: Column) -> Column:
 
 
 def _signature(classes: DataFrame, key: str, name: str) -> DataFrame:
-    return classes.select(F.col("key").alias(key), *[F.col(f"s{i}").alias(f"{name}{i}") for i in range(4)])
+    return classes.select(F.col("key").alias(key), *[F.col(c).alias(f"{name}{i}") for i, c in enumerate(SIG)])
 
 
 def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
@@ -254,21 +262,100 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         found = land(confirm(land(best, f"minhash-pairs-{turn}"), classes, sets), f"minhash-links-{turn}")
         links = found if links is None else links.unionByName(found)
     rows = _open_buckets(shared, links, "minhash-rest")
-    signed = land(rows.join(classes.select("key", "s0", "s1", "s2", "s3"), "key"), "minhash-signed")
-    one = signed.select("bucket", F.col("key").alias("a"), F.col("comp").alias("ca"), *[F.col(f"s{i}").alias(f"p{i}") for i in range(4)])
-    two = signed.select(F.col("bucket").alias("_b"), F.col("key").alias("b"), F.col("comp").alias("cb"), *[F.col(f"s{i}").alias(f"q{i}") for i in range(4)])
-    rest = one.join(two, (F.col("bucket") == F.col("_b")) & (F.col("ca") < F.col("cb")) & (equal_values("p", "q") >= MIN_EQUAL)).select("a", "b").distinct()
-    found = land(confirm(land(rest, "minhash-pairs-rest"), classes, sets), "minhash-links-rest")
-    return links.unionByName(found)
+    return links.unionByName(land(block_links(rows, classes, sets), "minhash-links-rest"))
+
+
+def block_links(rows: DataFrame, classes: DataFrame, sets: DataFrame, chunk_shingles: int = CHUNK_SHINGLES) -> DataFrame:
+    """(a, b): links between different components of the open buckets (bucket, key, comp)."""
+    low = rows.groupBy("bucket").agg(F.min("comp").alias("b"))
+    edges = rows.join(low, "bucket").where("comp <> b").select(F.col("comp").alias("a"), "b").distinct()
+    blocks = components(edges, "minhash-blocks").select(F.col("comp").alias("block"), F.col("v").alias("comp"))
+    members = rows.select("key", "comp").distinct().join(blocks, "comp").join(classes.select("key", "n", *SIG), "key")
+    members = land(members, "minhash-members")
+    by_comp = members.groupBy("block", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
+    top = by_comp.groupBy("block").agg(F.max(F.struct("m", "comp", "shingles")).alias("top"), F.sum("shingles").alias("total"))
+    chunks = lambda x: F.greatest(F.ceil(x / chunk_shingles), F.lit(1)).cast("int")
+    top = top.select("block", F.col("top.comp").alias("main"), chunks(F.col("top.shingles")).alias("mains"), chunks(F.col("total") - F.col("top.shingles")).alias("rests"))
+    rest = F.col("comp") != F.col("main")
+    own = F.pmod(F.xxhash64("key"), F.when(rest, F.col("rests")).otherwise(F.col("mains"))).cast("int")
+    task = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    among = F.transform(F.sequence(F.lit(0), F.col("rests") - 1), lambda t: task(0, F.least(t, "own"), F.greatest(t, "own")))
+    to_main = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda t: task(1, F.col("own"), t))
+    from_main = F.transform(F.sequence(F.lit(0), F.col("rests") - 1), lambda t: task(1, t, F.col("own")))
+    placed = members.join(top, "block").withColumn("rest", rest).withColumn("own", own)
+    placed = placed.withColumn("t", F.explode(F.when(F.col("rest"), F.concat(among, to_main)).otherwise(from_main)))
+    placed = placed.select("key", "comp", "rest", "own", "block", "t.kind", "t.i", "t.j", *SIG)
+    place = ["block", "kind", "i", "j"]
+    dealt = sets.join(_small(placed), "key").repartition(*place).sortWithinPartitions(*place)
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            part = list(zip(*(batch.column(c).to_pylist() for c in place)))
+            cuts = [0, *(n for n in range(1, len(part)) if part[n] != part[n - 1]), len(part)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a < b and part[a] != now:
+                    yield _linked(now, held)
+                    now, held = part[a], []
+                if a < b:
+                    held.append(batch.slice(a, b - a))
+        yield _linked(now, held)
+
+    return dealt.select(*place, "key", "comp", "rest", "own", "hashes", *SIG).mapInArrow(step, "a binary, b binary")
+
+
+def _linked(place: tuple | None, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Links of a task's sets that join different components; a star for each."""
+    empty = pa.RecordBatch.from_pydict({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
+    if not held:
+        return empty
+    table = pa.Table.from_batches(held)
+    keys, comps = table.column("key").to_pylist(), table.column("comp").to_pylist()
+    once = list({k: n for n, k in enumerate(keys)}.values())  # a class may come with several equal texts
+    table, keys, comps = table.take(once), [keys[n] for n in once], [comps[n] for n in once]
+    sets = [np.frombuffer(h, np.uint64) for h in table.column("hashes").to_pylist()]
+    sig = np.column_stack([table.column(c).to_numpy() for c in SIG]).view(np.uint64)
+    own, rest = table.column("own").to_numpy(), np.array(table.column("rest").to_pylist(), bool)
+    _, kind, i, j = place
+    number: dict = {}
+    label = np.array([number.setdefault(c, len(number)) for c in comps])
+    sizes = np.array([len(s) for s in sets])
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    member = np.zeros(int(flat.max()) + 1, bool)
+    order = np.arange(len(sets))
+    out: list[tuple] = []
+    for q in np.flatnonzero(rest & (own == i)).tolist():
+        if kind == 1:
+            others = ~rest
+        else:
+            others = rest & (own == j) & ((order > q) | (i != j))
+        near = np.flatnonzero(others & (label != label[q]) & (100 * np.minimum(sizes, sizes[q]) >= PERCENT * np.maximum(sizes, sizes[q])))
+        x = sig[near] ^ sig[q]
+        equal = HASHES - np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(axis=1, dtype=np.int64)
+        near = near[equal >= MIN_EQUAL]
+        if not len(near):
+            continue
+        mine = flat[ends[q] - sizes[q] : ends[q]]
+        member[mine] = True
+        starts = ends[near] - sizes[near]
+        at = np.concatenate([flat[a:b] for a, b in zip(starts.tolist(), ends[near].tolist())])
+        both = np.add.reduceat(member[at], np.cumsum(sizes[near]) - sizes[near], dtype=np.int64)
+        member[mine] = False
+        for n in near[100 * both >= PERCENT * (sizes[near] + sizes[q] - both)].tolist():
+            if label[n] != label[q]:
+                out.append((keys[q], keys[n]))
+                label[label == label[n]] = label[q]
+    return pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in out], pa.binary()), "b": pa.array([b for _, b in out], pa.binary())}) if out else empty
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
     rows = land(signed_rows(docs), "minhash-rows")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th"))
-    same = [F.first(c).alias(c) for c in ("n", "bands", "s0", "s1", "s2", "s3")]
+    same = [F.first(c).alias(c) for c in ("n", "bands", *SIG)]
     classes = rows.where("n > 0").groupBy("key").agg(first.alias("f"), *same)
-    classes = land(classes.select("key", F.col("f.doc_id").alias("doc_id"), F.col("f.th").alias("th"), "n", "bands", "s0", "s1", "s2", "s3"), "minhash-classes")
+    classes = land(classes.select("key", F.col("f.doc_id").alias("doc_id"), F.col("f.th").alias("th"), "n", "bands", *SIG), "minhash-classes")
     comps = components(near_links(docs, classes), "minhash-components")
     rows = rows.select("doc_id", "n", "key").join(comps.select(F.col("v").alias("key"), "comp"), "key", "left")
     rows = rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "key").alias("comp"))

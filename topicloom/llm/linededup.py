@@ -19,7 +19,8 @@ split by the skew join, as its right side has one row a name.  The window functi
 are over one document's lines.
 
 Defined results: a null text stays null and has no lines; an empty text is one empty
-line; lines compare after trimming white space, carriage returns and no-break spaces included; rows equal in doc_id and text are one
+line; lines compare with white space trimmed and its runs taken as one space, carriage
+returns and no-break spaces included; rows equal in doc_id and text are one
 document here and stay as often as they come, treated alike; a document that loses
 all its lines keeps an empty text; other columns pass through.
 """
@@ -34,8 +35,8 @@ from topicloom.llm.common import land
 
 MIN_WORDS = 50
 
-#: White space, as a class: Unicode's, and the zero-width space and byte order mark.
-SPACE = r"[\s\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+#: White space but the line feed: Unicode's, the zero-width space and the byte order mark.
+SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
 #: Scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
 UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{3007}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 
@@ -44,13 +45,14 @@ DOC = ["_d", "_h"]
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """(_d, _h, pos, line, weight): the lines of every distinct (doc_id, text)."""
-    exploded = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_h"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "_l"))
-    line = F.regexp_replace("_l", f"^{SPACE}+|(?<!{SPACE}){SPACE}+\\z", "")
-    # Spaces count one by one, other white space by the run without them.
+    # Most texts hold no white space but spaces and line feeds: the rest is translated.
+    text = F.when(F.col("text").rlike(f"[{SPACES}]"), F.translate("text", SPACES, " " * len(SPACES))).otherwise(F.col("text"))
+    exploded = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_h"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "_l"))
+    line = F.when(F.contains("_l", F.lit("  ")), F.regexp_replace("_l", " {2,}", " ")).otherwise(F.col("_l"))
+    line = F.trim(line)
     spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" ")))
-    others = F.regexp_count(line, F.lit(f"(?<!{SPACE})(?:(?! ){SPACE})++(?!{SPACE})"))
-    unspaced = F.regexp_count(line, F.lit(f"{UNSPACED}{{2}}"))
-    words = spaces + others + unspaced + 1
+    unspaced = F.when(F.octet_length(line) > F.char_length(line), F.regexp_count(line, F.lit(f"{UNSPACED}{{2}}"))).otherwise(0)
+    words = spaces + unspaced + 1
     rows = exploded.select(*DOC, "pos", F.xxhash64(line).alias("line"), words.cast("long").alias("weight"))
     return rows.repartition(*DOC).dropDuplicates([*DOC, "pos"])
 

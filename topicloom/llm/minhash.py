@@ -52,6 +52,8 @@ HUB_ROUNDS = 2
 #: Shingles that stream past one copy of a hub, about; shingles of a chunk of a block.
 PART_SHINGLES = 2_000_000
 CHUNK_SHINGLES = 1_000_000
+#: Links that a task joins before the steps over the cluster.
+CONTRACT_LINKS = 200_000
 #: Rows of (doc_id, hash) that may be sent to all executors: 32 MB at most.
 MAX_SMALL = 500_000
 
@@ -211,6 +213,30 @@ def confirm(pairs: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     return dealt.select("hub", "turn", "key", "hashes").mapInArrow(step, "a binary, b binary")
 
 
+def linked_components(links: DataFrame, name: str) -> DataFrame:
+    """(v, comp) of the landed links (a, b).  Tasks first join what ``CONTRACT_LINKS`` links tell
+    and pass on a star for each; the steps over the cluster start from there."""
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        up: dict[bytes, bytes] = {}
+
+        def find(x: bytes) -> bytes:
+            while up.setdefault(x, x) != x:
+                up[x] = x = up[up[x]]
+            return x
+
+        for batch in batches:
+            for x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+                x, y = find(x), find(y)
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+        star = [(x, find(x)) for x in list(up) if find(x) != x]
+        yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in star], pa.binary()), "b": pa.array([y for _, y in star], pa.binary())})
+
+    parts = max(1, -(-links.count() // CONTRACT_LINKS))
+    return components(links.select("a", "b").coalesce(parts).mapInArrow(contract, "a binary, b binary"), name)
+
+
 def _small(df: DataFrame) -> DataFrame:
     """``df`` with a broadcast hint if it has ``MAX_SMALL`` rows at most."""
     few = df.limit(MAX_SMALL + 1).count() <= MAX_SMALL
@@ -238,7 +264,7 @@ def _open_buckets(shared: DataFrame, links: DataFrame | None, name: str) -> Data
     """Rows (bucket, key, comp) of the buckets that hold classes of two components."""
     if links is None:
         return shared.withColumn("comp", F.col("key"))
-    comps = components(links, f"{name}-comps")
+    comps = linked_components(links, f"{name}-comps")
     with_comp = shared.join(comps.select(F.col("v").alias("key"), "comp"), "key", "left").select("bucket", "key", F.coalesce("comp", "key").alias("comp"))
     mixed = with_comp.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
     return land(with_comp.join(mixed, "bucket"), f"{name}-open")
@@ -268,8 +294,8 @@ def near_links(docs: DataFrame, classes: DataFrame) -> DataFrame:
 def block_links(rows: DataFrame, classes: DataFrame, sets: DataFrame, chunk_shingles: int = CHUNK_SHINGLES) -> DataFrame:
     """(a, b): links between different components of the open buckets (bucket, key, comp)."""
     low = rows.groupBy("bucket").agg(F.min("comp").alias("b"))
-    edges = rows.join(low, "bucket").where("comp <> b").select(F.col("comp").alias("a"), "b").distinct()
-    blocks = components(edges, "minhash-blocks").select(F.col("comp").alias("block"), F.col("v").alias("comp"))
+    edges = land(rows.join(low, "bucket").where("comp <> b").select(F.col("comp").alias("a"), "b").distinct(), "minhash-edges")
+    blocks = linked_components(edges, "minhash-blocks").select(F.col("comp").alias("block"), F.col("v").alias("comp"))
     members = rows.select("key", "comp").distinct().join(blocks, "comp").join(classes.select("key", "n", *SIG), "key")
     members = land(members, "minhash-members")
     by_comp = members.groupBy("block", "comp").agg(F.count("*").alias("m"), F.sum("n").alias("shingles"))
@@ -356,7 +382,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     same = [F.first(c).alias(c) for c in ("n", "bands", *SIG)]
     classes = rows.where("n > 0").groupBy("key").agg(first.alias("f"), *same)
     classes = land(classes.select("key", F.col("f.doc_id").alias("doc_id"), F.col("f.th").alias("th"), "n", "bands", *SIG), "minhash-classes")
-    comps = components(near_links(docs, classes), "minhash-components")
+    comps = linked_components(near_links(docs, classes), "minhash-components")
     rows = rows.select("doc_id", "n", "key").join(comps.select(F.col("v").alias("key"), "comp"), "key", "left")
     rows = rows.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "key").alias("comp"))
     least = rows.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("least"))

@@ -9,8 +9,9 @@ from __future__ import annotations
 import os
 import tempfile
 import threading
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall clock, AQE for runtime re-planning
 # (partition coalescing, skew-join splitting), Arrow for the few pandas UDFs.
@@ -61,6 +62,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def land(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: lineage ends there."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex[:10]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 _SHIP_LOCK = threading.Lock()
 

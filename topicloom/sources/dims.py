@@ -115,8 +115,8 @@ def load_feeds(spark: SparkSession, config_path: str) -> DataFrame:
     "missing" from "present"."""
     import yaml  # optional dependency, only needed for YAML configs
 
-    with open(config_path, encoding="utf-8") as fh:
-        feeds = yaml.safe_load(fh)["sources"]
+    text = "\n".join(r["value"] for r in spark.read.text(config_path, wholetext=True).collect())  # one file, from any store
+    feeds = yaml.safe_load(text)["sources"]
     rows = []
     for i, feed in enumerate(feeds):
         rows.append(

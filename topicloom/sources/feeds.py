@@ -7,12 +7,15 @@ feed attributes are a small dimension joined by broadcast.
 
 from __future__ import annotations
 
+from urllib.parse import quote, unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicloom.functions import dates
 from topicloom.functions.html import clean_html
+from topicloom.operators.dedup import key_digest
 from topicloom.operators.joins import broadcast_if_small
 from topicloom.operators.ranking import distributed_rank
 
@@ -91,40 +94,67 @@ def normalize_api(results: DataFrame, feeds: DataFrame, strip_html: bool = True)
     )
 
 
-RSS_ITEM_SCHEMA = T.StructType(
-    [
-        T.StructField("title", T.StringType()),
-        T.StructField("link", T.StringType()),
-        T.StructField("description", T.StringType()),
-        T.StructField("summary", T.StringType()),
-        T.StructField("pubDate", T.StringType()),
-        T.StructField("updated", T.StringType()),
-        T.StructField("guid", T.StringType()),
-        T.StructField("feed", T.StringType()),
-    ]
+def _text_fields(*names: str) -> list[T.StructField]:
+    return [T.StructField(n, T.StringType()) for n in names]
+
+
+#: ``<link>`` holds an address in RSS and RDF; in Atom there are several, with attributes.
+LINK = T.StructType(_text_fields("_VALUE", "_href", "_rel"))
+#: Items of RSS 2.0 and RDF (RSS 1.0) files, and entries of Atom files, as far as they are used.
+ITEM_SCHEMA = T.StructType(
+    _text_fields("title", "description", "summary", "content:encoded", "content", "pubDate", "dc:date", "published", "updated", "guid", "id", "_rdf:about")
+    + [T.StructField("link", T.ArrayType(LINK)), T.StructField("_corrupt_record", T.StringType())]
 )
 
 
-def read_rss(spark: SparkSession, path: str, row_tag: str = "item") -> DataFrame:
-    """SRC-03: landed RSS files, one row per item (``row_tag="entry"`` for Atom).
-    PERMISSIVE mode keeps the parsable items of a malformed feed."""
-    df = (
-        spark.read.format("xml")
-        .option("rowTag", row_tag)
-        .option("mode", "PERMISSIVE")
-        .schema(RSS_ITEM_SCHEMA)
-        .load(path)
+def read_feeds(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-03: landed feed files of any of the three formats, one row an item or entry:
+    (guid, title, link, description, summary, published, updated, feed_key, source_file,
+    corrupt).  ``path`` holds a folder ``feed=<key>`` for each feed.
+
+    The format shows in the item: its link is the text of ``link`` or, in Atom, the address
+    of the alternate (or unmarked) ``link``; its summary falls back to the encoded content;
+    a time is ``pubDate`` or ``published``, else ``dc:date`` or ``updated``.  An item that
+    can't be parsed is kept, with its text in ``corrupt``; the others of its file are not
+    affected."""
+
+    def rows(tag: str) -> DataFrame:
+        reader = spark.read.format("xml").option("rowTag", tag).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+        return reader.schema(ITEM_SCHEMA).load(path).select("*", F.col("_metadata.file_path").alias("source_file"))
+
+    items = rows("item").unionByName(rows("entry"))  # a file has the one or the other
+    own = F.filter("link", lambda x: x["_href"].isNotNull() & F.coalesce(x["_rel"] == "alternate", F.lit(True)))
+    text = F.filter("link", lambda x: F.length(F.trim(x["_VALUE"])) > 0)
+    link = F.coalesce(F.trim(F.try_element_at(text, F.lit(1))["_VALUE"]), F.try_element_at(own, F.lit(1))["_href"])
+    col = lambda name: F.col(f"`{name}`")
+    return items.select(
+        F.coalesce("guid", "id", col("_rdf:about"), link).alias("guid"),
+        "title",
+        link.alias("link"),
+        "description",
+        F.coalesce("summary", col("content:encoded"), "content").alias("summary"),
+        F.coalesce("pubDate", "published").alias("published"),
+        F.coalesce(col("dc:date"), F.col("updated")).alias("updated"),
+        F.url_decode(F.regexp_extract("source_file", "feed=([^/]+)/", 1)).alias("feed_key"),
+        "source_file",
+        F.col("_corrupt_record").alias("corrupt"),
     )
-    return df.withColumn("published", F.col("pubDate")).withColumn("source_file", F.col("_metadata.file_path"))
 
 
-def read_api_pages(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+#: What is used of an API page; reading it needs no second pass to infer a schema.
+API_RESULT = T.StructType(
+    [T.StructField("ord", T.LongType()), *_text_fields("feed_key", "webTitle", "webUrl", "webPublicationDate")]
+    + [T.StructField("fields", T.StructType(_text_fields("headline", "trailText", "shortUrl", "bodyText")))]
+)
+API_PAGE = T.StructType(
+    [T.StructField("response", T.StructType([*_text_fields("status"), T.StructField("currentPage", T.LongType()), T.StructField("results", T.ArrayType(API_RESULT))]))]
+)
+
+
+def read_api_pages(spark: SparkSession, path: str, schema: T.StructType = API_PAGE, multi_line: bool = True) -> DataFrame:
     """SRC-05: landed API pages (one JSON document per file, or one per line).
     A page whose status is not ``ok`` fails the job, as the reference raises on it."""
-    reader = spark.read.option("multiLine", multi_line)
-    if schema is not None:
-        reader = reader.schema(schema)
-    pages = reader.json(path).withColumn("source_file", F.col("_metadata.file_path"))
+    pages = spark.read.option("multiLine", multi_line).schema(schema).json(path).withColumn("source_file", F.col("_metadata.file_path"))
     checked = pages.withColumn(
         "_ok",
         F.when(F.col("response.status") == "ok", F.lit(True)).otherwise(
@@ -187,9 +217,32 @@ def load_predictions(df: DataFrame) -> DataFrame:
     return out
 
 
-def prediction_dates(df: DataFrame, ds: str = "ds") -> DataFrame:
-    """SRC-12: available dates, newest first."""
-    return df.select(ds).distinct().orderBy(F.desc(ds))
+def partition_values(spark: SparkSession, path: str, column: str = "ds") -> list[str]:
+    """SRC-12: the values of a table's first partition column, ascending, from the names of its
+    folders: one listing, no file is opened."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
+    return sorted(unquote(n.partition("=")[2]) for n in names if n.startswith(f"{column}="))
+
+
+def prediction_dates(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-12: available dates, newest first (a row a day)."""
+    days = [(d,) for d in reversed(partition_values(spark, path))]
+    return spark.createDataFrame(days, "ds string")
+
+
+def read_day(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """One day of a table partitioned by ``ds`` (the newest), with ``ds`` as text.  Only that
+    day's folder is listed and read.  A day that isn't there is an error."""
+    days = partition_values(spark, path)
+    day = day or max(days, default=None)
+    if day not in days:
+        raise FileNotFoundError(f"{path} has no day {day}" if day else f"{path} has no days")
+    return spark.read.option("basePath", path).parquet(f"{path}/ds={quote(day, safe='-')}").withColumn("ds", F.lit(day))
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -206,11 +259,13 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """PRJ-02: per column, non-null and exact distinct counts (one aggregate pass),
-    returned in long form ``(column, non_null, distinct)``."""
+    """PRJ-02: per column, non-null and distinct counts (one aggregate pass), returned in long
+    form ``(column, non_null, distinct)``.  Values are counted by 16-byte digests, so whole
+    texts are neither copied per column nor shuffled."""
+    narrow = df.select(*[F.when(F.col(c).isNotNull(), key_digest(F.col(c))).alias(c) for c in df.columns])
     aggs = []
     for c in df.columns:
         aggs += [F.count(F.col(c)).alias(f"nn_{c}"), F.count_distinct(F.col(c)).alias(f"nd_{c}")]
-    wide = df.agg(*aggs)
+    wide = narrow.agg(*aggs)
     entries = [F.struct(F.lit(c).alias("column"), F.col(f"nn_{c}").alias("non_null"), F.col(f"nd_{c}").alias("distinct")) for c in df.columns]
     return wide.select(F.explode(F.array(*entries)).alias("p")).select("p.*")

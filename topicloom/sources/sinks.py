@@ -55,6 +55,8 @@ def save_topic_model(spark: SparkSession, model, path: str, metadata: dict) -> N
         "n_docs": model.n_docs,
         "tfidf_docs": model.tfidf.n_docs,
         "n_iter": model.n_iter,
+        "converged": model.converged,
+        "unsolved_rows": model.unsolved_rows,
         "reconstruction_error": model.reconstruction_error,
     }
     metadata = metadata | {"fitted": fitted}

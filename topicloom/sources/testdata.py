@@ -13,12 +13,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicloom.sources import dims
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# Headline suffix by doc_id % 12 (fixture variety: region keywords, boilerplate, URLs).
+# Headline suffix by doc_id % 12 (fixture variety: region keywords, boilerplate, URLs); where it
+# is 7, the keywords of all regions in turn.
 HEADLINE_SUFFIXES = {
     0: " in france now",
     1: " Read more: state-of-the-art",
@@ -43,7 +46,10 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     doc_id, text = F.col("doc_id"), F.col("text")
     nl = F.instr(text, "\n")
-    suffix = F.lit("")
+    keywords = [kw for _, _, kw in dims.region_keyword_rows()]
+    nth = F.floor(doc_id / 12).cast("int") % len(keywords) + 1
+    keyword = F.element_at(F.split(F.lit("|".join(keywords)), r"\|"), nth)
+    suffix = F.when(doc_id % 12 == 7, F.concat(F.lit(" in "), keyword, F.lit(" today"))).otherwise("")
     for k in sorted(HEADLINE_SUFFIXES, reverse=True):
         suffix = F.when(doc_id % 12 == k, F.lit(HEADLINE_SUFFIXES[k])).otherwise(suffix)
     day = _pad2(doc_id % 28 + 1)
@@ -79,6 +85,29 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Days of event time that land together; every 17th event lands one batch later than its
+# day, every 29th two.
+ARRIVAL_DAYS = 10
+
+
+def event_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` with ``arrival``, the number of the landing each row comes with."""
+    e = table(spark, sf_dir, "events")
+    first = F.to_date(F.lit("2024-01-01"))
+    late = F.when(F.col("event_id") % 29 == 0, 2).when(F.col("event_id") % 17 == 0, 1).otherwise(0)
+    return e.withColumn("arrival", F.floor(F.datediff("ts", first) / ARRIVAL_DAYS).cast("int") + late)
+
+
+def land_in_turn(df: DataFrame, path: str, turn: str, run) -> list:
+    """Append the rows of each ``turn`` to ``path`` and call ``run()`` after each: what a
+    collector and an incremental job do in turn.  The runs' results in one list."""
+    out = []
+    for n in sorted(r[0] for r in df.select(turn).distinct().collect()):  # a few landings
+        df.where(F.col(turn) == n).drop(turn).write.mode("append").parquet(path)
+        out.extend(run())
+    return out
+
+
 # ---------------------------------------------------------------- derived landed sources
 # Feeds, RSS items and API results derived from ``documents`` (the same rules
 # are written in SQL in ``topicloom.plans.oracle``).  Some attributes are left
@@ -101,11 +130,13 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 5 == 0, F.lit(None)).otherwise(F.concat(F.lit("country"), (n % 5).cast("string"))).alias("country"),
         F.when(n % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("lang"), (n % 7).cast("string"))).alias("language"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example/rss")).alias("url"),
-        F.when(n % 3 == 1, F.concat(F.lit("api"), n.cast("string"))).alias("api_section"),
+        F.concat(F.lit("api"), n.cast("string")).alias("api_section"),
     )
 
 
 def rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with the whole text: its first line is the title, the rest the description
+    or, in every fourth item, the summary."""
     d = table(spark, sf_dir, "documents")
     doc_id, text = F.col("doc_id"), F.col("text")
     rest = F.when(F.instr(text, "\n") > 0, F.expr("substr(text, instr(text, char(10)) + 1)"))
@@ -115,7 +146,7 @@ def rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.split_part(text, F.lit("\n"), F.lit(1)).alias("title"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example/"), doc_id.cast("string")).alias("link"),
         F.when(doc_id % 4 == 0, F.lit(None).cast("string")).otherwise(rest).alias("description"),
-        F.when(doc_id % 4 == 0, F.concat(F.lit("summary "), doc_id.cast("string"))).alias("summary"),
+        F.when(doc_id % 4 == 0, rest).alias("summary"),
         F.when(doc_id % 9 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("2024-01-"), _pad2(doc_id % 28 + 1), F.lit("T06:00:00Z")))
         .alias("published"),
@@ -124,21 +155,22 @@ def rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def api_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results with the whole text: the first line is the title (and the headline, where that
+    is not left out), the rest the body and, in about half of them, the trail text."""
     d = table(spark, sf_dir, "documents")
     doc_id, text = F.col("doc_id"), F.col("text")
     first = F.split_part(text, F.lit("\n"), F.lit(1))
-    second = F.split_part(text, F.lit("\n"), F.lit(2))
     rest = F.when(F.instr(text, "\n") > 0, F.expr("substr(text, instr(text, char(10)) + 1)"))
     fields = F.struct(
         F.when(doc_id % 7 == 0, F.lit("")).when(doc_id % 11 == 0, F.lit(None).cast("string")).otherwise(first).alias("headline"),
-        F.when(doc_id % 3 == 0, F.lit("")).when(doc_id % 5 == 0, F.lit(None).cast("string")).otherwise(second).alias("trailText"),
+        F.when(doc_id % 3 == 0, F.lit("")).when(doc_id % 5 == 0, F.lit(None).cast("string")).otherwise(rest).alias("trailText"),
         F.concat(F.lit("https://s.example/"), doc_id.cast("string")).alias("shortUrl"),
-        F.when(doc_id % 2 == 0, F.lit(None).cast("string")).otherwise(rest).alias("bodyText"),
+        rest.alias("bodyText"),
     )
     return d.select(
         doc_id.alias("ord"),
         F.col("source").alias("feed_key"),
-        F.concat(F.lit("Title "), doc_id.cast("string")).alias("webTitle"),
+        F.concat(first, F.lit(" - "), F.col("source")).alias("webTitle"),
         F.concat(F.lit("https://api.example/"), F.col("source"), F.lit("/"), doc_id.cast("string")).alias("webUrl"),
         F.concat(F.lit("2024-01-"), _pad2(doc_id % 28 + 1), F.lit("T"), _pad2(doc_id % 24), F.lit(":15:00Z")).alias("webPublicationDate"),
         fields.alias("fields"),

@@ -10,9 +10,10 @@ Plan (alternating non-negative least squares, one Spark job per iteration):
 * Each pass solves every row ``w_i = argmin_{w>=0} ||x_i - w H||`` inside
   ``mapInPandas`` (vectorised coordinate descent over a whole Arrow batch, warm
   started from the clipped least-squares solution) and emits only the partial
-  sums ``W^T W`` (k x k), ``W^T X`` (k x V) and the error terms.  They are summed
-  by a ``groupBy`` (map-side partial aggregation) and the driver receives a
-  k x V matrix -- bounded by the model size, not by the data.
+  sums ``W^T W`` (k x k), ``W^T X`` (k x V) and the error terms, one array a topic:
+  some 3k rows a partition.  They are added up as a tree, ``FAN_IN`` partitions at a
+  time, and the driver receives a k x V matrix -- bounded by the model size, not by the
+  data.
 * The driver updates H by the same coordinate rule on those sums.
 * W is never stored, so lineage does not grow across iterations and a lost
   executor only costs a recomputation of one pass over the cached X.
@@ -20,7 +21,9 @@ Plan (alternating non-negative least squares, one Spark job per iteration):
   come from randomized subspace iteration built on the same pass machinery
   (``X^T (X Q)`` partial sums); the sign split needs only the norms of the
   positive and negative parts of ``X v / sigma`` (one more pass).
-* Stop when the relative drop of the error is below ``tol`` or at ``max_iter``.
+* Stop when the relative drop of the error is below ``tol`` or at ``max_iter``; the result
+  says which (``converged``), and how many rows the inner solver left unfinished in the
+  last pass (``unsolved_rows``).
 
 Assignment (WIN-03): topic = argmax of the row of W (lowest index on ties),
 score = the max; an all-zero row gives topic 0 with score 0.0.
@@ -33,14 +36,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PARTIAL_SCHEMA = "m int, i int, j int, v double"
+PARTIAL_SCHEMA = "part long, m int, i int, v array<double>"
+#: Partitions whose partial sums one task adds up.
+FAN_IN = 64
 # partial kinds
 M_WTW, M_WTX, M_SCALAR, M_GRAM, M_UNORM = 0, 1, 2, 3, 4
-S_XX, S_CROSS, S_SUMX, S_ROWS = 0, 1, 2, 3
+S_XX, S_CROSS, S_SUMX, S_ROWS, S_UNSOLVED = 0, 1, 2, 3, 4
 
 EPS = 1e-12
 
@@ -84,21 +91,28 @@ def solve_rows(B: np.ndarray, G: np.ndarray, max_sweeps: int = 200, tol: float =
     Minimises ``||x - w H||^2`` for each row given ``B = X H^T`` and ``G = H H^T``
     by cyclic coordinate descent, warm started from the clipped unconstrained
     solution."""
+    return _solve_rows(B, G, max_sweeps, tol)[0]
+
+
+def _solve_rows(B: np.ndarray, G: np.ndarray, max_sweeps: int = 200, tol: float = 1e-10) -> tuple[np.ndarray, int]:
+    """As ``solve_rows``, and how many rows still moved when the sweeps ran out."""
     k = G.shape[0]
     W = np.maximum(B @ np.linalg.pinv(G), 0.0)
     diag = np.diag(G).copy()
+    unsolved = 0
     for _ in range(max_sweeps):
-        change = 0.0
+        change = np.zeros(len(W))
         for j in range(k):
             if diag[j] <= EPS:
                 W[:, j] = 0.0
                 continue
             new = np.maximum(W[:, j] + (B[:, j] - W @ G[:, j]) / diag[j], 0.0)
-            change = max(change, float(np.abs(new - W[:, j]).max(initial=0.0)))
+            np.maximum(change, np.abs(new - W[:, j]), out=change)
             W[:, j] = new
-        if change <= tol * max(1.0, float(np.abs(W).max(initial=0.0))):
+        unsolved = int((change > tol * max(1.0, float(np.abs(W).max(initial=0.0)))).sum())
+        if not unsolved:
             break
-    return W
+    return W, unsolved
 
 
 def solve_h(A: np.ndarray, B: np.ndarray, H: np.ndarray, max_sweeps: int = 200, tol: float = 1e-10) -> np.ndarray:
@@ -122,28 +136,42 @@ def solve_h(A: np.ndarray, B: np.ndarray, H: np.ndarray, max_sweeps: int = 200,
 # ----------------------------------------------------------------- Spark passes
 
 
-def _long(m: int, mat: np.ndarray) -> pd.DataFrame:
-    ii, jj = np.indices(mat.shape)
-    return pd.DataFrame({"m": m, "i": ii.ravel().astype(np.int32), "j": jj.ravel().astype(np.int32), "v": mat.ravel()})
+def _rows_of(*matrices: tuple[int, np.ndarray]) -> pd.DataFrame:
+    """One row a matrix row, under the number of the partition that made it."""
+    part = TaskContext.get().partitionId()
+    rows = [(part, m, i, row) for m, matrix in matrices for i, row in enumerate(matrix)]
+    return pd.DataFrame(rows, columns=["part", "m", "i", "v"])
+
+
+def _add_up(table: pa.Table) -> pa.Table:
+    """The sum of the arrays of a group, under the number of its group of partitions."""
+    total = np.sum([np.asarray(v.values) for v in table.column("v")], axis=0)
+    first = {c: table.column(c)[:1] for c in ("part", "m", "i")}
+    return pa.table({**first, "v": pa.array([total], pa.list_(pa.float64()))}).cast(pa.schema([("part", pa.int64()), ("m", pa.int32()), ("i", pa.int32()), ("v", pa.list_(pa.float64()))]))
+
+
+def _collect_partials(df: DataFrame, partitions: int) -> dict[int, np.ndarray]:
+    """Add the partial rows up as a tree; only the sums (bounded by the model size) reach
+    the driver.  Returns each kind's matrix."""
+    while True:
+        df = df.withColumn("part", F.floor(F.col("part") / FAN_IN)).groupBy("part", "m", "i").applyInArrow(_add_up, PARTIAL_SCHEMA)
+        partitions = -(-partitions // FAN_IN)
+        if partitions <= 1:
+            break
+    rows = df.toArrow().to_pylist()
+    return {m: np.array([r["v"] for r in sorted((r for r in rows if r["m"] == m), key=lambda r: r["i"])]) for m in {r["m"] for r in rows}}
 
 
-def _collect_partials(df: DataFrame) -> dict[int, pd.DataFrame]:
-    """Sum the partial rows in Spark; only the reduced matrices (bounded by the
-    model size) reach the driver, via Arrow."""
-    pdf = df.groupBy("m", "i", "j").agg(F.sum("v").alias("v")).toPandas()
-    return {int(m): g for m, g in pdf.groupby("m")}
+def _matrix(parts: dict[int, np.ndarray], m: int, shape: tuple[int, int]) -> np.ndarray:
+    return parts.get(m, np.zeros(shape))
 
 
-def _dense(entries, shape: tuple[int, int]) -> np.ndarray:
-    a = np.zeros(shape)
-    if isinstance(entries, pd.DataFrame) and len(entries):
-        a[entries["i"].to_numpy(), entries["j"].to_numpy()] = entries["v"].to_numpy()
-    return a
+def _scalars(parts: dict[int, np.ndarray]) -> dict[int, float]:
+    return dict(enumerate(parts[M_SCALAR][0].tolist())) if M_SCALAR in parts else {}
 
 
-def _scalars(parts: dict[int, pd.DataFrame]) -> dict[int, float]:
-    g = parts.get(M_SCALAR)
-    return {} if g is None else {int(j): float(v) for j, v in zip(g["j"], g["v"])}
+def _pass(X: DataFrame, columns: list[str], part) -> dict[int, np.ndarray]:
+    return _collect_partials(X.select(*columns).mapInPandas(part, PARTIAL_SCHEMA), X.rdd.getNumPartitions())
 
 
 def als_pass(X: DataFrame, H: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
@@ -157,22 +185,23 @@ def als_pass(X: DataFrame, H: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[
         G = Hl @ Hl.T
         WtW = np.zeros((k, k))
         WtX = np.zeros((k, V))
-        xx = cross = rows_seen = 0.0
+        xx = cross = rows_seen = unsolved = 0.0
         for pdf in batches:
             rows, cols, vals, n = _flatten(pdf)
             B = _x_times(rows, cols, vals, n, Hl.T)
-            W = solve_rows(B, G)
+            W, left = _solve_rows(B, G)
+            unsolved += left
             WtW += W.T @ W
             WtX += _xt_times(rows, cols, vals, V, W).T
             xx += float(vals @ vals)
             cross += float((W * B).sum())
             rows_seen += n
-        scal = np.array([[xx, cross, 0.0, rows_seen]])
-        yield pd.concat([_long(M_WTW, WtW), _long(M_WTX, WtX), _long(M_SCALAR, scal)], ignore_index=True)
+        scal = np.array([[xx, cross, 0.0, rows_seen, unsolved]])
+        yield _rows_of((M_WTW, WtW), (M_WTX, WtX), (M_SCALAR, scal))
 
-    parts = _collect_partials(X.select("indices", "values").mapInPandas(part, PARTIAL_SCHEMA))
+    parts = _pass(X, ["indices", "values"], part)
     bH.unpersist()
-    return _dense(parts.get(M_WTW), (k, k)), _dense(parts.get(M_WTX), (k, V)), _scalars(parts)
+    return _matrix(parts, M_WTW, (k, k)), _matrix(parts, M_WTX, (k, V)), _scalars(parts)
 
 
 def fixed_w_pass(X: DataFrame, k: int, n_terms: int, w_of) -> tuple[np.ndarray, np.ndarray]:
@@ -186,10 +215,10 @@ def fixed_w_pass(X: DataFrame, k: int, n_terms: int, w_of) -> tuple[np.ndarray,
             W = w_of(pdf["doc_id"].to_numpy(), k)
             WtW += W.T @ W
             WtX += _xt_times(rows, cols, vals, n_terms, W).T
-        yield pd.concat([_long(M_WTW, WtW), _long(M_WTX, WtX)], ignore_index=True)
+        yield _rows_of((M_WTW, WtW), (M_WTX, WtX))
 
-    parts = _collect_partials(X.select("doc_id", "indices", "values").mapInPandas(part, PARTIAL_SCHEMA))
-    return _dense(parts.get(M_WTW), (k, k)), _dense(parts.get(M_WTX), (k, n_terms))
+    parts = _pass(X, ["doc_id", "indices", "values"], part)
+    return _matrix(parts, M_WTW, (k, k)), _matrix(parts, M_WTX, (k, n_terms))
 
 
 def cyclic_start_w(doc_ids, k: int) -> np.ndarray:
@@ -224,11 +253,11 @@ def _gram_pass(X: DataFrame, Q: np.ndarray) -> tuple[np.ndarray, dict[int, float
             Z += _xt_times(rows, cols, vals, V, _x_times(rows, cols, vals, n, Ql))
             sx += float(vals.sum())
             nrows += n
-        yield pd.concat([_long(M_GRAM, Z), _long(M_SCALAR, np.array([[0.0, 0.0, sx, nrows]]))], ignore_index=True)
+        yield _rows_of((M_GRAM, Z.T), (M_SCALAR, np.array([[0.0, 0.0, sx, nrows]])))
 
-    parts = _collect_partials(X.select("indices", "values").mapInPandas(part, PARTIAL_SCHEMA))
+    parts = _pass(X, ["indices", "values"], part)
     bQ.unpersist()
-    return _dense(parts.get(M_GRAM), (V, p)), _scalars(parts)
+    return _matrix(parts, M_GRAM, (p, V)).T, _scalars(parts)
 
 
 def _unorm_pass(X: DataFrame, Vk: np.ndarray, sigma: np.ndarray) -> np.ndarray:
@@ -245,11 +274,11 @@ def _unorm_pass(X: DataFrame, Vk: np.ndarray, sigma: np.ndarray) -> np.ndarray:
             U = _x_times(rows, cols, vals, n, Vl) / np.where(s > 0, s, 1.0)
             acc[:, 0] += (np.maximum(U, 0) ** 2).sum(axis=0)
             acc[:, 1] += (np.minimum(U, 0) ** 2).sum(axis=0)
-        yield _long(M_UNORM, acc)
+        yield _rows_of((M_UNORM, acc))
 
-    parts = _collect_partials(X.select("indices", "values").mapInPandas(part, PARTIAL_SCHEMA))
+    parts = _pass(X, ["indices", "values"], part)
     bV.unpersist()
-    return np.sqrt(_dense(parts.get(M_UNORM), (k, 2)))
+    return np.sqrt(_matrix(parts, M_UNORM, (k, 2)))
 
 
 def nndsvda_init(X: DataFrame, k: int, n_terms: int, seed: int = 42, power_iters: int = 3, oversample: int = 8) -> np.ndarray:
@@ -293,6 +322,8 @@ class NMFResult:
     H: np.ndarray
     n_iter: int
     errors: list[float]
+    converged: bool
+    unsolved_rows: int
 
     @property
     def reconstruction_error(self) -> float:
@@ -308,18 +339,19 @@ def fit(X: DataFrame, k: int, n_terms: int, max_iter: int = 500, tol: float = 1e
     """ML-03.  ``X``: persisted ``(doc_id, indices, values)``."""
     H = nndsvda_init(X, k, n_terms, seed)
     errors: list[float] = []
-    it = 0
+    it, converged = 0, False
     for it in range(1, max_iter + 1):
         WtW, WtX, scal = als_pass(X, H)
         errors.append(_error(scal, WtW, H))
         H = solve_h(WtW, WtX, H)
         if len(errors) >= 2 and (errors[-2] - errors[-1]) <= tol * errors[-2]:
+            converged = True
             break
     # error of the final pair (W of the last pass, updated H) from the same sums:
     # ||X||^2 - 2 <W^T X, H> + <W^T W, H H^T>; no extra pass over X
     sq = scal.get(S_XX, 0.0) - 2.0 * float((WtX * H).sum()) + float((WtW * (H @ H.T)).sum())
     errors.append(float(np.sqrt(max(sq, 0.0))))
-    return NMFResult(H, it, errors)
+    return NMFResult(H, it, errors, converged, int(scal.get(S_UNSOLVED, 0)))
 
 
 ASSIGN_SCHEMA = T.StructType(
@@ -356,28 +388,6 @@ def transform(X: DataFrame, H: np.ndarray, id_col: str = "doc_id") -> DataFrame:
     return X.select(F.col(id_col), "indices", "values").mapInPandas(part, ASSIGN_SCHEMA).withColumnRenamed("doc_id", id_col)
 
 
-def transform_dense(df: DataFrame, vec_col: str, H: np.ndarray, keep: list[str]) -> DataFrame:
-    """ML-04 on dense ``array<double>`` rows (stateless; usable on streams)."""
-    spark = df.sparkSession
-    bH = spark.sparkContext.broadcast(H)
-    fields = [df.schema[c] for c in keep]
-    schema = T.StructType(fields + [ASSIGN_SCHEMA["topic_id"], ASSIGN_SCHEMA["topic_score"]])
-
-    def part(batches):
-        Hl = bH.value
-        G = Hl @ Hl.T
-        for pdf in batches:
-            n = len(pdf)
-            X = np.vstack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]]) if n else np.zeros((0, Hl.shape[1]))
-            W = solve_rows(X @ Hl.T, G)
-            out = pdf[keep].copy()
-            out["topic_id"] = (W.argmax(axis=1) if n else np.zeros(0, np.int64)).astype(np.int32)
-            out["topic_score"] = W.max(axis=1) if n else np.zeros(0)
-            yield out
-
-    return df.select(*keep, vec_col).mapInPandas(part, schema)
-
-
 def topic_terms(spark: SparkSession, H: np.ndarray, vocabulary: DataFrame, top_n: int = 10) -> DataFrame:
     """WIN-02 / ML-06: the ``top_n`` heaviest terms per topic (ties: term index).
 

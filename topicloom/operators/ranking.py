@@ -5,32 +5,25 @@ task, which fails the "one key may hold a third of all rows" case when there
 is no limit.  ``distributed_rank`` range-partitions by (group, order keys) so a
 hot group spans many partitions, sorts within partitions, and adds per
 (partition, group) offsets computed from one small aggregate (one row per
-partition and group present in it).
+partition and group present in it).  The sorted rows are written first: a lost
+executor must not sample other ranges.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from topicloom.session import land
 
 
 def distributed_rank(df: DataFrame, group: str, order: list[Column], rank_col: str = "rank") -> DataFrame:
     """1-based rank of each row within ``group`` by ``order`` (a total order is expected)."""
-    spark = df.sparkSession
-    ranged = (
-        df.repartitionByRange(F.col(group), *order)
-        .sortWithinPartitions(F.col(group), *order)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .persist()
-    )
-    stats = ranged.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first")).collect()
-    offsets, seen = [], {}
-    for r in sorted(stats, key=lambda r: r["_pid"]):
-        g = r[group]
-        offsets.append((r["_pid"], g, seen.get(g, 0), r["_first"]))
-        seen[g] = seen.get(g, 0) + r["_n"]
-    gtype = df.schema[group].dataType.simpleString()
-    off = spark.createDataFrame(offsets, f"_pid int, {group} {gtype}, _off long, _first long")
-    out = ranged.join(F.broadcast(off), ["_pid", group])
-    return out.withColumn(rank_col, F.col("_off") + F.col("_mid") - F.col("_first") + 1).drop("_pid", "_mid", "_off", "_first")
+    dealt = df.repartitionByRange(F.col(group), *order).sortWithinPartitions(F.col(group), *order)
+    ranged = land(dealt.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()), "ranged")
+    sizes = ranged.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy(group).orderBy("_pid")) - F.col("_n")
+    shift = sizes.select(F.col("_pid").alias("_sp"), F.col(group).alias("_sg"), (before - F.col("_first")).alias("_shift"))
+    out = ranged.join(shift, (F.col("_pid") == F.col("_sp")) & F.col(group).eqNullSafe(F.col("_sg")))
+    return out.withColumn(rank_col, F.col("_mid") + F.col("_shift") + 1).drop("_pid", "_mid", "_sp", "_sg", "_shift")

@@ -12,10 +12,11 @@ MLlib's ``IDF`` has no ``+ 1`` and ``CountVectorizer`` indexes by frequency,
 so the fit is written with DataFrame aggregations instead:
 
 * per-document term counts are computed inside each row (no shuffle of text
-  or tokens); per-document vectors are assembled by ``collect_list``, whose
-  map-side partial aggregation leaves one row per document (vocabulary terms
-  only) to cross the shuffle;
-* term statistics are a partially aggregated shuffle by term;
+  or tokens); term statistics are one partially aggregated shuffle by term, which
+  counts the documents too, and no (document, term) pair is kept;
+* vectors are built inside the row from the fitted vocabulary (``scoring.row_vectors``);
+  only an unbounded vocabulary needs ``vectors``, which assembles them by
+  ``collect_list`` after a join by term;
 * the vocabulary is at most ``max_features`` rows -- that bound is what makes
   it safe to collect and broadcast.  Without a bound it stays distributed and
   joins by shuffle.
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from topicloom.functions.compute import with_columns_once
+from topicloom.session import land
 
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 BROADCAST_VOCAB_LIMIT = 200_000
@@ -63,8 +65,17 @@ class TfidfModel:
     n_docs: int
     vocab_size: int
 
+    @property
+    def bounded(self) -> bool:
+        """The vocabulary is small by configuration: every executor may hold it."""
+        return self.config.max_features is not None and self.config.max_features <= BROADCAST_VOCAB_LIMIT
+
     def transform(self, docs: DataFrame, text_col: str, id_col: str = "doc_id") -> DataFrame:
         """ML-02: vectors for any documents with the fitted vocabulary (unseen terms ignored)."""
+        if self.bounded:
+            from topicloom.operators.scoring import row_vectors
+
+            return row_vectors(docs, text_col, self, id_col)
         return vectors(term_counts(docs, text_col, id_col, self.config), self, id_col)
 
 
@@ -89,17 +100,19 @@ def _add_terms(docs: DataFrame, text_col: str, config: TfidfConfig) -> DataFrame
     return df.withColumn("_terms", F.concat(*parts) if len(parts) > 1 else parts[0])
 
 
-def term_counts(docs: DataFrame, text_col: str, id_col: str = "doc_id", config: TfidfConfig | None = None) -> DataFrame:
+def term_counts(docs: DataFrame, text_col: str, id_col: str | list[str] = "doc_id", config: TfidfConfig | None = None, count_docs: bool = False) -> DataFrame:
     """(id, term, tf) for every document; documents without terms keep one row
-    with a NULL term so they still get a (zero) vector.
+    with a NULL term so they still get a (zero) vector.  ``count_docs`` gives every
+    document such a row, so that counts by term count the documents too.
 
     Counting happens inside each row -- sort the term array, find where runs
     start, take run lengths -- so no text or token array is shuffled.  The
     sorted array and the run starts are materialised (``with_columns_once``)
     so the lambdas index them in O(1) instead of re-evaluating them."""
     config = config or TfidfConfig()
-    base = docs.select(F.col(id_col), F.col(text_col))
-    t = _add_terms(base, text_col, config).select(id_col, "_terms")
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    base = docs.select(*ids, text_col)
+    t = _add_terms(base, text_col, config).select(*ids, "_terms")
     t = with_columns_once(t, {"_sorted": F.array_sort("_terms")}).drop("_terms")
     n = F.size("_sorted")
     starts = F.filter(
@@ -115,8 +128,12 @@ def term_counts(docs: DataFrame, text_col: str, id_col: str = "doc_id", config:
             (F.when(j == m, n + 1).otherwise(F.try_element_at("_starts", j + 1)) - F.try_element_at("_starts", j)).cast("int").alias("tf"),
         ),
     )
-    counted = t.select(id_col, F.explode_outer(F.when(m > 0, runs)).alias("_c"))
-    return counted.select(id_col, F.col("_c.term").alias("term"), F.coalesce(F.col("_c.tf"), F.lit(0)).alias("tf"))
+    listed = F.when(m > 0, runs)
+    if count_docs:
+        none = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(0).alias("tf")))
+        listed = F.concat(none, F.coalesce(listed, F.slice(none, 1, 0)))
+    counted = t.select(*ids, F.explode_outer(listed).alias("_c"))
+    return counted.select(*ids, F.col("_c.term").alias("term"), F.coalesce(F.col("_c.tf"), F.lit(0)).alias("tf"))
 
 
 def term_stats(tf: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -127,21 +144,29 @@ def term_stats(tf: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 
 def fit(docs: DataFrame, text_col: str, id_col: str = "doc_id", config: TfidfConfig | None = None) -> tuple[TfidfModel, DataFrame]:
-    """ML-01.  Returns the model and the (cached) per-document term counts."""
+    """ML-01.  Returns the model and the per-document term counts (not computed yet)."""
+    config = config or TfidfConfig()
+    counted = term_counts(docs, text_col, id_col, config, count_docs=True)
+    stats = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("ctf")).persist()
+    n_docs = next((r["df"] for r in stats.where(F.col("term").isNull()).select("df").collect()), 0)
+    model = fit_counts(stats.where(F.col("term").isNotNull()), n_docs, config)
+    stats.unpersist()
+    return model, term_counts(docs, text_col, id_col, config)
+
+
+def fit_counts(stats: DataFrame, n_docs: int, config: TfidfConfig | None = None) -> TfidfModel:
+    """The model from (term, df, ctf) over ``n_docs`` documents, however they were counted."""
     config = config or TfidfConfig()
-    spark = docs.sparkSession
-    tf = term_counts(docs, text_col, id_col, config).persist()
-    n_docs = tf.select(id_col).distinct().count()  # a shuffle of ids only
     lo, hi = _threshold(config.min_df, n_docs), _threshold(config.max_df, n_docs)
     if hi < lo:
         raise ValueError("max_df corresponds to < documents than min_df")
-    kept = term_stats(tf, id_col).where((F.col("df") >= lo) & (F.col("df") <= hi))
+    kept = stats.where((F.col("df") >= lo) & (F.col("df") <= hi))
     if config.max_features is not None:
         kept = kept.orderBy(F.desc("ctf"), F.asc("term")).limit(config.max_features)
-    vocab, size = _index_vocabulary(spark, kept, n_docs, config)
+    vocab, size = _index_vocabulary(stats.sparkSession, kept, n_docs, config)
     if size == 0:
         raise ValueError("After pruning, no terms remain. Try a lower min_df or a higher max_df.")
-    return TfidfModel(config, vocab, n_docs, size), tf
+    return TfidfModel(config, vocab, n_docs, size)
 
 
 def _index_vocabulary(spark: SparkSession, kept: DataFrame, n_docs: int, config: TfidfConfig) -> tuple[DataFrame, int]:
@@ -161,10 +186,11 @@ def _index_vocabulary(spark: SparkSession, kept: DataFrame, n_docs: int, config:
         return local.withColumn("idf", idf), len(rows)
     # unbounded vocabulary: alphabetical index without a single-partition sort --
     # range-partition by term, count rows per partition (one row per partition
-    # reaches the driver), then offset + rank within the partition.
+    # reaches the driver), then offset + rank within the partition.  The ranged table is
+    # written first: a lost executor must not sample other ranges.
     from pyspark.sql import Window
 
-    ranged = kept.select("term", "df", "ctf").repartitionByRange("term").withColumn("_pid", F.spark_partition_id()).persist()
+    ranged = land(kept.select("term", "df", "ctf").repartitionByRange("term").withColumn("_pid", F.spark_partition_id()), "vocabulary")
     sizes = sorted((r["_pid"], r["count"]) for r in ranged.groupBy("_pid").count().collect())
     offsets, acc = [], 0
     for pid, n in sizes:
@@ -178,8 +204,7 @@ def _index_vocabulary(spark: SparkSession, kept: DataFrame, n_docs: int, config:
 
 def _vocab_side(model: TfidfModel) -> DataFrame:
     v = model.vocabulary.select("term", "term_idx", "idf")
-    bounded = model.config.max_features is not None and model.config.max_features <= BROADCAST_VOCAB_LIMIT
-    return F.broadcast(v) if bounded else v
+    return F.broadcast(v) if model.bounded else v
 
 
 def weights_long(tf: DataFrame, model: TfidfModel, id_col: str = "doc_id") -> DataFrame:

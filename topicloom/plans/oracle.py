@@ -128,7 +128,9 @@ def colors_values() -> str:
 
 
 def articles_sql() -> str:
-    suffix = "CASE doc_id % 12 " + " ".join(f"WHEN {k} THEN {q(v)}" for k, v in sorted(HEADLINE_SUFFIXES.items())) + " ELSE '' END"
+    keywords = [kw for _, _, kw in dims.region_keyword_rows()]
+    keyword = f"' in ' || {str_list(keywords)}[(doc_id // 12) % {len(keywords)} + 1] || ' today'"
+    suffix = "CASE doc_id % 12 " + " ".join(f"WHEN {k} THEN {q(v)}" for k, v in sorted(HEADLINE_SUFFIXES.items())) + f" WHEN 7 THEN {keyword} ELSE '' END"
     day = "lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0')"
     hour = "lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0')"
     return f"""
@@ -174,12 +176,12 @@ cleaned AS (
   FROM deduped)"""
 
 
-def processed_ctes(dedup: bool = True) -> str:
+def processed_ctes(dedup: bool = True, scope: str = "") -> str:
     """``processed``: cleaned + text/time features, region, coordinates, topic text
     (``dedup=False``: every non-null headline, as the streaming preprocess emits)."""
     ts = parse_published("published_at")
     topic_in = "coalesce(headline_clean, '') || ' ' || coalesce(description_clean, '')"
-    return f"""{cleaned_ctes(dedup=dedup)},
+    return f"""{cleaned_ctes(scope, dedup)},
 region_hits AS (
   SELECT c.ord, min(kw.priority) AS p
   FROM cleaned c JOIN {keywords_values()}
@@ -215,7 +217,7 @@ def feeds_sql() -> str:
   CASE WHEN {n} % 6 = 0 THEN NULL ELSE 'category' || CAST({n} % 2 AS VARCHAR) END AS category,
   CASE WHEN {n} % 5 = 0 THEN NULL ELSE 'country' || CAST({n} % 5 AS VARCHAR) END AS country,
   CASE WHEN {n} % 7 = 0 THEN NULL ELSE 'lang' || CAST({n} % 7 AS VARCHAR) END AS language,
-  CASE WHEN {n} % 3 = 1 THEN 'api' || CAST({n} AS VARCHAR) END AS api_section
+  'api' || CAST({n} AS VARCHAR) AS api_section
 FROM (SELECT DISTINCT source FROM documents)"""
 
 
@@ -232,7 +234,7 @@ def rss_items_sql() -> str:
     return f"""SELECT doc_id AS ord, source AS feed_key, split_part(text, chr(10), 1) AS title,
   'https://' || source || '.example/' || CAST(doc_id AS VARCHAR) AS link,
   CASE WHEN doc_id % 4 = 0 THEN NULL ELSE {rest} END AS description,
-  CASE WHEN doc_id % 4 = 0 THEN 'summary ' || CAST(doc_id AS VARCHAR) END AS summary,
+  CASE WHEN doc_id % 4 = 0 THEN {rest} END AS summary,
   CASE WHEN doc_id % 9 = 0 THEN NULL ELSE '2024-01-' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0') || 'T06:00:00Z' END AS published,
   '2024-02-01T00:00:00Z' AS updated
 FROM documents"""
@@ -240,10 +242,10 @@ FROM documents"""
 
 def api_results_sql() -> str:
     rest = "CASE WHEN instr(text, chr(10)) > 0 THEN substr(text, instr(text, chr(10)) + 1) END"
-    return f"""SELECT doc_id AS ord, source AS feed_key, 'Title ' || CAST(doc_id AS VARCHAR) AS webTitle,
+    return f"""SELECT doc_id AS ord, source AS feed_key, split_part(text, chr(10), 1) || ' - ' || source AS webTitle,
   'https://api.example/' || source || '/' || CAST(doc_id AS VARCHAR) AS webUrl,
   '2024-01-' || lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0') || 'T' || lpad(CAST(doc_id % 24 AS VARCHAR), 2, '0') || ':15:00Z' AS webPublicationDate,
   CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 11 = 0 THEN NULL ELSE split_part(text, chr(10), 1) END AS f_headline,
-  CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 5 = 0 THEN NULL ELSE split_part(text, chr(10), 2) END AS f_trail,
-  CASE WHEN doc_id % 2 = 0 THEN NULL ELSE {rest} END AS f_body
+  CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 5 = 0 THEN NULL ELSE {rest} END AS f_trail,
+  {rest} AS f_body
 FROM documents"""

@@ -7,6 +7,8 @@ broadcast join for coordinates.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,19 +17,52 @@ from topicloom.functions.compute import with_columns_once
 from topicloom.operators import dedup, regions
 
 
-def add_clean_columns(df: DataFrame) -> DataFrame:
-    return with_columns_once(
-        df, {"headline_clean": text.clean_text("headline"), "description_clean": text.clean_text("description")}
-    )
+#: What each derived column is made of.  ``wanted`` columns and what they need are computed,
+#: nothing else: the generator that keeps a filter from recomputing a text chain also
+#: keeps Catalyst from dropping an unused one.
+NEEDS = {
+    "headline_clean": (), "description_clean": (), "region": (), "lat": ("region",), "lon": ("region",),
+    "headline_length": ("headline_clean",), "headline_word_count": ("headline_clean",),
+    "description_length": ("description_clean",), "description_word_count": ("description_clean",),
+    "published_at_parsed": (), "publication_hour": ("published_at_parsed",), "publication_day_of_week": ("published_at_parsed",),
+    "topic_text": ("headline_clean", "description_clean"),
+}
+
+
+def needed(wanted: Iterable[str] | None) -> set[str]:
+    """The derived columns to compute for ``wanted`` (all of them for None)."""
+    if wanted is None:
+        return set(NEEDS)
+    out: set[str] = set()
+    for c in wanted:
+        if c in NEEDS:
+            out |= {c} | needed(NEEDS[c])
+    return out
+
+
+def add_clean_columns(df: DataFrame, wanted: Iterable[str] | None = None) -> DataFrame:
+    need = needed(wanted)
+    cols = {c: text.clean_text(src) for c, src in (("headline_clean", "headline"), ("description_clean", "description")) if c in need}
+    return with_columns_once(df, cols) if cols else df
 
 
-def add_features(df: DataFrame) -> DataFrame:
+def add_features(df: DataFrame, wanted: Iterable[str] | None = None) -> DataFrame:
     """Text features, time features, region + coordinates, topic text (add_features order)."""
-    out = text.text_features(df)
-    out = dates.time_features(out)
-    out = regions.tag_regions(out)
-    # topic_text is filtered on later (FLT-03): keep it from being recomputed by a pushed filter
-    return with_columns_once(out, {"topic_text": text.topic_text("headline_clean", "description_clean")})
+    need = needed(wanted)
+    out = df
+    for side in ("headline", "description"):
+        if f"{side}_length" in need:
+            out = out.withColumn(f"{side}_length", F.length(f"{side}_clean"))
+        if f"{side}_word_count" in need:
+            out = out.withColumn(f"{side}_word_count", text.word_count(f"{side}_clean"))
+    if "published_at_parsed" in need:
+        out = dates.time_features(out)
+    if "region" in need:
+        out = regions.tag_regions(out)
+    if "topic_text" in need:
+        # topic_text is filtered on later (FLT-03): keep it from being recomputed by a pushed filter
+        out = with_columns_once(out, {"topic_text": text.topic_text("headline_clean", "description_clean")})
+    return out
 
 
 def preprocess(raw: DataFrame, order: str = "ord") -> DataFrame:

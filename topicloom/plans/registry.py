@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from topicloom.config import ClassifierConfig
 from topicloom.functions import dates, text
@@ -20,15 +21,19 @@ from topicloom.operators import classify as CL
 from topicloom.operators import dedup, regions, report
 from topicloom.operators import kmeans as KM
 from topicloom.operators import nmf as NMF
+from topicloom.operators import pipelines as PL
+from topicloom.operators import scoring as SC
 from topicloom.operators import tfidf as TF
+from topicloom.operators import window_terms as WT
 from topicloom.operators.joins import broadcast_if_small
 from topicloom.plans import oracle as O
 from topicloom.plans import preprocess as P
 from topicloom.plans import train as TR
-from topicloom.session import ship_package
+from topicloom.session import land, ship_package
 from topicloom.sources import feeds as FD
 from topicloom.sources import sinks as SK
 from topicloom.sources import testdata as TD
+from topicloom.streaming import horizon as HZ
 from topicloom.streaming import stream as ST
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -64,12 +69,14 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TD.articles(spark, sf_dir)
 
 
-def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.add_clean_columns(dedup.clean_articles(articles(spark, sf_dir)))
+def cleaned(spark: SparkSession, sf_dir: str, keep_places: bool = False, wanted: tuple[str, ...] | None = None) -> DataFrame:
+    raw = dedup.with_file_row(articles(spark, sf_dir))
+    return P.add_clean_columns(dedup.clean_articles(raw, keep_places=keep_places), wanted)
 
 
-def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.add_features(cleaned(spark, sf_dir))
+def processed(spark: SparkSession, sf_dir: str, keep_places: bool = False, wanted: tuple[str, ...] | None = None) -> DataFrame:
+    """Processed articles; with ``wanted``, only those of the derived columns."""
+    return P.add_features(cleaned(spark, sf_dir, keep_places, wanted), wanted)
 
 
 # ------------------------------------------------------------------ SCL-01/02/03/05/08, DDP-06
@@ -123,7 +130,8 @@ def q_text_features(spark, sf_dir):
 
 @register("article_dedup", _with(O.cleaned_ctes(), "SELECT ord, headline, url, description FROM deduped"))
 def q_article_dedup(spark, sf_dir):
-    return dedup.clean_articles(articles(spark, sf_dir)).select("ord", "headline", "url", "description")
+    raw = dedup.with_file_row(articles(spark, sf_dir))
+    return dedup.clean_articles(raw).select("ord", "headline", "url", "description")
 
 
 @register(
@@ -165,7 +173,7 @@ def q_dedup_stats(spark, sf_dir):
     ),
 )
 def q_time_features(spark, sf_dir):
-    df = dates.time_features(cleaned(spark, sf_dir))
+    df = dates.time_features(cleaned(spark, sf_dir, wanted=()))
     return df.select(
         "ord",
         F.unix_timestamp("published_at_parsed").alias("published_epoch"),
@@ -192,13 +200,13 @@ def q_date_banner(spark, sf_dir):
 
 @register("region_tags", _with(O.processed_ctes(), "SELECT ord, region FROM processed"))
 def q_region_tags(spark, sf_dir):
-    df = cleaned(spark, sf_dir)
+    df = cleaned(spark, sf_dir, wanted=())
     return df.select("ord", regions.region_of("headline", "description").alias("region"))
 
 
 @register("region_geo", _with(O.processed_ctes(), "SELECT ord, region, lat, lon FROM processed"))
 def q_region_geo(spark, sf_dir):
-    return regions.tag_regions(cleaned(spark, sf_dir)).select("ord", "region", "lat", "lon")
+    return regions.tag_regions(cleaned(spark, sf_dir, wanted=())).select("ord", "region", "lat", "lon")
 
 
 @register(
@@ -210,7 +218,7 @@ def q_region_geo(spark, sf_dir):
     ),
 )
 def q_region_geo_dashboard(spark, sf_dir):
-    df = regions.tag_regions(cleaned(spark, sf_dir))
+    df = regions.tag_regions(cleaned(spark, sf_dir, wanted=()))
     return regions.add_coordinates(df, dashboard=True).select("ord", "region", "lat", "lon")
 
 
@@ -224,7 +232,7 @@ def q_region_geo_dashboard(spark, sf_dir):
     ),
 )
 def q_region_counts(spark, sf_dir):
-    return report.region_counts(processed(spark, sf_dir), with_topic=False)
+    return report.region_counts(processed(spark, sf_dir, wanted=("region", "lat", "lon")), with_topic=False)
 
 
 # ------------------------------------------------------------------ dashboard (AGG-01/03/04/06, WIN-01, SCL-15/17, FLT-03/05..07, PRJ-01)
@@ -239,18 +247,17 @@ STANDIN_SQL = (
 )
 
 
-def standin_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = processed(spark, sf_dir)
-    return (
-        p.withColumn("topic_id", (F.col("ord") % 6).cast("int"))
-        .withColumn("topic_score", F.col("headline_word_count").cast("double"))
-        .withColumn(
-            "topic_keywords",
-            F.when(F.col("description_word_count") == 0, F.lit(None).cast("string")).otherwise(
-                F.concat(F.lit("topic "), (F.col("ord") % 6).cast("string"), F.lit(" keywords"))
-            ),
-        )
-    )
+def standin_predictions(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
+    """Processed articles under a fixed rule's topics, with the ``wanted`` columns (all if none are named)."""
+    made = {"topic_score": "headline_word_count", "topic_keywords": "description_word_count"}
+    need = tuple(made.get(c, c) for c in wanted) or None
+    p = processed(spark, sf_dir, wanted=need).withColumn("topic_id", (F.col("ord") % 6).cast("int"))
+    if not wanted or "topic_score" in wanted:
+        p = p.withColumn("topic_score", F.col("headline_word_count").cast("double"))
+    if not wanted or "topic_keywords" in wanted:
+        words = F.concat(F.lit("topic "), (F.col("ord") % 6).cast("string"), F.lit(" keywords"))
+        p = p.withColumn("topic_keywords", F.when(F.col("description_word_count") == 0, F.lit(None).cast("string")).otherwise(words))
+    return p.select(*wanted) if wanted else p
 
 
 def _pred_sql(body: str) -> str:
@@ -266,12 +273,12 @@ def _pred_sql(body: str) -> str:
     ),
 )
 def q_topic_summary(spark, sf_dir):
-    return report.topic_summary(standin_predictions(spark, sf_dir))
+    return report.topic_summary(standin_predictions(spark, sf_dir, "ord", "topic_id", "topic_keywords"))
 
 
 @register("topic_distribution", _pred_sql("SELECT topic_id, count(*) AS count FROM pred WHERE topic_id IS NOT NULL GROUP BY topic_id"))
 def q_topic_distribution(spark, sf_dir):
-    return report.topic_distribution(standin_predictions(spark, sf_dir))
+    return report.topic_distribution(standin_predictions(spark, sf_dir, "topic_id"))
 
 
 @register(
@@ -282,12 +289,12 @@ def q_topic_distribution(spark, sf_dir):
     ),
 )
 def q_kpis(spark, sf_dir):
-    return report.kpis(standin_predictions(spark, sf_dir))
+    return report.kpis(standin_predictions(spark, sf_dir, "source_name", "topic_id", "region"))
 
 
 @register("mean_topic_score", _pred_sql("SELECT avg(topic_score) AS mean_topic_score FROM pred"))
 def q_mean_topic_score(spark, sf_dir):
-    return report.mean_score(standin_predictions(spark, sf_dir))
+    return report.mean_score(standin_predictions(spark, sf_dir, "topic_score"))
 
 
 @register(
@@ -300,9 +307,8 @@ def q_mean_topic_score(spark, sf_dir):
     ),
 )
 def q_top_headlines(spark, sf_dir):
-    return report.top_headlines(standin_predictions(spark, sf_dir)).select(
-        "topic_id", "rank", "ord", "headline", "topic_score", "title"
-    )
+    pred = standin_predictions(spark, sf_dir, "ord", "headline", "topic_id", "topic_score", "topic_keywords")
+    return report.top_headlines(pred).select("topic_id", "rank", "ord", "headline", "topic_score", "title")
 
 
 @register(
@@ -315,7 +321,7 @@ def q_top_headlines(spark, sf_dir):
     ),
 )
 def q_topic_colors(spark, sf_dir):
-    p = standin_predictions(spark, sf_dir).select("topic_id").distinct()
+    p = standin_predictions(spark, sf_dir, "topic_id").distinct()
     rgb = report.topic_rgb(F.col("topic_id"))
     return p.select("topic_id", report.topic_color(F.col("topic_id")).alias("hex"), rgb[0].alias("r"), rgb[1].alias("g"), rgb[2].alias("b"))
 
@@ -328,7 +334,7 @@ def q_topic_colors(spark, sf_dir):
     ),
 )
 def q_filter_facets(spark, sf_dir):
-    f = report.filter_facets(standin_predictions(spark, sf_dir), sources=["src1", "src2", "src4"], topics=[1, 2, 3])
+    f = report.filter_facets(standin_predictions(spark, sf_dir, "ord", "source_name", "region", "topic_id"), sources=["src1", "src2", "src4"], topics=[1, 2, 3])
     return f.select("ord", "source_name", "region", "topic_id")
 
 
@@ -340,7 +346,7 @@ def q_filter_facets(spark, sf_dir):
     ),
 )
 def q_headline_search(spark, sf_dir):
-    return report.filter_facets(standin_predictions(spark, sf_dir), search="IN").select("ord", "headline")
+    return report.filter_facets(standin_predictions(spark, sf_dir, "ord", "headline", "source_name", "region", "topic_id"), search="IN").select("ord", "headline")
 
 
 @register(
@@ -352,7 +358,7 @@ def q_headline_search(spark, sf_dir):
     ),
 )
 def q_facet_options(spark, sf_dir):
-    return report.facet_options(standin_predictions(spark, sf_dir))
+    return report.facet_options(standin_predictions(spark, sf_dir, "source_name", "region", "topic_id"))
 
 
 @register(
@@ -363,21 +369,29 @@ def q_facet_options(spark, sf_dir):
     ),
 )
 def q_article_links(spark, sf_dir):
-    return report.article_links(standin_predictions(spark, sf_dir))
+    return report.article_links(standin_predictions(spark, sf_dir, "headline", "url", "topic_keywords", "published_at"))
+
+
+def _map_rows(df: DataFrame) -> DataFrame:
+    """The map table with the colour as text; a mode with ties is the smallest topic."""
+    return df.select("region", "lat", "lon", "article_count", "topic_id", "main_topic", "intensity", F.array_join(F.col("color").cast("array<string>"), ",").alias("color"), "radius")
 
 
 @register(
     "region_summary",
     _pred_sql(
-        "SELECT region, lat, lon, count(headline) AS article_count, "
-        "arg_min(topic_id, ord) FILTER (WHERE topic_id IS NOT NULL) AS topic_id, "
-        "CAST(floor(200 + 55 * count(headline) / CASE WHEN max(count(headline)) OVER () = 0 THEN 1 ELSE max(count(headline)) OVER () END) AS INTEGER) AS intensity "
-        "FROM pred GROUP BY region, lat, lon"
+        "SELECT region, lat, lon, article_count, topic_id, main_topic, intensity, '239,245,90,' || intensity AS color, 90000 AS radius FROM ("
+        "SELECT g.region, lat, lon, article_count, topic_id, main_topic, "
+        "CAST(floor(200 + 55 * article_count / CASE WHEN max(article_count) OVER () = 0 THEN 1 ELSE max(article_count) OVER () END) AS INTEGER) AS intensity FROM ("
+        "SELECT region, lat, lon, count(headline) AS article_count, arg_min(topic_id, ord) FILTER (WHERE topic_id IS NOT NULL) AS topic_id "
+        "FROM pred GROUP BY region, lat, lon) g JOIN ("
+        "SELECT region, topic_id AS main_topic FROM pred WHERE topic_id IS NOT NULL GROUP BY region, topic_id "
+        "QUALIFY row_number() OVER (PARTITION BY region ORDER BY count(*) DESC, topic_id) = 1) m USING (region))"
     ),
 )
 def q_region_summary(spark, sf_dir):
-    out = report.region_counts(standin_predictions(spark, sf_dir), with_topic=True)
-    return out.select("region", "lat", "lon", "article_count", "topic_id", "intensity")
+    pred = standin_predictions(spark, sf_dir, "ord", "headline", "region", "lat", "lon", "topic_id")
+    return _map_rows(report.map_layer(report.region_counts(pred, with_topic=True)))
 
 
 @register(
@@ -387,7 +401,7 @@ def q_region_summary(spark, sf_dir):
 def q_usable_text(spark, sf_dir):
     from topicloom.operators import filters
 
-    return filters.usable_text(processed(spark, sf_dir), "topic_text").select("ord", "topic_text")
+    return filters.usable_text(processed(spark, sf_dir, wanted=("topic_text",)), "topic_text").select("ord", "topic_text")
 
 
 # ------------------------------------------------------------------ ML-01/02, AGG-07 (TF-IDF)
@@ -395,7 +409,7 @@ def q_usable_text(spark, sf_dir):
 
 
 def training_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TR.training_frame(processed(spark, sf_dir))
+    return TR.training_frame(processed(spark, sf_dir, keep_places=True, wanted=("topic_text",)))
 
 
 def _tfidf_sql_ctes(where: str = "TRUE", cfg: TF.TfidfConfig | None = None) -> str:
@@ -443,7 +457,8 @@ def q_vocabulary(spark, sf_dir):
 
 @register("tfidf", _with(_tfidf_sql_ctes(), "SELECT doc_id, term, term_idx, round(weight, 9) AS weight FROM weights"))
 def q_tfidf(spark, sf_dir):
-    model, tf = TF.fit(training_docs(spark, sf_dir), "topic_text")
+    docs = training_docs(spark, sf_dir).select("doc_id", "topic_text").persist()  # fitted on, then weighted
+    model, tf = TF.fit(docs, "topic_text")
     return TF.weights_long(tf, model).select("doc_id", "term", "term_idx", F.round("weight", 9).alias("weight"))
 
 
@@ -471,7 +486,7 @@ nw AS (
 def q_tfidf_score_new(spark, sf_dir):
     docs = training_docs(spark, sf_dir)
     model, _ = TF.fit(docs.where(F.col("ds") <= SPLIT_DS), "topic_text")
-    new = processed(spark, sf_dir).where(F.col("ds") > SPLIT_DS)
+    new = processed(spark, sf_dir, wanted=("topic_text",)).where(F.col("ds") > SPLIT_DS)
     new = filters_usable(new).withColumn("doc_id", F.col("ord"))
     v = model.transform(new, "topic_text")
     return v.select("doc_id", F.posexplode("indices").alias("p", "term_idx"), "values").select(
@@ -479,6 +494,56 @@ def q_tfidf_score_new(spark, sf_dir):
     )
 
 
+def _window_recount(end: str) -> str:
+    """A full recount of the three days up to ``end``, as SQL."""
+    where = f"CAST(ds AS DATE) BETWEEN DATE '{end}' - 2 AND DATE '{end}'"
+    return f"""
+wtrain_{end[-2:]} AS (
+  SELECT ord, topic_text FROM (
+    SELECT *, row_number() OVER (PARTITION BY headline, CASE WHEN ord % 3 = 0 THEN url END ORDER BY ds, ord) AS rn FROM processed WHERE {where})
+  WHERE rn = 1 AND length({O.strip_ws("coalesce(topic_text, chr(32))")}) > 0),
+wtok_{end[-2:]} AS (SELECT ord, list_filter(regexp_extract_all(topic_text, '\\w\\w+'), lambda t: NOT list_contains({O.str_list(TF.english_stop_words())}, t)) AS s FROM wtrain_{end[-2:]}),
+wterm_{end[-2:]} AS (SELECT ord, unnest(list_concat(s, list_transform(range(1, len(s)), lambda i: s[i] || ' ' || s[i + 1]))) AS term FROM wtok_{end[-2:]}),
+wstat_{end[-2:]} AS (
+  SELECT '{end}' AS window_end, term, count(DISTINCT ord) AS df, count(*) AS ctf FROM wterm_{end[-2:]} GROUP BY term
+  UNION ALL SELECT '{end}', NULL, count(*), 0 FROM wtrain_{end[-2:]})"""
+
+
+# The last window is counted from the days' tables, the others follow by moving it.
+WINDOW_ENDS = ["2024-01-10", "2024-01-11", "2024-01-12", "2024-01-14"]
+
+
+@register(
+    "window_term_stats",
+    _with(
+        O.processed_ctes(scope="ds, ") + "," + ",".join(_window_recount(e) for e in WINDOW_ENDS),
+        " UNION ALL ".join(f"SELECT * FROM wstat_{e[-2:]}" for e in WINDOW_ENDS),
+    ),
+)
+def q_window_term_stats(spark, sf_dir):
+    """ML-15 / AGG-07: the training window's term statistics as it moves over the days; each
+    day's texts are counted once, when the day comes."""
+    from datetime import date, timedelta
+
+    path, stats = ST.scratch(spark, "window-processed"), ST.scratch(spark, "window-stats")
+    raw = dedup.with_file_row(spark.read.parquet(_landed_articles(spark, sf_dir)).withColumn("ds", F.col("ds").cast("string")))
+    days = P.add_features(P.add_clean_columns(dedup.clean_articles(raw, scope=["ds"])))
+    url = F.when(F.col("ord") % 3 == 0, F.col("url")).alias("url")  # so that headlines alone come again, too
+    SK.write_partitioned(days.select("ord", "ds", "headline", url, "topic_text"), path, ["ds"])
+    rows = dedup.with_file_row(spark.read.parquet(path))
+    start = lambda end: (date.fromisoformat(end) - timedelta(days=2)).isoformat()
+    WT.add_days(rows, stats, start(WINDOW_ENDS[0]), WINDOW_ENDS[0])
+    window = WT.window_stats(spark, stats, start(WINDOW_ENDS[0]), WINDOW_ENDS[0])
+    out = window.select(F.lit(WINDOW_ENDS[0]).alias("window_end"), "term", "df", "ctf")
+    for before, end in zip(WINDOW_ENDS, WINDOW_ENDS[1:]):
+        day = date.fromisoformat(before)
+        while (day := day + timedelta(days=1)) <= date.fromisoformat(end):
+            WT.add_days(rows, stats, day.isoformat(), day.isoformat())
+        window = land(WT.move(spark, window, stats, (start(before), before), (start(end), end)), "window-moved")
+        out = out.unionByName(window.select(F.lit(end).alias("window_end"), "term", "df", "ctf"))
+    return out
+
+
 def filters_usable(df: DataFrame) -> DataFrame:
     from topicloom.operators import filters
 
@@ -517,10 +582,23 @@ def q_nmf_quality(spark, sf_dir):
     return TR.quality(spark, model, TR.assign(model, X))
 
 
+def _vectors(spark, sf_dir):
+    """The TF-IDF of the training texts: (model, persisted (doc_id, indices, values))."""
+    docs = training_docs(spark, sf_dir).select("doc_id", "topic_text").persist()
+    tm, _ = TF.fit(docs, "topic_text")
+    return tm, tm.transform(docs, "topic_text").persist()
+
+
 # Fixed start for the one-step algebra check (both sides use the same rule).
 ONE_STEP_K = 6
 
 
+def _one_step(spark, sf_dir):
+    tm, X = _vectors(spark, sf_dir)
+    WtW, WtX = NMF.fixed_w_pass(X, ONE_STEP_K, tm.vocab_size, NMF.cyclic_start_w)
+    return tm, NMF.multiplicative_h_step(WtW, WtX, NMF.cyclic_start_h(ONE_STEP_K, tm.vocab_size))
+
+
 @register(
     "nmf_one_step",
     _with(
@@ -541,16 +619,162 @@ def q_nmf_one_step(spark, sf_dir):
     import numpy as np
     import pandas as pd
 
-    tm, tf = TF.fit(training_docs(spark, sf_dir), "topic_text")
-    X = TF.vectors(tf, tm).persist()
-    WtW, WtX = NMF.fixed_w_pass(X, ONE_STEP_K, tm.vocab_size, NMF.cyclic_start_w)
-    H1 = NMF.multiplicative_h_step(WtW, WtX, NMF.cyclic_start_h(ONE_STEP_K, tm.vocab_size))
+    _, H1 = _one_step(spark, sf_dir)
     ti, vi = np.indices(H1.shape)
     pdf = pd.DataFrame({"topic_id": ti.ravel().astype("int32"), "term_idx": vi.ravel().astype("int32"), "h": H1.ravel()})
     h = spark.createDataFrame(pdf, "topic_id int, term_idx int, h double")
     return h.select("topic_id", "term_idx", F.round("h", 6).alias("h"))
 
 
+# A model with two fixed topics over the fitted vocabulary: terms of even index weigh 1 in
+# topic 0 and 1/4 in topic 1, those of odd index the other way round.  With two topics
+# the non-negative solution has a closed form, so SQL can check whole scores.
+FIXED_K = 2
+
+
+def _scores_sql(docs: str, weights: str) -> str:
+    """CTEs ``b`` (X H^T), ``w`` (weights a, b of both topics) and ``scored`` of the fixed model."""
+    return f"""
+hf AS (SELECT term_idx, CASE WHEN term_idx % 2 = 0 THEN 1.0 ELSE 0.25 END AS h0, CASE WHEN term_idx % 2 = 1 THEN 1.0 ELSE 0.25 END AS h1 FROM vocab),
+g AS (SELECT CAST(sum(h0 * h0) AS DOUBLE) AS g00, CAST(sum(h0 * h1) AS DOUBLE) AS g01, CAST(sum(h1 * h1) AS DOUBLE) AS g11 FROM hf),
+b AS (SELECT d.doc_id, coalesce(sum(x.weight * hf.h0), 0.0) AS b0, coalesce(sum(x.weight * hf.h1), 0.0) AS b1, coalesce(sum(x.weight * x.weight), 0.0) AS xx
+      FROM {docs} d LEFT JOIN {weights} x ON x.doc_id = d.doc_id LEFT JOIN hf ON hf.term_idx = x.term_idx GROUP BY d.doc_id),
+u AS (SELECT *, (b0 * g11 - b1 * g01) / (g00 * g11 - g01 * g01) AS u0, (b1 * g00 - b0 * g01) / (g00 * g11 - g01 * g01) AS u1 FROM b, g),
+w AS (SELECT *, CASE WHEN u0 >= 0 AND u1 >= 0 THEN u0 WHEN b0 * b0 / g00 >= b1 * b1 / g11 THEN b0 / g00 ELSE 0.0 END AS w0,
+             CASE WHEN u0 >= 0 AND u1 >= 0 THEN u1 WHEN b0 * b0 / g00 >= b1 * b1 / g11 THEN 0.0 ELSE b1 / g11 END AS w1 FROM u),
+kw AS (SELECT t AS topic_id, string_agg(term, ', ' ORDER BY term_idx) AS topic_keywords FROM (
+         SELECT t, term, term_idx FROM vocab, (SELECT unnest([0, 1]) AS t) WHERE term_idx % 2 = t
+         QUALIFY row_number() OVER (PARTITION BY t ORDER BY term_idx) <= 8) GROUP BY t),
+scored AS (SELECT doc_id, CAST(w1 > w0 AS INTEGER) AS topic_id, greatest(w0, w1) AS topic_score FROM w)"""
+
+
+def _all_weights_sql(source: str, name: str, pattern: str) -> str:
+    """CTE ``name``: weights of every text of ``source`` (doc_id, text) under the fitted vocabulary."""
+    return f"""
+{name}_s AS (SELECT doc_id, list_filter(regexp_extract_all(coalesce(text, ''), '{pattern}'), lambda t: NOT list_contains({O.str_list(TF.english_stop_words())}, t)) AS s FROM {source}),
+{name}_t AS (SELECT doc_id, term, count(*) AS tf FROM (
+  SELECT doc_id, unnest(list_concat(s, list_transform(range(1, len(s)), lambda i: s[i] || ' ' || s[i + 1]))) AS term FROM {name}_s) GROUP BY doc_id, term),
+{name} AS (SELECT n.doc_id, v.term_idx, n.tf * v.idf / sqrt(sum((n.tf * v.idf) * (n.tf * v.idf)) OVER (PARTITION BY n.doc_id)) AS weight
+  FROM {name}_t n JOIN vocab v ON v.term = n.term)"""
+
+
+def _fixed_model(spark, sf_dir) -> TR.TopicModel:
+    """The fixed topics over the vocabulary fitted on the training texts, saved and loaded again."""
+    import numpy as np
+
+    docs = training_docs(spark, sf_dir).select("doc_id", "topic_text").persist()
+    tm, _ = TF.fit(docs, "topic_text")
+    odd = np.arange(tm.vocab_size) % FIXED_K
+    H = np.where(odd[None, :] == np.arange(FIXED_K)[:, None], 1.0, 0.25)
+    terms = NMF.topic_terms(spark, H, tm.vocabulary, 8)
+    path = ST.scratch(spark, "fixed-model")
+    SK.save_topic_model(spark, TR.TopicModel(tm, H, NMF.keyword_table(terms), terms, 0.0, 0, tm.n_docs), path, {"algorithm": "fixed"})
+    return TR.load_topic_model(spark, path)
+
+
+@register(
+    "score_fixed_model",
+    _with(
+        _tfidf_sql_ctes()
+        + ", every AS (SELECT ord AS doc_id, topic_text AS text FROM processed),"
+        + _all_weights_sql("every", "aw", "\\w\\w+")
+        + ","
+        + _scores_sql("every", "aw"),
+        "SELECT doc_id AS ord, p.ds, s.topic_id, round(topic_score, 9) AS topic_score, topic_keywords "
+        "FROM scored s JOIN processed p ON p.ord = s.doc_id JOIN kw ON kw.topic_id = s.topic_id",
+    ),
+)
+def q_score_fixed_model(spark, sf_dir):
+    """ML-02/04/13, WIN-03, JON-04, SRC-14: the daily scoring job over processed days, with a saved
+    model that SQL can follow."""
+    from topicloom.plans import jobs
+
+    model, out = _fixed_model(spark, sf_dir), ST.scratch(spark, "fixed-scores")
+    jobs.score_day(spark, _landed_processed(spark, sf_dir), model, out)
+    pred = spark.read.parquet(out)
+    return pred.select("ord", F.col("ds").cast("string").alias("ds"), "topic_id", F.round("topic_score", 9).alias("topic_score"), "topic_keywords")
+
+
+@register(
+    "score_fixed_requests",
+    _with(
+        _tfidf_sql_ctes()
+        + ", every AS (SELECT ord AS doc_id, concat_ws(chr(10), headline, description) AS text FROM articles),"
+        + _all_weights_sql("every", "aw", "[\\p{L}\\p{M}\\p{Nd}\\p{Nl}\\p{Pc}]{2,}")
+        + ","
+        + _scores_sql("every", "aw"),
+        "SELECT doc_id AS request_id, s.topic_id, round(topic_score, 9) AS topic_score, topic_keywords AS keywords "
+        "FROM scored s JOIN kw ON kw.topic_id = s.topic_id",
+    ),
+)
+def q_score_fixed_requests(spark, sf_dir):
+    """ML-14 + STR-04: whole raw articles scored as a stream with a saved model that SQL can follow."""
+    out = _scored_requests(spark, sf_dir, _fixed_model(spark, sf_dir))
+    return out.withColumns({"topic_score": F.round("topic_score", 9), "keywords": F.array_join("keywords", ", ")})
+
+
+@register(
+    "fixed_run_metrics",
+    _with(
+        _tfidf_sql_ctes() + "," + _scores_sql("train", "weights")
+        + """, m AS (SELECT sqrt(sum(xx - 2 * (w0 * b0 + w1 * b1) + w0 * w0 * g00 + 2 * w0 * w1 * g01 + w1 * w1 * g11)) AS err,
+  count(*) AS n, avg(greatest(w0, w1)) AS mean_score FROM w)""",
+        "SELECT 'fixed-run' AS run_id, unnest(['reconstruction_error', 'vocabulary_size', 'training_rows', 'n_topics', 'mean_topic_score', 'iterations']) AS metric, "
+        "unnest([round(err, 6), (SELECT count(*) FROM vocab), n, 2.0, round(mean_score, 6), 0.0]) AS value FROM m",
+    ),
+)
+def q_fixed_run_metrics(spark, sf_dir):
+    """ML-05, AGG-06, SNK-05: one pass over the training matrix with fixed topics; its error and the
+    mean score appended as (run_id, metric, value)."""
+    model = _fixed_model(spark, sf_dir)
+    X = model.vectors(training_docs(spark, sf_dir)).persist()
+    WtW, _, sums = NMF.als_pass(X, model.H)
+    model.reconstruction_error = NMF._error(sums, WtW, model.H)
+    path = ST.scratch(spark, "fixed-run-metrics")
+    SK.append_metrics(TR.quality(spark, model, TR.assign(model, X)), path, "fixed-run")
+    return spark.read.parquet(path).select("run_id", "metric", F.round("value", 6).alias("value"))
+
+
+@register(
+    "one_step_keywords",
+    ORACLES["nmf_one_step"].replace(
+        "SELECT h0.j AS topic_id, h0.term_idx, round(h0.h * coalesce(wtx.s, 0.0) / den.s, 6) AS h ",
+        "SELECT topic_id, string_agg(term, ', ' ORDER BY rank) AS topic_keywords FROM (SELECT topic_id, term, "
+        "row_number() OVER (PARTITION BY topic_id ORDER BY h DESC, term_idx) AS rank FROM (SELECT h0.j AS topic_id, h0.term_idx, "
+        "round(h0.h * coalesce(wtx.s, 0.0) / den.s, 6) AS h ",
+    )
+    + ") JOIN vocab USING (term_idx)) WHERE rank <= 8 GROUP BY topic_id",
+)
+def q_one_step_keywords(spark, sf_dir):
+    """WIN-02, ML-06, SCL-09: the heaviest terms of the topics after one step from the fixed start."""
+    tm, H1 = _one_step(spark, sf_dir)
+    return NMF.keyword_table(NMF.topic_terms(spark, H1.round(6), tm.vocabulary, 8)).select("topic_id", "topic_keywords")
+
+
+@register(
+    "training_lineage",
+    _with(
+        O.processed_ctes()
+        + """, win AS (SELECT * FROM processed WHERE ds BETWEEN '2024-01-08' AND '2024-01-10'),
+kept AS (SELECT * FROM win QUALIFY row_number() OVER (PARTITION BY headline, url ORDER BY ds, ord) = 1)""",
+        f"""SELECT ds AS item, count(*) AS rows FROM win GROUP BY ds
+UNION ALL SELECT 'rows_read', count(*) FROM win UNION ALL SELECT 'rows_after_dedup', count(*) FROM kept
+UNION ALL SELECT 'rows_with_text', count(*) FILTER (WHERE length({O.strip_ws("coalesce(topic_text, chr(32))")}) > 0) FROM kept""",
+    ),
+)
+def q_training_lineage(spark, sf_dir):
+    """ML-16: what a three-day training run read and used, from its own record: rows per day (over
+    the files of the day), after the dedup, with text."""
+    from topicloom.operators import filters
+
+    df = dedup.with_file_row(FD.read_window(spark, _landed_processed(spark, sf_dir), "2024-01-08", RUN_DATE))
+    kept = dedup.drop_training_duplicates(df.withColumn("_o", F.struct("ds", "ord")), "_o")
+    found = TR.lineage(df, kept, filters.usable_text(kept, "topic_text"))
+    days = {d: sum(f["rows"] for f in found["files"] if f["ds"] == d) for d in found["days"]}
+    rows = [*days.items(), *((k, found[k]) for k in ("rows_read", "rows_after_dedup", "rows_with_text"))]
+    return spark.createDataFrame(rows, "item string, rows long")
+
+
 # ------------------------------------------------------------------ ML-07..09, SCL-18 (k-means)
 
 
@@ -595,11 +819,10 @@ def _kmeans_topics(spark, sf_dir):
 
     # read twice (TF-IDF fit, MLlib features): keep the two needed columns once
     docs = training_docs(spark, sf_dir).select("doc_id", "topic_text").persist(StorageLevel.MEMORY_AND_DISK)
-    tm, tf = TF.fit(docs, "topic_text")
-    X = TF.vectors(tf, tm).persist()
-    feats = TF.features(docs.select("doc_id", "topic_text"), "topic_text", tm)
+    tm, _ = TF.fit(docs, "topic_text")
+    feats = TF.features(docs, "topic_text", tm).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
     model = KM.fit(feats, "features", 6)
-    return tm, X, model
+    return tm, SC.as_arrays(feats, "features"), model
 
 
 @register("kmeans_topics")
@@ -612,6 +835,18 @@ def q_kmeans_topics(spark, sf_dir):
     return KM.batch_confidence(assigned).select("doc_id", "cluster_id", "distance", "cluster_score")
 
 
+@register("kmeans_saved")
+def q_kmeans_saved(spark, sf_dir):
+    """SNK-04 + ML-08: the k-means pipeline saved, loaded by its path in another session, and
+    the training texts assigned by it."""
+    docs = training_docs(spark, sf_dir).select("doc_id", "topic_text")
+    tm, _, model = _kmeans_topics(spark, sf_dir)
+    path = ST.scratch(spark, "kmeans-model")
+    PL.save(spark, path, "2024-01-14", [*PL.text_stages(tm, "topic_text"), model], {"algorithm": "tfidf+kmeans", "n_topics": 6})
+    loaded, _ = PL.load(spark.newSession(), path)
+    return PL.score(loaded, docs, "cluster_id").drop("topic_text")
+
+
 @register("kmeans_keywords")
 def q_kmeans_keywords(spark, sf_dir):
     tm, _, model = _kmeans_topics(spark, sf_dir)
@@ -714,19 +949,23 @@ def q_classification_report(spark, sf_dir):
 
 
 def _classifier(spark, sf_dir, cfg: ClassifierConfig | None = None):
-    cfg = cfg or ClassifierConfig()
+    """ML-10..12, SNK-04: split, fit, save as one artefact; the test rows scored by the saved one."""
     from pyspark import StorageLevel
 
-    # used by the TF-IDF fit and by the MLlib feature stages: compute the split once
+    cfg = cfg or ClassifierConfig()
+    # One cleaned narrow table feeds the split, the term statistics and the features.
     base = labelled_docs(spark, sf_dir).select("doc_id", "quality", "text_clean").persist(StorageLevel.MEMORY_AND_DISK)
     d = CL.stratified_split(base, "quality", "doc_id")
     train = d.where(F.col("split") == "train")
     tm, _ = TF.fit(train, "text_clean", "doc_id", cfg.tfidf)
-    feats = TF.features(d.select("doc_id", "quality", "split", "text_clean"), "text_clean", tm).persist()
-    model = CL.fit_logistic(feats.where(F.col("split") == "train"), "features", "quality", cfg.max_iter)
-    model = CL.persist_model(model, ST.scratch(spark, "classifier-model"))
-    pred = model.transform(feats.where(F.col("split") == "test"))
-    return pred
+    feats = TF.features(train.select("quality", "text_clean"), "text_clean", tm).select("quality", "features").persist(StorageLevel.MEMORY_AND_DISK)
+    fitted = CL.fit_logistic(feats, "features", "quality", cfg.max_iter)
+    feats.unpersist()
+    path = ST.scratch(spark, "classifier-model")
+    meta = {"algorithm": "tfidf+logistic_regression", "vocabulary_size": tm.vocab_size, "training_rows": tm.n_docs}
+    PL.save(spark, path, "2024-01-14", [*PL.text_stages(tm, "text_clean"), fitted], meta)
+    model, _ = PL.load(spark, path)
+    return PL.score(model, d.where(F.col("split") == "test"), "prediction")
 
 
 @register("text_classifier")
@@ -771,22 +1010,99 @@ def q_stream_window_counts(spark, sf_dir):
     counts = ST.window_counts(_events_stream(spark, sf_dir), "ts", "event_type")
     out, ck = ST.scratch(spark, "window-counts"), ST.scratch(spark, "window-counts-ckpt")
     ST.run_upsert(counts, out, ck)
-    schema = T.StructType(
-        [T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()),
-         T.StructField("event_type", T.StringType()), T.StructField("count", T.LongType())]
-    )
-    res = ST.latest(spark, out, ["window_start", "window_end", "event_type"], schema)
+    res = ST.latest(spark, out, ["window_start", "window_end", "event_type"], COUNTS_SCHEMA)
     return res.select(
         F.unix_timestamp("window_start").alias("window_start"), F.unix_timestamp("window_end").alias("window_end"), "event_type", "count"
     )
 
 
-@register("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+# Landings of events and the watermark each of them meets: three days behind the newest
+# event of those before it, in whole milliseconds.
+ARRIVALS_SQL = """arr AS (
+  SELECT *, epoch_us(ts) AS us, date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10
+         + CASE WHEN event_id % 29 = 0 THEN 2 WHEN event_id % 17 = 0 THEN 1 ELSE 0 END AS arrival FROM events),
+landed AS (SELECT arrival, max(us) // 1000 - 3 * 86400000 AS passes FROM arr GROUP BY arrival),
+marks AS (SELECT l.arrival, coalesce(max(p.passes), 0) * 1000 AS mark, row_number() OVER (ORDER BY l.arrival) - 1 AS turn
+          FROM landed l LEFT JOIN landed p ON p.arrival < l.arrival GROUP BY l.arrival)"""
+
+
+def _replayed_events(spark, sf_dir, name: str, build, run) -> list:
+    """Land the events in turn, and after each landing run ``build(stream)`` on one checkpoint."""
+    src, ck = ST.scratch(spark, f"{name}-src"), ST.scratch(spark, f"{name}-ckpt")
+    arrivals = TD.event_arrivals(spark, sf_dir).withColumn("ts", ST.event_time("ts"))
+    schema = arrivals.drop("arrival").schema
+    return TD.land_in_turn(arrivals, src, "arrival", lambda: run(build(ST.read_stream(spark, src, schema)), ck))
+
+
+@register(
+    "stream_dedup",
+    "WITH RECURSIVE " + ARRIVALS_SQL + """,
+ok AS (SELECT a.* FROM arr a JOIN marks USING (arrival) WHERE a.us > mark AND a.us < (SELECT max(passes) FROM landed) * 1000),
+kept AS (
+  SELECT user_id, event_type, min(us) AS us FROM ok GROUP BY user_id, event_type
+  UNION ALL
+  SELECT k.user_id, k.event_type, min(o.us) FROM kept k JOIN ok o ON o.user_id = k.user_id AND o.event_type = k.event_type
+  AND o.us >= k.us + 3 * 86400000000 GROUP BY k.user_id, k.event_type, k.us)
+SELECT event_id, user_id, event_type, us AS ts_micros FROM kept JOIN ok USING (user_id, event_type, us)""",
+)
 def q_stream_dedup(spark, sf_dir):
-    d = ST.dedup_within(_events_stream(spark, sf_dir), ["user_id", "event_type"], "ts", "3 days")
-    out, ck = ST.scratch(spark, "dedup"), ST.scratch(spark, "dedup-ckpt")
-    ST.run_append(d.select("user_id", "event_type", "ts"), out, ck)
-    return spark.read.parquet(out).select("user_id", "event_type")
+    """STR-02: events per (user, type), one in three days, over several landings with late rows."""
+    out = ST.scratch(spark, "dedup")
+    with HZ.settings(spark, HZ.STATE_STORE):
+        _replayed_events(
+            spark, sf_dir, "dedup",
+            lambda s: HZ.dedup_horizon(s.select("event_id", "user_id", "event_type", "ts"), ["user_id", "event_type"], "ts", "3 days", "3 days"),
+            lambda df, ck: ST.run_append(df, out, ck),
+        )
+    return spark.read.parquet(out).select("event_id", "user_id", "event_type", F.unix_micros("ts").alias("ts_micros"))
+
+
+WINDOWED_SQL = "WITH " + ARRIVALS_SQL + """,
+win AS (SELECT a.event_type, a.arrival, m.mark, m.turn, epoch_us(date_trunc('day', ts) - to_days(CAST(o AS INTEGER))) AS ws
+        FROM arr a JOIN marks m USING (arrival) CROSS JOIN unnest([0, 1, 2]) AS t(o)),
+seen AS (SELECT *, ws + 3 * 86400000000 > mark AS in_time FROM win)
+"""
+
+
+def _late_windows(spark, sf_dir) -> tuple[str, list]:
+    out = ST.scratch(spark, "late-windows")
+    progress = _replayed_events(
+        spark, sf_dir, "late-windows", lambda s: ST.window_counts(s, "ts", "event_type"), lambda df, ck: ST.run_upsert(df, out, ck)
+    )
+    return out, progress
+
+
+COUNTS_SCHEMA = T.StructType(
+    [T.StructField("window_start", T.TimestampType()), T.StructField("window_end", T.TimestampType()),
+     T.StructField("event_type", T.StringType()), T.StructField("count", T.LongType())]
+)
+
+
+@register(
+    "stream_late_counts",
+    WINDOWED_SQL + "SELECT ws // 1000000 AS window_start, ws // 1000000 + 3 * 86400 AS window_end, event_type, count(*) AS count "
+    "FROM seen WHERE in_time GROUP BY ws, event_type",
+)
+def q_stream_late_counts(spark, sf_dir):
+    """STR-03: sliding counts over several landings; rows behind the watermark are in no count."""
+    out, _ = _late_windows(spark, sf_dir)
+    res = ST.latest(spark, out, ["window_start", "window_end", "event_type"], COUNTS_SCHEMA)
+    return res.select(
+        F.unix_timestamp("window_start").alias("window_start"), F.unix_timestamp("window_end").alias("window_end"), "event_type", "count"
+    )
+
+
+@register(
+    "stream_late_rows",
+    WINDOWED_SQL + "SELECT turn, count(*) // 3 AS rows_in, count(*) AS window_rows_in, count(*) FILTER (WHERE in_time) AS window_rows_counted, "
+    "count(*) FILTER (WHERE NOT in_time) AS window_rows_dropped FROM seen GROUP BY turn",
+)
+def q_stream_late_rows(spark, sf_dir):
+    """STR-03: what each landing brought, and how much of it came too late to count."""
+    out, progress = _late_windows(spark, sf_dir)
+    table = ST.late_window_counts(spark, out, ["window_start", "window_end", "event_type"], progress)
+    turn = F.row_number().over(Window.orderBy("batch")) - 1  # a few micro-batches
+    return table.withColumn("turn", turn.cast("long")).drop("batch")
 
 
 def _landed_articles(spark, sf_dir) -> str:
@@ -823,26 +1139,26 @@ def q_stream_preprocess(spark, sf_dir):
 def q_batch_scoring(spark, sf_dir):
     """ML-13: score processed articles with the fitted model (vocabulary -> W -> argmax -> keywords)."""
     model, _ = _fit_topics(spark, sf_dir)
-    docs = processed(spark, sf_dir).withColumn("doc_id", F.col("ord"))
-    X = model.vectors(docs.select("doc_id", F.coalesce("topic_text", F.lit("")).alias("topic_text")))
-    return TR.assign(model, X).select("doc_id", "topic_id", "topic_score", "topic_keywords")
+    docs = processed(spark, sf_dir, wanted=("topic_text",)).select(F.col("ord").alias("doc_id"), "topic_text")
+    return SC.score_rows(docs, "topic_text", model).select("doc_id", "topic_id", "topic_score", "topic_keywords")
 
 
-@register("score_requests")
-def q_score_requests(spark, sf_dir):
-    """ML-14 + STR-04: raw request texts (landed article headlines, no cleaning) scored as a stream."""
-    from pyspark.ml.functions import vector_to_array
-
-    model, _ = _fit_topics(spark, sf_dir)
+def _scored_requests(spark, sf_dir, model) -> DataFrame:
     path = _landed_articles(spark, sf_dir)
     schema = spark.read.parquet(path).schema
-    req = ST.read_stream(spark, path, schema, max_files=4).select(F.col("ord").alias("request_id"), F.coalesce("headline", F.lit("")).alias("text"))
-    feats = TF.features(req, "text", model.tfidf).withColumn("x", vector_to_array("features"))
-    scored = NMF.transform_dense(feats, "x", model.H, ["request_id"])
-    scored = scored.join(F.broadcast(model.keywords.select("topic_id", "keywords")), "topic_id", "left")  # k rows
+    text = F.concat_ws("\n", "headline", "description")
+    req = ST.read_stream(spark, path, schema, max_files=4).select(F.col("ord").alias("request_id"), text.alias("text"))
+    scored = SC.score_rows(req, "text", model, "keywords").drop("text")
     out, ck = ST.scratch(spark, "scored"), ST.scratch(spark, "scored-ckpt")
     ST.run_append(scored, out, ck)
-    return spark.read.parquet(out)
+    return ST.read_rows(spark, out, scored.schema)
+
+
+@register("score_requests")
+def q_score_requests(spark, sf_dir):
+    """ML-14 + STR-04: raw request texts (whole landed articles, no cleaning) scored as a stream."""
+    model, _ = _fit_topics(spark, sf_dir)
+    return _scored_requests(spark, sf_dir, model)
 
 
 # ------------------------------------------------------------------ SRC-01..13, JON-05/06, SET-01 (sources)
@@ -858,6 +1174,26 @@ def q_source_labels(spark, sf_dir):
     return FD.feed_labels(TD.feeds(spark, sf_dir)).drop("api_section")
 
 
+@register(
+    "feed_config",
+    _with(
+        _feeds_cte(),
+        "SELECT l.feed_key, l.label, l.country, l.language, 'https://' || l.feed_key || '.example/rss' AS url, f.api_section FROM labels l JOIN feeds f USING (feed_key)",
+    ),
+)
+def q_feed_config(spark, sf_dir):
+    """SRC-01 + SRC-02: the feeds as a YAML configuration (absent keys left out), loaded and labelled."""
+    import yaml
+
+    from topicloom.sources import dims
+
+    feeds = [{k: v for k, v in r.asDict().items() if v is not None} for r in TD.feeds(spark, sf_dir).collect()]  # a configuration
+    path = ST.scratch(spark, "feed-config")
+    spark.createDataFrame([(yaml.safe_dump({"sources": feeds}),)], "value string").coalesce(1).write.text(path)
+    loaded = dims.load_feeds(spark, path)
+    return FD.feed_labels(loaded).join(F.broadcast(loaded.select("feed_key", "url")), "feed_key").select("feed_key", "label", "country", "language", "url", "api_section")
+
+
 @register(
     "feed_join",
     _with(
@@ -974,25 +1310,38 @@ def q_channel_union(spark, sf_dir):
 # ------------------------------------------------------------------ SRC-03/05/08/11..14, SNK-01..05, PRJ-02
 
 
+# What the strip leaves of a text without markup (there is none in documents).
+STRIPPED = "trim({0}, chr(32) || chr(9) || chr(10) || chr(13) || chr(11) || chr(12) || chr(28) || chr(29) || chr(30) || chr(31) || chr(133) || chr(160))"
+
+
 @register(
     "rss_scan",
     _with(
         _feeds_cte() + f", items AS ({O.rss_items_sql()})",
-        "SELECT CAST(i.ord AS VARCHAR) AS guid, i.link AS url, coalesce(i.published, i.updated) AS published_at, "
+        "SELECT CAST(i.ord AS VARCHAR) AS guid, i.title AS headline, " + STRIPPED.format("coalesce(i.description, i.summary)") + " AS description, "
+        "i.link AS url, coalesce(i.published, i.updated) AS published_at, "
         "l.source_name, l.source_section FROM items i LEFT JOIN labels l ON l.feed_key = i.feed_key",
     ),
 )
 def q_rss_scan(spark, sf_dir):
-    """SRC-03 + SRC-04: items landed as RSS XML, read back with the XML source, normalised."""
+    """SRC-03 + SRC-04: items landed as RSS and Atom files per feed, read back with the XML source,
+    whole descriptions stripped of markup, normalised."""
     items = TD.rss_items(spark, sf_dir)
     path = ST.scratch(spark, "rss")
-    (
-        items.select(F.col("ord").cast("string").alias("guid"), F.col("feed_key").alias("feed"), "title", "link", "description", "summary", F.col("published").alias("pubDate"), "updated")
-        .write.format("xml").option("rootTag", "channel").option("rowTag", "item").mode("overwrite").save(path)
-    )
-    scanned = FD.read_rss(spark, path).withColumnRenamed("feed", "feed_key")
-    norm = FD.normalize_rss(scanned.withColumn("ord", F.col("guid").cast("long")), TD.feeds(spark, sf_dir), strip_html=True)
-    return norm.select(F.col("ord").cast("string").alias("guid"), "url", "published_at", "source_name", "source_section")
+    common = [F.col("feed_key").alias("feed"), "title", "description", "summary"]
+    turn = F.col("ord") % 3
+    text_link = [F.struct(F.col("link").alias("_VALUE")).alias("link")]
+    atom_link = [F.array(F.struct(F.concat("link", F.lit("/edit")).alias("_href"), F.lit("edit").alias("_rel")), F.struct(F.col("link").alias("_href"), F.lit("alternate").alias("_rel"))).alias("link")]
+    kinds = [
+        ("item", turn != 2, [F.col("ord").cast("string").alias("guid"), *text_link, F.col("published").alias("pubDate"), "updated"]),
+        ("entry", turn == 2, [F.col("ord").cast("string").alias("id"), *atom_link, "published", "updated"]),
+    ]
+    for tag, which, fields in kinds:
+        out = items.where(which).select(*common, *fields).write.format("xml").option("rootTag", "channel" if tag == "item" else "feed").option("rowTag", tag)
+        out.partitionBy("feed").mode("append").save(path)
+    scanned = FD.read_feeds(spark, path).withColumn("ord", F.col("guid").cast("long"))
+    norm = FD.normalize_rss(scanned, TD.feeds(spark, sf_dir), strip_html=True)
+    return norm.select(F.col("ord").cast("string").alias("guid"), "headline", "description", "url", "published_at", "source_name", "source_section")
 
 
 @register(
@@ -1000,6 +1349,7 @@ def q_rss_scan(spark, sf_dir):
     _with(
         _feeds_cte() + f", res AS ({O.api_results_sql()})",
         "SELECT r.ord, CASE WHEN length(coalesce(r.f_headline, '')) > 0 THEN r.f_headline ELSE r.webTitle END AS headline, "
+        + STRIPPED.format("coalesce(CASE WHEN length(coalesce(r.f_trail, '')) > 0 THEN r.f_trail ELSE r.f_body END, '')") + " AS description, "
         "r.webUrl AS url, r.webPublicationDate AS published_at, f.source_name, f.country "
         "FROM res r JOIN feeds f ON f.feed_key = r.feed_key WHERE f.api_section IS NOT NULL",
     ),
@@ -1019,7 +1369,7 @@ def q_api_pages_scan(spark, sf_dir):
     doc.write.mode("overwrite").json(path)
     scanned = FD.read_api_pages(spark, path, multi_line=False)
     norm = FD.normalize_api(scanned, with_api, strip_html=True)
-    return norm.select("ord", "headline", "url", "published_at", "source_name", "country")
+    return norm.select("ord", "headline", "description", "url", "published_at", "source_name", "country")
 
 
 RAW_SCHEMA = T.StructType(
@@ -1060,7 +1410,7 @@ def q_reprocess_history(spark, sf_dir):
     """SRC-11: every landed raw partition preprocessed in one job, dedup scoped to its own file (ds)."""
     path = ST.scratch(spark, "raw-history")
     SK.write_partitioned(articles(spark, sf_dir), path, ["ds"])
-    raw = spark.read.parquet(path).withColumn("ds", F.col("ds").cast("string"))
+    raw = dedup.with_file_row(spark.read.parquet(path)).withColumn("ds", F.col("ds").cast("string"))
     out = P.add_clean_columns(dedup.clean_articles(raw, scope=["ds"]))
     return out.select("ord", "ds", "headline", "headline_clean")
 
@@ -1076,8 +1426,7 @@ def _landed_predictions(spark, sf_dir) -> str:
 @register("prediction_catalog", _with(O.processed_ctes(), "SELECT DISTINCT ds FROM processed"))
 def q_prediction_catalog(spark, sf_dir):
     """SRC-12: available prediction dates (newest first)."""
-    preds = spark.read.parquet(_landed_predictions(spark, sf_dir)).withColumn("ds", F.col("ds").cast("string"))
-    return FD.prediction_dates(preds)
+    return FD.prediction_dates(spark, _landed_predictions(spark, sf_dir))
 
 
 @register(
@@ -1090,12 +1439,35 @@ def q_prediction_catalog(spark, sf_dir):
 )
 def q_latest_predictions(spark, sf_dir):
     """SRC-12 + SRC-13: the newest date's predictions, region falling back to country."""
-    preds = spark.read.parquet(_landed_predictions(spark, sf_dir)).withColumn("ds", F.col("ds").cast("string"))
-    latest = report.latest_partition(preds)
-    loaded = FD.load_predictions(latest)
+    loaded = FD.load_predictions(FD.read_day(spark, _landed_predictions(spark, sf_dir)))
     return loaded.select("ord", "ds", "region", F.unix_timestamp("published_at").alias("published_epoch"))
 
 
+KPI_RANGES = [("2024-01-01", "2024-01-07"), ("2024-01-05", "2024-01-18"), ("2024-01-01", "2024-01-28"), ("2024-02-01", "2024-02-02")]
+
+
+@register(
+    "kpi_ranges",
+    _pred_sql(
+        " UNION ALL ".join(
+            f"SELECT '{a}' AS first_day, '{b}' AS last_day, count(*) AS articles, count(DISTINCT source_name) AS sources, "
+            f"count(DISTINCT topic_id) AS topics, count(DISTINCT region) AS regions FROM pred WHERE ds BETWEEN '{a}' AND '{b}'"
+            for a, b in KPI_RANGES
+        )
+    ),
+)
+def q_kpi_ranges(spark, sf_dir):
+    """AGG-03: KPIs of several ranges of days, each from the days' sketches; so few distinct values
+    are counted exactly."""
+    from topicloom.plans import jobs
+
+    preds, sketches = ST.scratch(spark, "kpi-predictions"), ST.scratch(spark, "kpi-sketches")
+    SK.write_partitioned(standin_predictions(spark, sf_dir, "ds", "source_name", "topic_id", "region"), preds, ["ds"])
+    jobs.sketch_days(spark, preds, sketches)
+    parts = [jobs.kpi_range(spark, sketches, a, b).select(F.lit(a).alias("first_day"), F.lit(b).alias("last_day"), "*") for a, b in KPI_RANGES]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @register("model_artifacts")
 def q_model_artifacts(spark, sf_dir):
     """SNK-04 + SRC-14: save vocabulary / components / keywords / metadata, read the metadata back."""

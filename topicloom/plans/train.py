@@ -16,12 +16,8 @@ TRAINING_COLUMNS = ("ord", "ds", "headline", "url", "source_file")
 
 def training_frame(processed: DataFrame, text_column: str = "topic_text", order: str = "ord") -> DataFrame:
     """DDP-02 + FLT-03: dedup across the window, keep rows with usable text,
-    expose ``doc_id`` (= source order) for the model.
-
-    Only the columns the model needs travel through the dedup shuffle
-    (``keep_first`` carries whole rows, and struct fields are not pruned
-    through an aggregate)."""
-    keep = [c for c in (*TRAINING_COLUMNS, text_column, order) if c in processed.columns]
+    expose ``doc_id`` (= source order) for the model."""
+    keep = [c for c in (*TRAINING_COLUMNS, *dedup.PLACE, text_column, order) if c in processed.columns]
     df = dedup.drop_training_duplicates(processed.select(*dict.fromkeys(keep)), order)
     df = filters.usable_text(df, text_column)
     return df.withColumn("doc_id", F.col(order))
@@ -34,7 +30,7 @@ from pyspark import StorageLevel  # noqa: E402
 
 from topicloom.config import TopicModelConfig  # noqa: E402
 from topicloom.operators import nmf, tfidf  # noqa: E402
-from topicloom.session import checkpoint_dir  # noqa: E402
+from topicloom.session import land  # noqa: E402
 
 
 @dataclass
@@ -48,36 +44,44 @@ class TopicModel:
     reconstruction_error: float
     n_iter: int
     n_docs: int
+    converged: bool = True
+    unsolved_rows: int = 0
 
     def vectors(self, docs: DataFrame, text_column: str = "topic_text", id_col: str = "doc_id") -> DataFrame:
         return self.tfidf.transform(docs, text_column, id_col)
 
 
-def fit_topics(docs: DataFrame, config: TopicModelConfig | None = None) -> tuple[TopicModel, DataFrame]:
-    """E2 core: TF-IDF fit -> NMF fit -> keywords.  Returns the model and the
-    persisted training matrix X ``(doc_id, indices, values)``."""
+def lineage(read: DataFrame, deduped: DataFrame, used: DataFrame) -> dict:
+    """ML-16: files and days read (a few a day), and how many rows were read, survived the
+    dedup and had text: the dataset a model was made of."""
+    by_file = read.groupBy(F.col("ds").cast("string").alias("ds"), F.regexp_extract(F.input_file_name(), "[^/]*$", 0).alias("file")).count()
+    files = [(r["ds"], r["file"], r["count"]) for r in by_file.orderBy("ds", "file").collect()]
+    return {
+        "files": [{"ds": ds, "file": f, "rows": n} for ds, f, n in files],
+        "days": sorted({ds for ds, _, _ in files}),
+        "rows_read": sum(n for _, _, n in files),
+        "rows_after_dedup": deduped.count(),
+        "rows_with_text": used.count(),
+    }
+
+
+def fit_topics(docs: DataFrame, config: TopicModelConfig | None = None, features: tfidf.TfidfModel | None = None) -> tuple[TopicModel, DataFrame]:
+    """E2 core: TF-IDF fit (unless ``features`` were fitted already) -> NMF fit -> keywords.
+    Returns the model and the persisted training matrix X ``(doc_id, indices, values)``."""
     config = config or TopicModelConfig()
-    tmodel, tf = tfidf.fit(docs, config.text_column, "doc_id", config.tfidf)
-    # The iterative fit re-reads X once per pass: cut its lineage with a reliable
-    # checkpoint in the shared checkpoint folder, so a lost executor re-reads
-    # checkpoint files instead of re-running preprocessing.
     spark = docs.sparkSession
-    checkpoint_dir(spark)
-    vec = tfidf.vectors(tf, tmodel)
-    # Every NMF pass emits one k x V block of partial sums per partition, so the
-    # loop runs on about two partitions per core (a narrow coalesce, no
-    # shuffle) rather than on the shuffle-partition count of the data.
-    # (coalesce never raises the count, so no need to inspect the plan first)
-    vec = vec.coalesce(max(1, 2 * spark.sparkContext.defaultParallelism))
-    staged = vec.persist(StorageLevel.MEMORY_AND_DISK)  # computed once for the checkpoint write
-    X = staged.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+    # Two passes read the texts: term statistics, then vectors (built inside the row).
+    narrow = docs.select("doc_id", config.text_column).persist(StorageLevel.MEMORY_AND_DISK)
+    tmodel = features or tfidf.fit(narrow, config.text_column, "doc_id", config.tfidf)[0]
+    # The iterative fit re-reads X once per pass: written to the shared folder first, so
+    # a lost executor re-reads files instead of re-running preprocessing.
+    X = land(tmodel.transform(narrow, config.text_column), "topic-vectors").persist(StorageLevel.MEMORY_AND_DISK)
+    narrow.unpersist()
     n_docs = X.count()
-    staged.unpersist()
-    tf.unpersist()
     res = nmf.fit(X, config.n_topics, tmodel.vocab_size, config.max_iter, config.tol, config.random_state)
     terms = nmf.topic_terms(spark, res.H, tmodel.vocabulary, config.top_n_keywords)
     keywords = nmf.keyword_table(terms)
-    model = TopicModel(tmodel, res.H, keywords, terms, res.reconstruction_error, res.n_iter, n_docs)
+    model = TopicModel(tmodel, res.H, keywords, terms, res.reconstruction_error, res.n_iter, n_docs, res.converged, res.unsolved_rows)
     return model, X
 
 
@@ -105,6 +109,8 @@ def load_topic_model(spark: SparkSession, path: str) -> TopicModel:
         fitted["reconstruction_error"],
         fitted["n_iter"],
         fitted["n_docs"],
+        fitted.get("converged", True),
+        fitted.get("unsolved_rows", 0),
     )
 
 

@@ -6,6 +6,8 @@ import pytest
 from topicloom.sources.testdata import TABLES
 
 SAMPLE = ["clean_headlines", "article_dedup", "region_tags", "topic_text", "top_headlines", "tfidf", "stratified_split", "page_slice"]
+SAMPLE += ["stream_dedup", "stream_late_counts", "stream_late_rows", "window_term_stats", "score_fixed_model", "score_fixed_requests", "fixed_run_metrics"]
+SAMPLE += ["one_step_keywords", "training_lineage", "rss_scan", "api_pages_scan", "feed_config", "kpi_ranges", "region_summary", "region_geo_dashboard"]
 
 
 def _rows(pdf):

@@ -70,28 +70,32 @@ def test_neighbours_equal_brute_force(spark):
 
 
 def weights(text):
-    return [(x.strip(" "), x.strip(" ").count(" ") + 1) for x in text.split("\n")]
+    lines = [" ".join(re.split(r"[ \t\r\u00a0]+", x)).strip(" ") for x in text.split("\n")]
+    return [(x, x.count(" ") + 1) for x in lines]
 
 
 def brute_lines(texts, min_words):
-    """Texts by id without later copies of runs of min_words."""
-    first, out = set(), {}
+    """Texts by id without later copies of runs of min_words; copies that overlap their
+    original stay."""
+    first, out = {}, {}
     for i, text in sorted(texts.items()):
         lines, gone = weights(text), set()
         total = np.cumsum([0] + [w for _, w in lines])
         for a in range(len(lines)):
             for b in range(a + 1, len(lines) + 1):
                 if total[b] - total[a] >= min_words:
-                    run = tuple(x for x, _ in lines[a:b])
-                    gone.update(range(a, b)) if run in first else first.add(run)
+                    doc, at = first.setdefault(tuple(x for x, _ in lines[a:b]), (i, a))
+                    if doc != i or a >= at + b - a:
+                        gone.update(range(a, b))
         out[i] = ("\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone), len(lines) - len(gone))
     return out
 
 
 def test_lines_equal_brute_force(spark):
     rng = random.Random(3)
-    lines = ["", "a b", "c d e f", "g h i j k l m", "one two three", "x"]
+    lines = ["", "a b", "a\t b ", "c d  e f", "c d\u00a0e f", "g h i j k l m", "one two three", "x", "x\r"]
     texts = {i: "\n".join(rng.choice(lines) for _ in range(rng.randint(1, 14))) for i in range(120)}
+    texts |= {120: "\n".join(["same line"] * 40), 121: "\n".join(["p q", "r s t"] * 20), 122: "\n".join(["x"] * 7)}
     d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     for least in (1, 6, 15):
         got = {r["doc_id"]: r["text"] for r in linededup.dedup_lines(d, least).collect()}

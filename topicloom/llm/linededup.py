@@ -1,22 +1,29 @@
 """Operator 10: repeated line runs by distributed prefix doubling (DataFrame only).
 
-Every document is a sequence of line ids.  Prefix doubling names the runs of 1, 2,
-4, ... lines that start at each line (two names of one length make a name of twice
-that length), so a run of any length L has a name from the two runs of the largest
-power of two that cover it.  Equal names are equal runs -- an interval of the suffix
-order with a common prefix of L lines -- and the first of them in (doc_id, text hash,
-line) order is the original.
+Every document is a sequence of line ids.  Prefix doubling ranks the runs of 1, 2, 4, ...
+lines that start at each line: the pairs (rank of 2^j lines here, rank of 2^j lines 2^j
+further on) are sorted by range over the cluster, and their places in that order are
+the ranks of 2^(j+1) lines.  Equal ranks are equal runs, an interval of the suffix order
+whose common prefix has that length.  Only runs that occur twice or more are ranked:
+a line whose run is alone takes no part in the next level.
+
+A run of any length n is an interval (n, rank of its first 2^k lines, rank of its last
+2^k lines) with the largest power of two that fits.  The first member of an interval in
+(doc_id, text hash, line) order is the original, the others are later copies -- but for
+copies that overlap their original, as in a line repeated over and over: those stand
+nowhere else in full, and stay.
 
 A maximal repeated run counts if it has ``min_words`` words or more, a line counting
 as one word at least.  Words stand between white space; in scripts written without
 spaces, every two characters count as a word.  Such a run is exactly the union of the shortest runs of
 ``min_words`` that start, or end, at its lines; so these two runs of each line, at
-most ``min_words`` lines long, are all that has to be named: the levels needed do not
-grow with the corpus.  The later copies' lines are deleted.
+most ``min_words`` lines long, are all that has to be looked up: the levels needed do
+not grow with the corpus.  The later copies' lines are deleted.
 
-Names are aggregated before the first copy joins back; a hot run's left side can be
-split by the skew join, as its right side has one row a name.  The window functions
-are over one document's lines.
+Lines are compared by 128 bits, runs by exact ranks.  Line counts and intervals are
+aggregated before they join back; a hot line's or run's left side can be split by the
+skew join, as its right side has one row.  The window functions are over one
+document's lines.
 
 Defined results: a null text stays null and has no lines; an empty text is one empty
 line; lines compare with white space trimmed and its runs taken as one space, carriage
@@ -44,7 +51,7 @@ DOC = ["_d", "_h"]
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """(_d, _h, pos, line, weight): the lines of every distinct (doc_id, text)."""
+    """(_d, _h, pos, l1, l2, weight): the lines of every distinct (doc_id, text)."""
     # Most texts hold no white space but spaces and line feeds: the rest is translated.
     text = F.when(F.col("text").rlike(f"[{SPACES}]"), F.translate("text", SPACES, " " * len(SPACES))).otherwise(F.col("text"))
     exploded = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_h"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "_l"))
@@ -53,12 +60,39 @@ def line_rows(docs: DataFrame) -> DataFrame:
     spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" ")))
     unspaced = F.when(F.octet_length(line) > F.char_length(line), F.regexp_count(line, F.lit(f"{UNSPACED}{{2}}"))).otherwise(0)
     words = spaces + unspaced + 1
-    rows = exploded.select(*DOC, "pos", F.xxhash64(line).alias("line"), words.cast("long").alias("weight"))
+    ids = [F.xxhash64(line).alias("l1"), F.xxhash64(line, F.lit("line")).alias("l2")]
+    rows = exploded.select(*DOC, "pos", *ids, words.cast("long").alias("weight"))
     return rows.repartition(*DOC).dropDuplicates([*DOC, "pos"])
 
 
-def runs(lines: DataFrame, min_words: int) -> DataFrame:
-    """(_d, _h, start, n, name): the shortest runs of ``min_words`` from and up to each line."""
+def shared_ranks(rows: DataFrame, cols: list[str]) -> DataFrame:
+    """(cols, rank): the values that two rows or more have, and their places in sorted order."""
+    shared = rows.groupBy(*cols).agg(F.count("*").alias("m")).where("m > 1").select(*cols)
+    at = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    sorted_ = shared.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    placed = land(sorted_.withColumn("part", F.spark_partition_id()).withColumn("at", at), "line-sorted")
+    sizes = placed.groupBy("part").agg(F.count("*").alias("m"))  # a row a partition
+    offsets = sizes.select("part", (F.sum("m").over(Window.orderBy("part")) - F.col("m")).alias("before"))
+    return placed.join(offsets, "part").select(*cols, (F.col("at") + F.col("before")).alias("rank"))
+
+
+def doubled(lines: DataFrame, min_words: int) -> DataFrame:
+    """(_d, _h, pos, j, rank): ranks of the runs of 2^j lines that occur twice or more, as far
+    as ``min_words`` lines reach."""
+    level = land(lines.join(shared_ranks(lines, ["l1", "l2"]), ["l1", "l2"]).select(*DOC, "pos", "rank"), "line-ranks-0")
+    out = level.withColumn("j", F.lit(0))
+    for j in range(1, max(1, min_words.bit_length())):
+        half = 1 << j - 1
+        there = Window.partitionBy(*DOC).orderBy("pos").rangeBetween(half, half)
+        pairs = level.withColumnRenamed("rank", "a").withColumn("b", F.max("a").over(there)).where("b is not null")
+        level = land(pairs.join(shared_ranks(pairs, ["a", "b"]), ["a", "b"]).select(*DOC, "pos", "rank"), f"line-ranks-{j}")
+        out = out.unionByName(level.withColumn("j", F.lit(j)))
+    return out
+
+
+def runs(lines: DataFrame, ranks: DataFrame, min_words: int) -> DataFrame:
+    """(_d, _h, start, n, a, b): the shortest runs of ``min_words`` from and up to each line,
+    where their first and last parts occur elsewhere."""
     by_pos = Window.partitionBy(*DOC).orderBy("pos")
     df = lines.withColumn("upto", F.sum("weight").over(by_pos.rowsBetween(Window.unboundedPreceding, 0)))
     df = df.withColumn("before", F.col("upto") - F.col("weight"))
@@ -68,39 +102,30 @@ def runs(lines: DataFrame, min_words: int) -> DataFrame:
     behind = Window.partitionBy(*DOC).orderBy("upto").rangeBetween(Window.unboundedPreceding, -min_words)
     df = df.withColumn("n_from", F.count("*").over(ahead).cast("int")).withColumn("end_from", F.max("upto").over(ahead))
     df = df.withColumn("start_to", F.count("*").over(behind).cast("int"))
-    levels = max(1, min_words.bit_length())
-    df = df.withColumn("c0", F.col("line"))
-    for j in range(levels - 1):
-        df = df.withColumn(f"c{j + 1}", F.xxhash64(f"c{j}", F.lead(f"c{j}", 1 << j).over(by_pos)))
-    names = F.array(*[f"c{j}" for j in range(levels)])
-    df = land(df.select(*DOC, "pos", "n_from", "start_to", (F.col("end_from") - F.col("before") >= min_words).alias("whole_from"), (F.col("upto") >= min_words).alias("whole_to"), names.alias("names")), "line-runs")
-    first = df.where("whole_from").select(*DOC, F.col("pos").alias("start"), F.col("n_from").alias("n"))
-    second = df.where("whole_to").select(*DOC, F.col("start_to").alias("start"), (F.col("pos") - F.col("start_to") + 1).alias("n"))
-    both = first.unionByName(second).repartition(*DOC).dropDuplicates([*DOC, "start", "n"])
-    level = F.floor(F.log2("n")).cast("int")
-    both = both.withColumn("j", level).withColumn("second_at", (F.col("start") + F.col("n") - F.expr("shiftleft(1, j)")).cast("int"))
-    at = df.select(*DOC, F.col("pos").alias("p"), "names")
-    lo = _at(both, at, "start", "a")
-    hi = _at(lo.where("second_at > start"), at, "second_at", "b")
-    one = lo.where("second_at = start").withColumn("b", F.col("a"))
-    return one.unionByName(hi).select(*DOC, "start", "n", F.xxhash64("a", "b", "n").alias("name"))
-
-
-def _at(df: DataFrame, at: DataFrame, pos: str, out: str) -> DataFrame:
-    """Add the name of level j at line ``pos``."""
-    r = at.select(F.col("_d").alias("_rd"), F.col("_h").alias("_rh"), F.col("p").alias("_rp"), F.col("names").alias("_rn"))
-    on = F.col("_d").eqNullSafe(F.col("_rd")) & (F.col("_h") == F.col("_rh")) & (F.col(pos) == F.col("_rp"))
-    return df.join(r, on).withColumn(out, F.element_at("_rn", F.col("j") + 1)).drop("_rd", "_rh", "_rp", "_rn")
+    first = F.when(F.col("end_from") - F.col("before") >= min_words, F.struct(F.col("pos").alias("start"), F.col("n_from").alias("n")))
+    second = F.when(F.col("upto") >= min_words, F.struct(F.col("start_to").alias("start"), (F.col("pos") - F.col("start_to") + 1).alias("n")))
+    both = df.select(*DOC, F.explode(F.array_distinct(F.array_compact(F.array(first, second)))).alias("r")).select(*DOC, "r.start", "r.n")
+    both = both.dropDuplicates([*DOC, "start", "n"]).withColumn("j", F.floor(F.log2("n")).cast("int"))
+    both = both.withColumn("second_at", (F.col("start") + F.col("n") - F.expr("shiftleft(1, j)")).cast("int"))
+    whole = _at(both, ranks, "start", "a")
+    return _at(whole, ranks, "second_at", "b").select(*DOC, "start", "n", "a", "b")
+
+
+def _at(df: DataFrame, ranks: DataFrame, pos: str, out: str) -> DataFrame:
+    """Add the rank of level j at line ``pos``; rows without one go."""
+    r = ranks.select(F.col("_d").alias("_rd"), F.col("_h").alias("_rh"), F.col("pos").alias("_rp"), F.col("j").alias("_rj"), F.col("rank").alias(out))
+    on = F.col("_d").eqNullSafe(F.col("_rd")) & (F.col("_h") == F.col("_rh")) & (F.col(pos) == F.col("_rp")) & (F.col("j") == F.col("_rj"))
+    return df.join(r, on).drop("_rd", "_rh", "_rp", "_rj")
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(lines, runs that have an earlier copy as (_d, _h, start, n))."""
+    """(lines, later copies of an earlier run as (_d, _h, start, n))."""
     lines = land(line_rows(docs), "line-rows")
-    named = land(runs(lines, min_words), "line-names")
-    place = F.struct("_d", "_h", "start")
-    first = named.groupBy("name").agg(F.min(place).alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    later = named.join(first, "name").where(~place.eqNullSafe(F.col("first"))).select(*DOC, "start", "n")
-    return lines, later
+    named = land(runs(lines, doubled(lines, min_words), min_words), "line-runs")
+    first = named.groupBy("n", "a", "b").agg(F.min(F.struct("_d", "_h", "start")).alias("first"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
+    same_doc = F.col("_d").eqNullSafe(F.col("first._d")) & (F.col("_h") == F.col("first._h"))
+    overlaps = same_doc & (F.col("start") < F.col("first.start") + F.col("n"))  # or is the original itself
+    return lines, named.join(first, ["n", "a", "b"]).where(~overlaps).select(*DOC, "start", "n")
 
 
 def kept_runs(lines: DataFrame, later: DataFrame) -> DataFrame:

@@ -42,8 +42,13 @@ from topicloom.llm.common import land
 
 MIN_WORDS = 50
 
-#: White space but the line feed: Unicode's, the zero-width space and the byte order mark.
-SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
+#: White space but the line feed, below U+0100 and beyond, with the zero-width space and the
+#: byte order mark.
+NARROW_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+WIDE_SPACES = "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
+SPACES = NARROW_SPACES + WIDE_SPACES
+#: What a text needs to hold any of the wide spaces, or of the scripts below.
+WIDE = r"[\x{0E00}-\x{10FFFF}]"
 #: Scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
 UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{3007}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 
@@ -52,15 +57,19 @@ DOC = ["_d", "_h"]
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """(_d, _h, pos, l1, l2, weight): the lines of every distinct (doc_id, text)."""
-    # Most texts hold no white space but spaces and line feeds: the rest is translated.
-    text = F.when(F.col("text").rlike(f"[{SPACES}]"), F.translate("text", SPACES, " " * len(SPACES))).otherwise(F.col("text"))
-    exploded = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_h"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "_l"))
+    # Most texts hold no white space but spaces and line feeds, and no wide letters: two
+    # plain searches a text spare the others.
+    wide = F.col("text").rlike(WIDE)
+    odd = F.col("text").rlike(f"[{NARROW_SPACES}]") | (wide & F.col("text").rlike(f"[{WIDE_SPACES}]"))
+    text = F.when(odd, F.translate("text", SPACES, " " * len(SPACES))).otherwise(F.col("text"))
+    exploded = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_h"), wide.alias("_w"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "_l"))
     line = F.when(F.contains("_l", F.lit("  ")), F.regexp_replace("_l", " {2,}", " ")).otherwise(F.col("_l"))
     line = F.trim(line)
     spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" ")))
-    unspaced = F.when(F.octet_length(line) > F.char_length(line), F.regexp_count(line, F.lit(f"{UNSPACED}{{2}}"))).otherwise(0)
+    unspaced = F.when(F.col("_w"), F.regexp_count(line, F.lit(f"{UNSPACED}{{2}}"))).otherwise(0)
     words = spaces + unspaced + 1
-    ids = [F.xxhash64(line).alias("l1"), F.xxhash64(line, F.lit("line")).alias("l2")]
+    # The hash of a first value seeds that of the next: the two differ in their seed.
+    ids = [F.xxhash64(line).alias("l1"), F.xxhash64(F.lit("line"), line).alias("l2")]
     rows = exploded.select(*DOC, "pos", *ids, words.cast("long").alias("weight"))
     return rows.repartition(*DOC).dropDuplicates([*DOC, "pos"])
 

@@ -43,9 +43,16 @@ from topicloom.llm.common import land
 MIN_WORDS = 50
 
 #: White space but the line feed: Unicode's, the zero-width space and the byte order mark.
-SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
-#: Scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
-UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{3007}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
+NARROW_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+WIDE_SPACES = "            ​    　﻿"
+SPACES = NARROW_SPACES + WIDE_SPACES
+#: Any of them.  The narrow ones are a table look-up; nearly all else fails one range test.
+ANY_SPACE = rf"[{NARROW_SPACES}[\x{{1680}}-\x{{FEFF}}&&[{WIDE_SPACES}]]]"
+#: Scripts written without spaces: Thai, Lao, Myanmar, Khmer, kana, Han (behind one range test).
+UNSPACED = (
+    r"[\x{0E00}-\x{3FFFF}&&[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3005}-\x{3007}\x{3040}-\x{30FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]]"
+)
 
 DOC = ["_d", "_h"]
 
@@ -53,7 +60,7 @@ DOC = ["_d", "_h"]
 def line_rows(docs: DataFrame) -> DataFrame:
     """(_d, _h, pos, l1, l2, weight): the lines of every distinct (doc_id, text)."""
     # Most texts hold no white space but spaces and line feeds: the rest is translated.
-    text = F.when(F.col("text").rlike(f"[{SPACES}]"), F.translate("text", SPACES, " " * len(SPACES))).otherwise(F.col("text"))
+    text = F.when(F.col("text").rlike(ANY_SPACE), F.translate("text", SPACES, " " * len(SPACES))).otherwise(F.col("text"))
     exploded = docs.select(F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_h"), F.posexplode(F.split(text, "\n", -1)).alias("pos", "_l"))
     line = F.when(F.contains("_l", F.lit("  ")), F.regexp_replace("_l", " {2,}", " ")).otherwise(F.col("_l"))
     line = F.trim(line)

@@ -32,6 +32,22 @@ EDGE_WS_RE = rf"^[{WS}]+|[{WS}]+$"
 CLEAN_DROP_RE = rf"[^a-zA-Z0-9{CLEAN_EXTRA_LETTERS}{WS}]"
 TOPIC_NONALPHA_RE = rf"[^a-zA-Z{WS}]"
 DEDUP_NONALNUM_RE = rf"[^a-zA-Z0-9{WS}]"
+
+# The same classes as Spark runs them.  Java tries the ranges of a class one after the other
+# for every character, but looks up Latin-1 characters that are listed one by one in a table:
+# here ASCII costs one look-up, and the wide white space is behind one range test.  Runs are
+# matched whole where what replaces them is nothing or is collapsed afterwards.
+_LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_NARROW_WS = r"\t\n\x{0b}\f\r\x{1c}\x{1d}\x{1e}\x{1f}\x{85}\x{a0}"
+_WIDE_WS = r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]"
+_WS = rf" {_NARROW_WS}{_WIDE_WS}"
+_WS_NOSPACE = rf"{_NARROW_WS}{_WIDE_WS}"
+_URL = rf"(?:http|www)[^{_WS}]+"
+_WS_COLLAPSE = rf"[{_WS_NOSPACE}][{_WS}]*| [{_WS}]+"
+_EDGE_WS = rf"^[{_WS}]+|[{_WS}]+$"
+_CLEAN_DROP = rf"[^{_LETTERS}0123456789{CLEAN_EXTRA_LETTERS}{_WS}]+"
+_TOPIC_NONALPHA = rf"[^{_LETTERS}{_WS}]+"
+_DEDUP_NONALNUM = rf"[^{_LETTERS}0123456789{_WS}]+"
 # One pass for all boilerplate phrases.  Same result as replacing them one by
 # one in list order: the only phrases that can overlap ("skip advertisement" /
 # "advertisement", "follow live" / "live updates") leave nothing but topic stop
@@ -45,7 +61,7 @@ def _c(col: Column | str) -> Column:
 
 def strip_ws(col: Column | str) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_c(col), EDGE_WS_RE, "")
+    return F.regexp_replace(_c(col), _EDGE_WS, "")
 
 
 def clean_text(col: Column | str) -> Column:
@@ -53,18 +69,18 @@ def clean_text(col: Column | str) -> Column:
     outside letters/digits/umlauts.  Deleting after collapsing keeps the double
     spaces and glued words of the original rule (``"a – b"`` -> ``"a  b"``)."""
     t = F.lower(F.coalesce(_c(col), F.lit("")))
-    t = F.regexp_replace(t, URL_RE, " ")
-    t = F.regexp_replace(t, WS_COLLAPSE_RE, " ")
-    t = F.regexp_replace(t, CLEAN_DROP_RE, "")
+    t = F.regexp_replace(t, _URL, " ")
+    t = F.regexp_replace(t, _WS_COLLAPSE, " ")
+    t = F.regexp_replace(t, _CLEAN_DROP, "")
     return F.trim(t)
 
 
 def dedup_key(col: Column | str) -> Column:
     """SCL-03: near-duplicate headline key (lower, no URLs, punctuation to spaces)."""
     t = F.lower(F.coalesce(_c(col), F.lit("")))
-    t = F.regexp_replace(t, URL_RE, " ")
-    t = F.regexp_replace(t, DEDUP_NONALNUM_RE, " ")
-    t = F.regexp_replace(t, WS_COLLAPSE_RE, " ")
+    t = F.regexp_replace(t, _URL, " ")
+    t = F.regexp_replace(t, _DEDUP_NONALNUM, " ")
+    t = F.regexp_replace(t, _WS_COLLAPSE, " ")
     return F.trim(t)
 
 
@@ -75,7 +91,7 @@ def distinct_tokens(tokens: Column) -> Column:
 
 def dedup_tokens(col: Column | str) -> Column:
     """DDP-06: order-preserving distinct of whitespace tokens."""
-    toks = F.filter(F.split(F.trim(F.regexp_replace(_c(col), WS_COLLAPSE_RE, " ")), " "), lambda t: t != "")
+    toks = F.filter(F.split(F.trim(F.regexp_replace(_c(col), _WS_COLLAPSE, " ")), " "), lambda t: t != "")
     return F.array_join(distinct_tokens(toks), " ")
 
 
@@ -84,9 +100,9 @@ def topic_tokens(col: Column | str) -> Column:
     topic stop words and tokens of length <= 2 dropped, first occurrence kept."""
     t = F.lower(F.coalesce(_c(col), F.lit("")))
     t = F.regexp_replace(t, BOILERPLATE_RE, " ")
-    t = F.regexp_replace(t, URL_RE, " ")
-    t = F.regexp_replace(t, TOPIC_NONALPHA_RE, " ")
-    t = F.trim(F.regexp_replace(t, WS_COLLAPSE_RE, " "))
+    t = F.regexp_replace(t, _URL, " ")
+    t = F.regexp_replace(t, _TOPIC_NONALPHA, " ")
+    t = F.trim(F.regexp_replace(t, _WS_COLLAPSE, " "))
     stop = F.array(*[F.lit(w) for w in TOPIC_STOP_WORDS])
     # array_except = order-preserving distinct minus the stop words (hash based);
     # filtering by length after deduplicating gives the same tokens in the same order
@@ -108,7 +124,7 @@ def topic_text(headline_clean: Column | str, description_clean: Column | str) ->
 
 def word_count(col: Column | str) -> Column:
     """SCL-05: number of whitespace-separated words; "" -> 0 (``split`` alone gives 1)."""
-    toks = F.split(F.regexp_replace(_c(col), WS_COLLAPSE_RE, " "), " ")
+    toks = F.split(F.regexp_replace(_c(col), _WS_COLLAPSE, " "), " ")
     return F.size(F.filter(toks, lambda t: t != ""))
 
 

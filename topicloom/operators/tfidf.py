@@ -37,6 +37,8 @@ from topicloom.functions.compute import with_columns_once
 from topicloom.session import land
 
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
+#: Patterns with an equal that is quicker to search: ASCII by a table, no look around.
+_RUNS = {TOKEN_PATTERN: r"(?U)[" + "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_" + r"[\x{80}-\x{10ffff}&&[\w]]]{2,}"}
 BROADCAST_VOCAB_LIMIT = 200_000
 
 
@@ -85,7 +87,7 @@ def _threshold(value: int | float, n_docs: int) -> float:
 
 def _add_terms(docs: DataFrame, text_col: str, config: TfidfConfig) -> DataFrame:
     df = docs.withColumn(
-        "_tok", F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(config.token_pattern), 0)
+        "_tok", F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(_RUNS.get(config.token_pattern, config.token_pattern)), 0)
     )
     if config.stop_words:
         remover = StopWordsRemover(inputCol="_tok", outputCol="_tok_sw", stopWords=list(english_stop_words()), caseSensitive=True)

@@ -1105,6 +1105,11 @@ def q_stream_late_rows(spark, sf_dir):
     return table.withColumn("turn", turn.cast("long")).drop("batch")
 
 
+#: Landed bytes a micro-batch takes: the number of micro-batches follows the input's size, not
+#: the number of its files, and each has work for the whole cluster.
+BATCH_BYTES = 1 << 30
+
+
 def _landed_articles(spark, sf_dir) -> str:
     """SNK-01: land the raw articles as ds-partitioned parquet (what a collector writes)."""
     path = ST.scratch(spark, "raw-articles")
@@ -1124,7 +1129,7 @@ def q_stream_preprocess(spark, sf_dir):
     """STR-01: landed raw files -> row-level preprocessing as a stream (dedup is STR-02's job)."""
     path = _landed_articles(spark, sf_dir)
     schema = spark.read.parquet(path).schema
-    s = ST.read_stream(spark, path, schema, max_files=4).dropna(subset=["headline"]).fillna({"description": ""})
+    s = ST.read_stream(spark, path, schema, max_bytes=BATCH_BYTES).dropna(subset=["headline"]).fillna({"description": ""})
     s = P.add_features(P.add_clean_columns(s))
     out, ck = ST.scratch(spark, "processed"), ST.scratch(spark, "processed-ckpt")
     ST.run_append(P.processed_columns(s), out, ck)
@@ -1147,7 +1152,7 @@ def _scored_requests(spark, sf_dir, model) -> DataFrame:
     path = _landed_articles(spark, sf_dir)
     schema = spark.read.parquet(path).schema
     text = F.concat_ws("\n", "headline", "description")
-    req = ST.read_stream(spark, path, schema, max_files=4).select(F.col("ord").alias("request_id"), text.alias("text"))
+    req = ST.read_stream(spark, path, schema, max_bytes=BATCH_BYTES).select(F.col("ord").alias("request_id"), text.alias("text"))
     scored = SC.score_rows(req, "text", model, "keywords").drop("text")
     out, ck = ST.scratch(spark, "scored"), ST.scratch(spark, "scored-ckpt")
     ST.run_append(scored, out, ck)

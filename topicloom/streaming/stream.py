@@ -34,13 +34,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:10]}"
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, file_glob: str | None = None, max_files: int | None = None) -> DataFrame:
-    """Landed parquet files as a stream (explicit schema, no inference)."""
+def read_stream(spark: SparkSession, path: str, schema: T.StructType, file_glob: str | None = None, max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Landed parquet files as a stream (explicit schema, no inference).  A micro-batch takes
+    ``max_files`` files at most, or -- as many small files as it takes -- about ``max_bytes``."""
     r = spark.readStream.schema(schema)
     if file_glob:
         r = r.option("pathGlobFilter", file_glob)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     return r.parquet(path)
 
 

@@ -658,11 +658,10 @@ def _all_weights_sql(source: str, name: str, pattern: str) -> str:
   FROM {name}_t n JOIN vocab v ON v.term = n.term)"""
 
 
-def _fixed_model(spark, sf_dir) -> TR.TopicModel:
+def _fixed_model(spark, docs) -> TR.TopicModel:
     """The fixed topics over the vocabulary fitted on the training texts, saved and loaded again."""
     import numpy as np
 
-    docs = training_docs(spark, sf_dir).select("doc_id", "topic_text").persist()
     tm, _ = TF.fit(docs, "topic_text")
     odd = np.arange(tm.vocab_size) % FIXED_K
     H = np.where(odd[None, :] == np.arange(FIXED_K)[:, None], 1.0, 0.25)
@@ -689,7 +688,7 @@ def q_score_fixed_model(spark, sf_dir):
     model that SQL can follow."""
     from topicloom.plans import jobs
 
-    model, out = _fixed_model(spark, sf_dir), ST.scratch(spark, "fixed-scores")
+    model, out = _fixed_model(spark, _training_texts(spark, sf_dir)), ST.scratch(spark, "fixed-scores")
     jobs.score_day(spark, _landed_processed(spark, sf_dir), model, out)
     pred = spark.read.parquet(out)
     return pred.select("ord", F.col("ds").cast("string").alias("ds"), "topic_id", F.round("topic_score", 9).alias("topic_score"), "topic_keywords")
@@ -709,7 +708,7 @@ def q_score_fixed_model(spark, sf_dir):
 )
 def q_score_fixed_requests(spark, sf_dir):
     """ML-14 + STR-04: whole raw articles scored as a stream with a saved model that SQL can follow."""
-    out = _scored_requests(spark, sf_dir, _fixed_model(spark, sf_dir))
+    out = _scored_requests(spark, sf_dir, _fixed_model(spark, _training_texts(spark, sf_dir)))
     return out.withColumns({"topic_score": F.round("topic_score", 9), "keywords": F.array_join("keywords", ", ")})
 
 
@@ -726,8 +725,9 @@ def q_score_fixed_requests(spark, sf_dir):
 def q_fixed_run_metrics(spark, sf_dir):
     """ML-05, AGG-06, SNK-05: one pass over the training matrix with fixed topics; its error and the
     mean score appended as (run_id, metric, value)."""
-    model = _fixed_model(spark, sf_dir)
-    X = model.vectors(training_docs(spark, sf_dir)).persist()
+    docs = _training_texts(spark, sf_dir)
+    model = _fixed_model(spark, docs)
+    X = model.vectors(docs).persist()
     WtW, _, sums = NMF.als_pass(X, model.H)
     model.reconstruction_error = NMF._error(sums, WtW, model.H)
     path = ST.scratch(spark, "fixed-run-metrics")
@@ -814,11 +814,16 @@ def q_kmeans_clusters(spark, sf_dir):
     return sizes.withColumn("inertia", F.lit(float(model.summary.trainingCost)))
 
 
-def _kmeans_topics(spark, sf_dir):
+def _training_texts(spark, sf_dir) -> DataFrame:
+    """The two columns that fits and scores read more than once, kept: the texts are cleaned once."""
+    from pyspark import StorageLevel
+
+    return training_docs(spark, sf_dir).select("doc_id", "topic_text").persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _kmeans_topics(docs):
     from pyspark import StorageLevel
 
-    # read twice (TF-IDF fit, MLlib features): keep the two needed columns once
-    docs = training_docs(spark, sf_dir).select("doc_id", "topic_text").persist(StorageLevel.MEMORY_AND_DISK)
     tm, _ = TF.fit(docs, "topic_text")
     feats = TF.features(docs, "topic_text", tm).select("doc_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
     model = KM.fit(feats, "features", 6)
@@ -830,7 +835,7 @@ def q_kmeans_topics(spark, sf_dir):
     """The reference's TF-IDF + k-means baseline: assignments with batch confidence."""
     import numpy as np
 
-    tm, X, model = _kmeans_topics(spark, sf_dir)
+    tm, X, model = _kmeans_topics(_training_texts(spark, sf_dir))
     assigned = KM.assign_sparse(X, np.vstack(model.clusterCenters()))
     return KM.batch_confidence(assigned).select("doc_id", "cluster_id", "distance", "cluster_score")
 
@@ -839,8 +844,8 @@ def q_kmeans_topics(spark, sf_dir):
 def q_kmeans_saved(spark, sf_dir):
     """SNK-04 + ML-08: the k-means pipeline saved, loaded by its path in another session, and
     the training texts assigned by it."""
-    docs = training_docs(spark, sf_dir).select("doc_id", "topic_text")
-    tm, _, model = _kmeans_topics(spark, sf_dir)
+    docs = _training_texts(spark, sf_dir)
+    tm, _, model = _kmeans_topics(docs)
     path = ST.scratch(spark, "kmeans-model")
     PL.save(spark, path, "2024-01-14", [*PL.text_stages(tm, "topic_text"), model], {"algorithm": "tfidf+kmeans", "n_topics": 6})
     loaded, _ = PL.load(spark.newSession(), path)
@@ -849,7 +854,7 @@ def q_kmeans_saved(spark, sf_dir):
 
 @register("kmeans_keywords")
 def q_kmeans_keywords(spark, sf_dir):
-    tm, _, model = _kmeans_topics(spark, sf_dir)
+    tm, _, model = _kmeans_topics(_training_texts(spark, sf_dir))
     return KM.center_keywords(model, tm.vocabulary, 8)
 
 

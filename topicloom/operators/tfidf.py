@@ -11,9 +11,9 @@ corpus frequency (ties: term ascending); index terms alphabetically;
 MLlib's ``IDF`` has no ``+ 1`` and ``CountVectorizer`` indexes by frequency,
 so the fit is written with DataFrame aggregations instead:
 
-* per-document term counts are computed inside each row (no shuffle of text
-  or tokens); term statistics are one partially aggregated shuffle by term, which
-  counts the documents too, and no (document, term) pair is kept;
+* term statistics are one partially aggregated shuffle by term over each row's sorted
+  terms, which counts the documents too, and no (document, term) pair is kept; per-document
+  term counts are computed inside each row (no shuffle of text or tokens);
 * vectors are built inside the row from the fitted vocabulary (``scoring.row_vectors``);
   only an unbounded vocabulary needs ``vectors``, which assembles them by
   ``collect_list`` after a join by term;
@@ -115,7 +115,7 @@ def term_counts(docs: DataFrame, text_col: str, id_col: str | list[str] = "doc_i
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
     base = docs.select(*ids, text_col)
     t = _add_terms(base, text_col, config).select(*ids, "_terms")
-    t = with_columns_once(t, {"_sorted": F.array_sort("_terms")}).drop("_terms")
+    t = with_columns_once(t, {"_sorted": F.sort_array("_terms")}).drop("_terms")  # array_sort calls a lambda per comparison
     n = F.size("_sorted")
     starts = F.filter(
         F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
@@ -145,11 +145,23 @@ def term_stats(tf: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
+def corpus_stats(docs: DataFrame, text_col: str, config: TfidfConfig | None = None) -> DataFrame:
+    """AGG-07 without per-document counts: (term, df, ctf); the NULL term's df counts the documents.
+
+    A row's terms are sorted with one NULL before them, and each is exploded with whether
+    it differs from its neighbour, all in generated code: no lambda per term."""
+    config = config or TfidfConfig()
+    t = _add_terms(docs.select(text_col), text_col, config).select("_terms")
+    t = with_columns_once(t, {"_sorted": F.sort_array(F.concat(F.array(F.lit(None).cast("string")), "_terms"))}).drop("_terms")
+    each = t.select("_sorted", F.posexplode("_sorted").alias("_pos", "term"))
+    new = (F.col("_pos") == 0) | ~F.col("term").eqNullSafe(F.get("_sorted", F.col("_pos") - 1))
+    return each.select("term", new.cast("int").alias("_new")).groupBy("term").agg(F.sum("_new").alias("df"), F.count(F.lit(1)).alias("ctf"))
+
+
 def fit(docs: DataFrame, text_col: str, id_col: str = "doc_id", config: TfidfConfig | None = None) -> tuple[TfidfModel, DataFrame]:
     """ML-01.  Returns the model and the per-document term counts (not computed yet)."""
     config = config or TfidfConfig()
-    counted = term_counts(docs, text_col, id_col, config, count_docs=True)
-    stats = counted.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("ctf")).persist()
+    stats = corpus_stats(docs, text_col, config).persist()
     n_docs = next((r["df"] for r in stats.where(F.col("term").isNull()).select("df").collect()), 0)
     model = fit_counts(stats.where(F.col("term").isNotNull()), n_docs, config)
     stats.unpersist()

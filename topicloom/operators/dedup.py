@@ -56,12 +56,27 @@ def _firsts(narrow: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return narrow.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
 
 
-def _at_places(df: DataFrame, chosen: DataFrame, keep_places: bool) -> DataFrame:
-    places = broadcast_if_small(land(chosen.select(*PLACE), "dedup-places"), MAX_PLACES)
+def _landed_places(chosen: DataFrame) -> DataFrame:
+    return broadcast_if_small(land(chosen.select(*PLACE), "dedup-places"), MAX_PLACES)
+
+
+def at_places(df: DataFrame, places: DataFrame, keep_places: bool = False) -> DataFrame:
+    """The rows of ``df`` (with places) that lie at ``places``."""
     out = df.join(places, PLACE, "left_semi").select(*df.columns)
     return out if keep_places else out.drop(*PLACE)
 
 
+def _at_places(df: DataFrame, chosen: DataFrame, keep_places: bool) -> DataFrame:
+    return at_places(df, _landed_places(chosen), keep_places)
+
+
+def training_places(df: DataFrame, order: str = "ord") -> DataFrame:
+    """DDP-02 on articles with places: the places of the first row per (headline, url).  Only
+    these columns are read, so it comes before the texts are cleaned, not after."""
+    narrow = df.select(*PLACE, key_digest(F.col("headline"), F.col("url")).alias("_k"), F.col(order).alias("_ord"))
+    return _landed_places(_firsts(narrow, ["_k"], ["_ord"]))
+
+
 def keep_first(df: DataFrame, keys: list[str] | list[Column], order: Column | str = "ord", keep_places: bool = False) -> DataFrame:
     """One row per key: the row with the smallest ``order`` value."""
     order_col = F.col(order) if isinstance(order, str) else order

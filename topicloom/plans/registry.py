@@ -409,7 +409,17 @@ def q_usable_text(spark, sf_dir):
 
 
 def training_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return TR.training_frame(processed(spark, sf_dir, keep_places=True, wanted=("topic_text",)))
+    """DDP-02 + FLT-03, as ``train.training_frame``; the duplicates go before any text is cleaned
+    (the dedup reads headline and url alone, cleaning is row by row)."""
+    base = dedup.clean_articles(dedup.with_file_row(articles(spark, sf_dir)), keep_places=True)
+    kept = dedup.at_places(base, dedup.training_places(base))
+    return _topic_texts(kept).withColumn("doc_id", F.col("ord"))
+
+
+def _topic_texts(kept: DataFrame) -> DataFrame:
+    """``kept`` articles with usable topic texts, and the columns a training frame has."""
+    docs = P.add_features(P.add_clean_columns(kept, ("topic_text",)), ("topic_text",))
+    return filters_usable(docs.select("ord", "ds", "headline", "url", "topic_text"))
 
 
 def _tfidf_sql_ctes(where: str = "TRUE", cfg: TF.TfidfConfig | None = None) -> str:
@@ -1148,9 +1158,14 @@ def q_stream_preprocess(spark, sf_dir):
 @register("batch_scoring")
 def q_batch_scoring(spark, sf_dir):
     """ML-13: score processed articles with the fitted model (vocabulary -> W -> argmax -> keywords)."""
-    model, _ = _fit_topics(spark, sf_dir)
-    docs = processed(spark, sf_dir, wanted=("topic_text",)).select(F.col("ord").alias("doc_id"), "topic_text")
-    return SC.score_rows(docs, "topic_text", model).select("doc_id", "topic_id", "topic_score", "topic_keywords")
+    from pyspark import StorageLevel
+
+    # Deduplicated and cleaned once: the training texts are those of the scored rows that DDP-02 keeps.
+    base = dedup.clean_articles(dedup.with_file_row(articles(spark, sf_dir)), keep_places=True)
+    every = P.add_features(P.add_clean_columns(base, ("topic_text",)), ("topic_text",))
+    docs = every.select(*dedup.PLACE, F.col("ord").alias("doc_id"), "topic_text").persist(StorageLevel.MEMORY_AND_DISK)
+    model, _ = TR.fit_topics(filters_usable(dedup.at_places(docs, dedup.training_places(base))))
+    return SC.score_rows(docs.select("doc_id", "topic_text"), "topic_text", model).select("doc_id", "topic_id", "topic_score", "topic_keywords")
 
 
 def _scored_requests(spark, sf_dir, model) -> DataFrame:

@@ -698,8 +698,10 @@ def q_score_fixed_model(spark, sf_dir):
     model that SQL can follow."""
     from topicloom.plans import jobs
 
-    model, out = _fixed_model(spark, _training_texts(spark, sf_dir)), ST.scratch(spark, "fixed-scores")
-    jobs.score_day(spark, _landed_processed(spark, sf_dir), model, out)
+    landed, out = _landed_processed(spark, sf_dir), ST.scratch(spark, "fixed-scores")
+    # the landed texts are trained on and scored: articles are deduplicated and cleaned once
+    trained = TR.training_frame(dedup.with_file_row(spark.read.parquet(landed)))
+    jobs.score_day(spark, landed, _fixed_model(spark, trained.select("doc_id", "topic_text")), out)
     pred = spark.read.parquet(out)
     return pred.select("ord", F.col("ds").cast("string").alias("ds"), "topic_id", F.round("topic_score", 9).alias("topic_score"), "topic_keywords")
 

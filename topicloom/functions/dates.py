@@ -24,6 +24,8 @@ ZONELESS_FORMATS = [
     "yyyy-MM-dd HH:mm:ss",
     "yyyy-MM-dd'T'HH:mm:ss",
 ]
+# Literal characters of the formats: the first that a format has tells whether it can fit.
+MUST_HAVE = ("-", " ")
 
 
 def _c(col: Column | str) -> Column:
@@ -34,12 +36,18 @@ def parse_published(col: Column | str) -> Column:
     """SCL-11: string -> UTC timestamp, NULL when no format fits.
 
     The weekday of RFC-822 dates is dropped rather than validated (Spark's
-    parser rejects ``EEE`` pattern letters and feeds get it wrong anyway).
+    parser rejects ``EEE`` pattern letters and feeds get it wrong anyway).  A format that
+    can't fit is not tried, as each failure raises an exception inside: all begin with a
+    number and have ``MUST_HAVE``'s character where their pattern has it.
     """
     s = F.trim(F.regexp_replace(_c(col), r"^[A-Za-z]{3},\s*", ""))
-    zoned = [F.try_to_timestamp(s, F.lit(f)) for f in PUBLISHED_FORMATS]
-    utc = [F.try_to_timestamp(F.concat(s, F.lit(" +0000")), F.lit(f + " Z")) for f in ZONELESS_FORMATS]
-    return F.coalesce(*zoned, *utc)
+
+    def tried(fmt: str, parsed: Column) -> Column:
+        return F.when(F.instr(s, next(c for c in MUST_HAVE if c in fmt)) > 0, parsed)
+
+    zoned = [tried(f, F.try_to_timestamp(s, F.lit(f))) for f in PUBLISHED_FORMATS]
+    utc = [tried(f, F.try_to_timestamp(F.concat(s, F.lit(" +0000")), F.lit(f + " Z"))) for f in ZONELESS_FORMATS]
+    return F.when(s.rlike(r"^[\p{Nd}+-]"), F.coalesce(*zoned, *utc))
 
 
 def utc_wall_clock(ts: Column | str) -> Column:

@@ -41,13 +41,16 @@ _LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _NARROW_WS = r"\t\n\x{0b}\f\r\x{1c}\x{1d}\x{1e}\x{1f}\x{85}\x{a0}"
 _WIDE_WS = r"[\x{1680}-\x{3000}&&[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]"
 _WS = rf" {_NARROW_WS}{_WIDE_WS}"
-_WS_NOSPACE = rf"{_NARROW_WS}{_WIDE_WS}"
-_URL = rf"(?:http|www)[^{_WS}]+"
-_WS_COLLAPSE = rf"[{_WS_NOSPACE}][{_WS}]*| [{_WS}]+"
+_URL = rf"(?=[hw])(?:http|www)[^{_WS}]+"
+_WS_COLLAPSE = rf"[{_WS}](?:[{_WS}]+|(?<! ))"
 _EDGE_WS = rf"^[{_WS}]+|[{_WS}]+$"
 _CLEAN_DROP = rf"[^{_LETTERS}0123456789{CLEAN_EXTRA_LETTERS}{_WS}]+"
 _TOPIC_NONALPHA = rf"[^{_LETTERS}{_WS}]+"
 _DEDUP_NONALNUM = rf"[^{_LETTERS}0123456789{_WS}]+"
+# Blanking a class and collapsing white space afterwards, in one pass: every run of either but
+# a lone space, which stays as it is.
+_TOPIC_GAPS = rf"[^{_LETTERS}](?:[^{_LETTERS}]+|(?<! ))"
+_DEDUP_GAPS = rf"[^{_LETTERS}0123456789](?:[^{_LETTERS}0123456789]+|(?<! ))"
 # One pass for all boilerplate phrases.  Same result as replacing them one by
 # one in list order: the only phrases that can overlap ("skip advertisement" /
 # "advertisement", "follow live" / "live updates") leave nothing but topic stop
@@ -79,9 +82,7 @@ def dedup_key(col: Column | str) -> Column:
     """SCL-03: near-duplicate headline key (lower, no URLs, punctuation to spaces)."""
     t = F.lower(F.coalesce(_c(col), F.lit("")))
     t = F.regexp_replace(t, _URL, " ")
-    t = F.regexp_replace(t, _DEDUP_NONALNUM, " ")
-    t = F.regexp_replace(t, _WS_COLLAPSE, " ")
-    return F.trim(t)
+    return F.trim(F.regexp_replace(t, _DEDUP_GAPS, " "))
 
 
 def distinct_tokens(tokens: Column) -> Column:
@@ -101,8 +102,7 @@ def topic_tokens(col: Column | str) -> Column:
     t = F.lower(F.coalesce(_c(col), F.lit("")))
     t = F.regexp_replace(t, BOILERPLATE_RE, " ")
     t = F.regexp_replace(t, _URL, " ")
-    t = F.regexp_replace(t, _TOPIC_NONALPHA, " ")
-    t = F.trim(F.regexp_replace(t, _WS_COLLAPSE, " "))
+    t = F.trim(F.regexp_replace(t, _TOPIC_GAPS, " "))
     stop = F.array(*[F.lit(w) for w in TOPIC_STOP_WORDS])
     # array_except = order-preserving distinct minus the stop words (hash based);
     # filtering by length after deduplicating gives the same tokens in the same order
@@ -123,9 +123,8 @@ def topic_text(headline_clean: Column | str, description_clean: Column | str) ->
 
 
 def word_count(col: Column | str) -> Column:
-    """SCL-05: number of whitespace-separated words; "" -> 0 (``split`` alone gives 1)."""
-    toks = F.split(F.regexp_replace(_c(col), _WS_COLLAPSE, " "), " ")
-    return F.size(F.filter(toks, lambda t: t != ""))
+    """SCL-05: number of whitespace-separated words; "" -> 0."""
+    return F.size(F.regexp_extract_all(_c(col), F.lit(rf"[^{_WS}]+"), F.lit(0)))
 
 
 def text_features(df, headline_clean: str = "headline_clean", description_clean: str = "description_clean"):

@@ -46,10 +46,15 @@ def _esc(ch: str) -> str:
     return ch if ch.isalnum() else "\\" + ch
 
 
+#: Alternatives of a trie node that are tried in turn.
+GROUP = 5
+
+
 def _trie_regex(words: list[str]) -> str:
     """Alternation shaped as a trie: at each node "the keyword ends here" is tried
     before longer continuations, so the shortest keyword starting at a position
-    is reported and each position costs about one character comparison."""
+    is reported and each position costs about one character comparison.  A wide node is
+    cut into groups that one look-up of the next character leaves or enters."""
     trie: dict = {}
     for w in words:
         node = trie
@@ -58,9 +63,16 @@ def _trie_regex(words: list[str]) -> str:
         node[""] = {}
 
     def rx(node: dict) -> str:
-        alts = [""] if "" in node else []
-        alts += [_esc(ch) + rx(child) for ch, child in sorted(node.items()) if ch != ""]
-        return alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
+        ends = [""] if "" in node else []
+        alts = [(_esc(ch), _esc(ch) + rx(child)) for ch, child in sorted(node.items()) if ch != ""]
+        if len(ends) + len(alts) == 1:
+            return ends[0] if ends else alts[0][1]
+        groups = [alts[i : i + GROUP] for i in range(0, len(alts), GROUP)]
+        if len(groups) > 1:
+            tails = ["(?=[" + "".join(ch for ch, _ in g) + "])(?:" + "|".join(a for _, a in g) + ")" for g in groups]
+        else:
+            tails = [a for _, a in alts]
+        return "(?:" + "|".join(ends + tails) + ")"
 
     return rx(trie)
 
@@ -96,8 +108,8 @@ def region_of(headline: Column | str, description: Column | str) -> Column:
     """JON-01 as a column expression."""
     rows = dims.region_keyword_rows()
     p = region_priority(region_text(headline, description))
-    # guard the index: element_at(array, NULL) must not be evaluated
-    return F.when(p.isNull(), F.lit(DEFAULT_REGION)).otherwise(F.element_at(_region_names(rows), p + 1))
+    # the priority is named once: a CASE on it would search the text for each mention
+    return F.coalesce(F.get(_region_names(rows), p), F.lit(DEFAULT_REGION))
 
 
 def tag_regions(df: DataFrame, headline: str = "headline", description: str = "description") -> DataFrame:

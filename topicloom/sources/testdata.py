@@ -69,7 +69,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         doc_id.alias("ord"),
         F.when(doc_id % 41 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.split_part(text, F.lit("\n"), F.lit(1)), suffix))
+        .otherwise(F.concat(F.substring_index(text, "\n", 1), suffix))  # split_part splits the whole text
         .alias("headline"),
         F.when(nl > 0, F.expr("substr(text, instr(text, char(10)) + 1)")).alias("description"),
         F.when(doc_id % 10 == 0, F.lit(None).cast("string"))
